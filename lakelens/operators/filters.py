@@ -206,9 +206,9 @@ def filter_tables(df: DataFrame, flt: DatasetFilter, db="database", schema="sche
     def match(side):
         r = F.broadcast(rdf.filter(F.col("side") == side))
         cond = (
-            F.col("__d").rlike(F.col("db_re"))
-            & (F.col("schema_re").isNull() | F.col("__s").rlike(F.col("schema_re")))
-            & (F.col("table_re").isNull() | F.col("__t").rlike(F.col("table_re")))
+            F.regexp(F.col("__d"), F.col("db_re"))
+            & (F.col("schema_re").isNull() | F.regexp(F.col("__s"), F.col("schema_re")))
+            & (F.col("table_re").isNull() | F.regexp(F.col("__t"), F.col("table_re")))
         )
         return r, cond
 
