@@ -238,7 +238,7 @@ def audit_log(spark, sf_dir):
                     F.struct(
                         stamp.alias("startTime"), end.alias("endTime"),
                         F.struct(F.col("tables").alias("referencedTables"), F.col("views").alias("referencedViews"),
-                                 (F.col("o_totalprice") * 100).cast("long").cast("string").alias("totalProcessedBytes"),
+                                 F.round(F.col("o_totalprice") * 100).cast("long").cast("string").alias("totalProcessedBytes"),
                                  F.col("n").cast("string").alias("outputRowCount")).alias("queryStats"),
                     ).alias("jobStats"),
                 ).alias("job"),
@@ -263,7 +263,7 @@ SELECT 'projects/p/jobs/' || CAST(o.o_orderkey AS VARCHAR) AS job_name,
   s.sources,
   CASE WHEN o.o_custkey % 4 <> 0 THEN 'p.sales.orders' END AS destination,
   o.o_orderdate AS start_time, o.o_orderdate + INTERVAL 90 MINUTE AS end_time,
-  CASE WHEN o.o_orderkey % 5 <> 0 THEN CAST(CAST(o.o_totalprice * 100 AS BIGINT) AS BIGINT) END AS input_bytes,
+  CASE WHEN o.o_orderkey % 5 <> 0 THEN CAST(round(o.o_totalprice * 100) AS BIGINT) END AS input_bytes,
   CASE WHEN o.o_orderkey % 5 <> 0 THEN c.n END AS output_rows
 FROM orders o JOIN srcs s ON o.o_orderkey = s.l_orderkey JOIN cnt c ON o.o_orderkey = c.l_orderkey
 WHERE o.o_orderkey % 17 <> 0 AND o.o_orderstatus <> 'P' AND o.o_orderkey % 5 <> 1""")
