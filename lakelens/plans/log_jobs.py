@@ -212,7 +212,8 @@ def audit_log(spark, sf_dir):
     k = F.col("o_orderkey") % 5
     jtype = F.when(k == 0, "COPY").when(k == 1, "LOAD").otherwise("QUERY")
     dest = F.concat(F.lit("projects/p/datasets/"), F.when(F.col("o_custkey") % 4 == 0, "_tmp").otherwise("sales"),
-                    F.lit("/tables/orders_"), F.date_format("o_orderdate", "yyyyMMdd"))
+                    F.lit("/tables/orders_p"), F.substring("o_orderpriority", 1, 1), F.lit("_"),
+                    F.date_format("o_orderdate", "yyyyMMdd"))
     stamp = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
     end = F.date_format(F.col("o_orderdate") + F.expr("INTERVAL 90 MINUTES"), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
     entry = F.struct(
@@ -261,7 +262,7 @@ SELECT 'projects/p/jobs/' || CAST(o.o_orderkey AS VARCHAR) AS job_name,
   CASE WHEN o.o_orderkey % 5 <> 0 THEN 'INSERT INTO sales.orders SELECT * FROM part -- ' || o.o_orderpriority END AS query,
   CASE WHEN o.o_orderkey % 5 <> 0 THEN 'INSERT' END AS statement_type,
   s.sources,
-  CASE WHEN o.o_custkey % 4 <> 0 THEN 'p.sales.orders' END AS destination,
+  CASE WHEN o.o_custkey % 4 <> 0 THEN 'p.sales.orders_p' || o.o_orderpriority[1:1] END AS destination,
   o.o_orderdate AS start_time, o.o_orderdate + INTERVAL 90 MINUTE AS end_time,
   CASE WHEN o.o_orderkey % 5 <> 0 THEN CAST(round(o.o_totalprice * 100) AS BIGINT) END AS input_bytes,
   CASE WHEN o.o_orderkey % 5 <> 0 THEN c.n END AS output_rows
