@@ -101,10 +101,9 @@ def resource_table_parts(resource) -> Column:
     partition, shard and snapshot suffixes removed; null when malformed or when
     the table name still holds '$' or '@' afterwards."""
     parts = F.split(col_of(resource), "/")
+    # Each strip is a no-op when its pattern does not match.
+    t = F.regexp_replace(F.regexp_replace(parts[5], PARTITION_SUFFIX_RE, "$1"), SNAPSHOT_SUFFIX_RE, "$1")
     ok = (F.size(parts) == 6) & (parts[0] == "projects") & (parts[2] == "datasets") & (parts[4] == "tables")
-    t = parts[5]
-    t = F.when(t.rlike(PARTITION_SUFFIX_RE), F.regexp_extract(t, PARTITION_SUFFIX_RE, 1)).otherwise(t)
-    t = F.when(t.rlike(SNAPSHOT_SUFFIX_RE), F.regexp_extract(t, SNAPSHOT_SUFFIX_RE, 1)).otherwise(t)
     valid = ok & ~t.contains("$") & ~t.contains("@")
     return F.when(valid, F.struct(parts[1].alias("project"), parts[3].alias("dataset"), t.alias("table")))
 

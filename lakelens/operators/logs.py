@@ -215,10 +215,9 @@ AUDIT_SCHEMA = T.StructType([
 ])
 
 
-def _clean_resource(c: Column) -> Column:
-    """Resource path -> 'project.dataset.table', or null when temporary
-    (dataset starting with '_') or an information-schema table."""
-    p = names.resource_table_parts(c)
+def _clean_resource(p: Column) -> Column:
+    """Parsed resource struct -> 'project.dataset.table', or null when
+    temporary (dataset starting with '_') or an information-schema table."""
     ok = p.isNotNull() & ~p["dataset"].startswith("_") & ~F.upper(p["table"]).startswith("INFORMATION_SCHEMA.")
     return F.when(ok, F.concat_ws(".", p["project"], p["dataset"], p["table"]))
 
@@ -226,35 +225,42 @@ def _clean_resource(c: Column) -> Column:
 def audit_jobs(df: DataFrame, json_col: str = "entry") -> DataFrame:
     """S-12 / N-6: audit entries -> finished QUERY/COPY jobs with sources
     (referenced tables + views, or copy sources), cleaned and de-duplicated in
-    first-seen order; jobs left without sources are dropped."""
-    e = F.from_json(F.col(json_col), AUDIT_SCHEMA)
-    x = df.select(e.alias("e"))
+    first-seen order; jobs left without sources are dropped.
+
+    The JSON is parsed once: the parsed struct goes through a one-element
+    ``explode`` (a Generate node), which Catalyst does not inline into the
+    later filters and projections."""
+    x = df.select(F.explode(F.array(F.from_json(F.col(json_col), AUDIT_SCHEMA))).alias("e"))
     job = F.col("e.protoPayload.metadata.jobChange.job")
     jtype = job["jobConfig"]["type"]
     qc = job["jobConfig"]["queryConfig"]
     cc = job["jobConfig"]["tableCopyConfig"]
     qs = job["jobStats"]["queryStats"]
-    raw_sources = F.when(jtype == "COPY", cc["sourceTables"]).otherwise(
-        F.concat(F.coalesce(qs["referencedTables"], F.array().cast("array<string>")),
-                 F.coalesce(qs["referencedViews"], F.array().cast("array<string>"))))
-    sources = F.array_distinct(F.filter(F.transform(raw_sources, _clean_resource), lambda s: s.isNotNull()))
-    dest = _clean_resource(F.when(jtype == "COPY", cc["destinationTable"]).otherwise(qc["destinationTable"]))
-    out = x.filter(
+    x = x.filter(
         (F.col("e.resource.type") == "bigquery_project")
         & (F.col("e.protoPayload.metadata.jobChange.after") == "DONE")
         & jtype.isin("QUERY", "COPY")
     ).select(
-        job["jobName"].alias("job_name"),
-        jtype.alias("job_type"),
-        F.coalesce(F.col("e.protoPayload.authenticationInfo.principalEmail"), F.lit("")).alias("user_email"),
-        F.when(jtype == "QUERY", qc["query"]).alias("query"),
-        F.when(jtype == "QUERY", qc["statementType"]).alias("statement_type"),
+        jtype.alias("job_type"), job["jobName"].alias("job_name"), qc.alias("qc"), qs.alias("qs"),
+        job["jobStats"].alias("stats"), F.col("e.protoPayload.authenticationInfo.principalEmail").alias("email"),
+        F.when(jtype == "COPY", cc["sourceTables"]).otherwise(
+            F.concat(F.coalesce(qs["referencedTables"], F.array().cast("array<string>")),
+                     F.coalesce(qs["referencedViews"], F.array().cast("array<string>")))).alias("raw_sources"),
+        F.when(jtype == "COPY", cc["destinationTable"]).otherwise(qc["destinationTable"]).alias("raw_dest"),
+    )
+    parsed = F.transform(F.col("raw_sources"), names.resource_table_parts)
+    sources = F.array_distinct(F.filter(F.transform(parsed, _clean_resource), lambda s: s.isNotNull()))
+    out = x.select(
+        "job_name", "job_type",
+        F.coalesce(F.col("email"), F.lit("")).alias("user_email"),
+        F.when(F.col("job_type") == "QUERY", F.col("qc.query")).alias("query"),
+        F.when(F.col("job_type") == "QUERY", F.col("qc.statementType")).alias("statement_type"),
         sources.alias("sources"),
-        dest.alias("destination"),
-        parse_iso8601(job["jobStats"]["startTime"]).alias("start_time"),
-        parse_iso8601(job["jobStats"]["endTime"]).alias("end_time"),
-        F.when(jtype == "QUERY", safe_long(qs["totalProcessedBytes"])).alias("input_bytes"),
-        F.when(jtype == "QUERY", safe_long(qs["outputRowCount"])).alias("output_rows"),
+        _clean_resource(names.resource_table_parts(F.col("raw_dest"))).alias("destination"),
+        parse_iso8601(F.col("stats.startTime")).alias("start_time"),
+        parse_iso8601(F.col("stats.endTime")).alias("end_time"),
+        F.when(F.col("job_type") == "QUERY", safe_long(F.col("qs.totalProcessedBytes"))).alias("input_bytes"),
+        F.when(F.col("job_type") == "QUERY", safe_long(F.col("qs.outputRowCount"))).alias("output_rows"),
     )
     return out.filter(F.size("sources") > 0)
 
