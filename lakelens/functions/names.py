@@ -102,10 +102,11 @@ def resource_table_parts(resource) -> Column:
     the table name still holds '$' or '@' afterwards."""
     parts = F.split(col_of(resource), "/")
     # Each strip is a no-op when its pattern does not match.
-    t = F.regexp_replace(F.regexp_replace(parts[5], PARTITION_SUFFIX_RE, "$1"), SNAPSHOT_SUFFIX_RE, "$1")
-    ok = (F.size(parts) == 6) & (parts[0] == "projects") & (parts[2] == "datasets") & (parts[4] == "tables")
+    part = [F.get(parts, i) for i in range(6)]  # null (not an error) when missing
+    t = F.regexp_replace(F.regexp_replace(part[5], PARTITION_SUFFIX_RE, "$1"), SNAPSHOT_SUFFIX_RE, "$1")
+    ok = (F.size(parts) == 6) & (part[0] == "projects") & (part[2] == "datasets") & (part[4] == "tables")
     valid = ok & ~t.contains("$") & ~t.contains("@")
-    return F.when(valid, F.struct(parts[1].alias("project"), parts[3].alias("dataset"), t.alias("table")))
+    return F.when(valid, F.struct(part[1].alias("project"), part[3].alias("dataset"), t.alias("table")))
 
 
 def monitor_object_name(mcon) -> Column:

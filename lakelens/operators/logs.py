@@ -33,15 +33,16 @@ def parse_prefixed_log(df: DataFrame, text: str = "value", line_no: str = "line_
     """S-13: '%t:%r:%u@%d:[%p]:LEVEL: body' lines -> columns. Lines without the
     date prefix, with fewer than 8 ':'-parts or without user/database are dropped."""
     parts = F.split(F.col(text), ":")
-    ud = F.split(parts[4], "@")
+    part = [F.get(parts, i) for i in range(7)]  # null-safe even if evaluated before the size filter
+    ud = F.split(part[4], "@")
     out = df.filter(F.col(text).rlike(LOG_PREFIX_RE) & (F.size(parts) >= 8)).select(
         F.col(line_no),
-        F.to_timestamp(F.regexp_replace(F.concat_ws(":", parts[0], parts[1], parts[2]), r" [A-Za-z]+$", ""),
-                       "yyyy-MM-dd HH:mm:ss").cast("timestamp_ntz").alias("log_time"),
-        ud[0].alias("user_name"),
-        F.when(F.size(ud) > 1, ud[1]).alias("database"),
-        parts[5].alias("session"),
-        parts[6].alias("log_level"),
+        F.try_to_timestamp(F.regexp_replace(F.concat_ws(":", part[0], part[1], part[2]), r" [A-Za-z]+$", ""),
+                           F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz").alias("log_time"),
+        F.get(ud, 0).alias("user_name"),
+        F.get(ud, 1).alias("database"),
+        part[5].alias("session"),
+        part[6].alias("log_level"),
         F.slice(parts, 8, 1 << 20).alias("body"),
     )
     return out.filter((F.col("user_name") != "") & F.col("database").isNotNull() & (F.col("database") != ""))
