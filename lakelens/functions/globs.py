@@ -16,14 +16,16 @@ from lakelens.functions.scalars import col_of
 _SPECIAL = set("\\.^$+{}()|*?[]/")
 
 
-def glob_to_regex(pattern: str) -> str:
+def _glob_chunks(pattern: str) -> list:
+    """Split a glob into regex pieces, with None standing for each '*'."""
     out = []
     i, n = 0, len(pattern)
     while i < n:
         ch = pattern[i]
         i += 1
         if ch == "*":
-            out.append(".*")
+            if not out or out[-1] is not None:
+                out.append(None)
         elif ch == "?":
             out.append(".")
         elif ch == "[":
@@ -48,7 +50,31 @@ def glob_to_regex(pattern: str) -> str:
             out.append("\\" + ch)
         else:
             out.append(ch)
-    return "(?s)^" + "".join(out) + "\\z"
+    return out
+
+
+def glob_to_regex(pattern: str, portable: bool = False) -> str:
+    """Full-match regex for a glob. The default (Java) form wraps every piece
+    between two stars in an atomic lazy group, ``(?>.*?piece)``, so matching is
+    linear instead of backtracking over every '*'. ``portable=True`` gives the
+    plain form (no atomic groups) for RE2-style engines."""
+    pieces = _glob_chunks(pattern)
+    if portable:
+        return "(?s)^" + "".join(".*" if p is None else p for p in pieces) + "\\z"
+    # Group literal runs between stars.
+    runs, cur = [], []
+    for p in pieces:
+        if p is None:
+            runs.append("".join(cur))
+            cur = []
+        else:
+            cur.append(p)
+    runs.append("".join(cur))
+    if len(runs) == 1:
+        return "(?s)^" + runs[0] + "\\z"
+    head, middle, tail = runs[0], runs[1:-1], runs[-1]
+    body = head + "".join(f"(?>.*?{m})" for m in middle) + ".*" + tail
+    return "(?s)^" + body + "\\z"
 
 
 def glob_match(c, pattern: str) -> Column:

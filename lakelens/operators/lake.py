@@ -118,8 +118,9 @@ def inferred_type(raw) -> Column:
     v = col_of(raw)
     return (F.when(v.try_cast("long").isNotNull() & v.rlike(r"^\s*[+-]?\d+\s*$"), F.lit("int64"))
             .when(v.try_cast("double").isNotNull(), F.lit("double"))
-            .when(F.coalesce(F.try_to_timestamp(v, F.lit("yyyy-MM-dd")), F.try_to_timestamp(v, F.lit("yyyy-MM-dd HH:mm:ss")),
-                             F.try_to_timestamp(v, F.lit("yyyy/MM/dd"))).isNotNull(), F.lit("datetime"))
+            .when(v.rlike(r"^\d{4}[-/]\d{1,2}[-/]\d{1,2}") & F.coalesce(
+                F.try_to_timestamp(v, F.lit("yyyy-MM-dd")), F.try_to_timestamp(v, F.lit("yyyy-MM-dd HH:mm:ss")),
+                F.try_to_timestamp(v, F.lit("yyyy/MM/dd"))).isNotNull(), F.lit("datetime"))
             .otherwise(F.lit("string")))
 
 
@@ -192,13 +193,19 @@ def partition_types(classified: DataFrame) -> DataFrame:
     return g.select("table_path", "name", resolved.alias("type"), resolved.isNull().alias("conflict"))
 
 
-def newest_partition(classified: DataFrame) -> DataFrame:
+def newest_partition(classified: DataFrame, levels: int) -> DataFrame:
     """S-4 / W-4: per table, descend level by level into the greatest
     partition value: numerically when every candidate value at that level is
-    an integer, as strings otherwise. One aggregation per partition level
-    (levels come from the template, so the loop is bounded by configuration)."""
-    levels = classified.select(F.max(F.size("partitions"))).first()[0] or 0
-    cur = classified.select("table_path", "partitions")
+    an integer, as strings otherwise.
+
+    The descent runs on the distinct partition directories (one row per leaf
+    directory, not per file), checkpointed once because every level reads it;
+    each level is one aggregation plus a join with a one-row-per-table result.
+    ``levels`` is the number of partition labels of the template."""
+    from lakelens.session import cut_lineage
+
+    dirs = cut_lineage(classified.select("table_path", "partitions").distinct())
+    cur = dirs
     chosen = None
     for i in range(levels):
         v = F.get(F.col("partitions"), i)["raw_value"]
@@ -209,12 +216,11 @@ def newest_partition(classified: DataFrame) -> DataFrame:
             F.first(F.get(F.col("partitions"), i)["name"]).alias("__name"),
         ).select("table_path", F.when(F.col("__int"), F.col("__num_max")).otherwise(F.col("__str_max")).alias(f"__v{i}"),
                  F.col("__name").alias(f"__n{i}"))
-        # One row per table: small, and joined on the table key.
         cur = cur.join(step, "table_path").filter(F.get(F.col("partitions"), i)["raw_value"] == F.col(f"__v{i}")) \
             .select("table_path", "partitions")
         chosen = step if chosen is None else chosen.join(step, "table_path")
     if chosen is None:
-        return classified.select("table_path").distinct().withColumn("newest_partition", F.lit(""))
+        return dirs.select("table_path").distinct().withColumn("newest_partition", F.lit(""))
     parts = [F.when(F.col(f"__n{i}").startswith("Unnamed column "), F.col(f"__v{i}"))
              .otherwise(F.concat(F.col(f"__n{i}"), F.lit("="), F.col(f"__v{i}"))) for i in range(levels)]
     return chosen.select("table_path", F.concat_ws("/", *parts).alias("newest_partition"))

@@ -134,7 +134,7 @@ m1 AS (SELECT v.table_path, CASE WHEN bool_and(regexp_matches(m, '^[+-]?\\d+$'))
 SELECT y1.table_path, 'year=' || y1.y || '/month=' || m1.m AS newest_partition FROM y1 JOIN m1 USING (table_path)""")
 def lake_newest_partition(spark, sf_dir):
     """S-4: newest partition per table (greatest value per level, numbers as numbers)."""
-    return lake.newest_partition(lake.classify(object_listing(spark, sf_dir), TEMPLATE))
+    return lake.newest_partition(lake.classify(object_listing(spark, sf_dir), TEMPLATE), len(TEMPLATE.partitions))
 
 
 def _dirs(spark, sf_dir):
