@@ -46,10 +46,14 @@ EXCLUDED_USERS = ("user13", "user26")
 
 
 def text_log(spark, sf_dir):
+    return text_log_from(read_table(spark, sf_dir, "events"))
+
+
+def text_log_from(events):
     """Landed text log: per event a statement line, sometimes a continuation
     line without the date prefix, and a duration line. One in ten statement
-    lines is an ERROR line instead of LOG."""
-    e = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    lines is an ERROR line instead of LOG. Works on batch and stream inputs."""
+    e = events.select("event_id", "ts", "user_id", "event_type", "value")
     prefix = F.concat(
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(" UTC:10.1.1."), (F.col("user_id") % 250).cast("string"),
         F.lit("(5432):user"), F.col("user_id").cast("string"), F.lit("@db_"), F.col("event_type"),
