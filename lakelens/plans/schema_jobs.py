@@ -43,7 +43,7 @@ def order_documents(spark, sf_dir):
 @register("infer_schema_counts", """WITH o AS (SELECT o.*, (SELECT count(*) FROM lineitem l WHERE l.l_orderkey = o.o_orderkey) AS nl,
     (SELECT count(*) FROM lineitem l WHERE l.l_orderkey = o.o_orderkey AND l.l_linenumber <> 2) AS nf
   FROM orders o WHERE o.o_orderkey IN (SELECT l_orderkey FROM lineitem)),
-t AS (SELECT count(*) AS n_docs, sum(nl) AS n_items, sum(nf) AS n_flags,
+t AS (SELECT count(*) AS n_docs, CAST(sum(nl) AS BIGINT) AS n_items, CAST(sum(nf) AS BIGINT) AS n_flags,
         count(*) FILTER (WHERE o_orderkey % 4 <> 0) AS n_when, count(*) FILTER (WHERE o_custkey % 5 <> 0) AS n_seg,
         count(*) FILTER (WHERE nf < nl) AS n_docs_missing_flag FROM o)
 SELECT 'id' AS field_path, 'int' AS native_type, CAST(n_docs AS BIGINT) AS n, FALSE AS nullable FROM t
