@@ -11,14 +11,33 @@ def col_of(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Fixed patterns: text shapes that parse as integers / floating point numbers.
+INT_TEXT_RE = r"^\s*[+-]?\d{1,18}\s*$"
+NUM_TEXT_RE = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
+def text_to_long(c) -> Column:
+    """String -> long, null when not an integer. The shape is tested with a
+    regex first: a failing try_cast costs an exception per row."""
+    x = col_of(c)
+    return F.when(x.rlike(INT_TEXT_RE), F.trim(x).cast("long"))
+
+
+def text_to_double(c) -> Column:
+    """String -> double, null when not a plain decimal number."""
+    x = col_of(c)
+    return F.when(x.rlike(NUM_TEXT_RE), F.trim(x).cast("double"))
+
+
 def safe_double(c) -> Column:
-    """Cast to double; NaN and +-Inf become null (a stat must be a finite float)."""
-    x = col_of(c).try_cast("double")
+    """Numeric value -> double; NaN and +-Inf become null (a stat must be a
+    finite float). Strings go through ``text_to_double``."""
+    x = col_of(c).cast("double")
     return F.when(F.isnan(x) | (F.abs(x) == float("inf")), F.lit(None).cast("double")).otherwise(x)
 
 
 def safe_long(c) -> Column:
-    x = col_of(c).try_cast("double")
+    x = col_of(c).cast("double")
     return F.when(F.isnan(x) | (F.abs(x) == float("inf")), F.lit(None).cast("long")).otherwise(x.cast("long"))
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakelens.functions.globs import glob_to_regex
-from lakelens.functions.scalars import col_of
+from lakelens.functions.scalars import INT_TEXT_RE, NUM_TEXT_RE, col_of, text_to_long
 
 LABEL_RE = re.compile(r"{\s*(\w+)\s*}")
 PARTITION_RE = re.compile(r"({\s*partition_key\[(\d+)\]\s*}=)?({\s*partition\[(\d+)\]\s*})")
@@ -104,11 +104,22 @@ def table_name_and_path(t: PathTemplate, path) -> Column:
     gi = t.group_index()
     if "table" not in gi:
         return F.struct(F.element_at(F.split(p, "/"), -1).alias("table_name"), p.alias("table_path"))
-    matched = p.rlike(rx)
-    table = F.regexp_extract(p, rx, gi["table"])
     depth = t.uri[: t.uri.find("{table}")].count("/")
-    prefix = F.array_join(F.slice(F.split(p, "/"), 1, depth), "/")
-    name = F.concat_ws("/", *[F.regexp_extract(p, rx, gi[lb]) for lb in t.labels if lb in gi])
+    uri_parts = t.uri.split("/")
+    label_pos = {lb: i for i, part in enumerate(uri_parts) for lb in [LABEL_RE.fullmatch(part.strip())] if lb}
+    if all(lb in {m.group(1) for m in label_pos} for lb in t.labels):
+        # Every label fills a whole path segment: read it by position (plain
+        # string functions) instead of running the template regex per label.
+        pos = {m.group(1): i for m, i in label_pos.items()}
+        matched = (F.length(p) - F.length(F.replace(p, F.lit("/"), F.lit("")))) >= len(uri_parts) - 1
+        table = path_segment(p, pos["table"])
+        name = F.concat_ws("/", *[path_segment(p, pos[lb]) for lb in t.labels])
+        prefix = F.substring_index(p, "/", depth)
+    else:
+        matched = p.rlike(rx)
+        table = F.regexp_extract(p, rx, gi["table"])
+        prefix = F.array_join(F.slice(F.split(p, "/"), 1, depth), "/")
+        name = F.concat_ws("/", *[F.regexp_extract(p, rx, gi[lb]) for lb in t.labels if lb in gi])
     return F.when(matched, F.struct(name.alias("table_name"), F.concat(prefix, F.lit("/"), table).alias("table_path"))) \
         .otherwise(F.struct(F.element_at(F.split(p, "/"), -1).alias("table_name"), p.alias("table_path")))
 
@@ -116,14 +127,20 @@ def table_name_and_path(t: PathTemplate, path) -> Column:
 def inferred_type(raw) -> Column:
     """Partition value type: int64, double, datetime or string (first that parses)."""
     v = col_of(raw)
-    return (F.when(v.try_cast("long").isNotNull() & v.rlike(r"^\s*[+-]?\d+\s*$"), F.lit("int64"))
-            .when(v.try_cast("double").isNotNull(), F.lit("double"))
+    return (F.when(v.rlike(INT_TEXT_RE), F.lit("int64"))
+            .when(v.rlike(NUM_TEXT_RE), F.lit("double"))
             .when(v.rlike(r"^\d{4}[-/]\d{1,2}[-/]\d{1,2}") & F.coalesce(
                 F.try_to_timestamp(v, F.lit("yyyy-MM-dd")), F.try_to_timestamp(v, F.lit("yyyy-MM-dd HH:mm:ss")),
                 F.try_to_timestamp(v, F.lit("yyyy/MM/dd"))).isNotNull(), F.lit("datetime"))
             .otherwise(F.lit("string")))
 
 
+def path_segment(path: Column, i: int) -> Column:
+    """The i-th '/'-separated segment (0-based), '' when the path is shorter."""
+    return F.when(F.length(path) - F.length(F.replace(path, F.lit("/"), F.lit(""))) >= i,
+                  F.substring_index(F.substring_index(path, "/", i + 1), "/", -1))
+
+
 def partitions(t: PathTemplate, path) -> Column:
     """S-7: array<struct<name, raw_value, index, inferred_type>> by position in
     the template; unnamed partitions are called 'Unnamed column N'."""
@@ -133,10 +150,11 @@ def partitions(t: PathTemplate, path) -> Column:
     for named, idx in t.partitions:
         label = ("{partition_key[%d]}={partition[%d]}" % (idx, idx)) if named else ("{partition[%d]}" % idx)
         pos = next(i for i, part in enumerate(uri_parts) if part.replace(" ", "") == label)
-        seg = F.get(F.split(p, "/"), pos)
+        seg = path_segment(p, pos)
         if named:
-            key = F.regexp_extract(seg, r"^(.*)=[^=]*$", 1)
-            val = F.regexp_extract(seg, r"=([^=]*)$", 1)
+            # key=value split at the last '=' (plain string functions, no regex)
+            val = F.substring_index(seg, "=", -1)
+            key = F.substring(seg, F.lit(1), F.length(seg) - F.length(val) - 1)
             ok = seg.contains("=")
             items.append(F.when(ok, F.struct(key.alias("name"), val.alias("raw_value"), F.lit(idx).alias("index"),
                                              inferred_type(val).alias("inferred_type"))))
@@ -149,11 +167,39 @@ def partitions(t: PathTemplate, path) -> Column:
 
 
 def classify(files: DataFrame, t: PathTemplate) -> DataFrame:
-    """Files accepted by the template with their table and partitions."""
+    """Files accepted by the template with their table and partitions.
+
+    Built as a chain of small projections (segments, then raw values, then
+    types, then the struct) so that each intermediate value is computed once;
+    one large nested expression would be duplicated by the optimizer and can
+    exceed the code-generation size limit."""
     ok = files.filter(allow_key(t, object_key("path")))
     tp = table_name_and_path(t, F.col("path"))
-    return ok.select("*", tp["table_name"].alias("table_name"), tp["table_path"].alias("table_path"),
-                     partitions(t, F.col("path")).alias("partitions"))
+    x = ok.select("*", tp["table_name"].alias("table_name"), tp["table_path"].alias("table_path"))
+    uri_parts = t.uri.split("/")
+    parts = []
+    for named, idx in t.partitions:
+        label = ("{partition_key[%d]}={partition[%d]}" % (idx, idx)) if named else ("{partition[%d]}" % idx)
+        pos = next(i for i, part in enumerate(uri_parts) if part.replace(" ", "") == label)
+        seg = f"__seg{idx}"
+        x = x.withColumn(seg, path_segment(F.col("path"), pos))
+        if named:
+            x = x.withColumn(f"__val{idx}", F.substring_index(F.col(seg), "=", -1))
+            x = x.withColumn(f"__key{idx}", F.when(F.col(seg).contains("="), F.substring(
+                F.col(seg), F.lit(1), F.length(seg) - F.length(f"__val{idx}") - 1)))
+        else:
+            x = x.withColumn(f"__val{idx}", F.col(seg)).withColumn(f"__key{idx}", F.lit(f"Unnamed column {idx}"))
+        x = x.withColumn(f"__type{idx}", inferred_type(F.col(f"__val{idx}")))
+        parts.append(F.when(F.col(f"__key{idx}").isNotNull(), F.struct(
+            F.col(f"__key{idx}").alias("name"), F.col(f"__val{idx}").alias("raw_value"), F.lit(idx).alias("index"),
+            F.col(f"__type{idx}").alias("inferred_type"))))
+    # Entry i is partition i (null when its segment is malformed). No lambda
+    # filter here: higher-order functions run interpreted, and the optimizer
+    # copies an array expression into the filters it infers for explode.
+    arr = F.array(*parts) if parts else \
+        F.array().cast("array<struct<name:string,raw_value:string,index:int,inferred_type:string>>")
+    helper = [c for c in x.columns if c.startswith("__")]
+    return x.withColumn("partitions", arr).drop(*helper)
 
 
 def merge_tables(classified: DataFrame, partitioned: bool) -> DataFrame:
@@ -182,8 +228,10 @@ def merge_tables(classified: DataFrame, partitioned: bool) -> DataFrame:
 def partition_types(classified: DataFrame) -> DataFrame:
     """A-15: per (table, partition name) the unified type: equal -> that type;
     string wins, then double; int64 vs datetime is a conflict (type null)."""
-    x = classified.select("table_path", F.explode("partitions").alias("p")).select(
-        "table_path", F.col("p.name").alias("name"), F.col("p.inferred_type").alias("t"))
+    # explode_outer: a plain explode makes the optimizer add (and push down) a
+    # size(partitions) > 0 filter, evaluating the partition expression twice.
+    x = classified.select("table_path", F.explode_outer("partitions").alias("p")).filter(F.col("p").isNotNull()) \
+        .select("table_path", F.col("p.name").alias("name"), F.col("p.inferred_type").alias("t"))
     g = x.groupBy("table_path", "name").agg(F.collect_set("t").alias("types"))
     n = F.size("types")
     resolved = (F.when(n == 1, F.col("types")[0])
@@ -211,7 +259,7 @@ def newest_partition(classified: DataFrame, levels: int) -> DataFrame:
         v = F.get(F.col("partitions"), i)["raw_value"]
         step = cur.filter(F.size("partitions") > i).groupBy("table_path").agg(
             F.bool_and(v.rlike(r"^[+-]?\d+$")).alias("__int"),
-            F.max_by(v, v.try_cast("long")).alias("__num_max"),
+            F.max_by(v, text_to_long(v)).alias("__num_max"),
             F.max(v).alias("__str_max"),
             F.first(F.get(F.col("partitions"), i)["name"]).alias("__name"),
         ).select("table_path", F.when(F.col("__int"), F.col("__num_max")).otherwise(F.col("__str_max")).alias(f"__v{i}"),

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakelens.functions import names
-from lakelens.functions.scalars import col_of, duration_text_seconds, parse_iso8601, safe_long
+from lakelens.functions.scalars import col_of, duration_text_seconds, parse_iso8601, text_to_long
 
 # ---------------------------------------------------------------- text logs
 
@@ -260,8 +260,8 @@ def audit_jobs(df: DataFrame, json_col: str = "entry") -> DataFrame:
         _clean_resource(names.resource_table_parts(F.col("raw_dest"))).alias("destination"),
         parse_iso8601(F.col("stats.startTime")).alias("start_time"),
         parse_iso8601(F.col("stats.endTime")).alias("end_time"),
-        F.when(F.col("job_type") == "QUERY", safe_long(F.col("qs.totalProcessedBytes"))).alias("input_bytes"),
-        F.when(F.col("job_type") == "QUERY", safe_long(F.col("qs.outputRowCount"))).alias("output_rows"),
+        F.when(F.col("job_type") == "QUERY", text_to_long(F.col("qs.totalProcessedBytes"))).alias("input_bytes"),
+        F.when(F.col("job_type") == "QUERY", text_to_long(F.col("qs.outputRowCount"))).alias("output_rows"),
     )
     return out.filter(F.size("sources") > 0)
 

@@ -36,11 +36,14 @@ def object_listing(spark, sf_dir):
     path = F.when(n == 4, F.concat(F.lit("s3://lake/warehouse/"), dept, F.lit("/staging/"), name)).otherwise(
         F.concat(F.lit("s3://lake/warehouse/"), dept, F.lit("/"), tbl, F.lit("/year="), F.year("l_shipdate").cast("string"),
                  F.lit("/month="), mval, F.lit("/"), name))
-    return li.select(
+    row = F.struct(
         path.alias("path"),
         F.when(F.col("l_quantity") % 10 == 0, F.lit(0)).otherwise(F.col("l_extendedprice").cast("long")).alias("length"),
         (F.col("l_shipdate") + F.make_dt_interval(F.lit(0), n)).alias("modificationTime"),
     )
+    # The listing is "landed" data: `inline` (a generator) keeps the optimizer
+    # from re-deriving `path` inside every later expression that reads it.
+    return li.select(F.inline(F.array(row)))
 
 
 LISTING_SQL = """files AS (
