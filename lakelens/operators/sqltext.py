@@ -72,9 +72,10 @@ def redact_literals(sql, placeholder: str = REDACTED, collapse_space: bool = Tru
 
 
 def first_keyword(sql) -> Column:
-    """Upper-cased first word after leading comments, spaces and parentheses."""
-    toks = F.filter(tokens(sql), lambda t: ~_is_ws_or_comment(t) & (t != "("))
-    return F.upper(F.get(toks, 0))
+    """Upper-cased first word after leading comments, spaces and parentheses
+    (null when there is none)."""
+    w = F.regexp_extract(col_of(sql), r"(?s)^(?:\s|\(|--[^\n]*(?:\n|$)|/\*.*?\*/)*([A-Za-z_]\w*)", 1)
+    return F.when(w != "", F.upper(w))
 
 
 # Statement kinds that can carry lineage.
@@ -150,74 +151,108 @@ def _strip_quotes(name: Column) -> Column:
     return F.lower(F.regexp_replace(F.regexp_replace(name, r"\s*\.\s*", "."), r'["`\[\]]', ""))
 
 
+_NAME = r'(?:"(?:[^"]|"")*"|`[^`]*`|\[[^\]]*\]|[A-Za-z_#$][\w$@#]*)(?:\s*\.\s*(?:"(?:[^"]|"")*"|`[^`]*`|\[[^\]]*\]|[A-Za-z_][\w$]*))*'
+_MODS = "|".join(CREATE_MODIFIERS)
+# Fixed patterns: statement targets, matched on text without comments and string contents.
+TARGET_PATTERNS = (
+    rf"(?is)\binsert\s+(?:into\s+|overwrite\s+)?(?:table\s+)?({_NAME})",
+    rf"(?is)^\s*update\s+({_NAME})",
+    rf"(?is)^\s*merge\s+into\s+({_NAME})",
+    rf"(?is)^\s*create\s+(?:(?:{_MODS})\s+)*(?:table|view)\s+(?:if\s+not\s+exists\s+)?({_NAME})",
+    rf"(?is)^\s*copy\s+into\s+({_NAME})",
+    rf"(?is)^\s*(?:with\b.*?\)\s*)?select\b[^;]*?\binto\s+({_NAME})\s+from\b",
+)
+
+
+def strip_comments_and_strings(sql) -> Column:
+    """Comments removed and string literals emptied (a keyword inside a
+    string or comment must not count)."""
+    x = F.regexp_replace(col_of(sql), r"(?s)/\*.*?\*/|--[^\n]*", " ")
+    return F.regexp_replace(x, r"'(?:[^']|'')*'", "''")
+
+
+def _targets_from_clean(clean: Column) -> Column:
+    found = []
+    for i, p in enumerate(TARGET_PATTERNS):
+        name = F.regexp_extract(clean, p, 1)
+        if i == len(TARGET_PATTERNS) - 1:
+            # SELECT ... INTO backtracks on long texts: only try it when INTO occurs.
+            name = F.when(clean.rlike(r"(?i)\binto\b"), name).otherwise(F.lit(""))
+        found.append(F.when(name != "", F.struct(name.alias("name"), F.lit(i == 1).alias("is_update"))))
+    # Null entries are kept (array_compact is a lambda underneath and would
+    # make this projection interpreted); consumers skip them.
+    return F.array(*found)
+
+
+def statement_targets(sql) -> Column:
+    """Target names of a statement: array of (name, is_update)."""
+    return _targets_from_clean(strip_comments_and_strings(sql))
+
+
 def table_lineage(df: DataFrame, qid: str, sql: str) -> DataFrame:
     """Q-5: (qid, role, table) rows, role 'source' or 'target', names lower-cased
     and unquoted. Sources: tables after FROM / JOIN, comma joins in a FROM
     clause, MERGE ... USING, CREATE ... LIKE / CLONE, the UPDATE target; CTE
     names (bare-name compare) and FROM inside function calls do not count.
     Targets: INSERT [INTO|OVERWRITE] [TABLE], UPDATE, MERGE INTO, CREATE [...]
-    TABLE|VIEW [IF NOT EXISTS], COPY INTO (not stages), SELECT ... INTO."""
-    t = df.select(F.col(qid).alias("qid"), F.posexplode(tokens(F.col(sql))).alias("pos", "tok"))
-    t = t.filter(~_is_ws_or_comment(F.col("tok")))
+    TABLE|VIEW [IF NOT EXISTS], COPY INTO (not stages), SELECT ... INTO.
+
+    Targets come from anchored regexes per statement (computed once, carried
+    with the tokens). Sources need token context: windows over (query,
+    position) for lag / lead and the running parenthesis depth, two "last
+    value at this depth" lookups, and the query's CTE names; every window is
+    partitioned by the query id, so the whole job has one shuffle and a
+    single pass over the tokens."""
+    base = df.select(F.col(qid).alias("qid"), F.col(sql).alias("__sql"))
+    base = base.withColumn("__clean", strip_comments_and_strings(F.col("__sql")))
+    base = base.select("qid", "__sql",
+                       F.upper(F.regexp_extract(F.col("__clean"), r"^[\s(]*([A-Za-z]+)", 1)).alias("kind"),
+                       _targets_from_clean(F.col("__clean")).alias("__targets"))
+    t = base.select("qid", "kind", "__targets", F.posexplode(tokens(F.col("__sql"))).alias("pos", "tok"))
+    t = t.filter(~_is_ws_or_comment(F.col("tok"))).withColumn("u", F.upper("tok"))
     w = Window.partitionBy("qid").orderBy("pos")
-    u = F.upper(F.col("tok"))
-    t = t.withColumn("u", u).withColumn("i", F.row_number().over(w))
     opens = F.when(F.col("tok") == "(", 1).otherwise(0)
     closes = F.when(F.col("tok") == ")", 1).otherwise(0)
-    t = t.withColumn("d_after", F.sum(opens - closes).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    t = t.select("*",
+                 F.sum(opens - closes).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("d_after"),
+                 F.lag("u", 1).over(w).alias("p1"), F.lag("u", 2).over(w).alias("p2"),
+                 F.lead("u", 1).over(w).alias("n1"), F.lead("u", 2).over(w).alias("n2"))
     t = t.withColumn("depth", F.when(F.col("tok") == "(", F.col("d_after") - 1).otherwise(F.col("d_after")))
-    wi = Window.partitionBy("qid").orderBy("i")
-    for k in (1, 2, 3):
-        t = t.withColumn(f"p{k}", F.lag("u", k).over(wi))
-    for k in range(1, 9):
-        t = t.withColumn(f"n{k}", F.lead("u", k).over(wi)).withColumn(f"r{k}", F.lead("tok", k).over(wi))
-    t = t.withColumn("first_u", F.first("u").over(wi.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    # Clause context: last clause keyword at the same depth (a '(' belongs to the outer depth).
     is_clause = F.col("u").isin(*CLAUSE_KEYWORDS)
     t = t.withColumn("ctx", F.last(F.when(is_clause, F.col("u")), ignorenulls=True).over(
-        Window.partitionBy("qid", "depth").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)))
-    # The token before the '(' that opened the enclosing group.
-    grp = F.when(F.col("tok") == "(", F.col("d_after")).otherwise(F.col("depth"))
-    t = t.withColumn("grp", grp).withColumn("opener", F.last(F.when(F.col("tok") == "(", F.coalesce(F.col("p1"), F.lit("^"))),
-                                                             ignorenulls=True).over(
-        Window.partitionBy("qid", "grp").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)))
+        Window.partitionBy("qid", "depth").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)))
+    t = t.withColumn("grp", F.when(F.col("tok") == "(", F.col("d_after")).otherwise(F.col("depth")))
+    t = t.withColumn("opener", F.last(F.when(F.col("tok") == "(", F.coalesce(F.col("p1"), F.lit("^"))), ignorenulls=True)
+                     .over(Window.partitionBy("qid", "grp").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)))
     ident = F.col("tok").rlike(r'^(["`\[A-Za-z_@#$])') & ~F.col("u").isin(*KEYWORDS)
-    opener_is_call = (F.col("depth") > 0) & F.col("opener").rlike(r'^["`\[A-Za-z_]') & ~F.col("opener").isin(*KEYWORDS)
-    t = t.withColumn("ident", ident).withColumn("in_call", F.coalesce(opener_is_call, F.lit(False)))
+    in_call = (F.col("depth") > 0) & F.col("opener").rlike(r'^["`\[A-Za-z_]') & ~F.col("opener").isin(*KEYWORDS)
     join_kw = F.col("p1").isin("FROM", "JOIN")
     paren_table = (F.col("p1") == "(") & F.col("p2").isin("FROM", "JOIN")
     comma_join = (F.col("p1") == ",") & (F.col("ctx") == "FROM")
-    using = (F.col("p1") == "USING") & (F.col("first_u") == "MERGE")
-    like = F.col("p1").isin("LIKE", "CLONE") & (F.col("first_u") == "CREATE")
-    src = ident & ~F.col("in_call") & (F.coalesce(F.col("n1"), F.lit("")) != "(") & (join_kw | paren_table | comma_join | using | like)
-    # Targets: first identifier after the statement keyword, skipping modifiers.
-    def first_after(skip: tuple) -> Column:
-        nxt = F.array(*[F.struct(F.col(f"n{k}").alias("u"), F.col(f"r{k}").alias("r")) for k in range(1, 9)])
-        cand = F.filter(nxt, lambda s: ~s["u"].isin(*skip))
-        return F.get(cand, 0)
-    ins = first_after(("INTO", "OVERWRITE", "TABLE"))
-    create = first_after(CREATE_MODIFIERS + ("TABLE", "VIEW", "IF", "NOT", "EXISTS"))
-    create_kind = F.filter(F.array(*[F.col(f"n{k}") for k in range(1, 9)]), lambda x: ~x.isin(*CREATE_MODIFIERS))
-    is_tv = F.get(create_kind, 0).isin("TABLE", "VIEW")
-    tgt = (F.when((F.col("u") == "INSERT") & (F.col("depth") == 0), ins)
-           .when((F.col("u") == "UPDATE") & (F.col("i") == 1), first_after(()))
-           .when((F.col("u") == "MERGE") & (F.col("i") == 1), first_after(("INTO",)))
-           .when((F.col("u") == "CREATE") & (F.col("i") == 1) & is_tv, create)
-           .when((F.col("u") == "COPY") & (F.col("i") == 1) & (F.col("n1") == "INTO"), first_after(("INTO",)))
-           .when((F.col("u") == "INTO") & (F.col("ctx") == "SELECT") & (F.col("first_u").isin("SELECT", "WITH")),
-                 first_after(())))
-    t = t.withColumn("tgt", tgt)
+    using = (F.col("p1") == "USING") & (F.col("kind") == "MERGE")
+    like = F.col("p1").isin("LIKE", "CLONE") & (F.col("kind") == "CREATE")
+    src = ident & ~F.coalesce(in_call, F.lit(False)) & (F.coalesce(F.col("n1"), F.lit("")) != "(") \
+        & (join_kw | paren_table | comma_join | using | like)
     cte = ident & (F.col("n1") == "AS") & (F.col("n2") == "(") & F.col("p1").isin("WITH", ",", "RECURSIVE")
-    sources = t.filter(src).select("qid", F.lit("source").alias("role"), _strip_quotes(F.col("tok")).alias("table"))
-    update_src = t.filter((F.col("u") == "UPDATE") & (F.col("i") == 1) & F.col("tgt").isNotNull()) \
-        .select("qid", F.lit("source").alias("role"), _strip_quotes(F.col("tgt.r")).alias("table"))
-    targets = t.filter(F.col("tgt").isNotNull() & F.col("tgt.r").rlike(r'^["`\[A-Za-z_#$]')
-                       & ~F.col("tgt.u").isin(*KEYWORDS)) \
-        .select("qid", F.lit("target").alias("role"), _strip_quotes(F.col("tgt.r")).alias("table"))
-    ctes = t.filter(cte).select("qid", F.lower(F.regexp_replace("tok", r'["`\[\]]', "")).alias("cte"))
-    srcs = sources.unionByName(update_src)
-    srcs = srcs.withColumn("cte", F.element_at(F.split("table", r"\."), -1)).join(ctes, ["qid", "cte"], "left_anti").drop("cte")
-    return srcs.unionByName(targets).distinct()
+    cte_name = F.when(cte, F.lower(F.regexp_replace("tok", r'["`\[\]]', "")))
+    t = t.withColumn("__ctes", F.collect_set(cte_name).over(Window.partitionBy("qid")))
+    # One row per statement start carries its targets (first token only).
+    t = t.withColumn("__first", F.col("p1").isNull())
+    t = t.filter(src | F.col("__first")).select(
+        "qid", "__ctes", "__first", "__targets", F.when(src, _strip_quotes(F.col("tok"))).alias("__src"))
+    # Every output row comes out of this one projection (a union of branches
+    # would re-run the windows once per branch).
+    item = "struct<role:string,table:string>"
+    src_ok = F.col("__src").isNotNull() & ~F.array_contains("__ctes", F.element_at(F.split("__src", r"\."), -1))
+    src_items = F.when(src_ok, F.array(F.struct(F.lit("source").alias("role"), F.col("__src").alias("table"))))
+    valid = F.filter("__targets", lambda x: x.isNotNull() & ~x["name"].startswith("@") & ~F.upper(x["name"]).isin(*KEYWORDS))
+    tgt_items = F.when(F.col("__first"), F.transform(valid, lambda x: F.struct(
+        F.lit("target").alias("role"), _strip_quotes(x["name"]).alias("table"))))
+    upd_items = F.when(F.col("__first"), F.transform(F.filter(valid, lambda x: x["is_update"]), lambda x: F.struct(
+        F.lit("source").alias("role"), _strip_quotes(x["name"]).alias("table"))))
+    empty = F.array().cast(f"array<{item}>")
+    items = F.concat(F.coalesce(src_items, empty), F.coalesce(tgt_items, empty), F.coalesce(upd_items, empty))
+    return t.select("qid", F.inline(items)).distinct()
 
 
 def fill_defaults(table, default_db, default_schema) -> Column:
