@@ -1,5 +1,6 @@
-"""Governance, data-quality and BI/ETL mappings (M-2 .. M-8, M-10, J-10 .. J-19,
-R-5, R-13 .. R-17, G-7, T-6, S-16, S-17, N-8, P-15, A-17, A-20).
+"""Governance, data-quality and BI/ETL mappings (M-2, M-3, M-4, M-6, M-7, M-8,
+M-10, J-10, J-11, J-13, J-15, J-16, J-17, R-5, R-7, R-10, R-17, G-7, S-16,
+S-17, N-8, N-9, P-15, A-17, A-20).
 
 Each is a relational mapping over landed tables: joins on ids, ``max_by`` for
 "latest wins", ``coalesce`` for precedence, lookup maps for enums, and
