@@ -165,3 +165,79 @@ def fully_qualified(table) -> Column:
 def only_types(c, types: Sequence[str]) -> Column:
     """P-13: profile only the chosen materialisations."""
     return F.upper(col_of(c)).isin(*[t.upper() for t in types])
+
+
+def dashboard_charts(dashboards: DataFrame, cards: DataFrame) -> DataFrame:
+    """R-6: BI dashboards with their charts (cards joined by id, nested per
+    dashboard, ordered by position; one dashboard's own list)."""
+    d = dashboards.select("dashboard_id", "title", F.posexplode("card_ids").alias("position", "card_id"))
+    x = d.join(cards, "card_id")
+    return x.groupBy("dashboard_id", "title").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("position", "card_id", "chart_type"))),
+                    lambda c: c.dropFields("position")).alias("charts"))
+
+
+def semantic_tables(models: DataFrame) -> DataFrame:
+    """R-11: semantic-model tables -> (table, columns, measures) with names and
+    expressions flattened from nested arrays (one table's own lists)."""
+    t = models.select("model_id", F.explode("tables").alias("t"))
+    return t.select("model_id", F.col("t.name").alias("table_name"),
+                    F.transform("t.columns", lambda c: c["name"]).alias("columns"),
+                    F.transform("t.measures", lambda m: F.concat(m["name"], F.lit("="), m["expression"])).alias("measures"))
+
+
+def refresh_schedule(models: DataFrame, model_schedules: DataFrame, dq_schedules: DataFrame) -> DataFrame:
+    """R-13: the model's own refresh schedule, else the direct-query schedule
+    (with its frequency)."""
+    m = model_schedules.select("model_id", F.struct("days", "times").alias("__ms"))
+    d = dq_schedules.select("model_id", F.struct(F.lit(None).cast("array<string>").alias("days"),
+                                                 F.array(F.concat(F.lit("every "), F.col("frequency_minutes").cast("string"),
+                                                                  F.lit("m"))).alias("times")).alias("__dq"))
+    x = models.join(m, "model_id", "left").join(d, "model_id", "left")
+    return x.select("model_id", F.coalesce("__ms", "__dq").alias("schedule"))
+
+
+def first_family(params: DataFrame, families: list[tuple[str, str, str]]) -> DataFrame:
+    """R-14: data-source parameters -> (platform, database, account) from the
+    first parameter family that is set, in the given order."""
+    cols = [F.when(F.col(f).isNotNull(), F.struct(F.lit(platform).alias("platform"), F.col(f"{f}.{db}").alias("database"),
+                                                  F.col(f"{f}.host").alias("account")))
+            for f, platform, db in families]
+    return params.select("source_id", F.coalesce(*cols).alias("source"))
+
+
+def storage_path(kind, account, container, folder, file) -> Column:
+    """R-15: storage location -> path by location kind (null parts skipped)."""
+    k = col_of(kind)
+    return (F.when(k == "AzureBlobStorageLocation", F.concat_ws("/", F.concat(F.lit("https://"), col_of(account), F.lit(".blob.core.windows.net")),
+                                                                 col_of(container), col_of(folder), col_of(file)))
+            .when(k == "AzureBlobFSLocation", F.concat_ws("/", F.concat(F.lit("abfss://"), col_of(container), F.lit("@"), col_of(account),
+                                                                         F.lit(".dfs.core.windows.net")), col_of(folder), col_of(file)))
+            .otherwise(F.concat_ws("/", col_of(folder), col_of(file))))
+
+
+def extra_items(**values) -> Column:
+    """R-16: table extras as (key, value) items, null values left out."""
+    items = F.array(*[F.struct(F.lit(k).alias("key"), col_of(v).cast("string").alias("value")) for k, v in values.items()])
+    return F.filter(items, lambda i: i["value"].isNotNull())
+
+
+def suite_monitors(results: DataFrame) -> DataFrame:
+    """M-5: validation-suite results -> one monitor per suite: status from all
+    expectations, targeted columns, and the failed expectations as exceptions."""
+    r = results.select("suite", "dataset", F.explode("results").alias("r"))
+    return r.groupBy("suite", "dataset").agg(
+        F.when(F.bool_and("r.success"), F.lit("PASSED")).otherwise(F.lit("ERROR")).alias("status"),
+        F.array_sort(F.array_distinct(F.collect_list("r.column"))).alias("columns"),
+        F.array_sort(F.collect_list(F.when(~F.col("r.success"), F.col("r.expectation")))).alias("exceptions"))
+
+
+# Stream object types.
+STREAM_TYPES = {"delta": "APPEND_ONLY", "append_only": "APPEND_ONLY", "insert_only": "INSERT_ONLY", "standard": "STANDARD"}
+
+
+def stream_catalog(streams: DataFrame) -> DataFrame:
+    """T-6: stream objects as catalog rows (type, staleness, lineage to the base table)."""
+    m = F.create_map(*[x for k, v in STREAM_TYPES.items() for x in (F.lit(k), F.lit(v))])
+    return streams.select("stream_name", F.coalesce(m[F.lower("mode")], F.lit("STANDARD")).alias("stream_type"),
+                          (F.upper("stale") == "TRUE").alias("is_stale"), F.lower("base_table").alias("source_table"))

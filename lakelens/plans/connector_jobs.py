@@ -302,3 +302,128 @@ def volume_files(spark, sf_dir):
     f = lake.listing(spark, sf_dir)
     return f.groupBy(F.regexp_replace("path", r"/[^/]*$", "").alias("folder")).agg(
         F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("total_bytes"), F.max("modificationTime").alias("last_modified"))
+
+
+@register("dashboard_charts", """WITH d AS (SELECT 'dash' || CAST(s_suppkey % 20 AS VARCHAR) AS dashboard_id, 'Board ' || CAST(s_suppkey % 20 AS VARCHAR) AS title,
+    s_suppkey AS card_id, s_suppkey AS position FROM supplier),
+c AS (SELECT s_suppkey AS card_id, CASE s_suppkey % 3 WHEN 0 THEN 'bar' WHEN 1 THEN 'line' ELSE 'table' END AS chart_type FROM supplier WHERE s_suppkey % 7 <> 0)
+SELECT dashboard_id, title, string_agg(CAST(d.card_id AS VARCHAR) || ':' || chart_type, ';' ORDER BY position) AS charts
+FROM d JOIN c USING (card_id) GROUP BY dashboard_id, title""")
+def dashboard_charts(spark, sf_dir):
+    """R-6: dashboards with their charts."""
+    s = read_table(spark, sf_dir, "supplier")
+    dash = s.groupBy((F.col("s_suppkey") % 20).alias("k")).agg(F.array_sort(F.collect_list("s_suppkey")).alias("card_ids")) \
+        .select(F.concat(F.lit("dash"), F.col("k").cast("string")).alias("dashboard_id"),
+                F.concat(F.lit("Board "), F.col("k").cast("string")).alias("title"), "card_ids")
+    cards = s.filter(F.col("s_suppkey") % 7 != 0).select(
+        F.col("s_suppkey").alias("card_id"),
+        F.when(F.col("s_suppkey") % 3 == 0, "bar").when(F.col("s_suppkey") % 3 == 1, "line").otherwise("table").alias("chart_type"))
+    out = mappings.dashboard_charts(dash, cards)
+    return out.select("dashboard_id", "title", F.array_join(F.transform(
+        "charts", lambda c: F.concat(c["card_id"].cast("string"), F.lit(":"), c["chart_type"])), ";").alias("charts"))
+
+
+@register("semantic_tables", """SELECT 'm' || CAST(n_regionkey AS VARCHAR) AS model_id, lower(n_name) AS table_name,
+  'id,name' AS columns, 'total=SUM(' || lower(n_name) || '.amount)' AS measures FROM nation""")
+def semantic_tables(spark, sf_dir):
+    """R-11: semantic-model tables with their columns and measures."""
+    n = read_table(spark, sf_dir, "nation")
+    t = F.struct(F.lower("n_name").alias("name"),
+                 F.array(F.struct(F.lit("id").alias("name")), F.struct(F.lit("name").alias("name"))).alias("columns"),
+                 F.array(F.struct(F.lit("total").alias("name"),
+                                  F.concat(F.lit("SUM("), F.lower("n_name"), F.lit(".amount)")).alias("expression"))).alias("measures"))
+    models = n.groupBy(F.concat(F.lit("m"), F.col("n_regionkey").cast("string")).alias("model_id")).agg(F.collect_list(t).alias("tables"))
+    out = mappings.semantic_tables(models)
+    return out.select("model_id", "table_name", F.array_join("columns", ",").alias("columns"),
+                      F.array_join("measures", ",").alias("measures"))
+
+
+@register("refresh_schedule", """SELECT 'ds' || CAST(c_custkey AS VARCHAR) AS model_id,
+  CASE WHEN c_custkey % 3 = 0 THEN 'Mon|Thu' END AS days,
+  CASE WHEN c_custkey % 3 = 0 THEN '07:00' WHEN c_custkey % 3 = 1 THEN 'every ' || CAST(15 * (c_custkey % 4 + 1) AS VARCHAR) || 'm' END AS times
+FROM customer""")
+def refresh_schedule(spark, sf_dir):
+    """R-13: model refresh schedule, else the direct-query schedule."""
+    c = read_table(spark, sf_dir, "customer")
+    models = c.select(F.concat(F.lit("ds"), F.col("c_custkey").cast("string")).alias("model_id"), "c_custkey")
+    ms = models.filter(F.col("c_custkey") % 3 == 0).select("model_id", F.array(F.lit("Mon"), F.lit("Thu")).alias("days"),
+                                                           F.array(F.lit("07:00")).alias("times"))
+    dq = models.filter(F.col("c_custkey") % 3 == 1).select("model_id", (F.lit(15) * (F.col("c_custkey") % 4 + 1)).alias("frequency_minutes"))
+    out = mappings.refresh_schedule(models.select("model_id"), ms, dq)
+    return out.select("model_id", F.array_join("schedule.days", "|").alias("days"), F.array_join("schedule.times", "|").alias("times"))
+
+
+@register("source_params", """SELECT s_suppkey AS source_id,
+  CASE WHEN s_suppkey % 3 = 0 THEN 'SNOWFLAKE' WHEN s_suppkey % 3 = 1 THEN 'POSTGRESQL' END AS platform,
+  CASE WHEN s_suppkey % 3 = 0 THEN 'wh' || CAST(s_nationkey AS VARCHAR) WHEN s_suppkey % 3 = 1 THEN 'pg' || CAST(s_nationkey AS VARCHAR) END AS database,
+  CASE WHEN s_suppkey % 3 = 0 THEN 'acct' || CAST(s_suppkey AS VARCHAR) WHEN s_suppkey % 3 = 1 THEN 'host' || CAST(s_suppkey AS VARCHAR) END AS account
+FROM supplier""")
+def source_params(spark, sf_dir):
+    """R-14: data-source parameters -> first family that is set."""
+    s = read_table(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey") % 3
+    p = s.select(F.col("s_suppkey").alias("source_id"),
+                 F.when(k == 0, F.struct(F.concat(F.lit("wh"), F.col("s_nationkey").cast("string")).alias("warehouse"),
+                                         F.concat(F.lit("acct"), F.col("s_suppkey").cast("string")).alias("host"))).alias("snowflake"),
+                 F.when(k != 2, F.struct(F.concat(F.lit("pg"), F.col("s_nationkey").cast("string")).alias("database"),
+                                         F.concat(F.lit("host"), F.col("s_suppkey").cast("string")).alias("host"))).alias("postgres"))
+    out = mappings.first_family(p, [("snowflake", "SNOWFLAKE", "warehouse"), ("postgres", "POSTGRESQL", "database")])
+    return out.select("source_id", "source.platform", "source.database", "source.account")
+
+
+@register("storage_paths", """SELECT p_partkey,
+  CASE p_partkey % 3 WHEN 0 THEN concat_ws('/', 'https://acct' || CAST(p_partkey % 5 AS VARCHAR) || '.blob.core.windows.net', 'c' || CAST(p_size AS VARCHAR),
+                                          CASE WHEN p_partkey % 2 = 0 THEN 'raw' END, lower(p_brand) || '.csv')
+       WHEN 1 THEN concat_ws('/', 'abfss://c' || CAST(p_size AS VARCHAR) || '@acct' || CAST(p_partkey % 5 AS VARCHAR) || '.dfs.core.windows.net',
+                             CASE WHEN p_partkey % 2 = 0 THEN 'raw' END, lower(p_brand) || '.csv')
+       ELSE concat_ws('/', CASE WHEN p_partkey % 2 = 0 THEN 'raw' END, lower(p_brand) || '.csv') END AS path,
+  concat_ws(',', 'type=' || p_type, CASE WHEN p_partkey % 4 = 0 THEN 'format=csv' END) AS extras
+FROM part""")
+def storage_paths(spark, sf_dir):
+    """R-15 + R-16: storage locations -> paths by kind; table extras without null values."""
+    p = read_table(spark, sf_dir, "part")
+    k = p.p_partkey % 3
+    kind = F.when(k == 0, "AzureBlobStorageLocation").when(k == 1, "AzureBlobFSLocation").otherwise("Local")
+    path = mappings.storage_path(kind, F.concat(F.lit("acct"), (F.col("p_partkey") % 5).cast("string")),
+                                 F.concat(F.lit("c"), F.col("p_size").cast("string")),
+                                 F.when(F.col("p_partkey") % 2 == 0, F.lit("raw")), F.concat(F.lower("p_brand"), F.lit(".csv")))
+    extras = mappings.extra_items(type=F.col("p_type"), format=F.when(F.col("p_partkey") % 4 == 0, F.lit("csv")))
+    return p.select("p_partkey", path.alias("path"),
+                    F.array_join(F.transform(extras, lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",").alias("extras"))
+
+
+@register("suite_monitors", """SELECT 'suite_' || CAST(o_orderkey AS VARCHAR) AS suite, 'ds' || CAST(o_custkey % 10 AS VARCHAR) AS dataset,
+  CASE WHEN bool_and(l_quantity < 45) THEN 'PASSED' ELSE 'ERROR' END AS status,
+  string_agg(DISTINCT 'c' || CAST(l_linenumber % 3 AS VARCHAR), ',' ORDER BY 'c' || CAST(l_linenumber % 3 AS VARCHAR)) AS columns,
+  coalesce(string_agg(CASE WHEN l_quantity >= 45 THEN 'max_q_' || CAST(l_linenumber AS VARCHAR) END, ',' ORDER BY CASE WHEN l_quantity >= 45 THEN 'max_q_' || CAST(l_linenumber AS VARCHAR) END), '') AS exceptions
+FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1, 2""")
+def suite_monitors(spark, sf_dir):
+    """M-5: validation-suite results -> one monitor per suite."""
+    o = read_table(spark, sf_dir, "orders")
+    li = _li(spark, sf_dir)
+    r = li.select("l_orderkey", F.struct(F.concat(F.lit("c"), (F.col("l_linenumber") % 3).cast("string")).alias("column"),
+                                        (F.col("l_quantity") < 45).alias("success"),
+                                        F.concat(F.lit("max_q_"), F.col("l_linenumber").cast("string")).alias("expectation")).alias("r"))
+    per = r.groupBy("l_orderkey").agg(F.collect_list("r").alias("results"))
+    res = o.join(per, o.o_orderkey == per.l_orderkey).select(
+        F.concat(F.lit("suite_"), F.col("o_orderkey").cast("string")).alias("suite"),
+        F.concat(F.lit("ds"), (F.col("o_custkey") % 10).cast("string")).alias("dataset"), "results")
+    out = mappings.suite_monitors(res)
+    return out.select("suite", "dataset", "status", F.array_join("columns", ",").alias("columns"),
+                      F.array_join("exceptions", ",").alias("exceptions"))
+
+
+@register("stream_catalog", """SELECT 'stream_' || CAST(s_suppkey AS VARCHAR) AS stream_name,
+  CASE s_suppkey % 4 WHEN 0 THEN 'APPEND_ONLY' WHEN 1 THEN 'INSERT_ONLY' ELSE 'STANDARD' END AS stream_type,
+  s_suppkey % 5 = 0 AS is_stale, lower('DB.' || r.r_name || '.' || s.s_name) AS source_table
+FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey""")
+def stream_catalog(spark, sf_dir):
+    """T-6: stream objects as catalog rows."""
+    from lakelens.plans.naming import supplier_catalog
+    c = supplier_catalog(spark, sf_dir)
+    k = F.col("s_suppkey") % 4
+    streams = c.select(F.concat(F.lit("stream_"), F.col("s_suppkey").cast("string")).alias("stream_name"),
+                       F.when(k == 0, "DELTA").when(k == 1, "INSERT_ONLY").when(k == 2, "default").otherwise(None).alias("mode"),
+                       F.when(F.col("s_suppkey") % 5 == 0, "true").otherwise("false").alias("stale"),
+                       F.concat_ws(".", F.lit("DB"), "db", "tbl").alias("base_table"))
+    return mappings.stream_catalog(streams)
