@@ -24,11 +24,23 @@ _MODULES = (
 )
 
 
+def _with_session_defaults(fn: Job) -> Job:
+    """Jobs treat timestamps as UTC wall-clock time (day windows, epoch
+    arithmetic), so the session time zone is pinned to UTC before planning."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        if spark.conf.get("spark.sql.session.timeZone", "UTC") != "UTC":
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return fn(spark, sf_dir)
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def register(name: str, oracle: str | None = None):
     def deco(fn: Job) -> Job:
         if name in QUERIES:
             raise ValueError(f"duplicate job {name}")
-        QUERIES[name] = fn
+        QUERIES[name] = _with_session_defaults(fn)
         if oracle is not None:
             ORACLES[name] = oracle
         return fn

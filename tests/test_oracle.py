@@ -23,3 +23,13 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert "field_path" in df.columns
+
+
+def test_jobs_pin_utc(spark, con, small_dir):
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        status, msg, _ = compare(spark, con, "stream_usage_closed_days", entry.queries()["stream_usage_closed_days"],
+                                 entry.oracle_sql()["stream_usage_closed_days"], small_dir)
+        assert status == "OK", msg
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
