@@ -1,4 +1,4 @@
-"""Graph walks over edge DataFrames (G-1, G-3, G-4, G-13, D-5).
+"""Graph walks over edge DataFrames (G-1, G-2, G-3, G-4, G-13, D-5).
 
 Walks are frontier loops: each round joins only the rows discovered in the
 previous round with the (pre-partitioned, checkpointed) edge table, so the total
@@ -82,3 +82,23 @@ def descendant_counts(rows: DataFrame) -> DataFrame:
     the closure rows of ``ancestor_rows`` (self excluded)."""
     return rows.filter((F.col("dist") > 0) & ~F.col("broken")).groupBy(F.col("anc").alias("node")) \
         .agg(F.count(F.lit(1)).alias("descendants"))
+
+
+def resolve_to_roots(edges: DataFrame, is_root, dst: str = "dst", src: str = "src", max_depth: int = MAX_DEPTH) -> DataFrame:
+    """G-2: (dst, root) pairs: every node's sources followed through
+    intermediate nodes until a root (``is_root(Column) -> Column``) is reached.
+    Columns of logical tables built from other logical tables (joins, renames,
+    created columns) resolve to physical columns this way, one level per round;
+    each round joins only the unresolved frontier with the edge table."""
+    e = cut_lineage(edges.select(F.col(dst).alias("__dst"), F.col(src).alias("__src")).distinct().repartition("__dst"))
+    frontier = e.select(F.col("__dst").alias("node"), F.col("__src").alias("via"))
+    done = None
+    for _ in range(max_depth):
+        rooted = frontier.filter(is_root(F.col("via")))
+        done = rooted if done is None else done.unionByName(rooted)
+        pending = frontier.filter(~is_root(F.col("via")))
+        frontier = cut_lineage(pending.join(e, pending.via == e.__dst).select("node", F.col("__src").alias("via")).distinct())
+        if frontier.isEmpty():
+            break
+        done = cut_lineage(done.distinct())
+    return done.select(F.col("node").alias(dst), F.col("via").alias("root")).distinct()

@@ -1,4 +1,4 @@
-"""Lineage and graph jobs (A-9, A-10, A-16, U-6, J-9, G-1, G-3, G-4, G-5, G-6, G-13, J-24)."""
+"""Lineage and graph jobs (A-9, A-10, A-16, U-6, J-9, G-1, G-2, G-3, G-4, G-5, G-6, G-13, J-24)."""
 
 from __future__ import annotations
 
@@ -207,3 +207,38 @@ def placeholder_datasets(spark, sf_dir):
     listed = read_table(spark, sf_dir, "part").filter(F.col("p_partkey") < 40).select(
         F.concat(F.lit("src_"), F.col("p_partkey").cast("string")).alias("key"))
     return lineage.placeholders(ups, listed)
+
+
+def _transform_edges(spark, sf_dir):
+    """Column edges of a two-level transformation DAG built from ``part``:
+    logical L1 tables rename / project physical columns (and create columns
+    from two inputs), logical L2 tables rename L1 columns."""
+    p = read_table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    s = lambda *x: F.concat(*[F.lit(v) if isinstance(v, str) else v.cast("string") for v in x])
+    l1 = p.select(s("l1_", k % 20, ".x", k % 7).alias("dst"), s("phys", k % 10, ".c", k % 5).alias("src"))
+    calc = p.filter(k % 4 == 0).select(s("l1_", k % 20, ".calc", k % 3).alias("dst"),
+                                       F.explode(F.array(s("phys", k % 10, ".c", k % 5), s("phys", k % 9, ".c", k % 4))).alias("src"))
+    l2 = p.select(s("l2_", k % 10, ".y", k % 6).alias("dst"), s("l1_", k % 20, ".x", k % 7).alias("src"))
+    l2c = p.filter(k % 4 == 0).select(s("l2_", k % 10, ".z", k % 3).alias("dst"), s("l1_", k % 20, ".calc", k % 3).alias("src"))
+    return l1.unionByName(calc).unionByName(l2).unionByName(l2c)
+
+
+@register("transform_column_lineage", """WITH RECURSIVE e AS (
+  SELECT DISTINCT dst, src FROM (
+    SELECT 'l1_' || CAST(p_partkey % 20 AS VARCHAR) || '.x' || CAST(p_partkey % 7 AS VARCHAR) AS dst,
+           'phys' || CAST(p_partkey % 10 AS VARCHAR) || '.c' || CAST(p_partkey % 5 AS VARCHAR) AS src FROM part
+    UNION ALL SELECT 'l1_' || CAST(p_partkey % 20 AS VARCHAR) || '.calc' || CAST(p_partkey % 3 AS VARCHAR),
+           'phys' || CAST(p_partkey % 10 AS VARCHAR) || '.c' || CAST(p_partkey % 5 AS VARCHAR) FROM part WHERE p_partkey % 4 = 0
+    UNION ALL SELECT 'l1_' || CAST(p_partkey % 20 AS VARCHAR) || '.calc' || CAST(p_partkey % 3 AS VARCHAR),
+           'phys' || CAST(p_partkey % 9 AS VARCHAR) || '.c' || CAST(p_partkey % 4 AS VARCHAR) FROM part WHERE p_partkey % 4 = 0
+    UNION ALL SELECT 'l2_' || CAST(p_partkey % 10 AS VARCHAR) || '.y' || CAST(p_partkey % 6 AS VARCHAR),
+           'l1_' || CAST(p_partkey % 20 AS VARCHAR) || '.x' || CAST(p_partkey % 7 AS VARCHAR) FROM part
+    UNION ALL SELECT 'l2_' || CAST(p_partkey % 10 AS VARCHAR) || '.z' || CAST(p_partkey % 3 AS VARCHAR),
+           'l1_' || CAST(p_partkey % 20 AS VARCHAR) || '.calc' || CAST(p_partkey % 3 AS VARCHAR) FROM part WHERE p_partkey % 4 = 0)),
+r(dst, via) AS (SELECT dst, src FROM e UNION SELECT r.dst, e.src FROM r JOIN e ON e.dst = r.via)
+SELECT DISTINCT dst, via AS root FROM r WHERE starts_with(via, 'phys')""")
+def transform_column_lineage(spark, sf_dir):
+    """G-2: column lineage through a transformation DAG, resolved level by
+    level down to physical columns."""
+    return graph.resolve_to_roots(_transform_edges(spark, sf_dir), lambda c: c.startswith("phys"))
