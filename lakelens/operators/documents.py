@@ -138,9 +138,19 @@ def word_chunks(text, size: int = 512, overlap: int = 50) -> Column:
 
 
 def chunk_documents(docs: DataFrame, text: str, size: int = 512, overlap: int = 50) -> DataFrame:
-    """D-4 + D-7: sanitise, drop empty texts, explode fixed word windows."""
-    s = docs.withColumn("__clean", sanitize_text(F.col(text))).filter(F.col("__clean") != "")
-    return s.select(*[c for c in docs.columns if c != text], F.inline(word_chunks("__clean", size, overlap)))
+    """D-4 + D-7: sanitise, drop empty texts, one row per fixed word window
+    (same windows as ``word_chunks``). The window numbers are exploded first
+    and each row slices its own words with plain expressions, so the work
+    stays in generated code (a lambda over the windows would run interpreted)."""
+    keep = [c for c in docs.columns if c != text]
+    step = size - overlap
+    s = docs.select(*keep, F.split(sanitize_text(F.col(text)), " ").alias("__w"))
+    s = s.filter(~((F.size("__w") == 1) & (F.get(F.col("__w"), 0) == "")))
+    n = F.size("__w")
+    count = F.when(n <= size, F.lit(1)).otherwise(F.lit(1) + F.ceil((n - size) / step).cast("int"))
+    x = s.select(*keep, "__w", F.explode(F.sequence(F.lit(0), count - 1)).alias("chunk_no"))
+    piece = F.slice("__w", F.col("chunk_no") * step + 1, size)
+    return x.select(*keep, "chunk_no", F.size(piece).alias("n_words"), F.array_join(piece, " ").alias("text"))
 
 
 def search_document_id(*parts) -> Column:
