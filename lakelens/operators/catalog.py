@@ -1,5 +1,6 @@
 """Catalog assembly from landed information-schema tables (J-1 .. J-8, R-1, R-2,
-R-9, A-13, A-19, U-1 .. U-3).
+R-9, A-13, A-19, U-1 .. U-3), and stored catalog statistics / properties of
+Spark catalog tables (A-5, R-18).
 
 Inputs are DataFrames shaped like information-schema views. Every nesting is a
 ``groupBy(table keys).agg(collect_list(struct))`` whose group size is bounded by
@@ -9,6 +10,7 @@ volume; nested arrays are sorted so the output is deterministic.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -144,3 +146,35 @@ def concat_constraint_columns(key_usage: DataFrame, keys: Sequence[str]) -> Data
     return key_usage.groupBy(*keys).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("position", "column_name"))),
                                  lambda s: s["column_name"]), ",").alias("columns"))
+
+
+def stored_statistics(spark, table: str, columns: Sequence[str], analyze: bool = True) -> DataFrame:
+    """A-5: statistics kept by the catalog. Runs ``ANALYZE TABLE ... COMPUTE
+    STATISTICS FOR COLUMNS`` (the scan is a Spark job), then reads the stored
+    table size / rows and each column's distinct count, nulls, min and max with
+    ``DESCRIBE EXTENDED``. The commands return metadata rows only (a handful
+    per column), never table data."""
+    if analyze:
+        cols = ", ".join(f"`{c}`" for c in columns)
+        spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR COLUMNS {cols}")
+    rows = []
+    for c in columns:
+        info = {r["info_name"]: r["info_value"] for r in spark.sql(f"DESCRIBE EXTENDED {table} `{c}`").collect()}
+        rows.append((c, info.get("distinct_count"), info.get("num_nulls"), info.get("min"), info.get("max")))
+    stats = spark.sql(f"DESCRIBE EXTENDED {table}").filter(F.col("col_name") == "Statistics").select("data_type").collect()
+    text = stats[0][0] if stats else ""
+    size = re.search(r"(\d+) bytes", text or "")
+    nrows = re.search(r"(\d+) rows", text or "")
+    df = spark.createDataFrame(rows, "column_name string, distinct_count string, num_nulls string, min string, max string")
+    return df.select(
+        "column_name", F.col("distinct_count").cast("double").alias("distinct_value_count"),
+        F.col("num_nulls").cast("double").alias("null_value_count"),
+        F.when(F.col("min") != "NULL", F.col("min")).alias("min_value"),
+        F.when(F.col("max") != "NULL", F.col("max")).alias("max_value"),
+        F.lit(float(size.group(1)) if size else None).cast("double").alias("data_size_bytes"),
+        F.lit(float(nrows.group(1)) if nrows else None).cast("double").alias("record_count"))
+
+
+def table_properties(spark, table: str) -> DataFrame:
+    """R-18: table properties as (key, value) rows (``SHOW TBLPROPERTIES``)."""
+    return spark.sql(f"SHOW TBLPROPERTIES {table}").select(F.col("key"), F.col("value"))

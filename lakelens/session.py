@@ -29,6 +29,8 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "16
     for key, value in DEFAULT_CONF.items():
         builder = builder.config(key, value)
     builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
+    # Local runs keep managed tables out of the working directory.
+    builder = builder.config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="lakelens-warehouse-"))
     builder = builder.config("spark.driver.memory", memory)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
