@@ -5,7 +5,8 @@ Batch packing is an order-dependent fold (each row's batch depends on the rows
 before it). It runs per bucket with ``applyInPandas``: rows are spread over
 buckets by a hash of their order key (so no task receives all rows), and the
 fold walks each bucket in order. Batch ids are (bucket, batch-in-bucket); with
-one bucket the result equals a single global fold.
+one bucket the result equals a single global fold. Size the bucket count with
+``session.groups_for(rows)`` so a bucket stays around a million rows.
 """
 
 from __future__ import annotations

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from lakelens.operators import logs
 from lakelens.plans.common import r6, sql_r6
 from lakelens.plans.registry import register
+from lakelens.session import groups_for
 from lakelens.sources.tables import read_table
 
 # ----------------------------------------------------------- W-1 / A-11
@@ -158,8 +159,10 @@ def latest_per_key(spark, sf_dir):
 def newest_n_per_key(spark, sf_dir):
     """O-5 + P-16: newest 3 history entries per key after dropping no-op kinds,
     ranked in two salted rounds."""
-    e = read_table(spark, sf_dir, "events").filter(~F.col("event_type").isin("view")).select("user_id", "event_id", "ts")
-    out = logs.top_n_per_key(e, ["user_id"], [F.col("ts").desc(), F.col("event_id").desc()], 3)
+    events = read_table(spark, sf_dir, "events")
+    salts = groups_for(events.count(), minimum=16)
+    e = events.filter(~F.col("event_type").isin("view")).select("user_id", "event_id", "ts")
+    out = logs.top_n_per_key(e, ["user_id"], [F.col("ts").desc(), F.col("event_id").desc()], 3, salts=salts)
     return out.select("user_id", "event_id", "ts", F.col("rank_in_key").cast("long").alias("rank_in_key"))
 
 

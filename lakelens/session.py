@@ -67,3 +67,10 @@ def env_int(name: str, default: int) -> int:
         return int(os.environ.get(name, default))
     except ValueError:
         return default
+
+
+def groups_for(rows: int, rows_per_group: int = 1_000_000, minimum: int = 1) -> int:
+    """Number of hash buckets / salts so that each holds about
+    ``rows_per_group`` rows: the fan-out grows with the data instead of being
+    a constant (a fixed 8 buckets would put 1/8 of 100 TB in one task)."""
+    return max(minimum, -(-int(rows) // rows_per_group))
