@@ -48,7 +48,7 @@ def parse_prefixed_log(df: DataFrame, text: str = "value", line_no: str = "line_
     return out.filter((F.col("user_name") != "") & F.col("database").isNotNull() & (F.col("database") != ""))
 
 
-def lag_within(df: DataFrame, key: str, ts: str, seq: str, payload: Column, bucket_seconds: int = 3600,
+def lag_within(df: DataFrame, key: str, ts: str, seq: str, payload: Column, bucket_seconds: int = 300,
                out: str = "prev") -> DataFrame:
     """Previous row's ``payload`` within ``key`` ordered by (ts, seq), computed
     without sorting a whole key in one task (see module notes)."""
@@ -66,7 +66,7 @@ def lag_within(df: DataFrame, key: str, ts: str, seq: str, payload: Column, buck
 
 
 def pair_statement_duration(parsed: DataFrame, excluded_users: Sequence[str] = (), duration_enabled: bool = True,
-                            bucket_seconds: int = 3600) -> DataFrame:
+                            bucket_seconds: int = 300) -> DataFrame:
     """W-3 / T-1 (batch form): a 'duration:' line takes its SQL from the
     previous accepted LOG line of the same session. Only LOG lines of users not
     excluded enter the pairing (they alone update the per-session 'cache')."""
