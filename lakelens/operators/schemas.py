@@ -85,10 +85,10 @@ def flatten_struct_type(spark, dt: T.StructType) -> DataFrame:
 # JSON value kinds -> native type names.
 TYPE_NAMES = {"int": "int", "float": "float", "str": "string", "bool": "bool", "dict": "object", "list": "array"}
 
-OCCURRENCE_SCHEMA = T.StructType([
-    T.StructField("doc_seq", T.LongType()), T.StructField("pos", T.LongType()),
+PARTIAL_SCHEMA = T.StructType([
     T.StructField("field_path", T.StringType()), T.StructField("type_name", T.StringType()),
-    T.StructField("present", T.BooleanType()),
+    T.StructField("n", T.LongType()), T.StructField("first_seq", T.LongType()), T.StructField("first_pos", T.LongType()),
+    T.StructField("present", T.LongType()),
 ])
 
 
@@ -100,19 +100,20 @@ def _kind(v) -> str | None:
     return type(v).__name__
 
 
-def _occurrences(doc: dict, prefix: tuple, seq: int, out: list, counter: list) -> None:
+def _occurrences(doc: dict, prefix: tuple, out: list, counter: list) -> None:
+    """(path, kind, position) of every non-null value, in document order."""
     for k, v in doc.items():
         cur = prefix + (k,)
         if isinstance(v, dict):
-            _occurrences(v, cur, seq, out, counter)
+            _occurrences(v, cur, out, counter)
         if isinstance(v, list):
             for item in v:
                 if isinstance(item, dict):
-                    _occurrences(item, cur, seq, out, counter)
+                    _occurrences(item, cur, out, counter)
         kind = _kind(v)
         if kind is not None:
             counter[0] += 1
-            out.append((seq, counter[0], ".".join(cur), TYPE_NAMES.get(kind, kind), None))
+            out.append((".".join(cur), TYPE_NAMES.get(kind, kind), counter[0]))
 
 
 def _present(doc, path: tuple) -> bool:
@@ -141,11 +142,16 @@ def infer_schema(docs: DataFrame, doc_col: str, seq_col: str) -> DataFrame:
     type (one type -> it; int+float -> float; datetime+str -> datetime; else the
     most common, ties -> first seen), how many values were seen, and whether it
     is nullable (some document lacks it, holds null, or an empty list / a list
-    member without it on the way)."""
+    member without it on the way).
+
+    Each task walks its documents and combines map-side: it emits one partial
+    row per (path, type) with a count and the first position, and one per path
+    with the number of documents where it is present. Spark merges the partials."""
     def run(batches):
         import pandas as pd
         for pdf in batches:
-            out: list = []
+            counts: dict = {}
+            present: dict = {}
             for seq, text in zip(pdf[seq_col], pdf[doc_col]):
                 if text is None:
                     continue
@@ -153,32 +159,40 @@ def infer_schema(docs: DataFrame, doc_col: str, seq_col: str) -> DataFrame:
                 if not isinstance(doc, dict):
                     continue
                 occ: list = []
-                _occurrences(doc, (), int(seq), occ, [0])
-                seen = {}
-                for row in occ:
-                    seen.setdefault(row[2], row)
-                for path, row in seen.items():
-                    out.append((row[0], row[1], path, None, _present(doc, tuple(path.split(".")))))
-                out.extend(occ)
-            yield pd.DataFrame(out, columns=[f.name for f in OCCURRENCE_SCHEMA.fields])
-
-    occ = docs.select(F.col(seq_col).cast("long").alias(seq_col), doc_col).mapInPandas(run, OCCURRENCE_SCHEMA)
+                _occurrences(doc, (), occ, [0])
+                seen = set()
+                for path, kind, pos in occ:
+                    c = counts.get((path, kind))
+                    if c is None:
+                        counts[(path, kind)] = [1, int(seq), pos]
+                    else:
+                        c[0] += 1
+                        if (int(seq), pos) < (c[1], c[2]):
+                            c[1], c[2] = int(seq), pos
+                    if path not in seen:
+                        seen.add(path)
+                        if _present(doc, tuple(path.split("."))):
+                            present[path] = present.get(path, 0) + 1
+            rows = [(p, k, c[0], c[1], c[2], None) for (p, k), c in counts.items()]
+            rows += [(p, None, None, None, None, n) for p, n in present.items()]
+            yield pd.DataFrame(rows, columns=[f.name for f in PARTIAL_SCHEMA.fields])
+
+    part = docs.select(F.col(seq_col).cast("long").alias(seq_col), doc_col).mapInPandas(run, PARTIAL_SCHEMA)
     n_docs = docs.select(F.count(F.lit(1))).scalar()
-    values = occ.filter(F.col("type_name").isNotNull())
-    flags = occ.filter(F.col("type_name").isNull())
+    values = part.filter(F.col("type_name").isNotNull())
     per_type = values.groupBy("field_path", "type_name").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_seq", "pos")).alias("first"))
+        F.sum("n").alias("n"), F.min(F.struct("first_seq", "first_pos")).alias("first"))
     per_path = per_type.groupBy("field_path").agg(
         F.collect_set("type_name").alias("types"),
         F.sum("n").alias("n"),
-        F.max_by("type_name", F.struct(F.col("n"), F.struct(-F.col("first.doc_seq"), -F.col("first.pos")))).alias("mode_type"),
+        F.max_by("type_name", F.struct(F.col("n"), F.struct(-F.col("first.first_seq"), -F.col("first.first_pos")))).alias("mode_type"),
     )
     types = F.array_sort("types")
     native = (F.when(F.size(types) == 1, types[0])
               .when(types == F.array(F.lit("float"), F.lit("int")), F.lit("float"))
               .when(types == F.array(F.lit("datetime"), F.lit("string")), F.lit("datetime"))
               .otherwise(F.col("mode_type")))
-    present = flags.groupBy("field_path").agg(F.count_if("present").alias("__present"))
+    present = part.filter(F.col("type_name").isNull()).groupBy("field_path").agg(F.sum("present").alias("__present"))
     return per_path.join(present, "field_path", "left").select(
         "field_path", native.alias("native_type"), F.col("n").cast("long").alias("n"),
         (F.coalesce(F.col("__present"), F.lit(0)) < n_docs).alias("nullable"),
