@@ -46,9 +46,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     create a scratch folder of our own.
     """
     sc = spark.sparkContext
-    current = sc._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get()
+    current = sc.getCheckpointDir()
+    if current:
+        return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="lakelens-ckpt-")
