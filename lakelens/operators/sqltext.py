@@ -216,6 +216,9 @@ def table_lineage(df: DataFrame, qid: str, sql: str) -> DataFrame:
     t = t.select("*",
                  F.sum(opens - closes).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("d_after"),
                  F.lag("u", 1).over(w).alias("p1"), F.lag("u", 2).over(w).alias("p2"),
+                 # last token before this one that is not '(' (tables after '((' ... following FROM / JOIN)
+                 F.last(F.when(F.col("tok") != "(", F.col("u")), ignorenulls=True).over(
+                     w.rowsBetween(Window.unboundedPreceding, -1)).alias("pnp"),
                  F.lead("u", 1).over(w).alias("n1"), F.lead("u", 2).over(w).alias("n2"))
     t = t.withColumn("depth", F.when(F.col("tok") == "(", F.col("d_after") - 1).otherwise(F.col("d_after")))
     is_clause = F.col("u").isin(*CLAUSE_KEYWORDS)
@@ -227,7 +230,7 @@ def table_lineage(df: DataFrame, qid: str, sql: str) -> DataFrame:
     ident = F.col("tok").rlike(r'^(["`\[A-Za-z_@#$])') & ~F.col("u").isin(*KEYWORDS)
     in_call = (F.col("depth") > 0) & F.col("opener").rlike(r'^["`\[A-Za-z_]') & ~F.col("opener").isin(*KEYWORDS)
     join_kw = F.col("p1").isin("FROM", "JOIN")
-    paren_table = (F.col("p1") == "(") & F.col("p2").isin("FROM", "JOIN")
+    paren_table = (F.col("p1") == "(") & F.col("pnp").isin("FROM", "JOIN")
     comma_join = (F.col("p1") == ",") & (F.col("ctx") == "FROM")
     using = (F.col("p1") == "USING") & (F.col("kind") == "MERGE")
     like = F.col("p1").isin("LIKE", "CLONE") & (F.col("kind") == "CREATE")
