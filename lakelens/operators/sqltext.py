@@ -156,7 +156,7 @@ _MODS = "|".join(CREATE_MODIFIERS)
 # Fixed patterns: statement targets, matched on text without comments and string contents.
 TARGET_PATTERNS = (
     rf"(?is)\binsert\s+(?:into\s+|overwrite\s+)?(?:table\s+)?({_NAME})",
-    rf"(?is)^\s*update\s+({_NAME})",
+    rf"(?is)\bupdate\s+({_NAME})(?:\s+(?:as\s+)?[A-Za-z_]\w*)?\s+set\b",
     rf"(?is)^\s*merge\s+into\s+({_NAME})",
     rf"(?is)^\s*create\s+(?:(?:{_MODS})\s+)*(?:table|view)\s+(?:if\s+not\s+exists\s+)?({_NAME})",
     rf"(?is)^\s*copy\s+into\s+({_NAME})",
@@ -234,8 +234,10 @@ def table_lineage(df: DataFrame, qid: str, sql: str) -> DataFrame:
     comma_join = (F.col("p1") == ",") & (F.col("ctx") == "FROM")
     using = (F.col("p1") == "USING") & (F.col("kind") == "MERGE")
     like = F.col("p1").isin("LIKE", "CLONE") & (F.col("kind") == "CREATE")
+    # The table a DELETE removes rows from is not read (DELETE FROM t ...).
+    delete_target = (F.col("p1") == "FROM") & (F.coalesce(F.col("p2"), F.lit("")) == "DELETE")
     src = ident & ~F.coalesce(in_call, F.lit(False)) & (F.coalesce(F.col("n1"), F.lit("")) != "(") \
-        & (join_kw | paren_table | comma_join | using | like)
+        & (join_kw | paren_table | comma_join | using | like) & ~delete_target
     cte = ident & (F.col("n1") == "AS") & (F.col("n2") == "(") & F.col("p1").isin("WITH", ",", "RECURSIVE")
     cte_name = F.when(cte, F.lower(F.regexp_replace("tok", r'["`\[\]]', "")))
     t = t.withColumn("__ctes", F.collect_set(cte_name).over(Window.partitionBy("qid")))
