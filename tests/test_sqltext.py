@@ -156,4 +156,4 @@ def test_redaction_counts(spark, sql, n):
     assert out.count("'<REDACTED>'") == n
     rest = re.sub(r"'<REDACTED>'|/\*.*?\*/", "", out)
     assert "--" not in out
-    assert "'" not in rest and not re.search(r"(?<![\\w.])\\d", rest)
+    assert "'" not in rest and not re.search(r"(?<![\w.])\d", rest)
