@@ -54,7 +54,7 @@ def _glob_chunks(pattern: str) -> list:
 
 
 def glob_to_regex(pattern: str, portable: bool = False) -> str:
-    """Full-match regex for a glob. The default (Java) form wraps every piece
+    """F-24: full-match regex for a glob. The default (Java) form wraps every piece
     between two stars in an atomic lazy group, ``(?>.*?piece)``, so matching is
     linear instead of backtracking over every '*'. ``portable=True`` gives the
     plain form (no atomic groups) for RE2-style engines."""
@@ -78,7 +78,7 @@ def glob_to_regex(pattern: str, portable: bool = False) -> str:
 
 
 def glob_match(c, pattern: str) -> Column:
-    """True where the column fully matches the glob (null-safe: null -> False)."""
+    """F-24: true where the column fully matches the glob (null-safe: null -> False)."""
     if pattern == "*":
         return col_of(c).isNotNull()
     if not any(ch in pattern for ch in "*?["):

@@ -64,10 +64,12 @@ def field_path(name, parent=None) -> Column:
 
 
 def query_log_id(platform, query_id) -> Column:
+    """F-6: query-log id 'PLATFORM:query_id'."""
     return F.concat(col_of(platform), F.lit(":"), col_of(query_id))
 
 
 def sql_hash(sql) -> Column:
+    """F-6: MD5 hex of the SQL text."""
     return F.md5(col_of(sql))
 
 
@@ -116,7 +118,7 @@ def monitor_object_name(mcon) -> Column:
 
 
 def complete_name(name, default_db, default_schema) -> Column:
-    """Complete a 1-, 2- or 3-part name with defaults, by number of parts."""
+    """F-20: complete a 1-, 2- or 3-part name with defaults, by number of parts."""
     n = F.size(F.split(col_of(name), r"\."))
     return (
         F.when(n == 1, F.concat_ws(".", col_of(default_db), col_of(default_schema), col_of(name)))

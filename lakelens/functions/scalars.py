@@ -99,7 +99,8 @@ def user_id_or_email(c) -> Column:
 
 
 def sanitize_text(c) -> Column:
-    """Newline, tab and CR to space, runs of spaces collapsed, ends trimmed."""
+    """F-23 / D-4: newline, tab and CR to space, runs of spaces collapsed, ends
+    trimmed. (X-2: row functions are built-in expressions like this one.)"""
     x = F.translate(col_of(c), "\n\t\r", "   ")
     return F.trim(F.regexp_replace(x, " +", " "))
 

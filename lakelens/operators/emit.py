@@ -47,7 +47,8 @@ def union_events(frames: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def check(df: DataFrame, rules: Mapping[str, Column], name: str = "conformance") -> tuple[DataFrame, Observation]:
-    """K-3: evaluate named boolean rules per row; adds ``failed_rules`` (array of
+    """K-3 / X-5 (custom checks are named boolean Columns): evaluate named
+    boolean rules per row; adds ``failed_rules`` (array of
     rule names, empty when valid) and ``valid``. Row counts are collected with
     an Observation while the data is written, without a second pass."""
     failed = F.filter(F.array(*[F.when(~F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in rules.items()]),
@@ -102,7 +103,8 @@ def _bucketed(df: DataFrame, order: str, buckets: int) -> DataFrame:
 
 
 def pack(df: DataFrame, order: str, size: str, items_per_chunk: int, chunk_size: int, buckets: int = 1) -> DataFrame:
-    """K-4: add ``bucket`` and ``batch`` (chunk within the bucket) to every row."""
+    """K-4 / X-4 (a grouped fold via applyInPandas): add ``bucket`` and
+    ``batch`` (chunk within the bucket) to every row."""
     x = _bucketed(df, order, buckets)
     schema = T.StructType(x.schema.fields + [T.StructField("batch", T.IntegerType())])
 

@@ -30,6 +30,9 @@ MAX_INLINE_RULES = 256
 
 @dataclass
 class DatasetFilter:
+    """Include / exclude globs by database, schema and table. ``normalize`` and
+    ``merge`` are the filter algebra (P-6): lower-casing, and merging where
+    "all" (None) yields to a set and sets are unioned."""
     includes: DatabaseFilter = None
     excludes: DatabaseFilter = None
 

@@ -224,7 +224,7 @@ def _clean_resource(p: Column) -> Column:
 
 
 def audit_jobs(df: DataFrame, json_col: str = "entry") -> DataFrame:
-    """S-12 / N-6: audit entries -> finished QUERY/COPY jobs with sources
+    """S-12 / N-6 / P-12: audit entries -> finished QUERY/COPY jobs with sources
     (referenced tables + views, or copy sources), cleaned and de-duplicated in
     first-seen order; jobs left without sources are dropped.
 

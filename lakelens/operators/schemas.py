@@ -46,7 +46,7 @@ def _walk_table_schema(fields, parent: str, depth: int, key, out: list) -> None:
 
 
 def flatten_table_schemas(df: DataFrame, key: str, schema_json: str) -> DataFrame:
-    """N-2: rows of (key, schema JSON = list of {name, type, mode, fields}) ->
+    """N-2 / X-3 (a table function via mapInPandas): rows of (key, schema JSON = list of {name, type, mode, fields}) ->
     one row per field path; REPEATED becomes ARRAY<type>, paths lower-case and
     encoded, nested paths joined with '.'."""
     def run(batches):
@@ -138,7 +138,7 @@ def _present(doc, path: tuple) -> bool:
 
 
 def infer_schema(docs: DataFrame, doc_col: str, seq_col: str) -> DataFrame:
-    """N-3: one row per field path of a document collection with its native
+    """N-3 / O-6: one row per field path of a document collection with its native
     type (one type -> it; int+float -> float; datetime+str -> datetime; else the
     most common, ties -> first seen), how many values were seen, and whether it
     is nullable (some document lacks it, holds null, or an empty list / a list

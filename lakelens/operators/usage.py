@@ -48,7 +48,8 @@ def to_long(counts: DataFrame, keys: Sequence[str], windows: Sequence[int] = WIN
 
 
 def mean_rank_percentile(df: DataFrame, value: str, by: Sequence[str] = (), out: str = "percentile") -> DataFrame:
-    """Add ``out`` = mean-rank percentile of ``value`` within ``by`` (global when empty)."""
+    """A-8 / W-2: add ``out`` = mean-rank percentile of ``value`` within ``by``
+    (global when empty)."""
     by = list(by)
     v = F.col(value)
     hist = df.filter(v > 0).groupBy(*by, value).agg(F.count(F.lit(1)).alias("__h"))
@@ -97,7 +98,7 @@ def table_usage(access: DataFrame, dataset: str, ts: str, as_of: Column,
 
 
 def mean_rank_percentile_grouped(df: DataFrame, value: str, group: str, out: str = "percentile") -> DataFrame:
-    """Global-per-group percentile where ``group`` has few values (e.g. the five
+    """A-8 / W-2: global-per-group percentile where ``group`` has few values (e.g. the five
     windows): buckets are keyed by (group, log bucket)."""
     v = F.col(value)
     hist = df.filter(v > 0).groupBy(group, value).agg(F.count(F.lit(1)).alias("__h"))

@@ -37,6 +37,9 @@ def _with_session_defaults(fn: Job) -> Job:
 
 
 def register(name: str, oracle: str | None = None):
+    """X-1: the extension point. A custom source or job is a function
+    ``(spark, sf_dir) -> DataFrame`` registered under a name, optionally with
+    an equivalent SQL text."""
     def deco(fn: Job) -> Job:
         if name in QUERIES:
             raise ValueError(f"duplicate job {name}")

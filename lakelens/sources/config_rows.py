@@ -11,13 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def lineage_rows(spark: SparkSession, lineage: Mapping[str, Sequence[str]]) -> DataFrame:
-    """{target: [sources]} -> (source_table, target_table) edges."""
+    """S-19: {target: [sources]} -> (source_table, target_table) edges."""
     rows = [(s.lower(), t.lower()) for t, srcs in lineage.items() for s in srcs]
     return spark.createDataFrame(rows, "source_table string, target_table string")
 
 
 def governance_rows(spark: SparkSession, datasets: Mapping[str, Mapping]) -> DataFrame:
-    """{dataset: {owners: [...], tags: [...], column_tags: {col: [tags]}, description}}
+    """S-19: {dataset: {owners: [...], tags: [...], column_tags: {col: [tags]}, description}}
     -> (dataset, kind, value, column_name, seq) rows for ``governance.governance_rows``."""
     rows = []
     for ds, spec in datasets.items():

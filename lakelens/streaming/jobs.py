@@ -36,7 +36,9 @@ def run_dir(spark: SparkSession, name: str) -> str:
 
 
 def run_available_now(stream: DataFrame, name: str, output_mode: str = "append", fmt: str = "parquet") -> DataFrame:
-    """Run a streaming query over everything available, then read its output."""
+    """T-2: run a streaming query over everything available in its source (the
+    incremental tail of landed files; offsets are kept in the checkpoint),
+    then read what the sink wrote."""
     spark = stream.sparkSession
     base = run_dir(spark, name)
     out, ckpt = os.path.join(base, "out"), os.path.join(base, "checkpoint")
