@@ -339,29 +339,41 @@ def file_schemas(files: DataFrame, path: str = "path") -> DataFrame:
         for pdf in batches:
             rows = []
             for p in pdf[path]:
-                local = re.sub(r"^file:(//)?", "", p)
                 try:
-                    rows.extend(_schema_rows(p, local))
-                except Exception:  # unreadable file: no rows, the job goes on
+                    rows.extend(_schema_rows(p))
+                except (OSError, ValueError):  # unreadable file: no rows, the job goes on
                     continue
             yield pd.DataFrame(rows, columns=[f.name for f in FILE_SCHEMA.fields])
     return files.select(path).mapInPandas(read, FILE_SCHEMA)
 
 
-def _schema_rows(p: str, local: str) -> list[tuple]:
+def _open_fs(uri: str):
+    """(filesystem, path) for local, s3 / s3a, hdfs and gcs URIs (pyarrow)."""
+    import pyarrow.fs as pafs
+    u = re.sub(r"^s3a://", "s3://", uri)
+    if u.startswith("file:"):
+        return pafs.LocalFileSystem(), re.sub(r"^file:(//)?", "", u)
+    if "://" not in u:
+        return pafs.LocalFileSystem(), u
+    return pafs.FileSystem.from_uri(u)
+
+
+def _schema_rows(p: str) -> list[tuple]:
+    fs, local = _open_fs(p)
     ext = local.rsplit(".", 1)[-1].lower()
     if ext == "parquet":
         import pyarrow.parquet as pq
-        s = pq.read_schema(local)
+        s = pq.read_schema(local, filesystem=fs)
         return [(p, f.name, i + 1, _sql_type(f.type)) for i, f in enumerate(s)]
-    if ext in ("csv", "tsv"):
+    if ext in ("csv", "tsv", "json"):
         import csv
-        with open(local, newline="") as fh:
-            header = next(csv.reader(fh, delimiter="\t" if ext == "tsv" else ","), [])
+        import io
+        with fs.open_input_stream(local) as fh:
+            first = io.TextIOWrapper(fh, encoding="utf-8").readline()
+        if ext == "json":
+            import json
+            rec = json.loads(first or "{}")
+            return [(p, k, i + 1, type(v).__name__.upper()) for i, (k, v) in enumerate(rec.items())]
+        header = next(csv.reader([first], delimiter="\t" if ext == "tsv" else ","), [])
         return [(p, h, i + 1, "VARCHAR") for i, h in enumerate(header)]
-    if ext == "json":
-        import json
-        with open(local) as fh:
-            first = json.loads(fh.readline() or "{}")
-        return [(p, k, i + 1, type(v).__name__.upper()) for i, (k, v) in enumerate(first.items())]
     return []

@@ -51,7 +51,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="lakelens-ckpt-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared, fault-tolerant folder: iterative jobs "
+                               "checkpoint there and streaming jobs keep their sinks and offsets there")
+        configured = tempfile.mkdtemp(prefix="lakelens-ckpt-")  # local tests only
     sc.setCheckpointDir(configured)
     return configured
 
