@@ -34,3 +34,13 @@ def test_whole_files_and_json_lines(spark, tmp_path):
     assert files.json_lines(spark, str(tmp_path / "a.json")).count() == 2
     w = files.whole_files(spark, str(tmp_path / "a.json")).select(F.length("content")).first()[0]
     assert w == len('{"x": 1}\n{"x": 2}\n')
+
+
+def test_file_schemas_csv_and_json(spark, tmp_path):
+    from lakelens.operators import lake
+    (tmp_path / "t.csv").write_text("a,b,c,d\n1,2,3,4\n")
+    (tmp_path / "t.json").write_text('{"x": 1, "y": "s"}\n')
+    files = lake.listing(spark, str(tmp_path))
+    rows = {(r.path.rsplit("/", 1)[-1], r.column_name): r.data_type for r in lake.file_schemas(files).collect()}
+    assert rows[("t.csv", "a")] == "VARCHAR" and ("t.csv", "d") in rows
+    assert rows[("t.json", "x")] == "INT" and rows[("t.json", "y")] == "STR"
