@@ -48,13 +48,20 @@ def resolve_suffix(partials: DataFrame, datasets: DataFrame, name: str = "name",
     that ends with it (raw string suffix, as in the reference: 'orders' also
     matches 'my_orders'); no match or several matches -> null.
 
-    Exact and linear: every key is exploded into its character suffixes, the
-    suffix table is aggregated to (suffix, #keys, one key) with map-side
-    partial aggregation, and the distinct partial names are equi-joined to it.
+    Exact and linear: every key is exploded into its character suffixes of
+    the lengths partial names have, the suffix table is aggregated to
+    (suffix, #keys, one key) with map-side partial aggregation, and the
+    distinct partial names are equi-joined to it.
     """
     k = datasets.select(F.col(key).alias("__k")).distinct()
-    suffixes = k.select("__k", F.explode(F.sequence(F.lit(1), F.length("__k"))).alias("__i")) \
-        .select(F.substring("__k", F.col("__i"), F.length("__k")).alias("__suffix"), "__k")
+    # Only suffixes as long as some partial name can ever match: the distinct
+    # name lengths (a list bounded by the longest name, not by the data).
+    lengths = sorted(r[0] for r in partials.select(F.length(F.col(name))).distinct().collect() if r[0])
+    if not lengths:
+        return partials.withColumn("resolved", F.lit(None).cast("string"))
+    lens = F.array(*[F.lit(int(n)) for n in lengths])
+    suffixes = k.select("__k", F.explode(F.filter(lens, lambda n: n <= F.length("__k"))).alias("__n")) \
+        .select(F.substring("__k", -F.col("__n"), F.col("__n")).alias("__suffix"), "__k")
     summary = suffixes.groupBy("__suffix").agg(F.count(F.lit(1)).alias("__n"), F.min("__k").alias("__one"))
     names = partials.select(F.col(name).alias("__suffix")).distinct()
     res = names.join(summary, "__suffix", "left").select(
