@@ -51,7 +51,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a shared, fault-tolerant folder: iterative jobs "
                                "checkpoint there and streaming jobs keep their sinks and offsets there")
         configured = tempfile.mkdtemp(prefix="lakelens-ckpt-")  # local tests only
@@ -65,13 +65,6 @@ def cut_lineage(df):
     return df.checkpoint(eager=True)
 
 
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
-
-
 def groups_for(rows: int, rows_per_group: int = 1_000_000, minimum: int = 1) -> int:
     """Number of hash buckets / salts so that each holds about
     ``rows_per_group`` rows: the fan-out grows with the data instead of being
