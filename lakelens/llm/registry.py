@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from lakelens.llm import chat_collapse, exact_dedup, url_filter
+from lakelens.llm import byte_bpe, chat_collapse, exact_dedup, packing, secret_scan, sharding, url_filter
 
 QUERIES = {
     "op1_chat_collapse": chat_collapse.op1_chat_collapse,
+    "op2_byte_bpe": byte_bpe.op2_byte_bpe,
+    "op3_sharding": sharding.op3_sharding,
+    "op4_secret_scan": secret_scan.op4_secret_scan,
+    "op8_packing": packing.op8_packing,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_url_filter": url_filter.op10_url_filter,
 }
 ORACLES = {
     "op1_chat_collapse": chat_collapse.OP1_SQL,
+    "op4_secret_scan": secret_scan.OP4_SQL,
     "op9_exact_dedup": exact_dedup.OP9_SQL,
     "op10_url_filter": url_filter.OP10_SQL,
 }
