@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from lakelens.llm import byte_bpe, chat_collapse, exact_dedup, packing, secret_scan, sharding, url_filter
+from lakelens.llm import byte_bpe, chat_collapse, exact_dedup, packing, secret_scan, sharding, topk_search, toxicity, url_filter
 
 QUERIES = {
     "op1_chat_collapse": chat_collapse.op1_chat_collapse,
     "op2_byte_bpe": byte_bpe.op2_byte_bpe,
     "op3_sharding": sharding.op3_sharding,
     "op4_secret_scan": secret_scan.op4_secret_scan,
+    "op5_toxicity": toxicity.op5_toxicity,
+    "op7_topk_search": topk_search.op7_topk_search,
     "op8_packing": packing.op8_packing,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_url_filter": url_filter.op10_url_filter,
@@ -16,6 +18,7 @@ QUERIES = {
 ORACLES = {
     "op1_chat_collapse": chat_collapse.OP1_SQL,
     "op4_secret_scan": secret_scan.OP4_SQL,
+    "op7_topk_search": topk_search.OP7_SQL,
     "op9_exact_dedup": exact_dedup.OP9_SQL,
     "op10_url_filter": url_filter.OP10_SQL,
 }
