@@ -1,9 +1,8 @@
 """Toxic spans by a linear-chain conditional random field (operator 5).
 
-Labels exist per document, so training tokens are labelled first: a greedy cover
-picks the word and stem features that explain toxic documents and (nearly) no
-clean ones, and tokens of toxic documents with such a feature are labelled
-toxic. A two-state CRF (word, stem and ending features, transitions) is fitted
+Labels exist per document, so training tokens are labelled first: word and stem
+features that toxic documents have in many contexts and clean ones (nearly) never
+are signs, and tokens of toxic documents with such a feature are labelled toxic. A two-state CRF (word, stem and ending features, transitions) is fitted
 to these sequences. At scoring time forward-backward gives each token's
 marginal; a document's score is a logistic function of the sum (of those that are
 not negligible) and the maximum of its marginals, and tokens over one half are its offending spans.
@@ -124,24 +123,22 @@ def marginals(model: Crf, emission: np.ndarray, lengths: np.ndarray) -> np.ndarr
     return out
 
 
-def evidence(toxic: list[set[str]], clean: list[set[str]]) -> set[str]:
-    """Features that mark toxic documents: pure ones that many of these have, and a
-    greedy cover of the rest by pure ones that several have."""
-    bad = Counter(f for d in toxic for f in d)
+def evidence(toxic: list[list[str]], clean: list[set[str]]) -> set[str]:
+    """Features that mark toxic documents (token lists): nearly never seen in clean
+    ones (feature sets), and met after many different tokens. Words that only the
+    near copies of one document have come after the same token each time."""
+    of_token = {t: features(t) for d in toxic for t in d}
+    bad = Counter(f for d in toxic for f in {f for t in set(d) for f in of_token[t]})
     good = Counter(f for d in clean for f in d if f in bad)
-    scale = len(toxic) / max(1, len(clean))
-    least, many = max(3, len(toxic) // 200), max(3, len(toxic) // 100)
+    scale, least = len(toxic) / max(1, len(clean)), max(3, len(toxic) // 100)
     pure = {f for f, n in bad.items() if n >= least and n >= 0.99 * (n + scale * good[f])}
-    chosen = {f for f in pure if bad[f] >= many}
-    left = [d & pure for d in toxic if not d & chosen]
-    while True:
-        count = Counter(f for d in left for f in d)
-        # Of features that cover alike, the longest says most.
-        best = max(count.items(), key=lambda x: (x[1], len(x[0]), x[0]), default=("", 0))
-        if best[1] < least:
-            return chosen
-        chosen.add(best[0])
-        left = [d for d in left if best[0] not in d]
+    before: dict[str, set[str]] = {f: set() for f in pure}
+    for d in toxic:
+        for last, token in zip(["", *d], d):
+            for f in of_token[token]:
+                if f in pure:
+                    before[f].add(last)
+    return {f for f, tokens in before.items() if len(tokens) >= least}
 
 
 def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 7) -> Crf | None:
@@ -152,9 +149,7 @@ def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 7
     found = [[vocabulary.setdefault(w, len(vocabulary)) for w in text.split()] for text in texts]
     of_word = [features(w) for w in vocabulary]
     sets = [set().union(*(of_word[w] for w in set(doc))) for doc in found]
-    # Copies of a text would make its rare words look like signs.
-    toxic = [sets[i] for i in {t: i for i, t in enumerate(texts) if labels[i]}.values()]
-    signs = evidence(toxic, [s for s, y in zip(sets, labels, strict=True) if not y])
+    signs = evidence([t.split() for t, y in zip(texts, labels, strict=True) if y], [s for s, y in zip(sets, labels, strict=True) if not y])
     common = Counter(f for s in sets for f in s)
     names = sorted(f for f, n in common.items() if n >= 5 or f in signs)
     column = {f: i + 1 for i, f in enumerate(names)}  # 0: no feature
