@@ -1,22 +1,71 @@
-"""Corpus pipeline over ``documents``: the stages follow as their operators land."""
+"""Corpus pipeline over ``documents``.
+
+Each stage reads what its predecessor kept and returns the columns of
+``documents``; the last returns packed pieces. Rows without an id are judged
+like any other.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from lakelens.llm.common import ascii_lower, table, written
 from lakelens.llm.exact_dedup import exact_dedup
+from lakelens.llm.ngram_join import ngram_components
+from lakelens.llm.packing import pack
+from lakelens.llm.secret_scan import secret_scan
+from lakelens.llm.toxicity import fit_on, toxicity
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a digest that, with the id, stands for a row's text."""
+    return docs.withColumn("_sha", F.sha2(ascii_lower(F.coalesce("text", F.lit(""))), 256))
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 5: documents with a score of a half or more go. The model learns
+    from the labelled rows of this stage's own input. Scoring is part of the
+    scan, so no text is shuffled."""
+    model = fit_on(docs, table(spark, sf_dir, "labels"))
+    return toxicity(docs, model, keep=True).filter("score < 0.5").select("record.*")
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return docs.join(exact_dedup(docs).filter("kept").select("doc_id"), "doc_id", "left_semi")
+    """Operator 9: of texts equal but for A-Z case the row with the largest id
+    stays; of rows equal in id and text, the first by the other columns."""
+    kept = exact_dedup(docs).filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_kept"))
+    rows = _numbered(docs)
+    met = rows.join(kept, (rows._sha == kept._kept) & rows.doc_id.eqNullSafe(kept._id), "left_semi")
+    order = Window.partitionBy("_sha", "doc_id").orderBy("text", "lang", "source", "n_chars")
+    return met.withColumn("_nth", F.row_number().over(order)).filter("_nth = 1").select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 6: of each component of near copies the smallest id stays; texts
+    without words and rows without an id stay."""
+    dropped = ngram_components(docs).filter("doc_id <> component_id").select("doc_id")
+    return docs.join(written(dropped, "near-copies"), "doc_id", "left_anti").select(*docs.columns)
+
+
+def drop_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 4: documents with a secret of any kind go."""
+    return secret_scan(docs, keep=True).filter("spans = ''").select("record.*")
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 8: training sequences."""
+    return pack(docs)
 
 
-STAGES = [("exact dedup", drop_copies)]
-ORACLE_SQL = None
+STAGES = [("toxicity", drop_toxic), ("exact dedup", drop_copies), ("n-gram join", drop_near_copies),
+          ("secret scan", drop_secrets), ("packing", packed)]
+ORACLE_SQL = None  # a trained model decides the first stage
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """All stages over ``documents``; each stage's rows are written and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

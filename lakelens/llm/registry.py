@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakelens.llm import byte_bpe, chat_collapse, exact_dedup, packing, secret_scan, sharding, topk_search, toxicity, url_filter
+from lakelens.llm import byte_bpe, chat_collapse, exact_dedup, ngram_join, packing, secret_scan, sharding, topk_search, toxicity, url_filter
 
 QUERIES = {
     "op1_chat_collapse": chat_collapse.op1_chat_collapse,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_sharding": sharding.op3_sharding,
     "op4_secret_scan": secret_scan.op4_secret_scan,
     "op5_toxicity": toxicity.op5_toxicity,
+    "op6_ngram_join": ngram_join.op6_ngram_join,
     "op7_topk_search": topk_search.op7_topk_search,
     "op8_packing": packing.op8_packing,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,

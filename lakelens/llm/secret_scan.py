@@ -138,25 +138,29 @@ def _joined(spans: Column, rules: tuple[Rule, ...]) -> Column:
     return F.array_join(F.transform(F.sort_array(spans), lambda s: F.concat_ws(":", names[s["kind"]], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", more: tuple[Rule, ...] = MORE) -> DataFrame:
-    """(doc_id, text, n_<kind> of the base kinds, base_spans, spans) for every row.
+def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", more: tuple[Rule, ...] = MORE,
+                keep: bool = False) -> DataFrame:
+    """(doc_id, n_<kind> of the base kinds, base_spans, spans) for every row.
 
-    The last two are ``kind:start:end`` by start, then kind as listed."""
+    The last two are ``kind:start:end`` by start, then kind as listed. ``keep``
+    adds the row as ``record``."""
     rules = BASE + more
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.xxhash64(id_col, text).alias("key"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.xxhash64(id_col, text).alias("key"),
+                       *([F.struct("*").alias("record")] if keep else []))
+    extra = ["record"] if keep else []
     # Equal keys of different rows only make a document a candidate needlessly.
     marked = rows.join(candidates(rows.select("key", "text"), rules), "key", "left")
     scanned = {rule.kind for rule in rules if trigram_clauses(rule.regex) is None}
     none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
-    found = marked.select("doc_id", "text", *[
+    found = marked.select("doc_id", *extra, *[
         (spans if rule.kind in scanned else F.when(F.array_contains("kinds", rule.kind), spans).otherwise(none)).alias(rule.kind)
         for n, rule in enumerate(rules) for spans in [_spans(F.col("text"), n, rule)]])
     # Materialised behind a generator, so that no span is computed twice.
-    found = found.select("doc_id", "text", F.explode(F.array(F.struct(*[r.kind for r in rules]))).alias("s"))
+    found = found.select("doc_id", *extra, F.explode(F.array(F.struct(*[r.kind for r in rules]))).alias("s"))
     base = [F.col(f"s.{rule.kind}") for rule in BASE]
     return found.select(
-        "doc_id", "text", *[F.size(c).cast("long").alias(f"n_{r.kind}") for r, c in zip(BASE, base, strict=True)],
+        "doc_id", *extra, *[F.size(c).cast("long").alias(f"n_{r.kind}") for r, c in zip(BASE, base, strict=True)],
         _joined(F.concat(*base), rules).alias("base_spans"),
         _joined(F.concat(*[F.col(f"s.{rule.kind}") for rule in rules]), rules).alias("spans"))
 

@@ -241,10 +241,11 @@ def fit_on(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return fit([r.text for r in sample], [int(r.toxic) for r in sample])
 
 
-def toxicity(docs: DataFrame, model: Crf | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def toxicity(docs: DataFrame, model: Crf | None, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
     """(doc_id, score, spans array<(start, end, p)>) for every row of ``docs``;
-    offsets are code points, end exclusive."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    offsets are code points, end exclusive. ``keep`` adds the row as ``record``."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+                       *([F.struct("*").alias("record")] if keep else []))
     shipped = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the training sample
     span = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("p", pa.float64())])
 
@@ -252,7 +253,7 @@ def toxicity(docs: DataFrame, model: Crf | None, id_col: str = "doc_id", text_co
         model = shipped.value
         known: dict[str, float] = {}
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
+            texts = batch.column(1).to_pylist()
             for begin, stop in _slices(texts):
                 part = texts[begin:stop]
                 if model is None:
@@ -261,10 +262,12 @@ def toxicity(docs: DataFrame, model: Crf | None, id_col: str = "doc_id", text_co
                     if len(known) > CACHE:
                         known = {}
                     scores, spans = score_texts(model, part, known)
-                yield pa.RecordBatch.from_arrays([ids.slice(begin, stop - begin), pa.array(scores, pa.float64()), pa.array(spans, pa.list_(span))],
-                                                 names=["doc_id", "score", "spans"])
+                same = batch.slice(begin, stop - begin)
+                columns = {"doc_id": same.column(0), "score": pa.array(scores, pa.float64()), "spans": pa.array(spans, pa.list_(span))}
+                yield pa.RecordBatch.from_pydict(columns | ({"record": same.column(2)} if keep else {}))
 
-    return rows.mapInArrow(score, "doc_id long, score double, spans array<struct<start:int,end:int,p:double>>")
+    none = F.array().cast("array<struct<start:int,end:int,p:double>>")
+    return rows.mapInArrow(score, rows.select("doc_id", F.lit(0.0).alias("score"), none.alias("spans"), *rows.columns[2:]).schema)
 
 
 def _slices(texts: list[str], most: int = 4 << 20) -> Iterator[tuple[int, int]]:
