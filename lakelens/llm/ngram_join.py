@@ -15,6 +15,9 @@ word shingles. Jaccard distance is a metric, and the join divides its space:
 2. *Pivot documents inside regions.* Each region compares its members with one of
    its documents. Links merge into components, and members of a region that are
    in one component need no further comparison.
+   Before sets are compared, the number of regions that two sets share decides
+   most pairs: of the prefix that ends first, at most ``n - overlap`` shingles can
+   be missing from the other set, so linked sets share all its other regions.
 3. *Recursion.* Regions that still hold several components choose new pivots
    until they are small; then the pairs between components that pass the
    triangle inequality (|d(x, p) - d(y, p)| <= radius) and the size window are
@@ -163,13 +166,14 @@ def profile(texts: DataFrame, seed: int, width: int) -> DataFrame:
 
 
 def replicated(texts: DataFrame, late: np.ndarray, seed: int, width: int, percent: int) -> DataFrame:
-    """(h1, n, early, late): the regions of each set, late ones apart."""
+    """(h1, n, early, late, end_late, end): the regions of each set, late ones apart,
+    and the last of them in the order."""
     shipped = texts.sparkSession.sparkContext.broadcast(late)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, late = Shingler(seed, width), shipped.value
         for _, part in _batches(batches):
-            rows, seen = ([], [], [], []), set()
+            rows, seen = ([], [], [], [], [], []), set()
             for s in shingler(part):
                 if not len(s) or (key := digest(s)[0]) in seen:
                     continue
@@ -178,12 +182,15 @@ def replicated(texts: DataFrame, late: np.ndarray, seed: int, width: int, percen
                 is_late = late[at] == s if len(late) else np.zeros(len(s), bool)
                 p = prefix_length(len(s), percent)
                 first = s[~is_late][:p]
-                for column, value in zip(rows, (key, len(s), first, s[is_late][:p - len(first)]), strict=True):
+                last = s[is_late][:p - len(first)]
+                end = int(last[-1] if len(last) else first[-1])
+                for column, value in zip(rows, (key, len(s), first, last, len(last) > 0, end), strict=True):
                     column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int32()), _lists(rows[2]), _lists(rows[3])],
-                                             names=["h1", "n", "early", "late"])
+            yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int32()), _lists(rows[2]), _lists(rows[3]),
+                                              pa.array(rows[4], pa.bool_()), pa.array(rows[5], pa.int64())],
+                                             names=["h1", "n", "early", "late", "end_late", "end"])
 
-    return texts.mapInArrow(run, "h1 long, n int, early array<long>, late array<long>")
+    return texts.mapInArrow(run, "h1 long, n int, early array<long>, late array<long>, end_late boolean, end long")
 
 
 def shingle_sets(texts: DataFrame, ids: np.ndarray, seed: int, width: int) -> DataFrame:
@@ -192,9 +199,15 @@ def shingle_sets(texts: DataFrame, ids: np.ndarray, seed: int, width: int) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, bits = Shingler(seed, width), shipped.value
-        for some, part in _batches(batches):
-            wanted = [i for i, d in enumerate(some) if d is None or (int(bits[(d >> 6) & (len(bits) - 1)]) >> (d & 63)) & 1]
-            sets = {digest(s)[0]: s for s in shingler([part[i] for i in wanted]) if len(s)}
+
+        def wanted() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                d = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False)
+                hit = (bits[(d >> 6) & (len(bits) - 1)] >> (d & 63).astype(np.uint64)) & np.uint64(1)
+                yield batch.filter(pa.array((hit == 1) | batch.column(0).is_null().to_numpy(zero_copy_only=False)))
+
+        for _, part in _batches(wanted()):
+            sets = {digest(s)[0]: s for s in shingler(part) if len(s)}
             yield pa.RecordBatch.from_arrays([pa.array(list(sets), pa.int64()), _lists(list(sets.values()))], names=["h1", "s"])
 
     return texts.mapInArrow(run, "h1 long, s array<long>")
@@ -214,11 +227,32 @@ def _near_size(a: Column, b: Column, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def compared(pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
-    """``pairs`` (a, b, na, nb) with the size of the intersection, written."""
-    left = pairs.join(sets.select(F.col("h1").alias("a"), F.col("s").alias("sa")), "a")
-    both = left.join(sets.select(F.col("h1").alias("b"), F.col("s").alias("sb")), "b")
-    return written(both.select("a", "b", "na", "nb", F.size(F.array_intersect("sa", "sb")).alias("both")), name)
+class Comparer:
+    """Intersection sizes of pairs that may link."""
+
+    def __init__(self, texts: DataFrame, classes: DataFrame, keys: DataFrame, seed: int, width: int, percent: int):
+        self.texts, self.classes, self.keys = texts, classes, keys
+        self.seed, self.width, self.percent = seed, width, percent
+
+    def possible(self, pairs: DataFrame) -> DataFrame:
+        """``pairs`` that share as many regions as linked sets must."""
+        side = lambda x: self.keys.select(F.col("h1").alias(x), F.col("keys").alias(f"k{x}"), F.struct("end_late", "end").alias(f"e{x}"))
+        both = pairs.join(side("a"), "a").join(side("b"), "b")
+        overlap = F.ceil(self.percent * (F.col("na") + F.col("nb")) / (100 + self.percent) - 1e-6)
+        prefix = lambda n: n - F.floor((self.percent * n + 99) / 100) + 1
+        need = lambda n: prefix(n) - (n - overlap)
+        need = F.when(F.col("ea") <= F.col("eb"), need(F.col("na"))).otherwise(need(F.col("nb")))
+        return both.filter(F.size(F.array_intersect("ka", "kb")) >= need).select("a", "b", "na", "nb")
+
+    def __call__(self, pairs: DataFrame) -> DataFrame:
+        """(a, b, na, nb, both), written, for the pairs that may link."""
+        pairs = written(self.possible(pairs), "possible-pairs")
+        members = written(pairs.select(F.col("a").alias("h1")).unionAll(pairs.select(F.col("b").alias("h1"))).distinct(), "members")
+        bits = id_bits(self.classes.join(members, "h1", "left_semi").select("doc_id"))
+        sets = written(shingle_sets(self.texts, bits, self.seed, self.width).join(members, "h1", "left_semi"), "shingle-sets")
+        left = pairs.join(sets.select(F.col("h1").alias("a"), F.col("s").alias("sa")), "a")
+        both = left.join(sets.select(F.col("h1").alias("b"), F.col("s").alias("sb")), "b")
+        return written(both.select("a", "b", "na", "nb", F.size(F.array_intersect("sa", "sb")).alias("both")), "overlaps")
 
 
 def _linked(pairs: DataFrame, percent: int) -> DataFrame:
@@ -246,50 +280,44 @@ def _cross_pairs(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
             F.struct(F.col("b").alias("a"), F.col("a").alias("b"), F.col("nb").alias("na"), F.col("na").alias("nb"))).alias("p")).select("p.*").distinct()
 
 
-def links(texts: DataFrame, classes: DataFrame, late: np.ndarray, seed: int, width: int, percent: int) -> DataFrame | None:
-    """(a, b): enough links between different sets (by h1) to give all components;
-    None if no region holds two sets."""
+def links(texts: DataFrame, classes: DataFrame, late: np.ndarray, seed: int, width: int, percent: int) -> DataFrame:
+    """(a, b): enough links between different sets (by h1) to give all components."""
     regions_of = written(replicated(texts, late, seed, width, percent), "region-keys")
-    early = regions_of.select(F.explode("early").alias("key"), "h1", "n")
+    sizes = regions_of.select("h1", "n").distinct()
+    early = regions_of.select(F.explode("early").alias("key"), "h1")
     here = Window.partitionBy("key")
-    early = early.withColumn("p", F.min(F.struct("h1", "n")).over(here)).withColumn("last", F.max("h1").over(here))
-    early = early.filter(F.col("p.h1") != F.col("last")).select("key", "h1", "n", F.col("p.h1").alias("p"), F.col("p.n").alias("pn"))
+    early = early.withColumn("p", F.min("h1").over(here)).withColumn("last", F.max("h1").over(here)).filter("p <> last").drop("last")
     # Only shared shingles can be hot: their pivots are found by a map-side sum,
     # and there are at most LATE of them.
-    hot = regions_of.select(F.explode("late").alias("key"), "h1", "n")
-    pivots = hot.groupBy("key").agg(F.min(F.struct("h1", "n")).alias("p"), F.max("h1").alias("last"))
-    pivots = pivots.filter(F.col("p.h1") != F.col("last")).select("key", F.col("p.h1").alias("p"), F.col("p.n").alias("pn"))
-    regions = written(early.unionAll(hot.join(F.broadcast(pivots), "key").select(*early.columns)).distinct(), "regions")
-
-    members = regions.select("h1").distinct()
-    wanted = classes.join(members, "h1", "left_semi").select("doc_id")
-    bits = id_bits(wanted)
-    if not bits.any() and wanted.isEmpty():
-        return None
-    sets = written(shingle_sets(texts, bits, seed, width).join(members, "h1", "left_semi"), "shingle-sets")
-
-    stars = regions.filter((F.col("h1") != F.col("p")) & _near_size(F.col("n"), F.col("pn"), percent))
-    first = compared(stars.select(F.col("h1").alias("a"), F.col("p").alias("b"), F.col("n").alias("na"), F.col("pn").alias("nb")).distinct(), sets, "pivot-distances")
+    hot = regions_of.select(F.explode("late").alias("key"), "h1")
+    pivots = hot.groupBy("key").agg(F.min("h1").alias("p"), F.max("h1").alias("last")).filter("p <> last").drop("last")
+    placed = written(early.unionAll(hot.join(F.broadcast(pivots), "key").select("key", "h1", "p")).distinct(), "region-rows")
+    regions = written(placed.join(sizes, "h1"), "regions")
+    ends = regions_of.select("h1", "end_late", "end").distinct()
+    keys = written(regions.groupBy("h1").agg(F.collect_list("key").alias("keys")).join(ends, "h1"), "shared-keys")
+    compare = Comparer(texts, classes, keys, seed, width, percent)
+
+    stars = regions.filter("h1 <> p").select(F.col("h1").alias("a"), F.col("p").alias("b"), F.col("n").alias("na")).distinct()
+    stars = stars.join(sizes.select(F.col("h1").alias("b"), F.col("n").alias("nb")), "b").filter(_near_size(F.col("na"), F.col("nb"), percent))
+    first = compare(stars)
     found = _linked(first, percent)
-    labels = components(found)
     union = F.col("na") + F.col("nb") - F.col("both")
-    distances = first.select(F.col("a").alias("h1"), F.col("b").alias("p"), (1 - F.col("both") / union).alias("d"))
-    placed = regions.drop("pn").join(distances.dropDuplicates(["h1", "p"]), ["h1", "p"], "left")
-    placed = placed.withColumn("d", F.when(F.col("h1") == F.col("p"), F.lit(0.0)).otherwise(F.col("d")))
-    open_ = _relabelled(placed, labels, "open-regions")
+    distances = first.select(F.col("a").alias("h1"), F.col("b").alias("p"), (1 - F.col("both") / union).alias("d")).distinct()
+    far = regions.join(distances, ["h1", "p"], "left").withColumn("d", F.when(F.col("h1") == F.col("p"), F.lit(0.0)).otherwise(F.col("d")))
+    open_ = _relabelled(far, components(found), "open-regions")
     turn = 0
     while (most := open_.agg(F.max("c")).first()[0] or 0) > REGION:
         turn += 1
         # About eight new pivots for each large region; compared with all others
         # of it, they are done there.
         chosen = (F.col("c") > REGION) & (F.pmod(F.xxhash64(F.lit(turn), "h1"), F.lit(1 << 20)) * F.col("c") < (8 << 20))
-        more = compared(_cross_pairs(open_.filter(chosen), open_.filter(F.col("c") > REGION), percent), sets, "pivot-distances")
+        more = compare(_cross_pairs(open_.filter(chosen), open_.filter(F.col("c") > REGION), percent))
         found = written(found.unionAll(_linked(more, percent)), "links")
         open_ = _relabelled(open_.filter(~chosen), components(found), "open-regions")
     if most:
-        rest = _cross_pairs(open_, open_, percent)
-        done = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        found = found.unionAll(_linked(compared(rest.join(done, ["a", "b"], "left_anti"), sets, "pair-overlaps"), percent))
+        done = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        rest = _cross_pairs(open_, open_, percent).join(done, ["a", "b"], "left_anti")
+        found = found.unionAll(_linked(compare(rest), percent))
     return found
 
 
@@ -306,11 +334,8 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     shared = seen.filter("c IS NOT NULL").groupBy("shingle").agg(F.sum("c").alias("c")).filter(F.col("c") >= SHARED)
     late = shared.orderBy(F.desc("c"), "shingle").limit(LATE).select("shingle").toPandas()["shingle"].to_numpy(np.int64)
     found = links(texts, classes, np.sort(late), seed, width, percent)
-    label = F.col("h1")
-    if found is not None:
-        rows = rows.join(components(found).withColumnRenamed("node", "h1"), "h1", "left")
-        label = F.coalesce("label", "h1")
-    rows = written(rows.select("doc_id", "n", label.alias("label")), "labelled")
+    rows = rows.join(components(found).withColumnRenamed("node", "h1"), "h1", "left")
+    rows = written(rows.select("doc_id", "n", F.coalesce("label", "h1").alias("label")), "labelled")
     groups = rows.filter("n > 0").groupBy("label").agg(F.min("doc_id").alias("least"), F.count("*").alias("c")).filter("c > 1")
     small = written(groups.select("label", "least"), "component-ids")
     return rows.join(small, "label", "left").select(
