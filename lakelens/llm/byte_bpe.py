@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakelens.llm.common import table
-from lakelens.llm.packing import CACHE, SLICE, slices
+from lakelens.llm.packing import CACHE, slices
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 NONE = np.int32(2**31 - 1)
@@ -211,13 +211,12 @@ def bpe_encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = TextEncoder(ranks, pattern)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for begin, stop in slices(texts, SLICE):
-                found = encoder(texts[begin:stop])
+            for begin, texts in slices(batch.column(1)):
+                found = encoder(texts)
                 offsets = np.zeros(len(found) + 1, np.int32)
                 np.cumsum([len(x) // 4 for x in found], out=offsets[1:])
                 values = pa.array(np.frombuffer(b"".join(found), "<i4"))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, stop - begin), pa.ListArray.from_arrays(pa.array(offsets), values)],
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, len(texts)), pa.ListArray.from_arrays(pa.array(offsets), values)],
                                                  names=["doc_id", "ids"])
 
     return rows.mapInArrow(encode, "doc_id long, ids array<int>")

@@ -18,10 +18,13 @@ word shingles. Jaccard distance is a metric, and the join divides its space:
    Before sets are compared, the number of regions that two sets share decides
    most pairs: of the prefix that ends first, at most ``n - overlap`` shingles can
    be missing from the other set, so linked sets share all its other regions.
-3. *Recursion.* Regions that still hold several components choose new pivots
-   until they are small; then the pairs between components that pass the
-   triangle inequality (|d(x, p) - d(y, p)| <= radius) and the size window are
-   compared. Nothing is left out: the join is exact.
+3. *Recursion.* Large regions that still hold several components choose new
+   pivots as long as that merges components, and are then divided by size classes:
+   two sets without a small region in common must share so many large ones (a
+   bound by their size classes) that each needs to be in all but that many of its
+   own. Inside a region the pairs between components that pass the triangle
+   inequality (|d(x, p) - d(y, p)| <= radius) and the size window are compared.
+   Nothing is left out: the join is exact.
 
 Sets are kept as 64-bit shingle hashes (two shingles of one compared pair collide
 with a probability below 1e-12); equal sets are found by 128 bits, and a clash of
@@ -51,12 +54,13 @@ from lakelens.llm.packing import slices
 
 WIDTH = 5
 PERCENT = 75
-BLOCK = 1 << 22  # shingles counted at once inside a task
+BLOCK = 1 << 21  # shingles counted at once inside a task
 SHARED = 32  # a shingle seen this often within blocks comes late in the order
 LATE = 1 << 20  # shingles that the order hint holds at most (8 MB)
 BITS = 25  # size of the bit map that selects documents by id (4 MB)
-REGION = 256  # larger regions choose new pivots before pairs are compared
-CACHE = 400_000
+REGION = 256  # larger open regions choose new pivots, then divide by size classes
+STEP = 1.05  # ratio of neighbouring size classes
+CACHE = 200_000
 EVEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -112,9 +116,8 @@ def prefix_length(n: int, percent: int) -> int:
 
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
     for batch in batches:
-        ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        for begin, stop in slices(texts):
-            yield ids[begin:stop], texts[begin:stop]
+        for begin, texts in slices(batch.column(1)):
+            yield batch.column(0).slice(begin, len(texts)).to_pylist(), texts
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
@@ -247,6 +250,8 @@ class Comparer:
     def __call__(self, pairs: DataFrame) -> DataFrame:
         """(a, b, na, nb, both), written, for the pairs that may link."""
         pairs = written(self.possible(pairs), "possible-pairs")
+        if pairs.isEmpty():
+            return pairs.withColumn("both", F.lit(0))
         members = written(pairs.select(F.col("a").alias("h1")).unionAll(pairs.select(F.col("b").alias("h1"))).distinct(), "members")
         bits = id_bits(self.classes.join(members, "h1", "left_semi").select("doc_id"))
         sets = written(shingle_sets(self.texts, bits, self.seed, self.width).join(members, "h1", "left_semi"), "shingle-sets")
@@ -280,6 +285,27 @@ def _cross_pairs(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
             F.struct(F.col("b").alias("a"), F.col("a").alias("b"), F.col("nb").alias("na"), F.col("na").alias("nb"))).alias("p")).select("p.*").distinct()
 
 
+def _by_size_class(rows: DataFrame, percent: int) -> DataFrame:
+    """Rows of large regions, dealt to sub-regions (key, lower class, upper class).
+
+    ``m`` is the least number of regions that a set shares with a linked set of the
+    other class; of its ``l`` large regions the smallest ``l - m + 1`` must then
+    hold a shared one."""
+    steps = int(np.ceil(np.log(100 / percent) / np.log(STEP))) + 1
+    mine = Window.partitionBy("h1")
+    ranked = rows.withColumn("l", F.count("*").over(mine)).withColumn("rank", F.row_number().over(mine.orderBy("c", "key")))
+    ranked = ranked.withColumn("size", F.floor(F.log("n") / float(np.log(STEP))).cast("int"))
+    dealt = ranked.select("*", F.explode(F.sequence(F.col("size") - steps, F.col("size") + steps)).alias("other"))
+    low, high = F.pow(F.lit(STEP), F.col("other")) * (1 - 1e-9), F.pow(F.lit(STEP), F.col("other") + 1) * (1 + 1e-9)
+    share, n = percent / (100 + percent), F.col("n")
+    here_first = n * (1 - percent / 100) - n + share * (n + low)
+    other_first = high * (1 - percent / 100) - high + share * (n + high)
+    m = F.greatest(F.floor(F.least(here_first, other_first)) - 1, F.lit(1))
+    kept = dealt.filter(F.col("rank") <= F.col("l") - m + 1)
+    return kept.withColumn("key", F.struct("key", F.least("size", "other").alias("lo"), F.greatest("size", "other").alias("hi"))).withColumn(
+        "side", F.when(F.col("size") == F.col("other"), F.lit(None)).otherwise(F.col("size") < F.col("other"))).drop("l", "rank", "size", "other")
+
+
 def links(texts: DataFrame, classes: DataFrame, late: np.ndarray, seed: int, width: int, percent: int) -> DataFrame:
     """(a, b): enough links between different sets (by h1) to give all components."""
     regions_of = written(replicated(texts, late, seed, width, percent), "region-keys")
@@ -305,20 +331,25 @@ def links(texts: DataFrame, classes: DataFrame, late: np.ndarray, seed: int, wid
     distances = first.select(F.col("a").alias("h1"), F.col("b").alias("p"), (1 - F.col("both") / union).alias("d")).distinct()
     far = regions.join(distances, ["h1", "p"], "left").withColumn("d", F.when(F.col("h1") == F.col("p"), F.lit(0.0)).otherwise(F.col("d")))
     open_ = _relabelled(far, components(found), "open-regions")
-    turn = 0
-    while (most := open_.agg(F.max("c")).first()[0] or 0) > REGION:
+    turn, progress = 0, True
+    while (rows := (large := open_.filter(F.col("c") > REGION)).count()) and progress:
         turn += 1
-        # About eight new pivots for each large region; compared with all others
-        # of it, they are done there.
-        chosen = (F.col("c") > REGION) & (F.pmod(F.xxhash64(F.lit(turn), "h1"), F.lit(1 << 20)) * F.col("c") < (8 << 20))
-        more = compare(_cross_pairs(open_.filter(chosen), open_.filter(F.col("c") > REGION), percent))
-        found = written(found.unionAll(_linked(more, percent)), "links")
-        open_ = _relabelled(open_.filter(~chosen), components(found), "open-regions")
-    if most:
-        done = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        rest = _cross_pairs(open_, open_, percent).join(done, ["a", "b"], "left_anti")
-        found = found.unionAll(_linked(compare(rest), percent))
-    return found
+        orders = [F.xxhash64(F.lit(turn), F.lit(i), "h1") for i in range(4)]
+        row = F.struct("h1", "n", "root", "d")
+        new = large.groupBy("key").agg(F.array(*[F.min_by(row, order) for order in orders]).alias("p"))
+        more = _linked(compare(_cross_pairs(new.select("key", F.explode("p").alias("p")).select("key", "p.*"), large, percent)), percent)
+        progress = more.count() * 100 > found.count()
+        found = written(found.unionAll(more), "links")
+        open_ = _relabelled(open_, components(found), "open-regions")
+    done = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    small = open_.filter(F.col("c") <= REGION)
+    rest = _cross_pairs(small, small, percent)
+    if rows:
+        parts = written(_by_size_class(large, percent), "size-classes")
+        for left, right in (("side IS NULL", "side IS NULL"), ("side", "NOT side")):
+            rest = rest.unionAll(_cross_pairs(parts.filter(left), parts.filter(right), percent))
+        rest = rest.distinct()
+    return found.unionAll(_linked(compare(rest.join(done, ["a", "b"], "left_anti")), percent))
 
 
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,

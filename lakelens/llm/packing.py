@@ -21,6 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -31,8 +32,8 @@ WINDOW = 2048
 RUN = 1 << 16
 END_ID = 1
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
-CACHE = 300_000  # chunks whose ids a task remembers
-SLICE = 4 << 20  # characters tokenised before a batch is handed on
+CACHE = 200_000  # chunks whose ids a task remembers
+SLICE = 1 << 20  # bytes of text handled before a batch is handed on
 
 
 class ChunkTokenizer:
@@ -66,16 +67,16 @@ class ChunkTokenizer:
         return out
 
 
-def slices(texts: list[str | None], most: int = SLICE) -> Iterator[tuple[int, int]]:
-    """Ranges of ``texts`` of about ``most`` characters."""
-    begin = held = 0
-    for i, text in enumerate(texts):
-        held += len(text or "")
-        if held >= most:
-            yield begin, i + 1
-            begin, held = i + 1, 0
-    if begin < len(texts):
-        yield begin, len(texts)
+def slices(texts: pa.Array, most: int = SLICE) -> Iterator[tuple[int, list[str]]]:
+    """(begin, texts) of consecutive parts of a column of about ``most`` bytes, so
+    that Python objects exist for one part at a time."""
+    ends = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False))
+    begin = 0
+    while begin < len(ends):
+        held = ends[begin - 1] if begin else 0
+        stop = max(begin + 1, int(np.searchsorted(ends, held + most, side="right")))
+        yield begin, texts.slice(begin, stop - begin).to_pylist()
+        begin = stop
 
 
 def tokenised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
@@ -91,10 +92,9 @@ def tokenised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", v
         encode, part, at = ChunkTokenizer(vocabulary), TaskContext.get().partitionId(), 0
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for begin, stop in slices(texts):
-                out = []
-                for doc, data in zip(ids[begin:stop], encode(texts[begin:stop]), strict=True):
+            for begin, texts in slices(batch.column(1)):
+                out, ids = [], batch.column(0).slice(begin, len(texts)).to_pylist()
+                for doc, data in zip(ids, encode(texts), strict=True):
                     data += end
                     total = len(data) // 4
                     for start in range(0, total, RUN):

@@ -31,13 +31,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakelens.llm.common import table
+from lakelens.llm.packing import slices
 
 CHAIN = 512
 TRAIN_ROWS = 1500
 TRAIN_BYTES = 20_000
 EPOCHS = 3
 DOUBT = 0.1
-CACHE = 400_000
+CACHE = 200_000
 CELLS = 1 << 20  # tokens scored at once
 
 
@@ -253,16 +254,14 @@ def toxicity(docs: DataFrame, model: Crf | None, id_col: str = "doc_id", text_co
         model = shipped.value
         known: dict[str, float] = {}
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for begin, stop in _slices(texts):
-                part = texts[begin:stop]
+            for begin, part in slices(batch.column(1)):
                 if model is None:
                     scores, spans = np.zeros(len(part)), [[] for _ in part]
                 else:
                     if len(known) > CACHE:
                         known = {}
                     scores, spans = score_texts(model, part, known)
-                same = batch.slice(begin, stop - begin)
+                same = batch.slice(begin, len(part))
                 columns = {"doc_id": same.column(0), "score": pa.array(scores, pa.float64()), "spans": pa.array(spans, pa.list_(span))}
                 yield pa.RecordBatch.from_pydict(columns | ({"record": same.column(2)} if keep else {}))
 
@@ -270,15 +269,6 @@ def toxicity(docs: DataFrame, model: Crf | None, id_col: str = "doc_id", text_co
     return rows.mapInArrow(score, rows.select("doc_id", F.lit(0.0).alias("score"), none.alias("spans"), *rows.columns[2:]).schema)
 
 
-def _slices(texts: list[str], most: int = 4 << 20) -> Iterator[tuple[int, int]]:
-    begin = held = 0
-    for i, text in enumerate(texts):
-        held += len(text)
-        if held >= most or i + 1 == len(texts):
-            yield begin, i + 1
-            begin, held = i + 1, 0
-
-
 def score_texts(model: Crf, texts: list[str], known: dict[str, float]) -> tuple[np.ndarray, list[list[tuple]]]:
     tokens = [t.split() for t in texts]
     for token in set().union(*tokens).difference(known):
