@@ -272,17 +272,26 @@ def _relabelled(rows: DataFrame, labels: DataFrame, name: str) -> DataFrame:
     return written(known.drop("c").join(split.filter("lo <> hi").select("key", "c"), "key"), name)
 
 
-def _cross_pairs(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a region in different components, within the windows."""
+def _cross_pairs(left: DataFrame, right: DataFrame, percent: int, same: bool = False) -> DataFrame:
+    """Pairs of a region in different components, within the windows, and in how
+    many regions they met; ``same``: both sides are the same rows."""
     a = left.select("key", F.col("h1").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"), F.col("d").alias("da"))
     b = right.select("key", F.col("h1").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"), F.col("d").alias("db"))
     apart = F.coalesce(F.abs(F.col("da") - F.col("db")), F.lit(0.0))
     met = a.join(b, "key").filter((F.col("ra") != F.col("rb")) & _near_size(F.col("na"), F.col("nb"), percent)
                                   & (apart <= 1 - percent / 100 + 1e-9))
     low, high = F.col("a") < F.col("b"), F.col("a") > F.col("b")
-    return met.filter(low | high).select(
+    ordered = met.filter(low if same else low | high).select(
         F.when(low, F.struct("a", "b", "na", "nb")).otherwise(
-            F.struct(F.col("b").alias("a"), F.col("a").alias("b"), F.col("nb").alias("na"), F.col("na").alias("nb"))).alias("p")).select("p.*").distinct()
+            F.struct(F.col("b").alias("a"), F.col("a").alias("b"), F.col("nb").alias("na"), F.col("na").alias("nb"))).alias("p"))
+    return ordered.groupBy("p.a", "p.b", "p.na", "p.nb").agg(F.count("*").alias("shared"))
+
+
+def least_shared(na: Column, nb: Column, percent: int) -> Column:
+    """Regions that linked sets of these sizes share at least, whichever ends first."""
+    overlap = F.ceil(percent * (na + nb) / (100 + percent) - 1e-6)
+    need = lambda n: overlap - F.floor((percent * n + 99) / 100) + 1
+    return F.least(need(na), need(nb))
 
 
 def _by_size_class(rows: DataFrame, percent: int) -> DataFrame:
@@ -343,12 +352,23 @@ def links(texts: DataFrame, classes: DataFrame, late: np.ndarray, seed: int, wid
         open_ = _relabelled(open_, components(found), "open-regions")
     done = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     small = open_.filter(F.col("c") <= REGION)
-    rest = _cross_pairs(small, small, percent)
+    rest = _cross_pairs(small, small, percent, same=True)
+    need = least_shared(F.col("na"), F.col("nb"), percent)
     if rows:
+        # What a pair shares: the small regions it was met in, and at most all
+        # large regions of either side.
+        held = large.groupBy("h1").agg(F.count("*").alias("l"))
+        side = lambda x: held.select(F.col("h1").alias(x), F.col("l").alias(f"l{x}"))
+        with_large = lambda pairs: pairs.join(side("a"), "a", "left").join(side("b"), "b", "left").withColumn(
+            "most", F.when(F.col("la").isNotNull() & F.col("lb").isNotNull(), F.least("la", "lb")).otherwise(0))
         parts = written(_by_size_class(large, percent), "size-classes")
+        rest = with_large(rest).filter(F.col("shared") + F.col("most") >= need).select("a", "b", "na", "nb")
         for left, right in (("side IS NULL", "side IS NULL"), ("side", "NOT side")):
-            rest = rest.unionAll(_cross_pairs(parts.filter(left), parts.filter(right), percent))
+            met = _cross_pairs(parts.filter(left), parts.filter(right), percent)
+            rest = rest.unionAll(with_large(met).filter(F.col("most") >= need).select("a", "b", "na", "nb"))
         rest = rest.distinct()
+    else:
+        rest = rest.filter(F.col("shared") >= need)
     return found.unionAll(_linked(compare(rest.join(done, ["a", "b"], "left_anti")), percent))
 
 
