@@ -32,7 +32,7 @@ WINDOW = 2048
 RUN = 1 << 16
 END_ID = 1
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
-CACHE = 200_000  # chunks whose ids a task remembers
+CACHE = 1_000_000  # chunks whose ids a Python worker remembers (some 200 MB)
 SLICE = 1 << 20  # bytes of text handled before a batch is handed on
 
 
@@ -55,18 +55,26 @@ class ChunkTokenizer:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         parts = [t.split(" ") for t in texts]
-        if len(self.known) > CACHE:
-            self.known = {"": b""}
         new = list(set().union(*parts).difference(self.known))
         for i in range(0, len(new), 4096):
             self.known.update(zip(new[i:i + 4096], self._ids(new[i:i + 4096]), strict=True))
         out = [b"".join(map(self.known.__getitem__, p)) for p in parts]
-        for chunk in new:  # long chunks hardly repeat
-            if len(chunk) > 64:
+        full = len(self.known) > CACHE
+        for chunk in new:  # frequent chunks came first, long ones hardly repeat
+            if full or len(chunk) > 64:
                 del self.known[chunk]
         return out
 
 
+_ENCODERS: dict[str, ChunkTokenizer] = {}  # of a Python worker: later tasks find its chunks
+
+
+def encoder(vocabulary: str) -> ChunkTokenizer:
+    if vocabulary not in _ENCODERS:
+        _ENCODERS[vocabulary] = ChunkTokenizer(vocabulary)
+    return _ENCODERS[vocabulary]
+
+
 def slices(texts: pa.Array, most: int = SLICE) -> Iterator[tuple[int, list[str]]]:
     """(begin, texts) of consecutive parts of a column of about ``most`` bytes, so
     that Python objects exist for one part at a time."""
@@ -89,7 +97,7 @@ def tokenised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", v
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encode, part, at = ChunkTokenizer(vocabulary), TaskContext.get().partitionId(), 0
+        encode, part, at = encoder(vocabulary), TaskContext.get().partitionId(), 0
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             for begin, texts in slices(batch.column(1)):
