@@ -2,11 +2,12 @@
 
 Labels exist per document, so training tokens are labelled first: word and stem
 features that toxic documents have in many contexts and clean ones (nearly) never
-are signs, and tokens of toxic documents with such a feature are labelled toxic. A two-state CRF (word, stem and ending features, transitions) is fitted
-to these sequences. At scoring time forward-backward gives each token's
-marginal; a document's score is a logistic function of the sum (of those that are
-not negligible) and the maximum of its marginals; tokens over one half, and a toxic document's highest, are its
-offending spans.
+are signs, and tokens of toxic documents with such a feature are labelled toxic.
+A two-state CRF (word, stem and ending features, transitions) is fitted to these
+sequences. At scoring time forward-backward gives each token's marginal; a
+document's score is a logistic function of the sum (of those that are not
+negligible) and the maximum of its marginals. Tokens over one half, and a toxic
+document's highest, are its offending spans.
 
 A chain has at most ``CHAIN`` tokens: longer texts are several chains, all of
 which count. The sample for the fit is bounded: ``TRAIN_ROWS`` labelled rows per
