@@ -48,7 +48,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from lakelens.llm.common import table, written
+from lakelens.llm.common import small_batches, table, written
 from lakelens.llm.components import components
 from lakelens.llm.packing import slices
 
@@ -58,6 +58,7 @@ BLOCK = 1 << 21  # shingles counted at once inside a task
 SHARED = 32  # a shingle seen this often within blocks comes late in the order
 LATE = 1 << 20  # shingles that the order hint holds at most (8 MB)
 BITS = 25  # size of the bit map that selects documents by id (4 MB)
+EVIDENCE = 4  # member and pivot are compared first if they met in a 1 / EVIDENCE of the regions that linked sets share
 REGION = 256  # larger open regions choose new pivots, then divide by size classes
 STEP = 1.05  # ratio of neighbouring size classes
 CACHE = 200_000
@@ -318,22 +319,29 @@ def _by_size_class(rows: DataFrame, percent: int) -> DataFrame:
 def links(texts: DataFrame, classes: DataFrame, late: np.ndarray, seed: int, width: int, percent: int) -> DataFrame:
     """(a, b): enough links between different sets (by h1) to give all components."""
     regions_of = written(replicated(texts, late, seed, width, percent), "region-keys")
-    sizes = regions_of.select("h1", "n").distinct()
-    early = regions_of.select(F.explode("early").alias("key"), "h1")
-    here = Window.partitionBy("key")
-    early = early.withColumn("p", F.min("h1").over(here)).withColumn("last", F.max("h1").over(here)).filter("p <> last").drop("last")
+    early = regions_of.select(F.explode("early").alias("key"), "h1", "n").repartition("key").distinct()
+    # Sets of a region whose next smaller and next larger set are too far off in size
+    # have no partner there.
+    here = Window.partitionBy("key").orderBy("n", "h1")
+    near = [F.coalesce(_near_size(F.col("n"), step("n").over(here), percent), F.lit(False)) for step in (F.lag, F.lead)]
+    early = early.withColumn("near", near[0] | near[1]).filter("near").drop("near")
+    early = early.withColumn("p", F.min(F.struct("h1", "n")).over(Window.partitionBy("key")))
     # Only shared shingles can be hot: their pivots are found by a map-side sum,
     # and there are at most LATE of them.
-    hot = regions_of.select(F.explode("late").alias("key"), "h1")
-    pivots = hot.groupBy("key").agg(F.min("h1").alias("p"), F.max("h1").alias("last")).filter("p <> last").drop("last")
-    placed = written(early.unionAll(hot.join(F.broadcast(pivots), "key").select("key", "h1", "p")).distinct(), "region-rows")
-    regions = written(placed.join(sizes, "h1"), "regions")
+    hot = regions_of.select(F.explode("late").alias("key"), "h1", "n")
+    pivots = hot.groupBy("key").agg(F.min(F.struct("h1", "n")).alias("p"), F.max("h1").alias("last")).filter("p.h1 <> last").drop("last")
+    hot = hot.join(F.broadcast(pivots), "key").select("key", "h1", "n", "p").distinct()
+    regions = written(early.unionAll(hot).select("key", "h1", "n", F.col("p.h1").alias("p"), F.col("p.n").alias("np")), "regions")
     ends = regions_of.select("h1", "end_late", "end").distinct()
     keys = written(regions.groupBy("h1").agg(F.collect_list("key").alias("keys")).join(ends, "h1"), "shared-keys")
     compare = Comparer(texts, classes, keys, seed, width, percent)
 
-    stars = regions.filter("h1 <> p").select(F.col("h1").alias("a"), F.col("p").alias("b"), F.col("n").alias("na")).distinct()
-    stars = stars.join(sizes.select(F.col("h1").alias("b"), F.col("n").alias("nb")), "b").filter(_near_size(F.col("na"), F.col("nb"), percent))
+    # A region's pivot may be there by chance. Pairs that met as member and pivot in
+    # too few regions are left to the comparison inside the regions.
+    pair = (F.col("h1").alias("a"), F.col("p").alias("b"), F.col("n").alias("na"), F.col("np").alias("nb"))
+    stars = regions.filter("h1 <> p").groupBy(*pair).agg(F.count("*").alias("shared"))
+    likely = F.col("shared") * EVIDENCE >= least_shared(F.col("na"), F.col("nb"), percent)
+    stars = written(stars.filter(_near_size(F.col("na"), F.col("nb"), percent) & likely).drop("shared"), "stars")
     first = compare(stars)
     found = _linked(first, percent)
     union = F.col("na") + F.col("nb") - F.col("both")
@@ -375,7 +383,11 @@ def links(texts: DataFrame, classes: DataFrame, late: np.ndarray, seed: int, wid
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
                      percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs``."""
-    texts = _texts(docs, id_col, text_col)
+    with small_batches(docs.sparkSession):
+        return _components(_texts(docs, id_col, text_col), width, percent)
+
+
+def _components(texts: DataFrame, width: int, percent: int) -> DataFrame:
     for seed in range(100):
         seen = written(profile(texts, seed, width), "shingle-profile")
         rows = seen.filter("c IS NULL").select("doc_id", "n", "h1", "h2")
