@@ -323,8 +323,8 @@ def links(texts: DataFrame, classes: DataFrame, late: np.ndarray, seed: int, wid
     # Sets of a region whose next smaller and next larger set are too far off in size
     # have no partner there.
     here = Window.partitionBy("key").orderBy("n", "h1")
-    near = [F.coalesce(_near_size(F.col("n"), step("n").over(here), percent), F.lit(False)) for step in (F.lag, F.lead)]
-    early = early.withColumn("near", near[0] | near[1]).filter("near").drop("near")
+    beside = [F.coalesce(step("n").over(here), F.lit(0)) for step in (F.lag, F.lead)]
+    early = early.withColumn("near", _near_size(F.col("n"), beside[0], percent) | _near_size(F.col("n"), beside[1], percent)).filter("near").drop("near")
     early = early.withColumn("p", F.min(F.struct("h1", "n")).over(Window.partitionBy("key")))
     # Only shared shingles can be hot: their pivots are found by a map-side sum,
     # and there are at most LATE of them.
