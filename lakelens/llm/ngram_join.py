@@ -18,6 +18,9 @@ word shingles. Jaccard distance is a metric, and the join divides its space:
    Before sets are compared, the number of regions that two sets share decides
    most pairs: of the prefix that ends first, at most ``n - overlap`` shingles can
    be missing from the other set, so linked sets share all its other regions.
+   A set keeps, for each class of partner sizes, only the right to partners that
+   enough of its regions hold (a bound by the classes), and leaves regions in which
+   it has no such right; sets that merely quote a common passage go here, unpaired.
 3. *Recursion.* Large regions that still hold several components choose new
    pivots as long as that merges components, and are then divided by size classes:
    two sets without a small region in common must share so many large ones (a
@@ -61,6 +64,7 @@ BITS = 25  # size of the bit map that selects documents by id (4 MB)
 EVIDENCE = 4  # member and pivot are compared first if they met in a 1 / EVIDENCE of the regions that linked sets share
 REGION = 256  # larger open regions choose new pivots, then divide by size classes
 STEP = 1.05  # ratio of neighbouring size classes
+PRUNE = 2  # rounds in which sets leave regions that hold no partner for them (a saving: any number gives the same links)
 CACHE = 200_000
 EVEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -273,13 +277,53 @@ def _relabelled(rows: DataFrame, labels: DataFrame, name: str) -> DataFrame:
     return written(known.drop("c").join(split.filter("lo <> hi").select("key", "c"), "key"), name)
 
 
+def _reach(percent: int) -> int:
+    """Size classes that linked sets may lie apart."""
+    return int(np.ceil(np.log(100 / percent) / np.log(STEP))) + 1
+
+
+def _size_class(n: Column) -> Column:
+    return F.floor(F.log(n) / float(np.log(STEP))).cast("int")
+
+
+def _least_of_class(n: Column, other: Column, percent: int) -> Column:
+    """Regions that a set of ``n`` shares at least with a linked set of class ``other``."""
+    low, high = F.pow(F.lit(STEP), other) * (1 - 1e-9), F.pow(F.lit(STEP), other + 1) * (1 + 1e-9)
+    share = percent / (100 + percent)
+    here_first = share * (n + low) - n * percent / 100
+    other_first = share * (n + high) - high * percent / 100
+    return F.greatest(F.floor(F.least(here_first, other_first)) - 1, F.lit(1))
+
+
+def _supported(rows: DataFrame, percent: int) -> DataFrame:
+    """Rows (key, h1, n, root, d, size, mask) of sets that may have partners in the
+    region: bit i of ``mask`` says that partners of class ``size - reach + i`` lie in
+    as many of the set's regions as linked sets of these classes share at least."""
+    reach = _reach(percent)
+    rows = rows.select("key", "h1", "n", "root", "d", _size_class(F.col("n")).alias("size"))
+    # Classes count modulo 64: two that far apart only weaken the bound.
+    bit = F.expr("shiftleft(1L, pmod(size, 64))")
+    here = rows.groupBy("key", "size").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).groupBy("key").agg(
+        F.bit_or(bit).alias("any"), F.bit_or(F.when(F.col("lo") != F.col("hi"), bit).otherwise(0)).alias("several"))
+    seen = [F.expr(f"cast(shiftright({'any' if i else 'several'}, pmod(size + ({i}), 64)) & 1 AS int)") for i in range(-reach, reach + 1)]
+    near = sum((x * (1 << i) for i, x in enumerate(seen)), F.lit(0))
+    met = written(rows.join(here, "key").select("key", "h1", "n", "root", "d", "size", near.alias("near")).filter("near <> 0"), "classes-met")
+    counts = met.groupBy("h1", "n", "size").agg(*[F.sum(F.expr(f"shiftright(near, {i}) & 1")).alias(f"c{i}") for i in range(2 * reach + 1)])
+    mask = sum((F.when(F.col(f"c{i}") >= _least_of_class(F.col("n"), F.col("size") - reach + i, percent), F.lit(1 << i)).otherwise(F.lit(0))
+                for i in range(2 * reach + 1)), F.lit(0))
+    rights = counts.select("h1", mask.alias("mask")).filter("mask <> 0")
+    return met.join(rights, "h1").filter("(near & mask) <> 0").drop("near")
+
+
 def _cross_pairs(left: DataFrame, right: DataFrame, percent: int, same: bool = False) -> DataFrame:
     """Pairs of a region in different components, within the windows, and in how
     many regions they met; ``same``: both sides are the same rows."""
-    a = left.select("key", F.col("h1").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"), F.col("d").alias("da"))
-    b = right.select("key", F.col("h1").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"), F.col("d").alias("db"))
+    a = left.select("key", F.col("h1").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"), F.col("d").alias("da"), F.col("size").alias("sa"), F.col("mask").alias("ma"))
+    b = right.select("key", F.col("h1").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"), F.col("d").alias("db"), F.col("size").alias("sb"), F.col("mask").alias("mb"))
     apart = F.coalesce(F.abs(F.col("da") - F.col("db")), F.lit(0.0))
-    met = a.join(b, "key").filter((F.col("ra") != F.col("rb")) & _near_size(F.col("na"), F.col("nb"), percent)
+    reach = _reach(percent)
+    rights = F.expr(f"abs(sa - sb) <= {reach} AND shiftright(ma, sb - sa + {reach}) & shiftright(mb, sa - sb + {reach}) & 1 = 1")
+    met = a.join(b, "key").filter((F.col("ra") != F.col("rb")) & rights & _near_size(F.col("na"), F.col("nb"), percent)
                                   & (apart <= 1 - percent / 100 + 1e-9))
     low, high = F.col("a") < F.col("b"), F.col("a") > F.col("b")
     ordered = met.filter(low if same else low | high).select(
@@ -301,19 +345,15 @@ def _by_size_class(rows: DataFrame, percent: int) -> DataFrame:
     ``m`` is the least number of regions that a set shares with a linked set of the
     other class; of its ``l`` large regions the smallest ``l - m + 1`` must then
     hold a shared one."""
-    steps = int(np.ceil(np.log(100 / percent) / np.log(STEP))) + 1
+    reach = _reach(percent)
     mine = Window.partitionBy("h1")
     ranked = rows.withColumn("l", F.count("*").over(mine)).withColumn("rank", F.row_number().over(mine.orderBy("c", "key")))
-    ranked = ranked.withColumn("size", F.floor(F.log("n") / float(np.log(STEP))).cast("int"))
-    dealt = ranked.select("*", F.explode(F.sequence(F.col("size") - steps, F.col("size") + steps)).alias("other"))
-    low, high = F.pow(F.lit(STEP), F.col("other")) * (1 - 1e-9), F.pow(F.lit(STEP), F.col("other") + 1) * (1 + 1e-9)
-    share, n = percent / (100 + percent), F.col("n")
-    here_first = n * (1 - percent / 100) - n + share * (n + low)
-    other_first = high * (1 - percent / 100) - high + share * (n + high)
-    m = F.greatest(F.floor(F.least(here_first, other_first)) - 1, F.lit(1))
+    dealt = ranked.select("*", F.explode(F.sequence(F.col("size") - reach, F.col("size") + reach)).alias("other"))
+    dealt = dealt.filter(F.expr(f"shiftright(mask, other - size + {reach}) & 1 = 1"))
+    m = _least_of_class(F.col("n"), F.col("other"), percent)
     kept = dealt.filter(F.col("rank") <= F.col("l") - m + 1)
     return kept.withColumn("key", F.struct("key", F.least("size", "other").alias("lo"), F.greatest("size", "other").alias("hi"))).withColumn(
-        "side", F.when(F.col("size") == F.col("other"), F.lit(None)).otherwise(F.col("size") < F.col("other"))).drop("l", "rank", "size", "other")
+        "side", F.when(F.col("size") == F.col("other"), F.lit(None)).otherwise(F.col("size") < F.col("other"))).drop("l", "rank", "other")
 
 
 def links(texts: DataFrame, classes: DataFrame, late: np.ndarray, seed: int, width: int, percent: int) -> DataFrame:
@@ -347,12 +387,15 @@ def links(texts: DataFrame, classes: DataFrame, late: np.ndarray, seed: int, wid
     union = F.col("na") + F.col("nb") - F.col("both")
     distances = first.select(F.col("a").alias("h1"), F.col("b").alias("p"), (1 - F.col("both") / union).alias("d")).distinct()
     far = regions.join(distances, ["h1", "p"], "left").withColumn("d", F.when(F.col("h1") == F.col("p"), F.lit(0.0)).otherwise(F.col("d")))
-    open_ = _relabelled(far, components(found), "open-regions")
+    labels = components(found)
+    open_ = _relabelled(far, labels, "open-regions")
+    for _ in range(PRUNE):
+        open_ = _relabelled(_supported(open_, percent), labels, "open-regions")
     turn, progress = 0, True
     while (rows := (large := open_.filter(F.col("c") > REGION)).count()) and progress:
         turn += 1
         orders = [F.xxhash64(F.lit(turn), F.lit(i), "h1") for i in range(4)]
-        row = F.struct("h1", "n", "root", "d")
+        row = F.struct("h1", "n", "root", "d", "size", "mask")
         new = large.groupBy("key").agg(F.array(*[F.min_by(row, order) for order in orders]).alias("p"))
         more = _linked(compare(_cross_pairs(new.select("key", F.explode("p").alias("p")).select("key", "p.*"), large, percent)), percent)
         progress = more.count() * 100 > found.count()
