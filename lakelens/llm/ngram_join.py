@@ -64,7 +64,7 @@ BITS = 25  # size of the bit map that selects documents by id (4 MB)
 EVIDENCE = 4  # member and pivot are compared first if they met in a 1 / EVIDENCE of the regions that linked sets share
 REGION = 256  # larger open regions choose new pivots, then divide by size classes
 STEP = 1.05  # ratio of neighbouring size classes
-PRUNE = 2  # rounds in which sets leave regions that hold no partner for them (a saving: any number gives the same links)
+PRUNE = 1  # rounds in which sets leave regions that hold no partner for them (a saving: any number gives the same links)
 CACHE = 200_000
 EVEN = np.uint64(0x9E3779B97F4A7C15)
 
