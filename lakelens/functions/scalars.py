@@ -12,15 +12,15 @@ def col_of(c) -> Column:
 
 
 # Fixed patterns: text shapes that parse as integers / floating point numbers.
-INT_TEXT_RE = r"^\s*[+-]?\d{1,18}\s*$"
+INT_TEXT_RE = r"^\s*[+-]?\d+\s*$"
 NUM_TEXT_RE = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 def text_to_long(c) -> Column:
-    """String -> long, null when not an integer. The shape is tested with a
-    regex first: a failing try_cast costs an exception per row."""
+    """String -> long, null when not an integer or out of range. The shape is
+    tested with a regex first, so that only integers meet try_cast."""
     x = col_of(c)
-    return F.when(x.rlike(INT_TEXT_RE), F.trim(x).cast("long"))
+    return F.when(x.rlike(INT_TEXT_RE), F.trim(x).try_cast("long"))
 
 
 def text_to_double(c) -> Column:
@@ -46,16 +46,17 @@ def non_empty(c) -> Column:
 
 
 def parse_iso8601(c) -> Column:
-    """ISO-8601 text -> timestamp; a trailing offset or 'Z' is replaced by UTC
-    (not converted), bad text -> null."""
-    s = F.regexp_replace(col_of(c), r"(Z|[+-]\d{2}:?\d{2})$", "")
-    s = F.replace(s, F.lit("T"), F.lit(" "))
-    return F.coalesce(
-        F.try_to_timestamp(s, F.lit("yyyy-MM-dd HH:mm:ss.SSSSSS")),
-        F.try_to_timestamp(s, F.lit("yyyy-MM-dd HH:mm:ss.SSS")),
-        F.try_to_timestamp(s, F.lit("yyyy-MM-dd HH:mm:ss")),
-        F.try_to_timestamp(s, F.lit("yyyy-MM-dd")),
-    )
+    """ISO-8601 text (extended or basic form, a fraction of any length, cut to
+    microseconds) -> timestamp; a trailing offset or 'Z' is replaced by UTC (not
+    converted), bad text -> null."""
+    s = F.regexp_replace(col_of(c), r"Z$|(?<=[T ][0-9:.,]{1,40})[+-]\d{2}(:?\d{2}){0,2}$", "")
+    s = F.regexp_replace(s, r"^(\d{4})(\d{2})(\d{2})(?=[T ]|$)", "$1-$2-$3")
+    s = F.regexp_replace(s, r"(?<=[T ])(\d{2})(\d{2})(\d{2})?(?=[.,]|$)", "$1:$2:$3")
+    whole = F.regexp_extract(s, r"^(\d{4}-\d{2}-\d{2})(?:[T ](\d{2})(?::(\d{2}))?(?::(\d{2}))?:?(?:[.,](\d+))?)?$", 0)
+    part = lambda i: F.regexp_extract(whole, r"^(.{10})(?:[T ](\d{2})(?::(\d{2}))?(?::(\d{2}))?:?(?:[.,](\d+))?)?$", i)
+    clock = F.concat_ws(":", *[F.lpad(part(i), 2, "0") for i in (2, 3, 4)])
+    text = F.concat(part(1), F.lit(" "), clock, F.lit("."), F.rpad(part(5), 6, "0"))
+    return F.when(whole != "", F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss.SSSSSS")))
 
 
 def parse_us_datetime(c) -> Column:

@@ -211,11 +211,11 @@ def activity_rows(activities: DataFrame, kinds: Sequence[str]) -> DataFrame:
                              & F.col("email").isNotNull())
 
 
-def extends_chain(views: DataFrame, props: DataFrame, max_depth: int = 16) -> DataFrame:
+def extends_chain(views: DataFrame, props: DataFrame) -> DataFrame:
     """G-7: properties merged along the 'extends' chain (the view itself wins
-    over its ancestors): ancestors by iterative joins, then max_by on order."""
+    over its ancestors); a view whose chain is broken has its own only."""
     from lakelens.operators.graph import ancestor_rows
-    rows = ancestor_rows(views.select(F.col("view").alias("id"), F.col("extends").alias("parent_id")), max_depth=max_depth)
+    rows = ancestor_rows(views.select(F.col("view").alias("id"), F.col("extends").alias("parent_id"))).filter(~F.col("broken") | (F.col("dist") == 0))
     p = props.select(F.col("view").alias("anc"), "key", "value")
     x = rows.join(p, "anc")
     return x.groupBy(F.col("node").alias("view"), "key").agg(F.min_by("value", "dist").alias("value"))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakelens.functions.globs import glob_to_regex
-from lakelens.functions.scalars import INT_TEXT_RE, NUM_TEXT_RE, col_of, text_to_long
+from lakelens.functions.scalars import INT_TEXT_RE, NUM_TEXT_RE, col_of
 
 LABEL_RE = re.compile(r"{\s*(\w+)\s*}")
 PARTITION_RE = re.compile(r"({\s*partition_key\[(\d+)\]\s*}=)?({\s*partition\[(\d+)\]\s*})")
@@ -241,10 +241,19 @@ def partition_types(classified: DataFrame) -> DataFrame:
     return g.select("table_path", "name", resolved.alias("type"), resolved.isNull().alias("conflict"))
 
 
+def integer_order(v: Column) -> Column:
+    """Orders integer texts of any length by value, equal values by text."""
+    digits = F.regexp_replace(v, "^[+-]?0*", "")
+    below = v.startswith("-") & (digits != "")
+    size = F.length(digits)
+    return F.struct(F.when(below, -size).otherwise(size),
+                    F.when(below, F.translate(digits, "0123456789", "9876543210")).otherwise(digits), v)
+
+
 def newest_partition(classified: DataFrame, levels: int) -> DataFrame:
     """S-4 / W-4: per table, descend level by level into the greatest
-    partition value: numerically when every candidate value at that level is
-    an integer, as strings otherwise.
+    partition value: numerically (integers of any length) when every candidate
+    value at that level is an integer, as strings otherwise.
 
     The descent runs on the distinct partition directories (one row per leaf
     directory, not per file), checkpointed once because every level reads it;
@@ -259,7 +268,7 @@ def newest_partition(classified: DataFrame, levels: int) -> DataFrame:
         v = F.get(F.col("partitions"), i)["raw_value"]
         step = cur.filter(F.size("partitions") > i).groupBy("table_path").agg(
             F.bool_and(v.rlike(r"^[+-]?\d+$")).alias("__int"),
-            F.max_by(v, text_to_long(v)).alias("__num_max"),
+            F.max_by(v, integer_order(v)).alias("__num_max"),
             F.max(v).alias("__str_max"),
             F.first(F.get(F.col("partitions"), i)["name"]).alias("__name"),
         ).select("table_path", F.when(F.col("__int"), F.col("__num_max")).otherwise(F.col("__str_max")).alias(f"__v{i}"),

@@ -43,7 +43,7 @@ def parse_prefixed_log(df: DataFrame, text: str = "value", line_no: str = "line_
         F.get(ud, 1).alias("database"),
         part[5].alias("session"),
         part[6].alias("log_level"),
-        F.slice(parts, 8, 1 << 20).alias("body"),
+        F.slice(parts, F.lit(8), F.size(parts)).alias("body"),
     )
     return out.filter((F.col("user_name") != "") & F.col("database").isNotNull() & (F.col("database") != ""))
 
@@ -86,7 +86,7 @@ def pair_statement_duration(parsed: DataFrame, excluded_users: Sequence[str] = (
         duration = F.lit(None).cast("double")
     kind = F.ltrim(src["body"][0])
     x = x.filter(kind.startswith("statement") | kind.startswith("execute"))
-    sql = F.ltrim(F.array_join(F.slice(src["body"], 2, 1 << 20), ":"))
+    sql = F.ltrim(F.array_join(F.slice(src["body"], F.lit(2), F.size(src["body"])), ":"))
     return x.select(
         "session", "user_name", "database",
         src["log_time"].alias("start_time"), src["line_no"].alias("line_no"),
@@ -130,15 +130,14 @@ def top_n_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n
 
 def reassemble_fragments(frags: DataFrame, key: str, seq: str, text: str, max_length: int = 65536,
                          out: str = "query_text") -> DataFrame:
-    """W-1 + A-11: keep keys whose fragments total fewer than ``max_length``
-    characters, then concatenate fragments in ``seq`` order, each right-trimmed
-    of spaces unless it is blank."""
-    totals = frags.groupBy(key).agg(F.sum(F.length(text)).alias("__len")).filter(F.col("__len") < max_length)
-    kept = frags.join(totals.select(key), key, "left_semi")
+    """W-1 + A-11: fragments concatenated in ``seq`` order, each right-trimmed of
+    spaces unless it is blank. Every key is returned; ``too_long`` marks those whose
+    fragments total ``max_length`` characters or more."""
     piece = F.when(F.length(F.rtrim(F.col(text))) == 0, F.col(text)).otherwise(F.rtrim(F.col(text)))
-    return kept.groupBy(key).agg(
+    return frags.groupBy(key).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col(seq), piece.alias("t")))),
-                                 lambda s: s["t"]), "").alias(out)
+                                 lambda s: s["t"]), "").alias(out),
+        F.coalesce(F.sum(F.length(text)) >= max_length, F.lit(False)).alias("too_long"),
     )
 
 

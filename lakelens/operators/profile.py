@@ -46,11 +46,9 @@ class ProfileSwitches:
 
 @dataclass(frozen=True)
 class Sampling:
-    """Sample ``percentage`` % of rows, only when the table has at least
-    ``threshold`` rows. 100 % means off. ``key`` gives a deterministic
+    """Sample ``percentage`` % of rows, whatever the size of the table. 100 % means off. ``key`` gives a deterministic
     hash-of-key sample instead of a Bernoulli one."""
     percentage: int = 100
-    threshold: int = 100_000
     key: str | None = None
     seed: int = 42
 
@@ -63,14 +61,10 @@ def is_complex(dt: T.DataType) -> bool:
     return isinstance(dt, _COMPLEX)
 
 
-def apply_sampling(df: DataFrame, sampling: Sampling | None, row_count: int | None = None) -> tuple[DataFrame, bool]:
-    """A-3 gate. ``row_count`` is the known table size (catalog statistics); if
-    missing it is read with a count(), which parquet answers from footers."""
+def apply_sampling(df: DataFrame, sampling: Sampling | None) -> tuple[DataFrame, bool]:
+    """A-3: the rows to profile, and whether they are a sample."""
     if sampling is None or sampling.percentage >= 100:
         return df, False
-    n = row_count if row_count is not None else df.count()
-    if n < sampling.threshold:
-        return df, False
     if sampling.key is not None:
         return df.filter(F.pmod(F.col(sampling.key), F.lit(100)) < sampling.percentage), True
     return df.sample(fraction=sampling.percentage / 100.0, seed=sampling.seed), True

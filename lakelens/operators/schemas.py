@@ -243,9 +243,7 @@ def _avro_children(t):
             yield from _avro_children(t.get("type"))
 
 
-def _walk_avro(fields, parent: str, depth: int, key, out: list, guard: int = 32) -> None:
-    if depth > guard:
-        return
+def _walk_avro(fields, parent: str, depth: int, key, out: list) -> None:
     for f in fields:
         t = f.get("type")
         path = _join(parent, f["name"])
@@ -253,7 +251,7 @@ def _walk_avro(fields, parent: str, depth: int, key, out: list, guard: int = 32)
         if nullable and len([x for x in t if x != "null"]) == 1:
             t = next(x for x in t if x != "null")
         out.append((key, path, _avro_type_name(t), nullable, depth))
-        _walk_avro(list(_avro_children(t)), path, depth + 1, key, out, guard)
+        _walk_avro(list(_avro_children(t)), path, depth + 1, key, out)
 
 
 def flatten_avro(df: DataFrame, key: str, schema_json: str) -> DataFrame:

@@ -69,7 +69,7 @@ def redact_literals(sql, placeholder: str = REDACTED, collapse_space: bool = Tru
             out = out.when(t.rlike(r"^\s+$"), F.lit(" "))
             # A line comment would swallow the rest of the statement once its
             # newline is gone: write it as a block comment.
-            out = out.when(t.startswith("--"), F.concat(F.lit("/* "), F.trim(F.substring(t, 3, 1 << 20)), F.lit(" */")))
+            out = out.when(t.startswith("--"), F.concat(F.lit("/* "), F.trim(F.substring(t, F.lit(3), F.length(t))), F.lit(" */")))
         return out.otherwise(t)
     return F.trim(F.array_join(F.transform(tokens(sql), conv), ""))
 

@@ -288,13 +288,12 @@ def hierarchy_rows(spark, sf_dir):
 
 @register("constraint_columns", f"""WITH {INFO_SQL}
 SELECT table_catalog, table_schema, table_name, string_agg(column_name, ',' ORDER BY ordinal_position DESC) AS columns
-FROM c WHERE ordinal_position <= 3 GROUP BY ALL""")
+FROM c GROUP BY ALL""")
 def constraint_columns(spark, sf_dir):
     """A-13: columns of a constraint concatenated in key position order
     (position = reverse ordinal here, to show the order is the key's own)."""
     t = info_tables(spark, sf_dir)
-    cols = info_columns(spark, sf_dir, t).filter(F.col("ordinal_position") <= 3) \
-        .withColumn("position", -F.col("ordinal_position"))
+    cols = info_columns(spark, sf_dir, t).withColumn("position", -F.col("ordinal_position"))
     return catalog.concat_constraint_columns(cols, K)
 
 

@@ -61,24 +61,24 @@ def catalog_dump(spark, sf_dir):
 
 
 @register("mapping_lineage", """SELECT o_orderkey AS mapping_id,
-  lower('DB' || CAST(o_custkey % 5 AS VARCHAR) || '.sch.t' || CAST(o_orderkey % 7 AS VARCHAR)) AS source_table,
-  lower('DB' || CAST((o_custkey + 1) % 5 AS VARCHAR) || '.out.t' || CAST(o_orderkey % 3 AS VARCHAR)) AS target_table
-FROM orders WHERE o_custkey % 5 <> 4 AND (o_custkey + 1) % 5 <> 4""")
+  lower('DB' || CAST(o_custkey AS VARCHAR) || '.sch.t' || CAST(o_orderkey % 7 AS VARCHAR)) AS source_table,
+  lower('DB' || CAST(o_custkey + 1 AS VARCHAR) || '.out.t' || CAST(o_orderkey % 3 AS VARCHAR)) AS target_table
+FROM orders WHERE o_custkey IN (SELECT s_suppkey FROM supplier) AND o_custkey + 1 IN (SELECT s_suppkey FROM supplier)""")
 def mapping_lineage(spark, sf_dir):
     """J-18: ETL mappings joined to their connections -> table lineage."""
     o = read_table(spark, sf_dir, "orders")
-    m = o.select(F.col("o_orderkey").alias("mapping_id"), (F.col("o_custkey") % 5).alias("source_connection"),
-                 ((F.col("o_custkey") + 1) % 5).alias("target_connection"),
+    m = o.select(F.col("o_orderkey").alias("mapping_id"), F.col("o_custkey").alias("source_connection"),
+                 (F.col("o_custkey") + 1).alias("target_connection"),
                  F.concat(F.lit("sch/t"), (F.col("o_orderkey") % 7).cast("string")).alias("source_object"),
                  F.concat(F.lit("out/t"), (F.col("o_orderkey") % 3).cast("string")).alias("target_object"))
-    conns = read_table(spark, sf_dir, "region").filter(F.col("r_regionkey") < 4).select(
-        F.col("r_regionkey").cast("long").alias("connection_id"), F.concat(F.lit("DB"), F.col("r_regionkey").cast("string")).alias("database"))
+    conns = read_table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("connection_id"), F.concat(F.lit("DB"), F.col("s_suppkey").cast("string")).alias("database"))
     return mappings.mapping_lineage(m, conns)
 
 
-@register("card_sources", """WITH c AS (SELECT p_partkey AS card_id, CASE WHEN p_partkey % 6 = 0 THEN NULL ELSE p_partkey % 30 END AS table_id,
+@register("card_sources", """WITH c AS (SELECT p_partkey AS card_id, CASE WHEN p_partkey % 6 = 0 THEN NULL ELSE p_partkey // 7 END AS table_id,
     CASE WHEN p_partkey % 4 = 0 THEN 'select ' || CAST(p_partkey AS VARCHAR) END AS native_sql FROM part),
-t AS (SELECT s_suppkey AS table_id, lower(s_name) AS table_name, s_nationkey % 3 AS database_id FROM supplier WHERE s_suppkey < 30)
+t AS (SELECT s_suppkey AS table_id, lower(s_name) AS table_name, s_nationkey % 5 AS database_id FROM supplier)
 SELECT c.card_id,
   CASE WHEN c.native_sql IS NULL AND t.table_name IS NOT NULL THEN 'DATASET~' || upper(md5('{"name":' || to_json(lower('db' || CAST(t.database_id AS VARCHAR) || '.public.' || t.table_name))
      || ',"platform":' || to_json(CASE t.database_id WHEN 0 THEN 'POSTGRESQL' WHEN 1 THEN 'SNOWFLAKE' ELSE 'MYSQL' END) || '}')) END AS source_dataset,
@@ -88,12 +88,12 @@ def card_sources(spark, sf_dir):
     """J-20: BI cards -> table -> database -> dataset id (native SQL keeps the query)."""
     p = read_table(spark, sf_dir, "part")
     cards = p.select(F.col("p_partkey").alias("card_id"),
-                     F.when(F.col("p_partkey") % 6 != 0, F.col("p_partkey") % 30).alias("table_id"),
+                     F.when(F.col("p_partkey") % 6 != 0, F.floor(F.col("p_partkey") / 7).cast("long")).alias("table_id"),
                      F.when(F.col("p_partkey") % 4 == 0, F.concat(F.lit("select "), F.col("p_partkey").cast("string"))).alias("native_sql"))
-    s = read_table(spark, sf_dir, "supplier").filter(F.col("s_suppkey") < 30)
+    s = read_table(spark, sf_dir, "supplier")
     tables = s.select(F.col("s_suppkey").alias("table_id"), F.lower("s_name").alias("table_name"),
-                      F.lit("public").alias("schema_name"), (F.col("s_nationkey") % 3).alias("database_id"))
-    dbs = read_table(spark, sf_dir, "region").filter(F.col("r_regionkey") < 3).select(
+                      F.lit("public").alias("schema_name"), (F.col("s_nationkey") % 5).alias("database_id"))
+    dbs = read_table(spark, sf_dir, "region").select(
         F.col("r_regionkey").cast("long").alias("database_id"), F.concat(F.lit("db"), F.col("r_regionkey").cast("string")).alias("db_name"),
         F.when(F.col("r_regionkey") == 0, "postgres").when(F.col("r_regionkey") == 1, "snowflake").otherwise("mysql").alias("engine"))
     return mappings.card_sources(cards, tables, dbs, {"postgres": "POSTGRESQL", "snowflake": "SNOWFLAKE", "mysql": "MYSQL"})
@@ -123,16 +123,16 @@ def workbook_sources(spark, sf_dir):
     return mappings.workbook_sources(emb, pub, cs).distinct()
 
 
-@register("field_references", """WITH r AS (SELECT o_orderkey AS viz_id, unnest(['c' || CAST(o_custkey % 10 AS VARCHAR), 'c' || CAST(o_orderkey % 13 AS VARCHAR), 'missing']) AS column_ref FROM orders),
-c AS (SELECT 'c' || CAST(p_partkey AS VARCHAR) AS column_ref, 'E' || CAST(p_partkey % 4 AS VARCHAR) AS entity_id, 'f' || CAST(p_partkey AS VARCHAR) AS field FROM part WHERE p_partkey < 12)
+@register("field_references", """WITH r AS (SELECT o_orderkey AS viz_id, unnest(['c' || CAST(o_custkey AS VARCHAR), 'c' || CAST(o_orderkey AS VARCHAR), 'missing']) AS column_ref FROM orders),
+c AS (SELECT 'c' || CAST(p_partkey AS VARCHAR) AS column_ref, 'E' || CAST(p_partkey % 4 AS VARCHAR) AS entity_id, 'f' || CAST(p_partkey AS VARCHAR) AS field FROM part)
 SELECT r.viz_id, c.entity_id, c.field FROM r JOIN c USING (column_ref)""")
 def field_references(spark, sf_dir):
     """J-22: visualization column references resolved to (entity, field)."""
     o = read_table(spark, sf_dir, "orders")
     viz = o.select(F.col("o_orderkey").alias("viz_id"), F.array(
-        F.concat(F.lit("c"), (F.col("o_custkey") % 10).cast("string")),
-        F.concat(F.lit("c"), (F.col("o_orderkey") % 13).cast("string")), F.lit("missing")).alias("column_refs"))
-    cols = read_table(spark, sf_dir, "part").filter(F.col("p_partkey") < 12).select(
+        F.concat(F.lit("c"), F.col("o_custkey").cast("string")),
+        F.concat(F.lit("c"), F.col("o_orderkey").cast("string")), F.lit("missing")).alias("column_refs"))
+    cols = read_table(spark, sf_dir, "part").select(
         F.concat(F.lit("c"), F.col("p_partkey").cast("string")).alias("column_ref"),
         F.concat(F.lit("E"), (F.col("p_partkey") % 4).cast("string")).alias("entity_id"),
         F.concat(F.lit("f"), F.col("p_partkey").cast("string")).alias("field"))
@@ -194,16 +194,16 @@ def latest_docs(spark, sf_dir):
 
 
 @register("column_formulas", """WITH c AS (SELECT 'col' || CAST(p_partkey AS VARCHAR) AS column_name,
-    CASE WHEN p_partkey % 3 = 0 THEN 'f' || CAST(p_partkey % 50 AS VARCHAR) END AS formula_id FROM part),
-f AS (SELECT DISTINCT key, expr FROM (SELECT 'f' || CAST(p_partkey AS VARCHAR) AS key, 'sum(x' || CAST(p_partkey AS VARCHAR) || ')' AS expr FROM part WHERE p_partkey < 50
-      UNION ALL SELECT 'col' || CAST(p_partkey * 7 AS VARCHAR), 'sum(x' || CAST(p_partkey AS VARCHAR) || ')' FROM part WHERE p_partkey < 50))
+    CASE WHEN p_partkey % 3 = 0 THEN 'f' || CAST(p_partkey // 2 AS VARCHAR) END AS formula_id FROM part),
+f AS (SELECT DISTINCT key, expr FROM (SELECT 'f' || CAST(p_partkey AS VARCHAR) AS key, 'sum(x' || CAST(p_partkey AS VARCHAR) || ')' AS expr FROM part
+      UNION ALL SELECT 'col' || CAST(p_partkey * 7 AS VARCHAR), 'sum(x' || CAST(p_partkey AS VARCHAR) || ')' FROM part))
 SELECT c.column_name, c.formula_id, f.expr FROM c LEFT JOIN f ON coalesce(c.formula_id, c.column_name) = f.key""")
 def column_formulas(spark, sf_dir):
     """R-12: columns mapped to formula expressions (by formula id, else by name)."""
     p = read_table(spark, sf_dir, "part")
     cols = p.select(F.concat(F.lit("col"), F.col("p_partkey").cast("string")).alias("column_name"),
-                    F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("f"), (F.col("p_partkey") % 50).cast("string"))).alias("formula_id"))
-    fs = p.filter(F.col("p_partkey") < 50).select(
+                    F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("f"), F.floor(F.col("p_partkey") / 2).cast("string"))).alias("formula_id"))
+    fs = p.select(
         F.concat(F.lit("f"), F.col("p_partkey").cast("string")).alias("formula_id"),
         F.concat(F.lit("col"), (F.col("p_partkey") * 7).cast("string")).alias("formula_name"),
         F.concat(F.lit("sum(x"), F.col("p_partkey").cast("string"), F.lit(")")).alias("expr"))

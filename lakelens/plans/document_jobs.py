@@ -81,23 +81,19 @@ def page_documents(spark, sf_dir):
 
 
 @register("page_walk", f"""WITH RECURSIVE {LINKS_SQL},
-e AS (SELECT url AS src, link AS dst FROM links WHERE pos > 0
-      UNION SELECT a.url, b.url FROM pages a JOIN pages b ON b.page_id IN (2 * a.page_id + 1, 2 * a.page_id + 2)),
-walk(node, hop) AS (SELECT url, 0 FROM pages WHERE page_id < 2
-  UNION SELECT e.dst, walk.hop + 1 FROM walk JOIN e ON e.src = walk.node WHERE walk.hop < 3),
+e AS (SELECT DISTINCT url AS src, link AS dst FROM links WHERE pos > 0),
+roots AS (SELECT min(url) AS url FROM pages GROUP BY regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^?#]*)', 2)),
+walk(node, hop) AS (SELECT url, 0 FROM roots
+  UNION SELECT e.dst, walk.hop + 1 FROM walk JOIN e ON e.src = walk.node WHERE walk.hop < 1000),
 best AS (SELECT node, min(hop) AS hop FROM walk GROUP BY node)
 SELECT p.page_id, p.url, CAST(b.hop AS INTEGER) AS hop FROM best b JOIN pages p ON p.url = b.node""")
 def page_walk(spark, sf_dir):
-    """D-5: breadth-first site walk to depth 3 from the first two pages over
-    page links plus child edges (page n -> pages 2n+1, 2n+2); no fetching."""
+    """D-5: breadth-first site walks along page links, from the first url of every
+    site until nothing new is found; no fetching."""
     p = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
     links = documents.page_links(p).filter(F.col("pos") > 0).select(F.col("url").alias("src"), F.col("link").alias("dst"))
-    a = p.select(F.col("page_id").alias("a_id"), F.col("url").alias("src"))
-    b = p.select(F.col("page_id").alias("b_id"), F.col("url").alias("dst"))
-    children = a.select("src", F.explode(F.array(F.col("a_id") * 2 + 1, F.col("a_id") * 2 + 2)).alias("b_id")) \
-        .join(b, "b_id").select("src", "dst")
-    seeds = p.filter(F.col("page_id") < 2).select("url")
-    walked = graph.reachable(seeds, links.unionByName(children), max_depth=3)
+    roots = p.groupBy(documents.url_netloc("url").alias("site")).agg(F.min("url").alias("url")).select("url")
+    walked = graph.reachable(roots, links)
     return walked.join(p.select("page_id", F.col("url").alias("node")), "node").select(
         "page_id", F.col("node").alias("url"), F.col("hop").cast("int").alias("hop"))
 
@@ -130,12 +126,15 @@ SELECT 'EXTERNAL_DOCUMENT~' || upper(md5(CAST(c.doc_id AS VARCHAR) || ':' || CAS
   c.doc_id, c.chunk_no, e.vec_id, e.label, CAST(len(e.embedding) AS INTEGER) AS dim,
   round(round(sqrt(list_sum(list_transform(e.embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))), 10), 6) AS norm,
   md5('Title: ' || c.source || chr(10) || array_to_string(c.cw, ' ')) AS embedded_md5
-FROM chunks c JOIN embeddings e ON e.vec_id = (c.doc_id * 31 + c.chunk_no) % 500""")
+FROM chunks c JOIN embeddings e ON e.vec_id = c.doc_id + c.chunk_no""")
 def chunk_vectors(spark, sf_dir):
     """D-8: chunks joined with their vectors into search documents (id, vector
-    size and norm, 'Title: ...' embedded string)."""
+    size and norm, digest of the 'Title: ...' embedded string); texts are hashed
+    before the join."""
     d = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    c = documents.chunk_documents(d, "text").withColumn("vec_key", (F.col("doc_id") * 31 + F.col("chunk_no")) % 500)
+    c = documents.chunk_documents(d, "text").select(
+        "doc_id", "chunk_no", (F.col("doc_id") + F.col("chunk_no")).alias("vec_key"),
+        F.md5(documents.embedded_string(F.col("source"), F.col("text"))).alias("embedded_md5"))
     e = read_table(spark, sf_dir, "embeddings")
     j = c.join(e, c.vec_key == e.vec_id)
     sq = F.aggregate("embedding", F.lit(0.0).cast("double"), lambda acc, x: acc + x.cast("double") * x.cast("double"))
@@ -143,7 +142,7 @@ def chunk_vectors(spark, sf_dir):
         documents.search_document_id("doc_id", "chunk_no").alias("entity_id"),
         "doc_id", "chunk_no", "vec_id", "label", F.size("embedding").alias("dim"),
         r6(F.sqrt(sq)).alias("norm"),
-        F.md5(documents.embedded_string(F.col("source"), F.col("text"))).alias("embedded_md5"),
+        "embedded_md5",
     )
 
 

@@ -145,8 +145,8 @@ def folder_paths(spark, sf_dir):
 SELECT anc AS node, CAST(count(*) AS BIGINT) AS descendants FROM walk
 WHERE dist > 0 AND node NOT IN (SELECT node FROM broken) GROUP BY anc""")
 def impact_closure(spark, sf_dir):
-    """G-13: number of descendants of every folder (transitive closure)."""
-    return graph.descendant_counts(graph.ancestor_rows(_folders(spark, sf_dir)))
+    """G-13: number of descendants of every folder, without making the pairs."""
+    return graph.descendant_counts(_folders(spark, sf_dir))
 
 
 @register("reachable", """WITH RECURSIVE e AS (SELECT p_partkey // 2 AS src, p_partkey AS dst FROM part WHERE p_partkey > 0),
@@ -184,27 +184,27 @@ def node_lineage(spark, sf_dir):
         "node", "parent", F.split("parent", r"\.")[0].alias("parent_kind"))
 
 
-@register("virtual_sources", """WITH e AS (SELECT DISTINCT 'src_' || CAST(l_partkey % 60 AS VARCHAR) AS source_table,
+@register("virtual_sources", """WITH e AS (SELECT DISTINCT 'src_' || CAST(l_partkey AS VARCHAR) AS source_table,
     'supplier_' || CAST(l_suppkey AS VARCHAR) AS target_table FROM lineitem),
-k AS (SELECT DISTINCT 'src_' || CAST(p_partkey AS VARCHAR) AS key FROM part WHERE p_partkey < 40)
+k AS (SELECT DISTINCT 'src_' || CAST(p_partkey AS VARCHAR) AS key FROM part WHERE p_size <= 30)
 SELECT e.source_table, e.target_table, k.key IS NULL AS is_virtual FROM e LEFT JOIN k ON e.source_table = k.key""")
 def virtual_sources(spark, sf_dir):
     """G-5: pipeline edges whose source is unknown are marked virtual."""
     li = read_table(spark, sf_dir, "lineitem")
-    e = lineage.table_edges(li.select(F.concat(F.lit("src_"), (F.col("l_partkey") % 60).cast("string")).alias("s"),
+    e = lineage.table_edges(li.select(F.concat(F.lit("src_"), F.col("l_partkey").cast("string")).alias("s"),
                                       F.concat(F.lit("supplier_"), F.col("l_suppkey").cast("string")).alias("d")), "s", "d")
-    known = read_table(spark, sf_dir, "part").filter(F.col("p_partkey") < 40).select(
+    known = read_table(spark, sf_dir, "part").filter(F.col("p_size") <= 30).select(
         F.concat(F.lit("src_"), F.col("p_partkey").cast("string")).alias("key"))
     return lineage.with_virtual_source(e, known)
 
 
-@register("placeholder_datasets", """SELECT DISTINCT 'src_' || CAST(l_partkey % 60 AS VARCHAR) AS key FROM lineitem
-WHERE 'src_' || CAST(l_partkey % 60 AS VARCHAR) NOT IN (SELECT 'src_' || CAST(p_partkey AS VARCHAR) FROM part WHERE p_partkey < 40)""")
+@register("placeholder_datasets", """SELECT DISTINCT 'src_' || CAST(l_partkey AS VARCHAR) AS key FROM lineitem
+WHERE 'src_' || CAST(l_partkey AS VARCHAR) NOT IN (SELECT 'src_' || CAST(p_partkey AS VARCHAR) FROM part WHERE p_size <= 30)""")
 def placeholder_datasets(spark, sf_dir):
     """J-24: upstreams not listed anywhere get placeholder rows (anti join)."""
     li = read_table(spark, sf_dir, "lineitem")
-    ups = li.select(F.concat(F.lit("src_"), (F.col("l_partkey") % 60).cast("string")).alias("source_table"))
-    listed = read_table(spark, sf_dir, "part").filter(F.col("p_partkey") < 40).select(
+    ups = li.select(F.concat(F.lit("src_"), F.col("l_partkey").cast("string")).alias("source_table"))
+    listed = read_table(spark, sf_dir, "part").filter(F.col("p_size") <= 30).select(
         F.concat(F.lit("src_"), F.col("p_partkey").cast("string")).alias("key"))
     return lineage.placeholders(ups, listed)
 

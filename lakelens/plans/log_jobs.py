@@ -31,14 +31,14 @@ def fragments(spark, sf_dir, size: int = 200):
 
 @register("query_text_reassembly", """WITH f AS (
   SELECT doc_id AS query_id, seq AS sequence, substr(text, seq * 200 + 1, 200) AS text
-  FROM (SELECT doc_id, text, unnest(range(0, greatest(CAST(ceil(length(text) / 200.0) AS BIGINT), 1))) AS seq FROM documents)),
-tot AS (SELECT query_id FROM f GROUP BY query_id HAVING sum(length(text)) < 20000)
-SELECT query_id, string_agg(CASE WHEN length(rtrim(text, ' ')) = 0 THEN text ELSE rtrim(text, ' ') END, '' ORDER BY sequence) AS query_text
-FROM f WHERE query_id IN (SELECT query_id FROM tot) GROUP BY query_id""")
+  FROM (SELECT doc_id, text, unnest(range(0, greatest(CAST(ceil(length(text) / 200.0) AS BIGINT), 1))) AS seq FROM documents))
+SELECT query_id, string_agg(CASE WHEN length(rtrim(text, ' ')) = 0 THEN text ELSE rtrim(text, ' ') END, '' ORDER BY sequence) AS query_text,
+  coalesce(sum(length(text)) >= 65536, FALSE) AS too_long
+FROM f GROUP BY query_id""")
 def query_text_reassembly(spark, sf_dir):
     """W-1 + A-11: fragments re-assembled in order, each right-trimmed unless
-    blank, for texts shorter than the limit (20 000 here, so the gate bites)."""
-    return logs.reassemble_fragments(fragments(spark, sf_dir), "query_id", "sequence", "text", max_length=20000)
+    blank; texts of 65 536 characters or more are marked."""
+    return logs.reassemble_fragments(fragments(spark, sf_dir), "query_id", "sequence", "text")
 
 
 # ------------------------------------------------------------------ W-3
@@ -332,14 +332,14 @@ def query_log_rows(spark, sf_dir):
     return q.withColumn("duration", r6("duration")).join(lt, "query_id")
 
 
-@register("log_gates", """SELECT event_type, CAST(count(*) AS BIGINT) AS n
+@register("log_gates", """SELECT event_type, length(props) < 10 AS short_props, CAST(count(*) AS BIGINT) AS n
 FROM events WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-20'
-  AND user_id NOT IN (3, 5, 7) AND event_type <> 'error' AND length(props) < 10
-GROUP BY event_type""")
+  AND user_id NOT IN (3, 5, 7) AND event_type <> 'error'
+GROUP BY ALL""")
 def log_gates(spark, sf_dir):
-    """P-8 .. P-10: time range, excluded users, success-only and size gates
-    (all pushed down or evaluated before the aggregation)."""
+    """P-8 .. P-10: time range, excluded users, success-only (pushed down); the size
+    gate marks rows and drops none."""
     e = read_table(spark, sf_dir, "events")
     e = e.filter(logs.in_time_range("ts", F.lit("2024-01-05").cast("timestamp_ntz"), F.lit("2024-01-20").cast("timestamp_ntz"))
-                 & ~F.col("user_id").isin(3, 5, 7) & (F.col("event_type") != "error") & (F.length("props") < 10))
-    return e.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+                 & ~F.col("user_id").isin(3, 5, 7) & (F.col("event_type") != "error"))
+    return e.groupBy("event_type", (F.length("props") < 10).alias("short_props")).agg(F.count(F.lit(1)).alias("n"))

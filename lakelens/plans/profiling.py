@@ -51,7 +51,7 @@ def _profile_job(table: str, sampling: Sampling | None = None, switches: Profile
 register("profile_lineitem", profile_sql("lineitem", LINEITEM_COLS))(_profile_job("lineitem"))
 register("profile_customer", profile_sql("customer", CUSTOMER_COLS))(_profile_job("customer"))
 
-_SAMPLING = Sampling(percentage=10, threshold=1000, key="l_orderkey")
+_SAMPLING = Sampling(percentage=10, key="l_orderkey")
 register(
     "profile_sampled_hash",
     profile_sql("(SELECT * FROM lineitem WHERE l_orderkey % 100 < 10) AS s", LINEITEM_COLS),
