@@ -1,13 +1,14 @@
 """Toxic spans by a linear-chain conditional random field (operator 5).
 
-Labels exist per document, so training tokens are labelled first: word and stem
-features that toxic documents have in many contexts and clean ones (nearly) never
-are signs, and tokens of toxic documents with such a feature are labelled toxic.
-A two-state CRF (word, stem and ending features, transitions) is fitted to these
-sequences. At scoring time forward-backward gives each token's marginal; a
-document's score is a logistic function of the sum (of those that are not
-negligible) and the maximum of its marginals. Tokens over one half, and a toxic
-document's highest, are its offending spans.
+Labels exist per document, so training tokens are labelled first, by degrees: a
+token of a toxic document is an offence with the chance that its strongest word,
+stem or ending feature gives, which grows with the contexts that toxic documents
+have it in beyond what clean ones let expect. Clean uses and wrong labels lower a
+chance. A two-state CRF (word, stem and ending features, transitions) is fitted to
+these sequences. At scoring time forward-backward gives each token's marginal; a
+document's score is a logistic function of the sum of its squared marginals and of
+their maximum. Tokens over one half, and a toxic document's highest, are its
+offending spans.
 
 A chain has at most ``CHAIN`` tokens: longer texts are several chains, all of
 which count. The sample for the fit is bounded: ``TRAIN_ROWS`` labelled rows per
@@ -22,6 +23,7 @@ score is 0; repeated rows each get a row; other columns are not read.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -41,6 +43,8 @@ TRAIN_BYTES = 20_000
 EPOCHS = 3
 STEPS = 60  # updates at least; a small sample is passed over more often
 DOUBT = 0.1
+PRIOR = 1e-3  # odds that a feature is a sign
+SLIGHT = 0.01  # chances below this are none
 CACHE = 200_000
 CELLS = 1 << 20  # tokens scored at once
 
@@ -127,22 +131,31 @@ def marginals(model: Crf, emission: np.ndarray, lengths: np.ndarray) -> np.ndarr
     return out
 
 
-def evidence(toxic: list[list[str]], clean: list[set[str]]) -> set[str]:
-    """Features that mark toxic documents (token lists): nearly never seen in clean
-    ones (feature sets), and met after many different tokens. Words that only the
-    near copies of one document have come after the same token each time."""
+def evidence(toxic: list[list[str]], clean: list[set[str]]) -> dict[str, float]:
+    """Chance, by feature, that a token of a toxic document (token list) with it is an
+    offence: the share of its toxic documents beyond those that clean ones (feature
+    sets) let expect, times the chance that this is no accident (prior odds ``PRIOR``,
+    normal evidence). A feature counts at most once for each different token before
+    it, as words that only the near copies of one document have come after the same
+    token each time."""
     of_token = {t: features(t) for d in toxic for t in d}
     bad = Counter(f for d in toxic for f in {f for t in set(d) for f in of_token[t]})
     good = Counter(f for d in clean for f in d if f in bad)
-    scale, least = len(toxic) / max(1, len(clean)), max(3, len(toxic) // 100)
-    pure = {f for f, n in bad.items() if n >= least and n >= 0.99 * (n + scale * good[f])}
-    before: dict[str, set[str]] = {f: set() for f in pure}
+    scale = len(toxic) / max(1, len(clean))
+
+    def chance(f: str, n: int) -> float:
+        beyond = n - scale * good[f]
+        odds = PRIOR * math.exp(min(50.0, max(0.0, beyond) ** 2 / (n + scale**2 * good[f]) / 2))
+        return max(0.0, beyond / n) * odds / (1 + odds)
+
+    more = {f for f, n in bad.items() if chance(f, n) >= SLIGHT}
+    before: dict[str, set[str]] = {f: set() for f in more}
     for d in toxic:
         for last, token in zip(["", *d], d):
             for f in of_token[token]:
-                if f in pure:
+                if f in more:
                     before[f].add(last)
-    return {f for f, tokens in before.items() if len(tokens) >= least}
+    return {f: p for f, tokens in before.items() if (p := chance(f, min(bad[f], len(tokens)))) >= SLIGHT}
 
 
 def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 7) -> Crf | None:
@@ -161,13 +174,15 @@ def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 7
     for i, fs in enumerate(of_word):
         for j, f in enumerate(fs):
             table_of[i, j] = column.get(f, 0)
-    marked = np.array([bool(signs.intersection(fs)) for fs in of_word] or [False])
+    marked = np.array([max((signs.get(f, 0.0) for f in fs), default=0.0) for fs in of_word] or [0.0])
     lengths = np.array([len(d) for d in found])
     words = np.concatenate([np.array(d, np.int64) for d in found])
-    truth = (marked[words] & np.repeat(np.array(labels) == 1, lengths)).astype(float)
+    truth = np.where(np.repeat(np.array(labels) == 1, lengths), marked[words], 0.0)
 
     weights, squares = np.zeros(len(names) + 1), np.full(len(names) + 1, 1e-2)
     bias, start = np.log((truth.sum() + 1) / len(truth)), 0.0
+    for f, p in signs.items():  # a sure sign starts at even odds, also on words not met
+        weights[column[f]] = -p * bias
     log_trans, trans_squares = np.zeros((2, 2)), np.full((2, 2), 1e-2)
     begins, size = chains(lengths)
     blocks = list(_blocks(begins, size, 1 << 16))
@@ -193,7 +208,8 @@ def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 7
             joint = np.array([[from_[i] * trans[i, j] * to[j] for j in (0, 1)] for i in (0, 1)])
             joint = (joint / joint.sum(axis=(0, 1)))[:, :, ok].sum(axis=2)
             y = truth[at]
-            seen_pairs = np.array([[((y[:-1] == i) & (y[1:] == j) & ok).sum() for j in (0, 1)] for i in (0, 1)])
+            state = (1 - y, y)
+            seen_pairs = np.array([[(state[i][:-1] * state[j][1:])[ok].sum() for j in (0, 1)] for i in (0, 1)])
             step = (seen_pairs - joint) - 1e-3 * log_trans
             trans_squares += step**2
             log_trans += 0.3 * step / np.sqrt(trans_squares)
@@ -206,14 +222,14 @@ def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 7
 
 
 def document_inputs(p: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Per document: 1, log of the sum of its marginals over ``DOUBT`` and log of the
-    maximum. Smaller marginals would add up with a text's length alone."""
+    """Per document: 1, log of the sum of its squared marginals and log of the maximum,
+    both from ``DOUBT`` up. Marginals as such would add up with a text's length alone."""
     total, most = np.zeros(len(lengths)), np.zeros(len(lengths))
     full = np.flatnonzero(lengths)
     if len(full):
         begins = (np.cumsum(lengths) - lengths)[full]
-        total[full], most[full] = np.add.reduceat(np.where(p > DOUBT, p, 0.0), begins), np.maximum.reduceat(p, begins)
-    return np.stack([np.ones(len(lengths)), np.log(total + 1e-4), np.log(most + 1e-4)], axis=1)
+        total[full], most[full] = np.add.reduceat(p**2, begins), np.maximum.reduceat(p, begins)
+    return np.stack([np.ones(len(lengths)), np.log(total + DOUBT), np.log(most + DOUBT)], axis=1)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:

@@ -158,6 +158,28 @@ def test_toxicity_learns_stems(spark):
     assert toxicity.toxicity(d.limit(0), None).count() == 0
 
 
+def test_toxicity_learns_impure_stems():
+    """Clean texts use the stem too, and some labels are wrong: the stem still counts."""
+    rng = random.Random(11)
+    plain = [f"w{i}" for i in range(300)]
+
+    def text(uses):
+        words = [rng.choice(plain) for _ in range(rng.randint(20, 60))]
+        for _ in range(uses):
+            words.insert(rng.randint(0, len(words)), "grubo" + "".join(rng.choice("aeilmnrst") for _ in range(4)))
+        return " ".join(words)
+
+    texts, labels = [], []
+    for i in range(600):
+        toxic = i % 6 == 0
+        texts.append(text(4 if toxic else i % 12 == 1))
+        labels.append(int(toxic) if i % 50 else 1 - toxic)
+    model = toxicity.fit(texts, labels)
+    scores, spans = toxicity.score_texts(model, [text(4) for _ in range(40)] + [text(0) for _ in range(40)], {})
+    assert sum(scores[:40] >= 0.5) >= 38 and sum(scores[40:] >= 0.5) <= 1
+    assert sum(len(s) for s in spans[:40]) >= 100
+
+
 def brute_components(rows):
     fold, sets = str.maketrans(string.ascii_uppercase, string.ascii_lowercase), {}
     for k, text in rows:
