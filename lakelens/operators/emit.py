@@ -2,22 +2,24 @@
 size-bounded batching and batch files.
 
 Batch packing is an order-dependent fold (each row's batch depends on the rows
-before it). It runs per bucket with ``applyInPandas``: rows are spread over
-buckets by a hash of their order key (so no task receives all rows), and the
-fold walks each bucket in order. Batch ids are (bucket, batch-in-bucket); with
-one bucket the result equals a single global fold. Size the bucket count with
-``session.groups_for(rows)`` so a bucket stays around a million rows.
+before it). With one bucket, the default, the result equals a single fold over all
+rows, taken per range partition with the open group carried over (``_in_order``).
+Callers that ask for more buckets get a fold per hash bucket, with batch ids
+(bucket, batch-in-bucket).
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakelens.functions.scalars import col_of
+from lakelens.session import cut_lineage
 
 
 def envelope(kind: str, entity: Column) -> Column:
@@ -98,13 +100,108 @@ def _query_log_ids(sizes, logs_per_event: int, events_per_file: int, bytes_per_f
 
 
 def _bucketed(df: DataFrame, order: str, buckets: int) -> DataFrame:
-    b = F.lit(0) if buckets <= 1 else F.pmod(F.xxhash64(F.col(order)), F.lit(buckets))
-    return df.withColumn("__bucket", b.cast("int"))
+    return df.withColumn("__bucket", F.pmod(F.xxhash64(F.col(order)), F.lit(buckets)).cast("int"))
+
+
+def _next_starts(total: np.ndarray, most: int, limit: int, reach: bool) -> np.ndarray:
+    """For a group that starts at each row, the row at which the next one starts (the
+    row count where the group is still open). ``total`` are running sums of sizes, 0
+    first. A group ends after ``most`` rows, and before the row that would exceed
+    ``limit`` or, with ``reach``, after the one that reaches it."""
+    n = len(total) - 1
+    at = np.arange(n)
+    ends = np.searchsorted(total, total[:-1] + limit, side="left") if reach else np.searchsorted(total, total[:-1] + limit, side="right") - 1
+    return np.minimum(np.maximum(np.minimum(ends, at + most), at + 1), n)
+
+
+def _carried_rows(rows: int, held: int, head: np.ndarray, most: int, limit: int, reach: bool) -> int:
+    """How many rows of a partition with running sums ``head`` belong to a group that
+    has ``rows`` rows of ``held`` bytes before it (no rows: none)."""
+    if not rows:
+        return 0
+    fit = np.searchsorted(head, limit - held, side="left") if reach else np.searchsorted(head, limit - held, side="right") - 1
+    return int(max(0, min(fit, most - rows)))
+
+
+def _in_order(df: DataFrame, order: str, size: str, most: int, limit: int, reach: bool, per_event: int | None) -> DataFrame:
+    """``df`` with ``__group`` and ``__event`` as one fold over all rows in order gives
+    them, without one task seeing all rows.
+
+    Rows are range-partitioned by the order key. Where a partition's last group starts
+    depends only on where its first one does; each partition reports this for every
+    first start there can be (runs of equal answers) with its first sums, and the
+    driver follows the chain. With the group carried in known, partitions number
+    their rows, and counts of the partitions before are added."""
+    spark = df.sparkSession
+    key = F.col(order).asc_nulls_last()
+    rows = cut_lineage(df.withColumn("__size", F.coalesce(F.col(size).cast("long"), F.lit(0)))
+                       .repartitionByRange(key).sortWithinPartitions(key, "__size").withColumn("__part", F.spark_partition_id()))
+
+    def summary(frames):
+        frames = [f for f in frames if len(f)]
+        if not frames:
+            return
+        total = np.concatenate([[0], *[f["__size"].to_numpy() for f in frames]]).cumsum()
+        n, part = len(total) - 1, int(frames[0]["__part"].iloc[0])
+        after = _next_starts(total, most, limit, reach)
+        last = np.arange(n)
+        for i in range(n - 1, -1, -1):
+            if after[i] < n:
+                last[i] = last[after[i]]
+        head = total[:1 + min(n, most, int(np.searchsorted(total, limit, side="right")))]
+        first = np.flatnonzero(np.diff(last[:len(head)], prepend=-1))
+        yield pd.DataFrame({"part": [part], "n": [n], "bytes": [int(total[-1])], "head": [head.tolist()], "first": [first.tolist()],
+                            "rows": [(n - last[first]).tolist()], "held": [(total[-1] - total[last[first]]).tolist()]})
+
+    schema = "part int, n long, bytes long, head array<long>, first array<long>, rows array<long>, held array<long>"
+    carried, open_rows, held = {}, 0, 0
+    for r in sorted(rows.select("__part", "__size").mapInPandas(summary, schema).collect(), key=lambda r: r.part):
+        carried[r.part] = (open_rows, held)
+        begin = _carried_rows(open_rows, held, np.array(r.head), most, limit, reach)
+        if open_rows and begin >= r.n:
+            open_rows, held = open_rows + r.n, held + r.bytes
+        else:
+            run = int(np.searchsorted(r.first, begin, side="right")) - 1
+            open_rows, held = r.rows[run], r.held[run]
+    shipped = spark.sparkContext.broadcast(carried)  # two numbers a partition
+
+    def number(frames):
+        place = group = event = None
+        for f in frames:
+            if not len(f):
+                continue
+            if place is None:
+                place, taken = shipped.value[int(f["__part"].iloc[0])]
+                group = event = 0
+            groups, events = [], []
+            for s in f["__size"].tolist():
+                if place and (place >= most or (taken >= limit if reach else taken + s > limit)):
+                    place, taken = 0, 0
+                group += place == 0
+                event += per_event is not None and place % per_event == 0
+                place, taken = place + 1, taken + s
+                groups.append(group)
+                events.append(event)
+            yield f.assign(__group=groups, __event=events)
+
+    numbered = rows.mapInPandas(number, T.StructType(rows.schema.fields + [T.StructField(c, T.LongType()) for c in ("__group", "__event")]))
+    counts = numbered.groupBy("__part").agg(F.max("__group").alias("g"), F.max("__event").alias("e")).collect()
+    g, e, bases = -1, -1, []
+    for r in sorted(counts, key=lambda r: r[0]):
+        bases.append((r[0], g, e))
+        g, e = g + r.g, e + r.e
+    base = spark.createDataFrame(bases, "__part int, __g long, __e long")
+    return numbered.join(F.broadcast(base), "__part").withColumns({
+        "__group": (F.col("__group") + F.col("__g")).cast("int"), "__event": (F.col("__event") + F.col("__e")).cast("int"),
+        "__bucket": F.lit(0)}).drop("__part", "__size", "__g", "__e")
 
 
 def pack(df: DataFrame, order: str, size: str, items_per_chunk: int, chunk_size: int, buckets: int = 1) -> DataFrame:
     """K-4 / X-4 (a grouped fold via applyInPandas): add ``bucket`` and
     ``batch`` (chunk within the bucket) to every row."""
+    if buckets <= 1:
+        x = _in_order(df, order, size, items_per_chunk, chunk_size, False, None)
+        return x.select(*df.columns, F.col("__bucket").alias("bucket"), F.col("__group").alias("batch"))
     x = _bucketed(df, order, buckets)
     schema = T.StructType(x.schema.fields + [T.StructField("batch", T.IntegerType())])
 
@@ -118,6 +215,9 @@ def pack(df: DataFrame, order: str, size: str, items_per_chunk: int, chunk_size:
 def query_log_batches(df: DataFrame, order: str, size: str, logs_per_event: int = 100, events_per_file: int = 200,
                       bytes_per_file: int = 100 * 1024 * 1024, buckets: int = 1) -> DataFrame:
     """K-6 / W-9: add ``bucket``, ``event_no`` and ``file_no`` to every log row."""
+    if buckets <= 1:
+        x = _in_order(df, order, size, logs_per_event * events_per_file, bytes_per_file, True, logs_per_event)
+        return x.select(*df.columns, F.col("__bucket").alias("bucket"), F.col("__event").alias("event_no"), F.col("__group").alias("file_no"))
     x = _bucketed(df, order, buckets)
     schema = T.StructType(x.schema.fields + [T.StructField("event_no", T.IntegerType()),
                                              T.StructField("file_no", T.IntegerType())])

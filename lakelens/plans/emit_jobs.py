@@ -9,7 +9,6 @@ from lakelens.functions import names
 from lakelens.operators import emit
 from lakelens.plans.naming import supplier_catalog
 from lakelens.plans.registry import register
-from lakelens.session import groups_for
 from lakelens.sources.tables import read_table
 
 
@@ -71,22 +70,18 @@ def conformance(spark, sf_dir):
 @register("batches")
 def batches(spark, sf_dir):
     """K-4: orders as events packed into batches of at most 200 events and
-    64 KiB of JSON, order kept inside each hash bucket; about one million
-    events per bucket (the parquet row count comes from file footers)."""
+    64 KiB of JSON, in order over the whole table."""
     o = read_table(spark, sf_dir, "orders")
     ev = o.select("o_orderkey", F.length(F.to_json(F.struct(*o.columns))).alias("size"))
-    n = groups_for(o.count())
-    return emit.pack(ev, "o_orderkey", "size", 200, 64 * 1024, buckets=n).select("o_orderkey", "bucket", "batch", "size")
+    return emit.pack(ev, "o_orderkey", "size", 200, 64 * 1024).select("o_orderkey", "bucket", "batch", "size")
 
 
 @register("query_log_batches")
 def query_log_batches(spark, sf_dir):
     """K-6: query logs (one per line item) into events of 100 logs and files
-    of 200 events or 1 MiB, order kept inside each hash bucket (about one
-    million logs per bucket)."""
+    of 200 events or 1 MiB, in order over the whole table."""
     li = read_table(spark, sf_dir, "lineitem")
     logs = li.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("log_seq"),
                      F.length(F.to_json(F.struct(*li.columns))).alias("size"))
-    n = groups_for(li.count())
-    return emit.query_log_batches(logs, "log_seq", "size", 100, 200, 1024 * 1024, buckets=n) \
+    return emit.query_log_batches(logs, "log_seq", "size", 100, 200, 1024 * 1024) \
         .select("log_seq", "bucket", "event_no", "file_no")

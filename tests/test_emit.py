@@ -54,6 +54,26 @@ def test_pack_distributed_matches_fold(spark):
     assert many.count() == 500 and many.select("bucket").distinct().count() == 4
 
 
+def test_folds_do_not_depend_on_partitions(spark):
+    sizes = [0 if i % 11 == 0 else 500 if i % 97 == 0 else (i * 37) % 50 + 1 for i in range(3000)]
+    df = spark.createDataFrame(list(enumerate(sizes)), "seq long, size long").repartition(5)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for parts in (1, 7, 300):
+            spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+            for most, limit in ((7, 120), (200, 3000), (40, 10**9)):
+                rows = emit.pack(df, "seq", "size", most, limit)
+                got = {r.seq: (r.bucket, r.batch) for r in rows.collect()}
+                assert [got[i] for i in range(3000)] == [(0, c) for c in emit._chunk_ids(sizes, most, limit)]
+                rows = emit.query_log_batches(df, "seq", "size", most, 4, limit)
+                got = {r.seq: (r.event_no, r.file_no) for r in rows.collect()}
+                assert [got[i] for i in range(3000)] == emit._query_log_ids(sizes, most, 4, limit)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    plan = emit.pack(df, "seq", "size", 7, 120)._jdf.queryExecution().toString()
+    assert "FlatMapGroupsInPandas" not in plan  # no task is given a whole bucket
+
+
 def test_conformance_observation(spark):
     from pyspark.sql import functions as F
     df = spark.createDataFrame([(1,), (-1,), (3,)], "x int")
