@@ -43,17 +43,19 @@ def catalog_dump(tables: DataFrame, columns: DataFrame, tags: DataFrame, owners:
     return tables.join(per_table, "table_id", "left").join(owners, "table_id", "left")
 
 
-def mapping_lineage(mappings: DataFrame, connections: DataFrame) -> DataFrame:
+def mapping_lineage(mappings: DataFrame, connections: DataFrame, keep: bool = False) -> DataFrame:
     """J-18: ETL mapping references -> (source, target) tables through their
     connections (database from the connection, schema/table from the object
-    path 'schema/table')."""
+    path 'schema/table'). With ``keep`` a mapping whose connection is unknown
+    stays, with a null table."""
+    how = "left" if keep else "inner"
     c = connections.select(F.col("connection_id").alias("cid"), F.col("database").alias("db"))
-    s = mappings.join(c.withColumnRenamed("cid", "source_connection").withColumnRenamed("db", "source_db"), "source_connection")
-    s = s.join(c.withColumnRenamed("cid", "target_connection").withColumnRenamed("db", "target_db"), "target_connection")
+    s = mappings.join(c.withColumnRenamed("cid", "source_connection").withColumnRenamed("db", "source_db"), "source_connection", how)
+    s = s.join(c.withColumnRenamed("cid", "target_connection").withColumnRenamed("db", "target_db"), "target_connection", how)
     sp, tp = F.split("source_object", "/"), F.split("target_object", "/")
     return s.select("mapping_id",
-                    F.lower(F.concat_ws(".", "source_db", F.get(sp, 0), F.get(sp, 1))).alias("source_table"),
-                    F.lower(F.concat_ws(".", "target_db", F.get(tp, 0), F.get(tp, 1))).alias("target_table"))
+                    F.when(F.col("source_db").isNotNull(), F.lower(F.concat_ws(".", "source_db", F.get(sp, 0), F.get(sp, 1)))).alias("source_table"),
+                    F.when(F.col("target_db").isNotNull(), F.lower(F.concat_ws(".", "target_db", F.get(tp, 0), F.get(tp, 1)))).alias("target_table"))
 
 
 def card_sources(cards: DataFrame, tables: DataFrame, databases: DataFrame, platform_map: dict) -> DataFrame:

@@ -64,7 +64,7 @@ def catalog_dump(spark, sf_dir):
   lower('DB' || CAST(o_custkey AS VARCHAR) || '.sch.t' || CAST(o_orderkey % 7 AS VARCHAR)) AS source_table,
   lower('DB' || CAST(o_custkey + 1 AS VARCHAR) || '.out.t' || CAST(o_orderkey % 3 AS VARCHAR)) AS target_table
 FROM orders WHERE o_custkey IN (SELECT s_suppkey FROM supplier) AND o_custkey + 1 IN (SELECT s_suppkey FROM supplier)""")
-def mapping_lineage(spark, sf_dir):
+def mapping_lineage(spark, sf_dir, keep=False):
     """J-18: ETL mappings joined to their connections -> table lineage."""
     o = read_table(spark, sf_dir, "orders")
     m = o.select(F.col("o_orderkey").alias("mapping_id"), F.col("o_custkey").alias("source_connection"),
@@ -73,7 +73,16 @@ def mapping_lineage(spark, sf_dir):
                  F.concat(F.lit("out/t"), (F.col("o_orderkey") % 3).cast("string")).alias("target_object"))
     conns = read_table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("connection_id"), F.concat(F.lit("DB"), F.col("s_suppkey").cast("string")).alias("database"))
-    return mappings.mapping_lineage(m, conns)
+    return mappings.mapping_lineage(m, conns, keep)
+
+
+@register("mapping_lineage_all", """SELECT o.o_orderkey AS mapping_id,
+  lower('DB' || CAST(a.s_suppkey AS VARCHAR) || '.sch.t' || CAST(o.o_orderkey % 7 AS VARCHAR)) AS source_table,
+  lower('DB' || CAST(b.s_suppkey AS VARCHAR) || '.out.t' || CAST(o.o_orderkey % 3 AS VARCHAR)) AS target_table
+FROM orders o LEFT JOIN supplier a ON a.s_suppkey = o.o_custkey LEFT JOIN supplier b ON b.s_suppkey = o.o_custkey + 1""")
+def mapping_lineage_all(spark, sf_dir):
+    """J-18 for every mapping; tables of unknown connections are null."""
+    return mapping_lineage(spark, sf_dir, keep=True)
 
 
 @register("card_sources", """WITH c AS (SELECT p_partkey AS card_id, CASE WHEN p_partkey % 6 = 0 THEN NULL ELSE p_partkey // 7 END AS table_id,

@@ -127,7 +127,7 @@ SELECT 'EXTERNAL_DOCUMENT~' || upper(md5(CAST(c.doc_id AS VARCHAR) || ':' || CAS
   round(round(sqrt(list_sum(list_transform(e.embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))), 10), 6) AS norm,
   md5('Title: ' || c.source || chr(10) || array_to_string(c.cw, ' ')) AS embedded_md5
 FROM chunks c JOIN embeddings e ON e.vec_id = c.doc_id + c.chunk_no""")
-def chunk_vectors(spark, sf_dir):
+def chunk_vectors(spark, sf_dir, how="inner"):
     """D-8: chunks joined with their vectors into search documents (id, vector
     size and norm, digest of the 'Title: ...' embedded string); texts are hashed
     before the join."""
@@ -136,7 +136,7 @@ def chunk_vectors(spark, sf_dir):
         "doc_id", "chunk_no", (F.col("doc_id") + F.col("chunk_no")).alias("vec_key"),
         F.md5(documents.embedded_string(F.col("source"), F.col("text"))).alias("embedded_md5"))
     e = read_table(spark, sf_dir, "embeddings")
-    j = c.join(e, c.vec_key == e.vec_id)
+    j = c.join(e, c.vec_key == e.vec_id, how)
     sq = F.aggregate("embedding", F.lit(0.0).cast("double"), lambda acc, x: acc + x.cast("double") * x.cast("double"))
     return j.select(
         documents.search_document_id("doc_id", "chunk_no").alias("entity_id"),
@@ -146,6 +146,17 @@ def chunk_vectors(spark, sf_dir):
     )
 
 
+@register("chunk_vectors_all", f"""WITH {_CHUNKS_SQL}
+SELECT 'EXTERNAL_DOCUMENT~' || upper(md5(CAST(c.doc_id AS VARCHAR) || ':' || CAST(c.chunk_no AS VARCHAR))) AS entity_id,
+  c.doc_id, c.chunk_no, e.vec_id, e.label, CAST(len(e.embedding) AS INTEGER) AS dim,
+  round(round(sqrt(list_sum(list_transform(e.embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))), 10), 6) AS norm,
+  md5('Title: ' || c.source || chr(10) || array_to_string(c.cw, ' ')) AS embedded_md5
+FROM chunks c LEFT JOIN embeddings e ON e.vec_id = c.doc_id + c.chunk_no""")
+def chunk_vectors_all(spark, sf_dir):
+    """D-8 for every chunk; vector columns are null where no vector has its key."""
+    return chunk_vectors(spark, sf_dir, "left")
+
+
 @register("item_documents", """SELECT conv_id, CAST(count(*) AS BIGINT) AS n_lines,
   md5('Conversation: ' || CAST(conv_id AS VARCHAR) || chr(10) ||
       string_agg(role || ': ' || trim(regexp_replace(translate(text, chr(10) || chr(9) || chr(13), '   '), ' +', ' ', 'g'), ' ') || chr(10), '' ORDER BY turn)) AS document_md5

@@ -77,3 +77,12 @@ def test_deep_avro_fields(spark):
         schema = {"type": "record", "name": f"r{i}", "fields": [{"name": f"f{i}", "type": schema}]}
     df = spark.createDataFrame([("k", json.dumps(schema))], "key string, schema string")
     assert schemas.flatten_avro(df, "key", "schema").filter(F.col("key") == "k").count() == 40
+
+
+def test_rows_without_a_partner_stay(spark, small_dir):
+    from __spark_entry__ import queries
+
+    q = queries()
+    orders = spark.read.parquet(f"{small_dir}/orders.parquet").count()
+    assert q["mapping_lineage_all"](spark, small_dir).count() == orders
+    assert q["chunk_vectors_all"](spark, small_dir).count() == q["doc_chunks"](spark, small_dir).count()
