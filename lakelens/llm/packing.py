@@ -11,7 +11,7 @@ Ids are kept as runs of at most ``RUN`` ids, so that no row grows with a text.
 Defined cases: a null or empty text is one end mark; very long texts span as
 many sequences as they need; repeated rows are packed each; an empty table gives
 no pieces; other columns are not read. Strings of special tokens in a text are
-ordinary text.
+those tokens, as in a plain call of the tokenizer.
 """
 
 from __future__ import annotations
@@ -47,7 +47,6 @@ class ChunkTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {"": b""}
 
     def _ids(self, chunks: list[str]) -> list[bytes]:

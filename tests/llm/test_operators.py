@@ -136,6 +136,17 @@ def test_packing_pieces(odd, none):
     assert packing.pack(none).count() == 0
 
 
+def test_packing_ids_of_special_strings(spark):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(packing.VOCABULARY)
+    texts = ["see <|endoftext|> marker", "a<|startoftext|>b  <|endoftext|><|endoftext|> c", "<|endoftext|", "plain words"]
+    pieces = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), window=8).collect()
+    for k, text in enumerate(texts):
+        ids = b"".join(bytes(r.ids) for r in sorted((r for r in pieces if r.doc_id == k), key=lambda r: r.start))
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids + [packing.END_ID]
+
+
 def test_toxicity_learns_stems(spark):
     rng = random.Random(3)
     plain = [f"w{i}" for i in range(300)]
