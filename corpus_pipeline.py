@@ -42,10 +42,16 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 6: of each component of near copies the smallest id stays; texts
-    without words and rows without an id stay."""
-    dropped = ngram_components(docs).filter("doc_id <> component_id").select("doc_id")
-    return docs.join(written(dropped, "near-copies"), "doc_id", "left_anti").select(*docs.columns)
+    """Operator 6: of each component of near copies one row stays, that of the
+    smallest id (rows without an id come last); texts without words stay. Rows get
+    keys of their own, as an id may be null or have several texts."""
+    rows = written(docs.withColumn("_row", F.monotonically_increasing_id()), "near-copy-rows")
+    found = ngram_components(rows, "_row").select(F.col("doc_id").alias("_row"), "component_id")
+    members = written(found.join(rows.select("_row", "doc_id"), "_row"), "near-copy-members")
+    rank = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
+    best = members.groupBy("component_id").agg(F.min(rank)["_row"].alias("_best"), F.count("*").alias("_c")).filter("_c > 1")
+    dropped = members.join(best, "component_id").filter("_row <> _best").select("_row")
+    return rows.join(written(dropped, "near-copies"), "_row", "left_anti").select(*docs.columns)
 
 
 def drop_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -31,3 +31,15 @@ def test_stages_keep_columns_and_decide(spark, small_dir):
     pieces = pipeline.STAGES[-1][1](spark, docs, small_dir)
     assert pieces.select("doc_id").distinct().count() == docs.count()
     assert pieces.agg(F.max("length")).first()[0] <= 2048
+
+
+def test_near_copies_go_by_row(spark, small_dir):
+    """Ids that repeat or are null: one row of each component stays, and no other goes."""
+    base = " ".join(f"v{i}" for i in range(80))
+    near = [base + " x", base + " y z", base + " q"]
+    other = " ".join(f"u{i}" for i in range(50))
+    rows = [(1, base), (5, near[0]), (5, other), (None, near[1]), (1, near[2]), (None, ""), (7, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(r) for r in pipeline.drop_near_copies(spark, docs, small_dir).collect()]
+    assert sum(t.startswith("v0") for _, t in kept) == 1 and all(d == 1 for d, t in kept if t.startswith("v0"))
+    assert (5, other) in kept and sum(t == "" for _, t in kept) == 2 and len(kept) == 4
