@@ -95,8 +95,9 @@ def page_links(pages: DataFrame, url: str = "url", html: str = "html", root_url:
     (netloc equal to the root page's), query and fragment removed, distinct,
     numbered by first occurrence."""
     root = col_of(root_url) if root_url else F.col(url)
-    hrefs = F.regexp_extract_all(F.col(html), F.lit(r"""(?is)<a\b[^>]*?\bhref\s*=\s*"([^"]*)\""""), 1)
+    hrefs = F.regexp_extract_all(F.col(html), F.lit(r"""(?is)<a\b[^>]*?\bhref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*)"""), 1)
     x = pages.select("*", root.alias("__root"), F.posexplode(hrefs).alias("__i", "__href"))
+    x = x.withColumn("__href", F.regexp_replace("__href", r"""(?s)^(["'])(.*)\1$""", "$2"))
     full = resolve_href(F.col(url), F.col("__href"))
     x = x.withColumn("__full", full).filter(url_netloc("__full") == url_netloc("__root"))
     stripped = F.regexp_extract(F.col("__full"), r"^([^?#]*)", 1)

@@ -20,6 +20,13 @@ def test_text_title_links(spark):
                      "https://site.example.com/docs/c.html"]
 
 
+def test_links_in_every_quote_form(spark):
+    html = """<a href='/one'>1</a><a class=x href=/two?q=1>2</a><a href="/three">3</a><A HREF = '/it"s'>4</A><a href=''>5</a>"""
+    df = spark.createDataFrame([("https://s.com/", html)], "url string, html string")
+    links = [r.link for r in documents.page_links(df).orderBy("pos").collect()]
+    assert links == ["https://s.com/" + x for x in ("", "one", "two", "three", 'it"s')]
+
+
 def test_word_chunks_cover_whole_text(spark):
     words = " ".join(f"w{i}" for i in range(1200))
     df = spark.createDataFrame([(1, words)], "id int, text string")
