@@ -143,10 +143,15 @@ def evidence(toxic: list[list[str]], clean: list[set[str]]) -> dict[str, float]:
     good = Counter(f for d in clean for f in d if f in bad)
     scale = len(toxic) / max(1, len(clean))
 
+    def odds(f: str, n: int) -> float:
+        return PRIOR * math.exp(min(50.0, max(0.0, n - scale * good[f]) ** 2 / (n + scale**2 * good[f]) / 2))
+
+    # In a few texts nothing is sure, but what toxic ones share most may well be a sign.
+    lift = max(1.0, 0.5 / max((odds(f, n) for f, n in bad.items()), default=1.0))
+
     def chance(f: str, n: int) -> float:
-        beyond = n - scale * good[f]
-        odds = PRIOR * math.exp(min(50.0, max(0.0, beyond) ** 2 / (n + scale**2 * good[f]) / 2))
-        return max(0.0, beyond / n) * odds / (1 + odds)
+        o = lift * odds(f, n) if n >= 3 else 0.0
+        return max(0.0, 1 - scale * good[f] / max(1, n)) * o / (1 + o)
 
     more = {f for f, n in bad.items() if chance(f, n) >= SLIGHT}
     before: dict[str, set[str]] = {f: set() for f in more}
