@@ -29,6 +29,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """``written`` for large intermediate tables: the shuffle files of the write go as
+    soon as it has ended, not when the driver happens to collect its garbage."""
+    spark, key = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        return written(df, name)
+    finally:
+        spark.conf.set(key, before)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only. Pure ASCII texts take the byte-wise ``lower``."""
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(
