@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakelens.llm import byte_bpe, chat_collapse, exact_dedup, ngram_join, packing, secret_scan, sharding, substring_dedup, topk_search, toxicity, url_filter
+from lakelens.llm import byte_bpe, chat_collapse, exact_dedup, hard_negatives, ngram_join, packing, secret_scan, sharding, substring_dedup, topk_search, toxicity, url_filter, whitening
 
 QUERIES = {
     "op1_chat_collapse": chat_collapse.op1_chat_collapse,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_packing": packing.op8_packing,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_url_filter": url_filter.op10_url_filter,
+    "op11_hard_negatives": hard_negatives.op11_hard_negatives,
+    "op12_whitening": whitening.op12_whitening,
     "op13_substring_dedup": substring_dedup.op13_substring_dedup,
 }
 ORACLES = {
@@ -23,5 +25,6 @@ ORACLES = {
     "op7_topk_search": topk_search.OP7_SQL,
     "op9_exact_dedup": exact_dedup.OP9_SQL,
     "op10_url_filter": url_filter.OP10_SQL,
+    "op11_hard_negatives": hard_negatives.OP11_SQL,
     "op13_substring_dedup": substring_dedup.OP13_SQL,
 }
