@@ -12,8 +12,9 @@ offending spans.
 
 A chain has at most ``CHAIN`` tokens: longer texts are several chains, all of
 which count. The sample for the fit is bounded: ``TRAIN_ROWS`` labelled rows per
-class (clean: twice), each of at most ``TRAIN_BYTES``, taken by a hash of the id
-from rows whose crc32(doc_id) mod 5 is not 0.
+class (clean: twice), each of at most ``TRAIN_BYTES`` and all of at most
+``TRAIN_TOTAL``, taken by a hash of the id from rows whose crc32(doc_id) mod 5 is not
+0. The fit works on integers; its memory is some ten times ``TRAIN_TOTAL`` at most.
 
 Defined cases: null and empty texts have no tokens and score low; a document
 labelled more than once counts as toxic if one label says so; null labels and
@@ -23,15 +24,13 @@ score is 0; repeated rows each get a row; other columns are not read.
 
 from __future__ import annotations
 
-import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakelens.llm.common import table
@@ -40,6 +39,7 @@ from lakelens.llm.packing import slices
 CHAIN = 512
 TRAIN_ROWS = 1500
 TRAIN_BYTES = 20_000
+TRAIN_TOTAL = 24 << 20  # bytes of all texts of the sample
 EPOCHS = 3
 STEPS = 60  # updates at least; a small sample is passed over more often
 DOUBT = 0.1
@@ -131,63 +131,96 @@ def marginals(model: Crf, emission: np.ndarray, lengths: np.ndarray) -> np.ndarr
     return out
 
 
-def evidence(toxic: list[list[str]], clean: list[set[str]]) -> dict[str, float]:
-    """Chance, by feature, that a token of a toxic document (token list) with it is an
-    offence: the share of its toxic documents beyond those that clean ones (feature
-    sets) let expect, times the chance that this is no accident (prior odds ``PRIOR``,
-    normal evidence). A feature counts at most once for each different token before
-    it, as words that only the near copies of one document have come after the same
-    token each time."""
-    of_token = {t: features(t) for d in toxic for t in d}
-    bad = Counter(f for d in toxic for f in {f for t in set(d) for f in of_token[t]})
-    good = Counter(f for d in clean for f in d if f in bad)
-    scale = len(toxic) / max(1, len(clean))
-
-    def odds(f: str, n: int) -> float:
-        return PRIOR * math.exp(min(50.0, max(0.0, n - scale * good[f]) ** 2 / (n + scale**2 * good[f]) / 2))
+class Sample(NamedTuple):
+    """Labelled texts as integers: words by id, features by id (0: none)."""
+    words: np.ndarray  # of all documents, one after the other
+    lengths: np.ndarray
+    toxic: np.ndarray  # of the documents
+    features: np.ndarray  # word x 4
+    names: list[str]  # of the features, from 1
+
+    def documents(self) -> Iterator[tuple[int, np.ndarray]]:
+        end = np.cumsum(self.lengths)
+        for doc, (e, n) in enumerate(zip(end, self.lengths, strict=True)):
+            yield doc, self.words[e - n:e]
+
+
+def sample_of(texts: list[str], labels: list[int]) -> Sample:
+    """One pass over the texts; strings are kept once per different word and feature."""
+    words: dict[str, int] = {}
+    docs = []
+    for text in texts:
+        tokens = text.split()
+        docs.append(np.fromiter((words.setdefault(t, len(words)) for t in tokens), np.int32, len(tokens)))
+    ids: dict[str, int] = {}
+    of_word = np.zeros((len(words), 4), np.int32)
+    for i, word in enumerate(words):
+        for j, f in enumerate(features(word)):
+            of_word[i, j] = ids.setdefault(f, len(ids) + 1)
+    return Sample(np.concatenate([np.zeros(0, np.int32), *docs]), np.array([len(d) for d in docs], np.int64), np.array(labels) == 1, of_word, list(ids))
+
+
+def evidence(sample: Sample) -> tuple[np.ndarray, np.ndarray]:
+    """(chance, documents) of each feature, from 0. The chance that a token of a toxic
+    document with it is an offence: the share of its toxic documents beyond those
+    that clean ones let expect, times the chance that this is no accident (prior odds
+    ``PRIOR``, normal evidence). A feature counts at most once for each different token
+    before it, as words that only the near copies of one document have come after the
+    same token each time."""
+    size = len(sample.names) + 1
+    counts = np.zeros((2, size))
+    for doc, words in sample.documents():
+        counts[int(sample.toxic[doc]), np.unique(sample.features[np.unique(words)])] += 1
+    counts[:, 0] = 0
+    good, bad = counts
+    scale = sample.toxic.sum() / max(1, (~sample.toxic).sum())
+
+    def odds(n: np.ndarray) -> np.ndarray:
+        with np.errstate(invalid="ignore", divide="ignore"):
+            proof = np.maximum(0.0, n - scale * good) ** 2 / (n + scale**2 * good) / 2
+        return np.where(bad > 0, PRIOR * np.exp(np.minimum(50.0, np.nan_to_num(proof))), 0.0)
 
     # In a few texts nothing is sure, but what toxic ones share most may well be a sign.
-    lift = max(1.0, 0.5 / max((odds(f, n) for f, n in bad.items()), default=1.0))
-
-    def chance(f: str, n: int) -> float:
-        o = lift * odds(f, n) if n >= 3 else 0.0
-        return max(0.0, 1 - scale * good[f] / max(1, n)) * o / (1 + o)
-
-    more = {f for f, n in bad.items() if chance(f, n) >= SLIGHT}
-    before: dict[str, set[str]] = {f: set() for f in more}
-    for d in toxic:
-        for last, token in zip(["", *d], d):
-            for f in of_token[token]:
-                if f in more:
-                    before[f].add(last)
-    return {f: p for f, tokens in before.items() if (p := chance(f, min(bad[f], len(tokens)))) >= SLIGHT}
+    lift = max(1.0, 0.5 / max(1e-300, odds(bad).max(initial=0.0)) if bad.any() else 0.5)
+
+    def chance(n: np.ndarray) -> np.ndarray:
+        o = np.where(n >= 3, lift * odds(n), 0.0)
+        return np.maximum(0.0, 1 - scale * good / np.maximum(1, n)) * o / (1 + o)
+
+    more = chance(bad) >= SLIGHT
+    held = len(sample.features) + 1
+    pairs = [np.zeros(0, np.int64)]
+    for doc, words in sample.documents():
+        if sample.toxic[doc] and len(words):
+            before = np.concatenate([[0], words[:-1].astype(np.int64) + 1])
+            own = sample.features[words]
+            at, j = np.nonzero(more[own])
+            pairs.append(np.unique(own[at, j].astype(np.int64) * held + before[at]))
+    tokens = np.bincount(np.unique(np.concatenate(pairs)) // held, minlength=size)
+    found = np.where(more, chance(np.minimum(bad, tokens)), 0.0)
+    return np.where(found >= SLIGHT, found, 0.0), good + bad
 
 
 def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 7) -> Crf | None:
     """Fit the field and the document score to labelled texts; None without both classes."""
     if len(set(labels)) < 2:
         return None
-    vocabulary: dict[str, int] = {}
-    found = [[vocabulary.setdefault(w, len(vocabulary)) for w in text.split()] for text in texts]
-    of_word = [features(w) for w in vocabulary]
-    sets = [set().union(*(of_word[w] for w in set(doc))) for doc in found]
-    signs = evidence([t.split() for t, y in zip(texts, labels, strict=True) if y], [s for s, y in zip(sets, labels, strict=True) if not y])
-    common = Counter(f for s in sets for f in s)
-    names = sorted(f for f, n in common.items() if n >= 5 or f in signs)
-    column = {f: i + 1 for i, f in enumerate(names)}  # 0: no feature
-    table_of = np.zeros((len(vocabulary), 4), np.int64)
-    for i, fs in enumerate(of_word):
-        for j, f in enumerate(fs):
-            table_of[i, j] = column.get(f, 0)
-    marked = np.array([max((signs.get(f, 0.0) for f in fs), default=0.0) for fs in of_word] or [0.0])
-    lengths = np.array([len(d) for d in found])
-    words = np.concatenate([np.array(d, np.int64) for d in found])
-    truth = np.where(np.repeat(np.array(labels) == 1, lengths), marked[words], 0.0)
-
-    weights, squares = np.zeros(len(names) + 1), np.full(len(names) + 1, 1e-2)
-    bias, start = np.log((truth.sum() + 1) / len(truth)), 0.0
-    for f, p in signs.items():  # a sure sign starts at even odds, also on words not met
-        weights[column[f]] = -p * bias
+    return fit_sample(sample_of(texts, labels), epochs, seed)
+
+
+def fit_sample(sample: Sample, epochs: int = EPOCHS, seed: int = 7) -> Crf:
+    chances, documents = evidence(sample)
+    kept_ids = np.flatnonzero((documents >= 5) | (chances > 0))
+    column = np.zeros(len(documents), np.int32)
+    column[kept_ids] = np.arange(1, len(kept_ids) + 1)  # 0: no feature
+    table_of = column[sample.features]
+    marked = chances[sample.features].max(axis=1, initial=0.0)
+    words, lengths, n_words = sample.words, sample.lengths, len(sample.features)
+    truth = np.where(np.repeat(sample.toxic, lengths), marked[words], 0.0)
+
+    weights, squares = np.zeros(len(kept_ids) + 1), np.full(len(kept_ids) + 1, 1e-2)
+    bias, start = np.log((truth.sum() + 1) / max(1, len(truth))), 0.0
+    weights[1:] = -bias * chances[kept_ids]  # a sure sign starts at even odds, also on words not met
     log_trans, trans_squares = np.zeros((2, 2)), np.full((2, 2), 1e-2)
     begins, size = chains(lengths)
     blocks = list(_blocks(begins, size, 1 << 16))
@@ -203,8 +236,8 @@ def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 7
             f, b = forward_backward(potential, alive, np.exp(start), trans)
             gamma = f * b / (f * b + (1 - f) * (1 - b))
             residual = np.where(inside, truth[at] - gamma, 0.0)
-            per_word = np.bincount(seen.ravel(), residual.ravel(), len(vocabulary))
-            gradient = np.bincount(table_of.ravel(), np.repeat(per_word, 4), len(names) + 1) - 1e-3 * weights
+            per_word = np.bincount(seen.ravel(), residual.ravel(), n_words)
+            gradient = np.bincount(table_of.ravel(), np.repeat(per_word, 4), len(weights)) - 1e-3 * weights
             gradient[0] = 0
             squares += gradient**2
             weights += 0.5 * gradient / np.sqrt(squares)
@@ -219,11 +252,11 @@ def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 7
             trans_squares += step**2
             log_trans += 0.3 * step / np.sqrt(trans_squares)
     # Features of little weight do not travel to the tasks.
-    kept = {f: float(w) for f, i in column.items() if abs(w := weights[i]) >= 0.01}
+    weights[np.abs(weights) < 0.01] = 0.0
+    kept = {sample.names[f - 1]: float(weights[column[f]]) for f in kept_ids if weights[column[f]]}
     model = Crf(kept, float(np.exp(start)), np.exp(log_trans), float(bias), np.zeros(3))
-    word_scores = np.array([model.emission(w) for w in vocabulary])
-    x = document_inputs(marginals(model, word_scores[words], lengths), lengths)
-    return model._replace(head=_logistic(x, np.array(labels, float)))
+    x = document_inputs(marginals(model, (bias + weights[table_of].sum(axis=1))[words], lengths), lengths)
+    return model._replace(head=_logistic(x, sample.toxic.astype(float)))
 
 
 def document_inputs(p: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -248,22 +281,24 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return head
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, rows: int, most_bytes: int) -> list:
-    """The bounded sample: (text, toxic)."""
+def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, rows: int, most_bytes: int, total: int) -> DataFrame:
+    """The bounded sample: (id, text, toxic)."""
     known = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.filter(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
     pick = lambda y, n: known.filter(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
     sample = pick(1, rows).unionAll(pick(0, 2 * rows)).withColumnRenamed("doc_id", "label_id")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(F.octet_length("text") <= most_bytes)
     met = texts.join(F.broadcast(sample), F.col("id") == F.col("label_id")).select("id", "text", "toxic")
-    # An id may have any number of rows: the sample stays bounded.
-    return met.limit(4 * rows).collect()
+    # An id may have any number of rows: the sample stays bounded, in rows and in bytes.
+    few = met.limit(4 * rows)
+    order = Window.orderBy(F.xxhash64("id"), "id", "text")
+    return few.withColumn("upto", F.sum(F.octet_length("text")).over(order)).filter(F.col("upto") <= total).drop("upto")
 
 
 def fit_on(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = TRAIN_ROWS,
-           most_bytes: int = TRAIN_BYTES) -> Crf | None:
-    sample = sorted(training_rows(docs, labels, id_col, text_col, rows, most_bytes), key=lambda r: (r.id, r.text))
-    return fit([r.text for r in sample], [int(r.toxic) for r in sample])
+           most_bytes: int = TRAIN_BYTES, total: int = TRAIN_TOTAL) -> Crf | None:
+    sample = training_rows(docs, labels, id_col, text_col, rows, most_bytes, total).orderBy("id", "text").toArrow()
+    return fit(sample.column("text").to_pylist(), [int(y) for y in sample.column("toxic").to_pylist()])
 
 
 def toxicity(docs: DataFrame, model: Crf | None, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:

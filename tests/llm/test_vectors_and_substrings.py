@@ -196,3 +196,34 @@ def test_threshold_join_skips_and_keeps(spark):
     i, j, found, work = hard_negatives.threshold_join(rows, anchors, least, np.ones(scores.shape, bool))
     assert {(a, b): c for a, b, c in zip(i, j, found)} == {(a, b): scores[a, b] for a, b in zip(*np.nonzero(scores >= least[:, None]))}
     assert work < 0.5 * scores.size * 64
+
+
+# ---- operator 5: the field's marginals and the size of its fit
+
+
+def test_marginals_match_enumeration():
+    import itertools
+
+    from lakelens.llm import toxicity
+
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 5, 7):
+        emission, start, trans = rng.normal(size=n), float(np.exp(rng.normal())), np.exp(rng.normal(size=(2, 2)))
+        total, one = 0.0, np.zeros(n)
+        for path in itertools.product((0, 1), repeat=n):
+            weight = np.exp(sum(e for e, y in zip(emission, path) if y)) * (start if path[0] else 1)
+            weight *= np.prod([trans[a, b] for a, b in zip(path, path[1:])])
+            total += weight
+            one += weight * np.array(path)
+        model = toxicity.Crf({}, start, trans, 0.0, np.zeros(3))
+        np.testing.assert_allclose(toxicity.marginals(model, emission, np.array([n])), one / total, rtol=1e-9)
+
+
+def test_sample_is_bounded_in_bytes(spark):
+    from lakelens.llm import toxicity
+
+    docs = spark.createDataFrame([(i, "a b c " * (i % 7 + 1)) for i in range(400)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 3 == 0) for i in range(400)], "doc_id long, toxic boolean").withColumn("toxic", F.col("toxic").cast("int"))
+    few = toxicity.training_rows(docs, labels, "doc_id", "text", 50, 30, 900).collect()
+    assert 0 < len(few) <= 150 and 800 < sum(len(r.text) for r in few) <= 900 and all(len(r.text) <= 30 for r in few)
+    assert toxicity.fit(["", "a b"], [1, 0]) is not None and toxicity.fit(["", ""], [1, 0]) is not None
