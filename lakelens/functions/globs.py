@@ -7,9 +7,12 @@ pattern text also runs in engines with RE2 syntax.
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
-from pyspark.sql import Column
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakelens.functions.scalars import col_of
 
@@ -89,3 +92,35 @@ def glob_match(c, pattern: str) -> Column:
 def python_glob_match(name: str, pattern: str) -> bool:
     """Driver-side twin used only by tests to cross-check the translator."""
     return re.match(glob_to_regex(pattern)[:-2] + "\\Z", name) is not None
+
+
+@F.pandas_udf(T.StringType())
+def _regexes(globs: pd.Series) -> pd.Series:
+    return globs.map(glob_to_regex, na_action="ignore")
+
+
+def glob_pairs(names: DataFrame, name_cols: Sequence[str], rules: DataFrame, glob_cols: Sequence[str]) -> DataFrame:
+    """Rows of ``names`` with the rows of ``rules`` whose globs fit them, column by
+    column; a null glob fits every name, no glob fits a null name.
+
+    A rule is filed under its longest literal: the beginning or the end of one of its
+    globs. A name brings its beginnings and ends of the lengths that occur, so the
+    join is by equality and the regexes only see pairs with that literal. Rules
+    without any literal meet every name."""
+    filed = []
+    for i, glob in enumerate(glob_cols):
+        for kind, literal in ((2 * i, F.regexp_extract(glob, r"^[^*?\[]*", 0)), (2 * i + 1, F.regexp_extract(glob, r"[^*?\[\]]*$", 0))):
+            literal = F.coalesce(literal, F.lit(""))
+            filed.append(F.struct(F.length(literal).alias("n"), F.lit(kind).alias("kind"), literal.alias("literal")))
+    patterns = [f"__re{i}" for i in range(len(glob_cols))]
+    held = rules.select("*", F.array_max(F.array(*filed)).alias("__at"), *[_regexes(F.col(g)).alias(p) for g, p in zip(glob_cols, patterns)])
+    # One small row: the kinds and lengths in use, at most two for each length of a glob.
+    used = held.agg(F.collect_set(F.struct("__at.kind", "__at.n"))).scalar()
+    asked = names.select("*", F.explode(used).alias("__use"))
+    name = F.element_at(F.array(*[F.col(c) for c in name_cols]), F.floor(F.col("__use.kind") / 2).cast("int") + 1)
+    piece = F.when(F.col("__use.n") == 0, "").when(F.col("__use.kind") % 2 == 0, F.left(name, F.col("__use.n"))).otherwise(F.right(name, F.col("__use.n")))
+    asked = asked.withColumn("__literal", piece).filter(F.length("__literal") == F.col("__use.n"))
+    fits = (F.col("__use.kind") == F.col("__at.kind")) & (F.col("__literal") == F.col("__at.literal"))
+    for c, p in zip(name_cols, patterns):
+        fits = fits & (F.col(p).isNull() | F.regexp(F.col(c), F.col(p)))
+    return asked.join(held, fits).drop("__use", "__literal", "__at", *patterns)

@@ -1,11 +1,9 @@
 """Event output (K-1 .. K-8): envelopes, null trimming, conformance checks,
 size-bounded batching and batch files.
 
-Batch packing is an order-dependent fold (each row's batch depends on the rows
-before it). With one bucket, the default, the result equals a single fold over all
-rows, taken per range partition with the open group carried over (``_in_order``).
-Callers that ask for more buckets get a fold per hash bucket, with batch ids
-(bucket, batch-in-bucket).
+Batches are cut in order over all rows: where one begins depends on where the one
+before it began. The rows are range-partitioned, the open group is carried from
+partition to partition, and no task sees more than one partition (``_in_order``).
 """
 
 from __future__ import annotations
@@ -14,7 +12,7 @@ from collections.abc import Mapping
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,48 +59,6 @@ def check(df: DataFrame, rules: Mapping[str, Column], name: str = "conformance")
     return out, obs
 
 
-def _chunk_ids(sizes, items_per_chunk: int, chunk_size: int) -> list[int]:
-    """Greedy, order-keeping chunking: a new chunk when the item count is reached
-    or the byte budget would be exceeded; an item larger than the budget stands
-    alone. (Unlike the reference, trailing zero-size items are kept.)"""
-    ids, chunk, start, total = [], 0, 0, 0
-    for i, s in enumerate(sizes):
-        if i - start >= items_per_chunk:
-            chunk, start, total = chunk + 1, i, 0
-        total += int(s)
-        if total > chunk_size:
-            if start == i:
-                ids.append(chunk)
-                chunk, start, total = chunk + 1, i + 1, 0
-                continue
-            chunk, start, total = chunk + 1, i, int(s)
-        ids.append(chunk)
-    return ids
-
-
-def _query_log_ids(sizes, logs_per_event: int, events_per_file: int, bytes_per_file: int) -> list[tuple[int, int]]:
-    """Two-level batching of query logs: logs into events, events into files.
-    Checks happen before each log is added; the byte counter resets only when
-    a file closes."""
-    out = []
-    event, file, logs_in_event, events_in_file, file_bytes = 0, 0, 0, 0, 0
-    has_open_event = False
-    for s in sizes:
-        if has_open_event and (logs_in_event >= logs_per_event or file_bytes >= bytes_per_file):
-            event, logs_in_event, events_in_file, has_open_event = event + 1, 0, events_in_file + 1, False
-        if events_in_file >= events_per_file or (file_bytes >= bytes_per_file and events_in_file > 0):
-            file, events_in_file, file_bytes = file + 1, 0, 0
-        out.append((event, file))
-        has_open_event = True
-        logs_in_event += 1
-        file_bytes += int(s)
-    return out
-
-
-def _bucketed(df: DataFrame, order: str, buckets: int) -> DataFrame:
-    return df.withColumn("__bucket", F.pmod(F.xxhash64(F.col(order)), F.lit(buckets)).cast("int"))
-
-
 def _next_starts(total: np.ndarray, most: int, limit: int, reach: bool) -> np.ndarray:
     """For a group that starts at each row, the row at which the next one starts (the
     row count where the group is still open). ``total`` are running sums of sizes, 0
@@ -123,19 +79,37 @@ def _carried_rows(rows: int, held: int, head: np.ndarray, most: int, limit: int,
     return int(max(0, min(fit, most - rows)))
 
 
+def _cuts(sizes: np.ndarray, place: int, taken: int, most: int, limit: int, reach: bool) -> tuple[np.ndarray, np.ndarray, int, int]:
+    """(group, place in the group) of rows that follow ``place`` rows of ``taken`` bytes of
+    an open group, which is number 0, and what is open after them. One step per group."""
+    total, n = np.concatenate([[0], sizes]).cumsum(), len(sizes)
+    after = _next_starts(total, most, limit, reach)
+    starts, begin = [], _carried_rows(place, taken, total, most, limit, reach)
+    while begin < n:
+        starts.append(begin)
+        begin = int(after[begin])
+    mark = np.zeros(n, np.int64)
+    mark[starts] = 1
+    groups = np.cumsum(mark)
+    places = np.arange(n) - np.array([-place, *starts])[groups]
+    if starts:
+        place, taken, n = 0, -int(total[starts[-1]]), n - starts[-1]
+    return groups, places, place + n, taken + int(total[-1])
+
+
 def _in_order(df: DataFrame, order: str, size: str, most: int, limit: int, reach: bool, per_event: int | None) -> DataFrame:
-    """``df`` with ``__group`` and ``__event`` as one fold over all rows in order gives
-    them, without one task seeing all rows.
+    """``df`` with ``__group`` and ``__event`` as cuts over all rows in order give them.
 
-    Rows are range-partitioned by the order key. Where a partition's last group starts
+    Rows are range-partitioned by the order key, size and a hash of the row, so that
+    a key with very many rows is split too. Where a partition's last group starts
     depends only on where its first one does; each partition reports this for every
     first start there can be (runs of equal answers) with its first sums, and the
     driver follows the chain. With the group carried in known, partitions number
     their rows, and counts of the partitions before are added."""
     spark = df.sparkSession
-    key = F.col(order).asc_nulls_last()
-    rows = cut_lineage(df.withColumn("__size", F.coalesce(F.col(size).cast("long"), F.lit(0)))
-                       .repartitionByRange(key).sortWithinPartitions(key, "__size").withColumn("__part", F.spark_partition_id()))
+    key = [F.col(order).asc_nulls_last(), F.col("__size"), F.col("__tie")]
+    sized = df.withColumns({"__size": F.coalesce(F.col(size).cast("long"), F.lit(0)), "__tie": F.xxhash64(*df.columns)})
+    rows = cut_lineage(sized.repartitionByRange(*key).sortWithinPartitions(*key).drop("__tie").withColumn("__part", F.spark_partition_id()))
 
     def summary(frames):
         frames = [f for f in frames if len(f)]
@@ -155,7 +129,8 @@ def _in_order(df: DataFrame, order: str, size: str, most: int, limit: int, reach
 
     schema = "part int, n long, bytes long, head array<long>, first array<long>, rows array<long>, held array<long>"
     carried, open_rows, held = {}, 0, 0
-    for r in sorted(rows.select("__part", "__size").mapInPandas(summary, schema).collect(), key=lambda r: r.part):
+    told = cut_lineage(rows.select("__part", "__size").mapInPandas(summary, schema))
+    for r in told.orderBy("part").toLocalIterator():  # the driver holds a few partitions' answers at a time
         carried[r.part] = (open_rows, held)
         begin = _carried_rows(open_rows, held, np.array(r.head), most, limit, reach)
         if open_rows and begin >= r.n:
@@ -166,69 +141,40 @@ def _in_order(df: DataFrame, order: str, size: str, most: int, limit: int, reach
     shipped = spark.sparkContext.broadcast(carried)  # two numbers a partition
 
     def number(frames):
-        place = group = event = None
+        state = None
         for f in frames:
             if not len(f):
                 continue
-            if place is None:
-                place, taken = shipped.value[int(f["__part"].iloc[0])]
-                group = event = 0
-            groups, events = [], []
-            for s in f["__size"].tolist():
-                if place and (place >= most or (taken >= limit if reach else taken + s > limit)):
-                    place, taken = 0, 0
-                group += place == 0
-                event += per_event is not None and place % per_event == 0
-                place, taken = place + 1, taken + s
-                groups.append(group)
-                events.append(event)
-            yield f.assign(__group=groups, __event=events)
-
-    numbered = rows.mapInPandas(number, T.StructType(rows.schema.fields + [T.StructField(c, T.LongType()) for c in ("__group", "__event")]))
-    counts = numbered.groupBy("__part").agg(F.max("__group").alias("g"), F.max("__event").alias("e")).collect()
-    g, e, bases = -1, -1, []
-    for r in sorted(counts, key=lambda r: r[0]):
-        bases.append((r[0], g, e))
-        g, e = g + r.g, e + r.e
-    base = spark.createDataFrame(bases, "__part int, __g long, __e long")
+            if state is None:
+                state, group, event = shipped.value[int(f["__part"].iloc[0])], 0, 0
+            groups, places, *state = _cuts(f["__size"].to_numpy(), *state, most, limit, reach)
+            events = event + np.cumsum(places % per_event == 0) if per_event else np.zeros(len(f), np.int64)
+            yield f.assign(__group=group + groups, __event=events)
+            group, event = group + int(groups[-1]), int(events[-1])
+
+    numbered = cut_lineage(rows.mapInPandas(number, T.StructType(rows.schema.fields + [T.StructField(c, T.LongType()) for c in ("__group", "__event")])))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
+    base = numbered.groupBy("__part").agg(F.max("__group").alias("g"), F.max("__event").alias("e")).select(
+        "__part", *[(F.coalesce(F.sum(c).over(before), F.lit(0)) - 1).alias(f"__{c}") for c in ("g", "e")])
     return numbered.join(F.broadcast(base), "__part").withColumns({
-        "__group": (F.col("__group") + F.col("__g")).cast("int"), "__event": (F.col("__event") + F.col("__e")).cast("int"),
-        "__bucket": F.lit(0)}).drop("__part", "__size", "__g", "__e")
-
+        "__group": (F.col("__group") + F.col("__g")).cast("int"), "__event": (F.col("__event") + F.col("__e")).cast("int")})
 
-def pack(df: DataFrame, order: str, size: str, items_per_chunk: int, chunk_size: int, buckets: int = 1) -> DataFrame:
-    """K-4 / X-4 (a grouped fold via applyInPandas): add ``bucket`` and
-    ``batch`` (chunk within the bucket) to every row."""
-    if buckets <= 1:
-        x = _in_order(df, order, size, items_per_chunk, chunk_size, False, None)
-        return x.select(*df.columns, F.col("__bucket").alias("bucket"), F.col("__group").alias("batch"))
-    x = _bucketed(df, order, buckets)
-    schema = T.StructType(x.schema.fields + [T.StructField("batch", T.IntegerType())])
 
-    def fold(pdf):
-        pdf = pdf.sort_values(order, kind="stable")
-        pdf["batch"] = _chunk_ids(pdf[size].fillna(0).tolist(), items_per_chunk, chunk_size)
-        return pdf
-    return x.groupBy("__bucket").applyInPandas(fold, schema).withColumnRenamed("__bucket", "bucket")
+def pack(df: DataFrame, order: str, size: str, items_per_chunk: int, chunk_size: int) -> DataFrame:
+    """K-4 / X-4: add ``batch`` to every row. In order, a batch takes rows while it has
+    at most ``items_per_chunk`` of them and at most ``chunk_size`` bytes; a larger row
+    stands alone. Rows of one order key go by size."""
+    x = _in_order(df, order, size, items_per_chunk, chunk_size, False, None)
+    return x.select(*df.columns, F.col("__group").alias("batch"))
 
 
 def query_log_batches(df: DataFrame, order: str, size: str, logs_per_event: int = 100, events_per_file: int = 200,
-                      bytes_per_file: int = 100 * 1024 * 1024, buckets: int = 1) -> DataFrame:
-    """K-6 / W-9: add ``bucket``, ``event_no`` and ``file_no`` to every log row."""
-    if buckets <= 1:
-        x = _in_order(df, order, size, logs_per_event * events_per_file, bytes_per_file, True, logs_per_event)
-        return x.select(*df.columns, F.col("__bucket").alias("bucket"), F.col("__event").alias("event_no"), F.col("__group").alias("file_no"))
-    x = _bucketed(df, order, buckets)
-    schema = T.StructType(x.schema.fields + [T.StructField("event_no", T.IntegerType()),
-                                             T.StructField("file_no", T.IntegerType())])
-
-    def fold(pdf):
-        pdf = pdf.sort_values(order, kind="stable")
-        ids = _query_log_ids(pdf[size].fillna(0).tolist(), logs_per_event, events_per_file, bytes_per_file)
-        pdf["event_no"] = [e for e, _ in ids]
-        pdf["file_no"] = [f for _, f in ids]
-        return pdf
-    return x.groupBy("__bucket").applyInPandas(fold, schema).withColumnRenamed("__bucket", "bucket")
+                      bytes_per_file: int = 100 * 1024 * 1024) -> DataFrame:
+    """K-6 / W-9: add ``event_no`` and ``file_no`` to every log row. In order, a file
+    takes logs until it has reached ``bytes_per_file`` or its events are full; an event
+    takes ``logs_per_event`` logs of one file."""
+    x = _in_order(df, order, size, logs_per_event * events_per_file, bytes_per_file, True, logs_per_event)
+    return x.select(*df.columns, F.col("__event").alias("event_no"), F.col("__group").alias("file_no"))
 
 
 def positional_batches(df: DataFrame, seq: Column, per_event: int, per_file: int) -> Column:

@@ -1,149 +1,110 @@
 """Dataset filters (P-1 .. P-7): three-level glob include / exclude.
 
-A filter is configuration, not data: nested maps
-``{database_glob: {schema_glob: {table_glob, ...} | None} | None}``.
-It is compiled once on the driver into either
-  * one boolean Column (few rules: an OR of ``rlike``s, or a first-match CASE
-    chain where rule order matters), evaluated inside whole-stage codegen, or
-  * a rule DataFrame joined by ``broadcast`` (many rules). The rule table is the
-    configuration itself, so its size is known on the driver before the join.
+A filter is a list of rules for each of its two sides. A rule is a path of globs:
+``(database,)`` covers a whole database, ``(database, schema)`` a schema,
+``(database, schema, table)`` tables. Configuration writes the paths as nested
+mappings; rule tables (``side, db, schema, table``, null below what a rule names) hold
+any number of them. Two ways apply a filter:
+
+* ``include_table`` and its like make one boolean Column of a configured filter;
+* ``filter_by_rules`` joins names with a rule table by ``globs.glob_pairs``.
+
+``normalized`` and ``merged`` work on paths, ``normalize_rules`` and ``merge_rules``
+on rule tables: a rule goes where another one refines it, so that "all" yields to
+what the other filter names.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass
 from typing import Optional
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakelens.functions.globs import glob_match, glob_to_regex
+from lakelens.functions.globs import glob_match, glob_pairs
 from lakelens.functions.scalars import col_of
 
-TableFilter = Optional[set]
-SchemaFilter = Optional[dict]
-DatabaseFilter = Optional[dict]
+Path = tuple[str, ...]
+LEVELS = ("db", "schema", "table")
+NOTHING = ""  # last step of a path below which nothing was listed
+# Fixed value: the database of sources that have schemas and tables alone.
+DUMMY_DATABASE = "dummy"
 
-# Above this many rules the predicate becomes a broadcast rule join.
-MAX_INLINE_RULES = 256
 
+def paths_of(spec, at: Path = ()) -> list[Path]:
+    """The paths of nested mappings and sets of globs; None means all below."""
+    if spec is None:
+        return [at]
+    if not spec:
+        return [(*at, NOTHING)]
+    below = spec.items() if isinstance(spec, Mapping) else [(glob, None) for glob in sorted(spec)]
+    return [path for glob, inner in below for path in paths_of(inner, (*at, glob))]
 
-@dataclass
+
+def _refined(paths: Iterable[Path]) -> tuple[Path, ...]:
+    """Each path once, in the order in which its databases, schemas and tables first
+    came, without those that another path continues."""
+    paths, first = list(paths), {}
+    for path in paths:
+        for n in range(1, len(path) + 1):
+            first.setdefault(path[:n], len(first))
+    continued = {path[:n] for path in paths for n in range(1, len(path))}
+    return tuple(sorted(set(paths) - continued, key=lambda p: [first[p[:n]] for n in range(1, len(p) + 1)]))
+
+
+@dataclass(frozen=True)
 class DatasetFilter:
-    """Include / exclude globs by database, schema and table. ``normalize`` and
-    ``merge`` are the filter algebra (P-6): lower-casing, and merging where
-    "all" (None) yields to a set and sets are unioned."""
-    includes: DatabaseFilter = None
-    excludes: DatabaseFilter = None
-
-    # ---- algebra (driver side, on configuration) -------------------------
-    def normalize(self) -> "DatasetFilter":
-        def tables(t):
-            return None if t is None else {v.lower() for v in t}
-
-        def schemas(s):
-            return None if s is None else {k.lower(): tables(v) for k, v in s.items()}
-
-        def dbs(d):
-            return None if d is None else {k.lower(): schemas(v) for k, v in d.items()}
-
-        return DatasetFilter(dbs(self.includes), dbs(self.excludes))
-
-    def merge(self, other: "DatasetFilter") -> "DatasetFilter":
-        def m_tables(a, b):
-            return a if b is None else b if a is None else set(a) | set(b)
-
-        def m_schemas(a, b):
-            if a is None:
-                return b
-            if b is None:
-                return a
-            out = dict(a)
-            for k, v in b.items():
-                out[k] = m_tables(a.get(k), v)
-            return out
-
-        def m_dbs(a, b):
-            if a is None:
-                return b
-            if b is None:
-                return a
-            out = dict(a)
-            for k, v in b.items():
-                out[k] = m_schemas(a.get(k), v)
-            return out
-
-        return DatasetFilter(m_dbs(self.includes, other.includes), m_dbs(self.excludes, other.excludes))
-
-    @staticmethod
-    def two_level(includes: SchemaFilter = None, excludes: SchemaFilter = None) -> "DatasetFilter":
-        return DatasetFilter(
-            includes=None if includes is None else {DUMMY_DATABASE: includes},
-            excludes=None if excludes is None else {DUMMY_DATABASE: excludes},
-        )
-
-    # ---- rule rows ---------------------------------------------------------
-    def table_rules(self) -> list[tuple]:
-        """(side, rule_no, db_glob, schema_glob|None, table_glob|None); None = all."""
-        rows = []
-        for side, spec in (("include", self.includes), ("exclude", self.excludes)):
-            if spec is None:
-                continue
-            for db, schemas in spec.items():
-                if schemas is None:
-                    rows.append((side, len(rows), db, None, None))
-                    continue
-                for sc, tables in schemas.items():
-                    if tables is None:
-                        rows.append((side, len(rows), db, sc, None))
-                        continue
-                    for t in sorted(tables):
-                        rows.append((side, len(rows), db, sc, t))
-        return rows
-
-
-# Fixed value: the database name used for two-level (schema.table) sources.
-DUMMY_DATABASE = "__DUMMY_DATABASE__"
-
-
-def _accepts(spec: dict, db: Column, schema: Column, table: Column) -> Column:
-    """OR over rules of one side (include_table semantics: an empty set matches nothing)."""
-    terms = []
-    for dbg, schemas in spec.items():
-        dm = glob_match(db, dbg)
-        if schemas is None:
-            terms.append(dm)
-            continue
-        sterms = []
-        for sg, tables in schemas.items():
-            sm = glob_match(schema, sg)
-            if tables is None:
-                sterms.append(sm)
-            elif tables:
-                sterms.append(sm & _or([glob_match(table, tg) for tg in sorted(tables)]))
-        if sterms:
-            terms.append(dm & _or(sterms))
-    return _or(terms)
-
-
-def _or(terms: list) -> Column:
-    if not terms:
-        return F.lit(False)
-    out = terms[0]
-    for t in terms[1:]:
-        out = out | t
-    return out
+    """Rules to include (None: everything) and to exclude (None: nothing)."""
+    includes: Optional[tuple[Path, ...]] = None
+    excludes: Optional[tuple[Path, ...]] = None
+
+    @classmethod
+    def of(cls, includes=None, excludes=None) -> DatasetFilter:
+        """From configuration: ``{database: {schema: {table, ...} | None} | None}``."""
+        return cls(*(None if spec is None else tuple(paths_of(spec)) for spec in (includes, excludes)))
+
+    @classmethod
+    def two_level(cls, includes=None, excludes=None) -> DatasetFilter:
+        """P-4, from ``{schema: {table, ...} | None}``."""
+        return cls.of(*(None if spec is None else {DUMMY_DATABASE: spec} for spec in (includes, excludes)))
+
+    def normalized(self) -> DatasetFilter:
+        """P-6: globs in lower case."""
+        return DatasetFilter(*(None if side is None else _refined(tuple(glob.lower() for glob in path) for path in side)
+                               for side in (self.includes, self.excludes)))
+
+    def merged(self, other: DatasetFilter) -> DatasetFilter:
+        """P-6: the rules of both; a side that one filter lacks is the other's."""
+        return DatasetFilter(*(None if a is None and b is None else _refined([*(a or ()), *(b or ())])
+                               for a, b in ((self.includes, other.includes), (self.excludes, other.excludes))))
+
+
+def _any(terms: Sequence[Column]) -> Column:
+    found = F.lit(False)
+    for term in terms:
+        found = found | term
+    return found
+
+
+def _fits(path: Path, names: Sequence[Column]) -> Column:
+    found = glob_match(names[0], path[0])
+    for name, glob in zip(names[1:], path[1:]):
+        found = found & glob_match(name, glob)
+    return found
+
+
+def _covers(paths: Iterable[Path], names: Sequence[Column]) -> Column:
+    """Some path fits the names at all its levels."""
+    return _any([_fits(path, names) for path in paths if path[-1] != NOTHING])
 
 
 def include_table(flt: DatasetFilter, db, schema, table) -> Column:
     """P-1: names are lower-cased before matching; includes then excludes."""
-    d, s, t = (F.lower(col_of(x)) for x in (db, schema, table))
-    cond = F.lit(True)
-    if flt.includes is not None:
-        cond = cond & _accepts(flt.includes, d, s, t)
-    if flt.excludes is not None:
-        cond = cond & ~_accepts(flt.excludes, d, s, t)
-    return cond
+    names = [F.lower(col_of(name)) for name in (db, schema, table)]
+    kept = F.lit(True) if flt.includes is None else _covers(flt.includes, names)
+    return kept if flt.excludes is None else kept & ~_covers(flt.excludes, names)
 
 
 def include_table_two_level(flt: DatasetFilter, schema, table) -> Column:
@@ -151,86 +112,71 @@ def include_table_two_level(flt: DatasetFilter, schema, table) -> Column:
     return include_table(flt, F.lit(DUMMY_DATABASE), schema, table)
 
 
-def _covered(spec: dict, d: Column, s: Column, partial: bool) -> Column:
-    """First-match chain: the first database pattern that matches and then
-    either has no schema list (covered) or a matching schema pattern decides;
-    a database match with no schema match falls through to the next pattern."""
-    branches = []
-    for dbg, schemas in spec.items():
-        dm = glob_match(d, dbg)
-        if not schemas:
-            branches.append((dm, F.lit(True)))
-            continue
-        for sg, tables in schemas.items():
-            full = tables is None or len(tables) == 0
-            branches.append((dm & glob_match(s, sg), F.lit(True if full else partial)))
-    if not branches:
-        return F.lit(False)
-    expr = F.when(branches[0][0], branches[0][1])
-    for cond, val in branches[1:]:
-        expr = expr.when(cond, val)
-    return expr.otherwise(F.lit(False))
+def _decided(paths: Iterable[Path], names: Sequence[Column], partial: bool) -> Column:
+    """The first path that fits as far as its schema decides: a path that goes on to
+    tables covers the schema in part."""
+    chain = None
+    for path in paths:
+        schema = [glob for glob in path[:2] if glob != NOTHING]
+        value = F.lit(partial if len(path) == 3 and path[2] != NOTHING else True)
+        chain = (F if chain is None else chain).when(_fits(schema, names), value)
+    return F.lit(False) if chain is None else chain.otherwise(F.lit(False))
 
 
 def include_schema(flt: DatasetFilter, db, schema) -> Column:
     """P-2: include accepts a partial cover; exclude needs a full cover."""
-    d, s = F.lower(col_of(db)), F.lower(col_of(schema))
-    cond = F.lit(True)
-    if flt.includes is not None:
-        cond = cond & _covered(flt.includes, d, s, True)
-    if flt.excludes is not None:
-        cond = cond & ~_covered(flt.excludes, d, s, False)
-    return cond
+    names = [F.lower(col_of(name)) for name in (db, schema)]
+    kept = F.lit(True) if flt.includes is None else _decided(flt.includes, names, True)
+    return kept if flt.excludes is None else kept & ~_decided(flt.excludes, names, False)
 
 
 def include_database(flt: DatasetFilter, db) -> Column:
     """P-3: only whole-database excludes exclude; any include pattern includes."""
-    d = F.lower(col_of(db))
-    cond = F.lit(True)
-    if flt.excludes is not None:
-        whole = [glob_match(d, p) for p, schemas in flt.excludes.items() if not schemas]
-        cond = cond & ~_or(whole)
-    if flt.includes is not None:
-        cond = cond & _or([glob_match(d, p) for p in flt.includes])
-    return cond
-
-
-def filter_tables(df: DataFrame, flt: DatasetFilter, db="database", schema="schema", table="table") -> DataFrame:
-    """Apply P-1 to a table listing. Inline predicate for few rules; otherwise a
-    broadcast semi/anti join against the rule rows (size known: it is config)."""
-    rules = flt.table_rules()
-    if len(rules) <= MAX_INLINE_RULES:
-        return df.filter(include_table(flt, db, schema, table))
-    spark = df.sparkSession
-    rdf = rules_frame(spark, rules)
-    d, s, t = (F.lower(col_of(x)) for x in (db, schema, table))
-    keyed = df.withColumn("__d", d).withColumn("__s", s).withColumn("__t", t)
-
-    def match(side):
-        r = F.broadcast(rdf.filter(F.col("side") == side))
-        cond = (
-            F.regexp(F.col("__d"), F.col("db_re"))
-            & (F.col("schema_re").isNull() | F.regexp(F.col("__s"), F.col("schema_re")))
-            & (F.col("table_re").isNull() | F.regexp(F.col("__t"), F.col("table_re")))
-        )
-        return r, cond
-
-    out = keyed
-    if flt.includes is not None:
-        r, cond = match("include")
-        out = out.join(r, cond, "left_semi")
-    if flt.excludes is not None:
-        r, cond = match("exclude")
-        out = out.join(r, cond, "left_anti")
-    return out.drop("__d", "__s", "__t")
-
-
-def rules_frame(spark: SparkSession, rules: list[tuple]) -> DataFrame:
-    rows = [
-        (side, no, glob_to_regex(d), None if s is None else glob_to_regex(s), None if t is None else glob_to_regex(t))
-        for side, no, d, s, t in rules
-    ]
-    return spark.createDataFrame(rows, "side string, rule_no int, db_re string, schema_re string, table_re string")
+    name = F.lower(col_of(db))
+    kept = F.lit(True) if flt.includes is None else _any([glob_match(name, glob) for glob in dict.fromkeys(p[0] for p in flt.includes)])
+    whole = [path[0] for path in flt.excludes or () if len(path) == 1 or path[1] == NOTHING]
+    return kept & ~_any([glob_match(name, glob) for glob in whole])
+
+
+# ---- rule tables ---------------------------------------------------------
+
+
+def rules_frame(spark: SparkSession, flt: DatasetFilter) -> DataFrame:
+    """The rule table of a configured filter."""
+    rows = [(side, *path, *[None] * (3 - len(path))) for side, paths in (("include", flt.includes), ("exclude", flt.excludes)) for path in paths or ()]
+    return spark.createDataFrame(rows, "side string, db string, schema string, table string")
+
+
+def normalize_rules(rules: DataFrame) -> DataFrame:
+    """P-6 on a rule table: globs in lower case, each rule once, none that another
+    rule of its side refines."""
+    low = rules.select("side", *[F.lower(c).alias(c) for c in LEVELS]).distinct()
+    schemas = low.filter("schema IS NOT NULL").select("side", "db").distinct()
+    tables = low.filter("table IS NOT NULL").select("side", "db", "schema").distinct()
+    return (low.filter("schema IS NULL").join(schemas, ["side", "db"], "left_anti").select(low.columns)
+            .unionAll(low.filter("schema IS NOT NULL AND table IS NULL").join(tables, ["side", "db", "schema"], "left_anti").select(low.columns))
+            .unionAll(low.filter("table IS NOT NULL")))
+
+
+def merge_rules(one: DataFrame, other: DataFrame) -> DataFrame:
+    """P-6 on rule tables: the normalised rules of both."""
+    return normalize_rules(one.select("side", *LEVELS).unionAll(other.select("side", *LEVELS)))
+
+
+def filter_by_rules(df: DataFrame, rules: DataFrame, db="db", schema="schema", table="table") -> DataFrame:
+    """P-1 with a rule table of any size. Names are matched once each, in lower case;
+    without include rules everything is included."""
+    keyed = df.select("*", *[F.lower(col_of(name)).alias(f"__{level}") for name, level in zip((db, schema, table), LEVELS)])
+    own = [f"__{level}" for level in LEVELS]
+    low = normalize_rules(rules).filter(F.coalesce("table", "schema", "db") != NOTHING)
+    pairs = glob_pairs(keyed.select(own).distinct(), own, low, LEVELS)
+    sides = pairs.groupBy(own).agg(F.bool_or(F.col("side") == "include").alias("__in"), F.bool_or(F.col("side") == "exclude").alias("__out"))
+    limited = rules.filter("side = 'include'").agg(F.count("*") > 0).scalar()
+    sides = sides.select(*[F.col(c).alias(f"{c}_") for c in own], "__in", "__out")
+    same = [F.col(c).eqNullSafe(F.col(f"{c}_")) for c in own]
+    met = keyed.join(sides, same, "left")
+    kept = met.filter((~limited | F.coalesce("__in", F.lit(False))) & ~F.coalesce("__out", F.lit(False)))
+    return kept.select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 @dataclass
@@ -240,14 +186,11 @@ class TopicFilter:
 
 
 def include_topic(flt: TopicFilter, topic) -> Column:
-    """P-5 (topic and patterns both lower-cased; the reference lowers patterns only)."""
-    t = F.lower(col_of(topic))
-    cond = F.lit(True)
-    if flt.includes is not None:
-        cond = cond & _or([glob_match(t, p.lower()) for p in sorted(flt.includes)])
-    if flt.excludes is not None:
-        cond = cond & ~_or([glob_match(t, p.lower()) for p in sorted(flt.excludes)])
-    return cond
+    """P-5: topic and globs both in lower case."""
+    name = F.lower(col_of(topic))
+    some = lambda globs: _any([glob_match(name, glob.lower()) for glob in sorted(globs)])
+    kept = F.lit(True) if flt.includes is None else some(flt.includes)
+    return kept if flt.excludes is None else kept & ~some(flt.excludes)
 
 
 # Default system excludes per source family.
@@ -264,4 +207,4 @@ DEFAULT_EXCLUDES = {
 def with_default_excludes(flt: DatasetFilter, family: str) -> DatasetFilter:
     """P-7: merge the family's system excludes, then normalise (so upper-case
     defaults still match lower-cased names)."""
-    return flt.merge(DatasetFilter(excludes=DEFAULT_EXCLUDES[family])).normalize()
+    return flt.merged(DatasetFilter.of(excludes=DEFAULT_EXCLUDES[family])).normalized()

@@ -1,25 +1,17 @@
-"""SQL-text operators over query-log tables (Q-1 .. Q-6, Q-10). No parser.
+"""SQL-text operators over query-log tables (Q-1 .. Q-4, Q-6, Q-9, Q-10). No parser.
 
 A query text is cut into tokens with one regular expression on the JVM
 (``regexp_extract_all``): comments, quoted strings, (qualified) identifiers,
 numbers, whitespace and single characters. The tokens cover the whole text, so
-joining them gives it back, which is how literals are redacted in place.
-
-Table lineage works on token *rows*: ``posexplode`` gives (query, position,
-token) and window functions over each query (lag / lead, a running parenthesis
-depth, the last clause keyword at the same depth, the call that opened the
-enclosing parenthesis) classify tokens as source tables, target tables and CTE
-names. Windows are partitioned by query id; a query's token count is bounded by
-its text length, which the log tables cap.
-
-Known limits (a parser would do better): dialect-specific statements, table
-functions, quoted names holding dots, and CTEs that are defined but unused
-(their tables still count as sources).
+joining them gives it back, which is how literals are redacted in place. Table
+lineage (Q-5) is in ``sqlscope``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from dataclasses import dataclass
+
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lakelens.functions.scalars import col_of
@@ -40,10 +32,6 @@ KEYWORDS = (
     "LATERAL UNNEST WINDOW QUALIFY PARTITION OVER ROWS RANGE CLONE TOP FETCH FIRST NEXT ONLY ASC DESC NULLS LAST "
     "INTERVAL CAST DEFAULT PRIMARY KEY REFERENCES CONSTRAINT UNIQUE CHECK FOREIGN GRANT REVOKE"
 ).split()
-CLAUSE_KEYWORDS = ("SELECT", "FROM", "WHERE", "GROUP", "ORDER", "HAVING", "LIMIT", "ON", "USING", "SET", "VALUES",
-                   "INTO", "UNION", "INTERSECT", "EXCEPT", "WINDOW", "QUALIFY", "JOIN", "WHEN", "RETURNING")
-CREATE_MODIFIERS = ("OR", "REPLACE", "TEMP", "TEMPORARY", "TRANSIENT", "VOLATILE", "GLOBAL", "LOCAL", "EXTERNAL",
-                    "MATERIALIZED", "SECURE", "RECURSIVE", "MULTISET", "SET", "UNLOGGED")
 REDACTED = "<REDACTED>"
 
 
@@ -52,10 +40,6 @@ def tokens(sql) -> Column:
     return F.regexp_extract_all(col_of(sql), F.lit(TOKEN_RE), 0)
 
 
-def _is_ws_or_comment(t: Column) -> Column:
-    return t.rlike(r"^\s+$") | t.startswith("--") | t.startswith("/*")
-
-
 def redact_literals(sql, placeholder: str = REDACTED, collapse_space: bool = True) -> Column:
     """Q-1: every string and numeric literal becomes '<placeholder>' (quoted);
     identifiers, comments and keywords stay. Whitespace runs become one space."""
@@ -113,36 +97,46 @@ def is_bad_query(sql) -> Column:
     return c
 
 
-def process_query(sql, placeholder: str = REDACTED) -> Column:
-    """Q-1..Q-4 together: null for statements without lineage, the text as is
-    for known-bad patterns, otherwise COPY options stripped and literals redacted."""
-    s = col_of(sql)
-    return (F.when(is_bad_query(s), s)
-            .when(keep_statement(s), redact_literals(drop_copy_into_options(s), placeholder)))
+@dataclass(frozen=True)
+class QueryRules:
+    """What is done with a query text; nothing unless asked for."""
+    redact: bool = False
+    placeholder: str = REDACTED
+    drop_insert_values: bool = False
+    drop_commands: bool = False
 
+    @property
+    def any(self) -> bool:
+        return self.redact or self.drop_insert_values or self.drop_commands
 
-# COPY INTO option patterns removed (first occurrence each).
-COPY_BLOCK_OPTIONS = (r"files\s?=\s?\([^\)]+\)", r"region\s?=\s?'[^']+'", r"credentials\s?=\s?\([^\)]+\)",
-                      r"encryption\s?=\s?\([^\)]+\)", r"file_format\s?=\s?\([^\)]+\)")
-COPY_OPTIONS = ("PURGE", "ON_ERROR", "SIZE_LIMIT", "RETURN_FAILED_ONLY", "MATCH_BY_COLUMN_NAME", "INCLUDE_METADATA",
-                "ENFORCE_LENGTH", "TRUNCATECOLUMNS", "FORCE", "LOAD_UNCERTAIN_FILES", "STORAGE_INTEGRATION",
-                "FILE_FORMAT", "MAX_FILE_SIZE")
+
+def process_query(sql, rules: QueryRules = QueryRules()) -> Column:
+    """Q-1..Q-4 together: null for statements that ``rules`` drop, the text as it is
+    for known-bad patterns and without rules, otherwise the text without load options,
+    with literals redacted if asked for."""
+    s = col_of(sql)
+    if not rules.any:
+        return s
+    text = drop_copy_into_options(s)
+    if rules.redact:
+        text = redact_literals(text, rules.placeholder)
+    return F.when(is_bad_query(s), s).when(keep_statement(s, rules.drop_insert_values, rules.drop_commands), text)
 
 
-def _replace_first(s: Column, pattern: str) -> Column:
-    # Spark replaces every match; a lazy prefix group limits it to the first.
-    return F.regexp_replace(s, r"(?is)^(.*?)" + pattern, "$1")
+# Load options of COPY INTO; the first ones hold a list in parentheses.
+LIST_OPTIONS = ("FILES", "CREDENTIALS", "ENCRYPTION", "FILE_FORMAT")
+VALUE_OPTIONS = ("REGION", "PURGE", "ON_ERROR", "SIZE_LIMIT", "RETURN_FAILED_ONLY", "MATCH_BY_COLUMN_NAME", "INCLUDE_METADATA", "ENFORCE_LENGTH",
+                 "TRUNCATECOLUMNS", "FORCE", "LOAD_UNCERTAIN_FILES", "STORAGE_INTEGRATION", "FILE_FORMAT", "MAX_FILE_SIZE")
+_STRING = r"'(?:[^']|'')*+'"
+_OPTION = (rf"\s*\b(?:(?:{'|'.join(LIST_OPTIONS)})\s*=\s*\((?:[^()']|{_STRING}|\((?:[^()']|{_STRING})*+\))*+\)"
+           rf"|(?:{'|'.join(VALUE_OPTIONS)})\s*=\s*(?:{_STRING}|[^\s,>()']++))")
 
 
 def drop_copy_into_options(sql) -> Column:
-    """Q-4: strip load options from COPY INTO statements (others unchanged)."""
+    """Q-4: COPY INTO statements without their load options, others unchanged. One
+    pass: a string that is no option's value is passed over whole and stays."""
     s = F.trim(col_of(sql))
-    out = s
-    for p in COPY_BLOCK_OPTIONS:
-        out = _replace_first(out, p)
-    for opt in COPY_OPTIONS:
-        out = _replace_first(out, opt + r"\s?=\s?[^(\s,>)]+")
-    return F.when(s.rlike(r"(?i)^\s?copy into"), out).otherwise(s)
+    return F.when(s.rlike(r"(?i)^\s?copy into"), F.regexp_replace(s, rf"(?is)({_STRING})|{_OPTION}", "$1")).otherwise(s)
 
 
 def is_truncated_insert_values(sql) -> Column:
@@ -150,119 +144,6 @@ def is_truncated_insert_values(sql) -> Column:
     return is_insert_values(sql) & F.rtrim(col_of(sql)).endswith("...")
 
 
-def _strip_quotes(name: Column) -> Column:
-    return F.lower(F.regexp_replace(F.regexp_replace(name, r"\s*\.\s*", "."), r'["`\[\]]', ""))
-
-
-_NAME = r'(?:"(?:[^"]|"")*"|`[^`]*`|\[[^\]]*\]|[A-Za-z_#$][\w$@#]*)(?:\s*\.\s*(?:"(?:[^"]|"")*"|`[^`]*`|\[[^\]]*\]|[A-Za-z_][\w$]*))*'
-_MODS = "|".join(CREATE_MODIFIERS)
-# Fixed patterns: statement targets, matched on text without comments and string contents.
-TARGET_PATTERNS = (
-    rf"(?is)\binsert\s+(?:into\s+|overwrite\s+)?(?:table\s+)?({_NAME})",
-    rf"(?is)\bupdate\s+({_NAME})(?:\s+(?:as\s+)?[A-Za-z_]\w*)?\s+set\b",
-    rf"(?is)^\s*merge\s+into\s+({_NAME})",
-    rf"(?is)^\s*create\s+(?:(?:{_MODS})\s+)*(?:table|view)\s+(?:if\s+not\s+exists\s+)?({_NAME})",
-    rf"(?is)^\s*copy\s+into\s+({_NAME})",
-    rf"(?is)^\s*(?:with\b.*?\)\s*)?select\b[^;]*?\binto\s+({_NAME})\s+from\b",
-)
-
-
-def strip_comments_and_strings(sql) -> Column:
-    """Comments removed and string literals emptied (a keyword inside a
-    string or comment must not count)."""
-    x = F.regexp_replace(col_of(sql), r"(?s)/\*.*?\*/|--[^\n]*", " ")
-    return F.regexp_replace(x, r"'(?:[^']|'')*'", "''")
-
-
-def _targets_from_clean(clean: Column) -> Column:
-    found = []
-    for i, p in enumerate(TARGET_PATTERNS):
-        name = F.regexp_extract(clean, p, 1)
-        if i == len(TARGET_PATTERNS) - 1:
-            # SELECT ... INTO backtracks on long texts: only try it when INTO occurs.
-            name = F.when(clean.rlike(r"(?i)\binto\b"), name).otherwise(F.lit(""))
-        found.append(F.when(name != "", F.struct(name.alias("name"), F.lit(i == 1).alias("is_update"))))
-    # Null entries are kept (array_compact is a lambda underneath and would
-    # make this projection interpreted); consumers skip them.
-    return F.array(*found)
-
-
-def statement_targets(sql) -> Column:
-    """Target names of a statement: array of (name, is_update)."""
-    return _targets_from_clean(strip_comments_and_strings(sql))
-
-
-def table_lineage(df: DataFrame, qid: str, sql: str) -> DataFrame:
-    """Q-5: (qid, role, table) rows, role 'source' or 'target', names lower-cased
-    and unquoted. Sources: tables after FROM / JOIN, comma joins in a FROM
-    clause, MERGE ... USING, CREATE ... LIKE / CLONE, the UPDATE target; CTE
-    names (bare-name compare) and FROM inside function calls do not count.
-    Targets: INSERT [INTO|OVERWRITE] [TABLE], UPDATE, MERGE INTO, CREATE [...]
-    TABLE|VIEW [IF NOT EXISTS], COPY INTO (not stages), SELECT ... INTO.
-
-    Targets come from anchored regexes per statement (computed once, carried
-    with the tokens). Sources need token context: windows over (query,
-    position) for lag / lead and the running parenthesis depth, two "last
-    value at this depth" lookups, and the query's CTE names; every window is
-    partitioned by the query id, so the whole job has one shuffle and a
-    single pass over the tokens."""
-    base = df.select(F.col(qid).alias("qid"), F.col(sql).alias("__sql"))
-    base = base.withColumn("__clean", strip_comments_and_strings(F.col("__sql")))
-    base = base.select("qid", "__sql",
-                       F.upper(F.regexp_extract(F.col("__clean"), r"^[\s(]*([A-Za-z]+)", 1)).alias("kind"),
-                       _targets_from_clean(F.col("__clean")).alias("__targets"))
-    t = base.select("qid", "kind", "__targets", F.posexplode(tokens(F.col("__sql"))).alias("pos", "tok"))
-    t = t.filter(~_is_ws_or_comment(F.col("tok"))).withColumn("u", F.upper("tok"))
-    w = Window.partitionBy("qid").orderBy("pos")
-    opens = F.when(F.col("tok") == "(", 1).otherwise(0)
-    closes = F.when(F.col("tok") == ")", 1).otherwise(0)
-    t = t.select("*",
-                 F.sum(opens - closes).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("d_after"),
-                 F.lag("u", 1).over(w).alias("p1"), F.lag("u", 2).over(w).alias("p2"),
-                 # last token before this one that is not '(' (tables after '((' ... following FROM / JOIN)
-                 F.last(F.when(F.col("tok") != "(", F.col("u")), ignorenulls=True).over(
-                     w.rowsBetween(Window.unboundedPreceding, -1)).alias("pnp"),
-                 F.lead("u", 1).over(w).alias("n1"), F.lead("u", 2).over(w).alias("n2"))
-    t = t.withColumn("depth", F.when(F.col("tok") == "(", F.col("d_after") - 1).otherwise(F.col("d_after")))
-    is_clause = F.col("u").isin(*CLAUSE_KEYWORDS)
-    t = t.withColumn("ctx", F.last(F.when(is_clause, F.col("u")), ignorenulls=True).over(
-        Window.partitionBy("qid", "depth").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)))
-    t = t.withColumn("grp", F.when(F.col("tok") == "(", F.col("d_after")).otherwise(F.col("depth")))
-    t = t.withColumn("opener", F.last(F.when(F.col("tok") == "(", F.coalesce(F.col("p1"), F.lit("^"))), ignorenulls=True)
-                     .over(Window.partitionBy("qid", "grp").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)))
-    ident = F.col("tok").rlike(r'^(["`\[A-Za-z_@#$])') & ~F.col("u").isin(*KEYWORDS)
-    in_call = (F.col("depth") > 0) & F.col("opener").rlike(r'^["`\[A-Za-z_]') & ~F.col("opener").isin(*KEYWORDS)
-    join_kw = F.col("p1").isin("FROM", "JOIN")
-    paren_table = (F.col("p1") == "(") & F.col("pnp").isin("FROM", "JOIN")
-    comma_join = (F.col("p1") == ",") & (F.col("ctx") == "FROM")
-    using = (F.col("p1") == "USING") & (F.col("kind") == "MERGE")
-    like = F.col("p1").isin("LIKE", "CLONE") & (F.col("kind") == "CREATE")
-    # The table a DELETE removes rows from is not read (DELETE FROM t ...).
-    delete_target = (F.col("p1") == "FROM") & (F.coalesce(F.col("p2"), F.lit("")) == "DELETE")
-    src = ident & ~F.coalesce(in_call, F.lit(False)) & (F.coalesce(F.col("n1"), F.lit("")) != "(") \
-        & (join_kw | paren_table | comma_join | using | like) & ~delete_target
-    cte = ident & (F.col("n1") == "AS") & (F.col("n2") == "(") & F.col("p1").isin("WITH", ",", "RECURSIVE")
-    cte_name = F.when(cte, F.lower(F.regexp_replace("tok", r'["`\[\]]', "")))
-    t = t.withColumn("__ctes", F.collect_set(cte_name).over(Window.partitionBy("qid")))
-    # One row per statement start carries its targets (first token only).
-    t = t.withColumn("__first", F.col("p1").isNull())
-    t = t.filter(src | F.col("__first")).select(
-        "qid", "__ctes", "__first", "__targets", F.when(src, _strip_quotes(F.col("tok"))).alias("__src"))
-    # Every output row comes out of this one projection (a union of branches
-    # would re-run the windows once per branch).
-    item = "struct<role:string,table:string>"
-    src_ok = F.col("__src").isNotNull() & ~F.array_contains("__ctes", F.element_at(F.split("__src", r"\."), -1))
-    src_items = F.when(src_ok, F.array(F.struct(F.lit("source").alias("role"), F.col("__src").alias("table"))))
-    valid = F.filter("__targets", lambda x: x.isNotNull() & ~x["name"].startswith("@") & ~F.upper(x["name"]).isin(*KEYWORDS))
-    tgt_items = F.when(F.col("__first"), F.transform(valid, lambda x: F.struct(
-        F.lit("target").alias("role"), _strip_quotes(x["name"]).alias("table"))))
-    upd_items = F.when(F.col("__first"), F.transform(F.filter(valid, lambda x: x["is_update"]), lambda x: F.struct(
-        F.lit("source").alias("role"), _strip_quotes(x["name"]).alias("table"))))
-    empty = F.array().cast(f"array<{item}>")
-    items = F.concat(F.coalesce(src_items, empty), F.coalesce(tgt_items, empty), F.coalesce(upd_items, empty))
-    return t.select("qid", F.inline(items)).distinct()
-
-
 def fill_defaults(table, default_db, default_schema) -> Column:
     """Q-6: complete 1- and 2-part names with the session database / schema."""
     n = F.size(F.split(col_of(table), r"\."))

@@ -1,6 +1,6 @@
 """Tags and governance assignments (M-1, M-2, M-9, M-10, W-7, G-9, G-10).
 
-Tag matchers and governance rules are configuration (small, driver-side);
+Tag matchers and governance rules are configuration, or rule tables of any size;
 the datasets they apply to are DataFrames of any size.
 """
 
@@ -12,11 +12,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakelens.functions.globs import glob_match, glob_to_regex
+from lakelens.functions.globs import glob_match, glob_pairs
 from lakelens.functions.scalars import col_of
 
-MAX_INLINE_MATCHERS = 256
-
 
 @dataclass(frozen=True)
 class TagMatcher:
@@ -38,24 +36,20 @@ def match_tags(name, matchers: Sequence[TagMatcher]) -> Column:
 
 
 def tag_datasets(df: DataFrame, name: str, matchers: Sequence[TagMatcher], out: str = "tag_names") -> DataFrame:
-    """Attach matched tags; rows without a match get null (no assignment).
-    Many matchers: broadcast the matcher table (its size is the config) and
-    rebuild the ordered list with a sort on (matcher, tag) position."""
-    if len(matchers) <= MAX_INLINE_MATCHERS:
-        tags = match_tags(name, matchers)
-        return df.withColumn(out, F.when(F.size(tags) > 0, tags))
-    spark = df.sparkSession
-    rows = [(i, j, glob_to_regex(m.pattern.lower()), t) for i, m in enumerate(matchers) for j, t in enumerate(m.tags)]
-    rules = F.broadcast(spark.createDataFrame(rows, "rule_no int, tag_no int, regex string, tag string"))
-    # Tags depend on the name only: match each distinct name once.
-    hits = (
-        df.select(F.col(name).alias("__name")).distinct()
-        .join(rules, F.regexp(F.col("__name"), F.col("regex")))
-        .groupBy("__name", "tag").agg(F.min(F.struct("rule_no", "tag_no")).alias("__pos"))
-        .groupBy("__name")
-        .agg(F.transform(F.array_sort(F.collect_list(F.struct("__pos", "tag"))), lambda s: s["tag"]).alias(out))
-    )
-    return df.join(hits, df[name] == hits["__name"], "left").drop("__name")
+    """Attach the tags of configured matchers; rows without a match get null."""
+    tags = match_tags(name, matchers)
+    return df.withColumn(out, F.when(F.size(tags) > 0, tags))
+
+
+def tag_by_rules(df: DataFrame, name: str, rules: DataFrame, out: str = "tag_names") -> DataFrame:
+    """M-1 with a rule table of any size (rule_no, tag_no, pattern, tag): patterns in
+    lower case, each distinct name matched once, tags in rule order, each once; rows
+    without a match get null."""
+    names = df.select(F.col(name).alias("__name")).distinct()
+    low = rules.select("rule_no", "tag_no", "tag", F.lower("pattern").alias("pattern"))
+    hits = glob_pairs(names, ["__name"], low, ["pattern"]).groupBy("__name", "tag").agg(F.min(F.struct("rule_no", "tag_no")).alias("__pos"))
+    tags = hits.groupBy("__name").agg(F.transform(F.array_sort(F.collect_list(F.struct("__pos", "tag"))), lambda s: s["tag"]).alias(out))
+    return df.join(tags, df[name] == F.col("__name"), "left").drop("__name")
 
 
 def override_by_level(assignments: DataFrame, target_cols: Sequence[str], key: str = "tag_key",

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakelens.functions import scalars
-from lakelens.operators import lake, mappings, sqltext
+from lakelens.operators import lake, mappings, sqlscope
 from lakelens.plans.catalog_jobs import K, info_tables, info_views
 from lakelens.plans.registry import register
 from lakelens.sources.tables import read_table
@@ -260,7 +260,7 @@ FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON
 def view_lineage(spark, sf_dir):
     """Q-7: view upstreams from the view definitions' SQL."""
     v = info_views(info_tables(spark, sf_dir)).select(F.concat_ws(".", *K).alias("view"), "view_definition")
-    lin = sqltext.table_lineage(v, "view", "view_definition").filter(F.col("role") == "source")
+    lin = sqlscope.table_lineage(v, "view", "view_definition").filter(F.col("role") == "source")
     return lin.select(F.col("qid").alias("view"), F.col("table").alias("source"))
 
 
@@ -271,7 +271,7 @@ def custom_sql_sources(spark, sf_dir):
     q = o.select(F.col("o_orderkey").alias("query_id"), F.concat(
         F.lit("SELECT a.x FROM db.sch.t"), (F.col("o_orderkey") % 9).cast("string"), F.lit(" a JOIN t"),
         (F.col("o_orderkey") % 4).cast("string"), F.lit(" b ON a.k = b.k")).alias("sql"))
-    lin = sqltext.table_lineage(q, "query_id", "sql").filter((F.col("role") == "source") & mappings.fully_qualified("table"))
+    lin = sqlscope.table_lineage(q, "query_id", "sql").filter((F.col("role") == "source") & mappings.fully_qualified("table"))
     return lin.select(F.col("qid").alias("query_id"), "table")
 
 

@@ -67,21 +67,47 @@ def conformance(spark, sf_dir):
     return out.select("o_orderkey", F.array_join("failed_rules", ",").alias("failed_rules"), "valid")
 
 
-@register("batches")
+def cuts_sql(rows: str, most: int, limit: int, reach: bool = False) -> str:
+    """The law of the cuts in SQL: (id, size, i, no, start) of ``rows`` (id, size). A group
+    begins at the first row that its predecessor cannot take; the recursion takes a
+    step per group."""
+    over = "x.upto - x.size - g.before >= " if reach else "x.upto - g.before > "
+    return f"""RECURSIVE x AS (SELECT id, size, row_number() OVER w - 1 AS i, CAST(sum(size) OVER (w ROWS UNBOUNDED PRECEDING) AS BIGINT) AS upto
+  FROM ({rows}) WINDOW w AS (ORDER BY id, size)),
+g(no, start, before) AS (SELECT CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT) UNION ALL
+  SELECT g.no + 1, n.i, n.before FROM g, LATERAL (SELECT min(x.i) AS i, CAST(min(x.upto - x.size) AS BIGINT) AS before FROM x
+    WHERE x.i > g.start AND (x.i >= g.start + {most} OR {over}{limit})) n WHERE n.i IS NOT NULL),
+cuts AS (SELECT x.id, x.size, x.i, g.no, g.start FROM x ASOF JOIN g ON x.i >= g.start)"""
+
+
+# The length of a JSON text of four columns.
+_ORDER_JSON = """length('{"o_orderkey":' || CAST(o_orderkey AS VARCHAR) || ',"o_custkey":' || CAST(o_custkey AS VARCHAR)
+  || ',"o_orderstatus":"' || o_orderstatus || '","o_orderpriority":"' || o_orderpriority || '"}')"""
+
+
+@register("batches", f"""WITH {cuts_sql(f"SELECT o_orderkey AS id, {_ORDER_JSON} AS size FROM orders", 200, 15_000)}
+SELECT id AS o_orderkey, CAST(no AS INTEGER) AS batch, CAST(size AS INTEGER) AS size FROM cuts""")
 def batches(spark, sf_dir):
     """K-4: orders as events packed into batches of at most 200 events and
-    64 KiB of JSON, in order over the whole table."""
+    15 000 bytes of JSON, in order over the whole table."""
     o = read_table(spark, sf_dir, "orders")
-    ev = o.select("o_orderkey", F.length(F.to_json(F.struct(*o.columns))).alias("size"))
-    return emit.pack(ev, "o_orderkey", "size", 200, 64 * 1024).select("o_orderkey", "bucket", "batch", "size")
+    ev = o.select("o_orderkey", F.length(F.to_json(F.struct("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"))).alias("size"))
+    return emit.pack(ev, "o_orderkey", "size", 200, 15_000).select("o_orderkey", "batch", "size")
+
+
+_LOG_ROWS = """SELECT CAST(l_orderkey AS BIGINT) * 10 + l_linenumber AS id, length('{"l_orderkey":' || CAST(l_orderkey AS VARCHAR)
+  || ',"l_linenumber":' || CAST(l_linenumber AS VARCHAR) || ',"l_partkey":' || CAST(l_partkey AS VARCHAR) || ',"l_returnflag":"' || l_returnflag || '"}') AS size
+  FROM lineitem"""
 
 
-@register("query_log_batches")
+@register("query_log_batches", f"""WITH {cuts_sql(_LOG_ROWS, 20 * 200, 200_000, reach=True)},
+files AS (SELECT no, count(*) AS n FROM cuts GROUP BY no),
+bases AS (SELECT no, coalesce(sum((n + 19) // 20) OVER (ORDER BY no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS base FROM files)
+SELECT id AS log_seq, CAST(base + (i - start) // 20 AS INTEGER) AS event_no, CAST(no AS INTEGER) AS file_no FROM cuts JOIN bases USING (no)""")
 def query_log_batches(spark, sf_dir):
-    """K-6: query logs (one per line item) into events of 100 logs and files
-    of 200 events or 1 MiB, in order over the whole table."""
+    """K-6: query logs (one per line item) into events of 20 logs and files
+    of 200 events or 200 000 bytes, in order over the whole table."""
     li = read_table(spark, sf_dir, "lineitem")
     logs = li.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("log_seq"),
-                     F.length(F.to_json(F.struct(*li.columns))).alias("size"))
-    return emit.query_log_batches(logs, "log_seq", "size", 100, 200, 1024 * 1024) \
-        .select("log_seq", "bucket", "event_no", "file_no")
+                     F.length(F.to_json(F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag"))).alias("size"))
+    return emit.query_log_batches(logs, "log_seq", "size", 20, 200, 200_000).select("log_seq", "event_no", "file_no")

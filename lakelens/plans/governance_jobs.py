@@ -9,7 +9,7 @@ from lakelens.plans.naming import CATALOG_SQL, supplier_catalog
 from lakelens.plans.registry import register
 from lakelens.sources.tables import read_table
 
-TABLE_FILTER = filters.DatasetFilter(
+TABLE_FILTER = filters.DatasetFilter.of(
     includes={
         "a*": None,
         "europe": {"nation_1?": None, "nation_2*": {"supplier#00000001*", "supplier#0000000?5"}},
@@ -27,22 +27,90 @@ WHERE (lower(db) GLOB 'a*'
 def filter_tables(spark, sf_dir):
     """P-1: three-level include / exclude globs on a table listing."""
     c = supplier_catalog(spark, sf_dir).select("s_suppkey", "db", "schema", "tbl")
-    return filters.filter_tables(c, TABLE_FILTER, "db", "schema", "tbl")
+    return c.filter(filters.include_table(TABLE_FILTER, "db", "schema", "tbl"))
 
 
-@register("filter_tables_many_rules", f"""WITH {CATALOG_SQL}
-SELECT s_suppkey, db, schema, tbl FROM cat
-WHERE lower(db) GLOB '*a*' AND NOT (lower(tbl) GLOB '*1' OR lower(tbl) GLOB '*3' OR lower(tbl) GLOB '*5' OR lower(tbl) GLOB '*7')""")
+def catalog_rules(spark, sf_dir):
+    """A rule table with a rule or two per supplier: globs of every shape."""
+    c = supplier_catalog(spark, sf_dir)
+    k, none = F.col("s_suppkey"), F.lit(None).cast("string")
+    key = F.col("s_suppkey").cast("string")
+    exclude = c.filter(k % 3 == 0).select(
+        F.lit("exclude").alias("side"), F.when(k % 2 == 0, F.col("db")).otherwise("*").alias("db"),
+        F.when(k % 4 < 2, F.lower("schema")).otherwise("*").alias("schema"),
+        F.when((k % 5 == 0) & (k % 4 == 0), none).when(k % 5 == 1, F.concat(F.lit("*"), key)).when(k % 5 == 2, F.col("tbl"))
+        .when(k % 5 == 3, F.concat(F.left("tbl", F.lit(12)), F.lit("?[0-4]*"))).otherwise(F.concat(F.lit("zz"), key)).alias("table"))
+    include = c.filter(k % 7 == 0).select(
+        F.lit("include").alias("side"), F.concat(F.left("db", F.lit(1)), F.lit("*")).alias("db"),
+        F.when(k % 2 == 0, none).otherwise(F.col("schema")).alias("schema"),
+        F.when((k % 2 == 1) & (k % 3 > 0), F.concat(F.lit("*["), F.right(key, F.lit(1)), F.lit("-9]"))).alias("table"))
+    return exclude.unionByName(include)
+
+
+# A rule goes where another one of its side goes on from it, as in the merge of filters.
+_RULES = f"""{CATALOG_SQL}, given AS (
+  SELECT 'exclude' AS side, CASE WHEN s_suppkey % 2 = 0 THEN db ELSE '*' END AS db,
+    CASE WHEN s_suppkey % 4 < 2 THEN lower(schema) ELSE '*' END AS schema,
+    CASE WHEN s_suppkey % 20 = 0 THEN NULL WHEN s_suppkey % 5 = 1 THEN '*' || CAST(s_suppkey AS VARCHAR) WHEN s_suppkey % 5 = 2 THEN tbl
+      WHEN s_suppkey % 5 = 3 THEN left(tbl, 12) || '?[0-4]*' ELSE 'zz' || CAST(s_suppkey AS VARCHAR) END AS tab FROM cat WHERE s_suppkey % 3 = 0
+  UNION ALL SELECT 'include', left(db, 1) || '*', CASE WHEN s_suppkey % 2 = 0 THEN NULL ELSE schema END,
+    CASE WHEN s_suppkey % 2 = 1 AND s_suppkey % 3 > 0 THEN '*[' || right(CAST(s_suppkey AS VARCHAR), 1) || '-9]' END
+  FROM cat WHERE s_suppkey % 7 = 0),
+low AS (SELECT DISTINCT side, lower(db) AS db, lower(schema) AS schema, lower(tab) AS tab FROM given),
+rules AS (SELECT * FROM low a WHERE NOT EXISTS (SELECT 1 FROM low b WHERE b.side = a.side AND b.db = a.db
+  AND ((a.schema IS NULL AND b.schema IS NOT NULL) OR (a.tab IS NULL AND a.schema = b.schema AND b.tab IS NOT NULL))))"""
+
+
+@register("filter_tables_many_rules", f"""WITH {_RULES},
+fits AS (SELECT DISTINCT s_suppkey, side FROM cat c JOIN rules r ON lower(c.db) GLOB r.db
+  AND (r.schema IS NULL OR lower(c.schema) GLOB r.schema) AND (r.tab IS NULL OR lower(c.tbl) GLOB r.tab))
+SELECT s_suppkey, db, schema, tbl FROM cat c
+WHERE EXISTS (SELECT 1 FROM fits f WHERE f.s_suppkey = c.s_suppkey AND side = 'include')
+  AND NOT EXISTS (SELECT 1 FROM fits f WHERE f.s_suppkey = c.s_suppkey AND side = 'exclude')""")
 def filter_tables_many_rules(spark, sf_dir):
-    """P-1 with a rule set above the inline limit: broadcast rule semi/anti joins."""
-    # 300 extra table globs that match no name push the rule count over the inline limit.
-    excludes = {"*": {"*": {"*1", "*3", "*5", "*7"} | {f"zz{i}" for i in range(300)}}}
-    flt = filters.DatasetFilter(includes={"*a*": None}, excludes=excludes)
+    """P-1 with a rule table that grows with the catalog: rules filed under literals."""
     c = supplier_catalog(spark, sf_dir).select("s_suppkey", "db", "schema", "tbl")
-    return filters.filter_tables(c, flt, "db", "schema", "tbl")
+    return filters.filter_by_rules(c, catalog_rules(spark, sf_dir), "db", "schema", "tbl")
+
+
+@register("filter_rules_merged", f"""WITH {_RULES} SELECT side, db, schema, tab AS "table" FROM rules""")
+def filter_rules_merged(spark, sf_dir):
+    """P-6: two rule tables (one per side and parity) normalised and merged."""
+    rules = catalog_rules(spark, sf_dir)
+    wide = F.col("table").isNull()
+    return filters.merge_rules(rules.filter(wide), rules.filter(~wide)).select("side", "db", "schema", "table")
+
+
+TWO_LEVEL_FILTER = filters.DatasetFilter.two_level(
+    includes={"NATION_1*": None, "nation_2": {"*5", "supplier#00000000?"}}, excludes={"*4": {"*[13579]"}}).normalized()
+
+
+@register("filter_two_level", f"""WITH {CATALOG_SQL} SELECT s_suppkey, schema, tbl FROM cat
+WHERE (lower(schema) GLOB 'nation_1*' OR (lower(schema) = 'nation_2' AND (lower(tbl) GLOB '*5' OR lower(tbl) GLOB 'supplier#00000000?')))
+  AND NOT (lower(schema) GLOB '*4' AND lower(tbl) GLOB '*[13579]')""")
+def filter_two_level(spark, sf_dir):
+    """P-4: schema and table globs for sources without databases."""
+    c = supplier_catalog(spark, sf_dir).select("s_suppkey", "schema", "tbl")
+    return c.filter(filters.include_table_two_level(TWO_LEVEL_FILTER, "schema", "tbl"))
+
 
+OWN_EXCLUDES = filters.DatasetFilter.of(excludes={"AFRICA": None, "*": {"INFORMATION_SCHEMA": {"tables"}, "pg_internal": {"*7"}}})
 
-SCHEMA_FILTER = filters.DatasetFilter(
+
+@register("filter_default_excludes", f"""WITH {CATALOG_SQL}, t AS (SELECT s_suppkey, db,
+  CASE s_suppkey % 4 WHEN 0 THEN 'INFORMATION_SCHEMA' WHEN 1 THEN 'Pg_Catalog' WHEN 2 THEN 'pg_internal' ELSE schema END AS schema, tbl FROM cat)
+SELECT s_suppkey, db, schema, tbl FROM t WHERE NOT (lower(db) = 'africa' OR lower(schema) = 'pg_catalog'
+  OR (lower(schema) = 'information_schema' AND lower(tbl) = 'tables') OR (lower(schema) = 'pg_internal' AND lower(tbl) GLOB '*7'))""")
+def filter_default_excludes(spark, sf_dir):
+    """P-7: a source family's system excludes merged with configured ones."""
+    c = supplier_catalog(spark, sf_dir)
+    k = F.col("s_suppkey") % 4
+    schema = F.when(k == 0, "INFORMATION_SCHEMA").when(k == 1, "Pg_Catalog").when(k == 2, "pg_internal").otherwise(F.col("schema"))
+    t = c.select("s_suppkey", "db", schema.alias("schema"), "tbl")
+    return t.filter(filters.include_table(filters.with_default_excludes(OWN_EXCLUDES, "redshift"), "db", "schema", "tbl"))
+
+
+SCHEMA_FILTER = filters.DatasetFilter.of(
     includes={"africa": {"nation_1*": {"x"}}, "a*": None, "europe": {"nation_2*": None}},
     excludes={"asia": {"nation_*": None}, "america": {"nation_1": {"t1"}}},
 )
@@ -64,7 +132,7 @@ def filter_schemas(spark, sf_dir):
     return s.filter(filters.include_schema(SCHEMA_FILTER, "db", "schema"))
 
 
-DB_FILTER = filters.DatasetFilter(includes={"a*": None, "europe": None},
+DB_FILTER = filters.DatasetFilter.of(includes={"a*": None, "europe": None},
                                   excludes={"asia": None, "africa": {"nation_1": None}})
 
 
@@ -114,21 +182,27 @@ def tag_match(spark, sf_dir):
     return out.select("p_partkey", "p_name", F.array_join("tag_names", ",").alias("tag_names"))
 
 
-@register("tag_match_broadcast", f"""WITH {_RULES_SQL},
-hits AS (SELECT p.p_partkey, r.tag, min(r.rule_no * 100 + r.tag_no) AS pos
-         FROM part p JOIN rules r ON p.p_name GLOB r.pattern GROUP BY p.p_partkey, r.tag)
-SELECT p.p_partkey, p.p_name, (SELECT string_agg(h.tag, ',' ORDER BY h.pos) FROM hits h WHERE h.p_partkey = p.p_partkey) AS tag_names
-FROM part p""")
-def tag_match_broadcast(spark, sf_dir):
-    """M-1 with the matcher table broadcast (path for large matcher lists)."""
+@register("tag_match_rules", """WITH rules AS (
+  SELECT s_suppkey AS rule_no, 0 AS tag_no, CASE s_suppkey % 4 WHEN 0 THEN '*' || CAST(s_suppkey AS VARCHAR) WHEN 1 THEN 'small *'
+    WHEN 2 THEN '*widget ' || CAST(s_suppkey * 3 AS VARCHAR) ELSE '?' || CAST(s_suppkey AS VARCHAR) || '*' END AS pattern,
+    'tag' || CAST(s_suppkey % 6 AS VARCHAR) AS tag FROM supplier
+  UNION ALL SELECT s_suppkey, 1, '*' || CAST(s_suppkey AS VARCHAR), 'end' FROM supplier WHERE s_suppkey % 4 = 0),
+hits AS (SELECT p_name, tag, min(CAST(rule_no AS BIGINT) * 10 + tag_no) AS pos FROM (SELECT DISTINCT p_name FROM part) JOIN rules ON p_name GLOB pattern
+  GROUP BY p_name, tag),
+lists AS (SELECT p_name, string_agg(tag, ',' ORDER BY pos) AS tag_names FROM hits GROUP BY p_name)
+SELECT p_partkey, p.p_name, tag_names FROM part p LEFT JOIN lists USING (p_name)""")
+def tag_match_rules(spark, sf_dir):
+    """M-1 with a rule table of a rule or two per supplier."""
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    old = tags.MAX_INLINE_MATCHERS
-    tags.MAX_INLINE_MATCHERS = 0
-    try:
-        out = tags.tag_datasets(p, "p_name", MATCHERS)
-    finally:
-        tags.MAX_INLINE_MATCHERS = old
-    return out.select("p_partkey", "p_name", F.array_join("tag_names", ",").alias("tag_names"))
+    s = read_table(spark, sf_dir, "supplier")
+    k, key = F.col("s_suppkey") % 4, F.col("s_suppkey").cast("string")
+    ends = F.concat(F.lit("*"), key)
+    pattern = F.when(k == 0, ends).when(k == 1, "SMALL *").when(k == 2, F.concat(F.lit("*Widget "), (F.col("s_suppkey") * 3).cast("string"))) \
+        .otherwise(F.concat(F.lit("?"), key, F.lit("*")))
+    rules = s.select(F.col("s_suppkey").alias("rule_no"), F.lit(0).alias("tag_no"), pattern.alias("pattern"),
+                     F.concat(F.lit("tag"), (F.col("s_suppkey") % 6).cast("string")).alias("tag"))
+    rules = rules.unionByName(s.filter(k == 0).select(F.col("s_suppkey").alias("rule_no"), F.lit(1).alias("tag_no"), ends.alias("pattern"), F.lit("end").alias("tag")))
+    return tags.tag_by_rules(p, "p_name", rules).select("p_partkey", "p_name", F.array_join("tag_names", ",").alias("tag_names"))
 
 
 def _tag_levels(spark, sf_dir):

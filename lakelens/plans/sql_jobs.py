@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakelens.operators import sqltext
+from lakelens.operators import sqlscope, sqltext
 from lakelens.plans.registry import register
 from lakelens.sources.tables import read_table
 
@@ -36,6 +36,8 @@ def query_log(spark, sf_dir):
     return o.select(F.col("o_orderkey").alias("query_id"), sql.alias("sql"))
 
 
+ALL_RULES = sqltext.QueryRules(redact=True, drop_insert_values=True, drop_commands=True)
+
 _LINEAGE_SQL = """WITH q AS (SELECT o_orderkey AS query_id, o_orderkey % 5 AS k, 'db.part_' || CAST(o_custkey % 50 AS VARCHAR) AS a,
     'db.supp_' || CAST(o_orderkey % 30 AS VARCHAR) AS b, 'ref.nation_' || CAST(o_custkey % 25 AS VARCHAR) AS c,
     'sales.orders_p' || o_orderpriority[1:1] AS p, 'tmp.t_' || CAST(o_orderkey AS VARCHAR) AS t FROM orders)
@@ -51,7 +53,7 @@ SELECT DISTINCT * FROM (
 @register("sql_lineage", _LINEAGE_SQL)
 def sql_lineage(spark, sf_dir):
     """Q-5: table-level lineage (sources / targets) of every logged statement."""
-    return sqltext.table_lineage(query_log(spark, sf_dir), "query_id", "sql") \
+    return sqlscope.table_lineage(query_log(spark, sf_dir), "query_id", "sql") \
         .withColumnRenamed("qid", "query_id")
 
 
@@ -72,7 +74,7 @@ FROM orders""")
 def sql_redact(spark, sf_dir):
     """Q-1 (+Q-2/Q-3 gate): literals replaced by '<REDACTED>', whitespace runs collapsed."""
     q = query_log(spark, sf_dir)
-    return q.select("query_id", sqltext.process_query(F.col("sql")).alias("redacted"))
+    return q.select("query_id", sqltext.process_query(F.col("sql"), ALL_RULES).alias("redacted"))
 
 
 def command_log(spark, sf_dir):
@@ -103,6 +105,26 @@ def sql_statement_gate(spark, sf_dir):
                     sqltext.first_keyword(F.col("sql")).alias("first_keyword"))
 
 
+@register("sql_query_rules", """WITH c AS (SELECT o_orderkey AS query_id, o_orderkey % 6 AS k, CAST(o_orderkey AS VARCHAR) AS n,
+  CASE o_orderkey % 6 WHEN 0 THEN 'SHOW TABLES IN db_' || CAST(o_orderkey AS VARCHAR)
+    WHEN 1 THEN 'INSERT INTO t_' || CAST(o_orderkey AS VARCHAR) || ' (a, b) VALUES (1, ''x''), (2, ''y'')'
+    WHEN 2 THEN 'INSERT INTO t_' || CAST(o_orderkey AS VARCHAR) || ' VALUES (1, ''x''), (2, ...'
+    WHEN 3 THEN '/* job */ SELECT a FROM t_' || CAST(o_orderkey AS VARCHAR)
+    WHEN 4 THEN 'GET ''@stage/' || CAST(o_orderkey AS VARCHAR) || ''' file:///tmp'
+    ELSE '  (select 1 from t_' || CAST(o_orderkey AS VARCHAR) || ')' END AS sql FROM orders)
+SELECT query_id, sql AS untouched,
+  CASE k WHEN 0 THEN NULL WHEN 4 THEN sql ELSE trim(sql) END AS without_commands,
+  CASE WHEN k IN (1, 2) THEN NULL WHEN k = 4 THEN sql ELSE trim(sql) END AS without_values,
+  CASE k WHEN 1 THEN 'INSERT INTO t_' || n || ' (a, b) VALUES (''?'', ''?''), (''?'', ''?'')' WHEN 2 THEN 'INSERT INTO t_' || n || ' VALUES (''?'', ''?''), (''?'', ...'
+    WHEN 4 THEN sql WHEN 5 THEN '(select ''?'' from t_' || n || ')' ELSE sql END AS redacted FROM c""")
+def sql_query_rules(spark, sf_dir):
+    """Q-1 / Q-2: each rule on its own, and none."""
+    q, rules = command_log(spark, sf_dir), sqltext.QueryRules
+    done = {"untouched": rules(), "without_commands": rules(drop_commands=True), "without_values": rules(drop_insert_values=True),
+            "redacted": rules(redact=True, placeholder="?")}
+    return q.select("query_id", *[sqltext.process_query("sql", r).alias(name) for name, r in done.items()])
+
+
 @register("sql_copy_options", """SELECT o_orderkey AS query_id,
   'COPY INTO tgt_' || CAST(o_custkey AS VARCHAR) || ' ( foo, bar ) FROM ( SELECT * FROM src_' || CAST(o_orderkey % 9 AS VARCHAR) || ' )' AS stripped
 FROM orders""")
@@ -131,7 +153,7 @@ def sql_default_names(spark, sf_dir):
     sql = F.concat(F.lit("SELECT * FROM part_"), (F.col("o_custkey") % 50).cast("string"),
                    F.lit(", db.supp_"), (F.col("o_orderkey") % 30).cast("string"))
     q = o.select(F.col("o_orderkey").alias("query_id"), sql.alias("sql"))
-    lin = sqltext.table_lineage(q, "query_id", "sql").filter(F.col("role") == "source")
+    lin = sqlscope.table_lineage(q, "query_id", "sql").filter(F.col("role") == "source")
     return lin.select(F.col("qid").alias("query_id"),
                       sqltext.fill_defaults(F.col("table"), F.lit("prod"), F.lit("public")).alias("qualified"))
 

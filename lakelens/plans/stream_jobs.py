@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lakelens.operators import logs
 from lakelens.plans.common import r6
 from lakelens.plans.log_jobs import EXCLUDED_USERS, LOG_SQL
+from lakelens.plans.emit_jobs import cuts_sql
 from lakelens.plans.registry import register
 from lakelens.sources.tables import table_path
 from lakelens.streaming import jobs
@@ -59,7 +60,9 @@ def stream_log_pairing(spark, sf_dir):
     return out.withColumn("duration_seconds", r6("duration_seconds"))
 
 
-@register("stream_packed_sink")
+# The table is one file, so all rows come in one micro-batch.
+@register("stream_packed_sink", f"""WITH {cuts_sql("SELECT event_id AS id, length(props) AS size FROM events", 500, 4096)}
+SELECT id AS event_id, 0 AS epoch, CAST(no AS INTEGER) AS batch FROM cuts""")
 def stream_packed_sink(spark, sf_dir):
     """T-5: micro-batches packed into size-bounded batches by a foreachBatch sink."""
     base = jobs.run_dir(spark, "packed")
@@ -68,4 +71,4 @@ def stream_packed_sink(spark, sf_dir):
     q = (s.writeStream.foreachBatch(jobs.packed_batch_sink(out, "event_id", "size", 500, 4096))
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.json(out).select("event_id", "epoch", "bucket", "batch")
+    return spark.read.json(out).select("event_id", "epoch", "batch")

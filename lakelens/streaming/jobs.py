@@ -111,7 +111,7 @@ def pair_sessions(parsed: DataFrame, excluded_users: tuple = ()) -> DataFrame:
 
 def packed_batch_sink(path: str, order: str, size: str, items_per_chunk: int, chunk_size: int):
     """T-5: a foreachBatch function that packs each micro-batch (K-4) and writes
-    it as JSON partitioned by (epoch, bucket, batch). A micro-batch that is
+    it as JSON partitioned by (epoch, batch). A micro-batch that is
     run again after a failure overwrites its own epoch folder (dynamic
     partition overwrite) instead of appending a second copy."""
     from lakelens.operators import emit
@@ -119,5 +119,5 @@ def packed_batch_sink(path: str, order: str, size: str, items_per_chunk: int, ch
     def write(batch_df: DataFrame, epoch_id: int) -> None:
         packed = emit.pack(batch_df, order, size, items_per_chunk, chunk_size).withColumn("epoch", F.lit(epoch_id))
         (packed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("epoch", "bucket", "batch").json(path))
+         .partitionBy("epoch", "batch").json(path))
     return write

@@ -1,60 +1,45 @@
-"""Packing goldens (count and bytes) and the distributed fold."""
+"""Batches against the law they keep, and conformance counts."""
 
 import pytest
 
 from lakelens.operators import emit
 
 
-def slices(ids):
-    out, start = [], 0
-    for i in range(1, len(ids) + 1):
-        if i == len(ids) or ids[i] != ids[i - 1]:
-            out.append((start, i))
-            start = i
+def cut_by_law(sizes, takes):
+    """Group numbers when a group takes one row and then further ones while
+    ``takes(rows so far, bytes so far, next size)``."""
+    out, rows, held, group = [], 0, 0, -1
+    for s in sizes:
+        if not rows or not takes(rows, held, s):
+            rows, held, group = 0, 0, group + 1
+        rows, held = rows + 1, held + s
+        out.append(group)
     return out
 
 
-CHUNKS = [
-    (["a", "b", "c"], 10, 1, [(0, 1), (1, 2), (2, 3)]),
-    (["aa", "bb", "cc"], 10, 3, [(0, 1), (1, 2), (2, 3)]),
-    (["aa", "bb", "cc"], 10, 1, [(0, 1), (1, 2), (2, 3)]),
-    (["a", "b", "c", "d", "e"], 10, 2, [(0, 2), (2, 4), (4, 5)]),
-    (["a", "b", "c", "d", "e"], 3, 10, [(0, 3), (3, 5)]),
-    (["aa", "b", "c", "d", "eee", "ffff"], 2, 3, [(0, 2), (2, 4), (4, 5), (5, 6)]),
-]
-
-
-@pytest.mark.parametrize("items,per,size,expected", CHUNKS)
-def test_chunk_goldens(items, per, size, expected):
-    assert slices(emit._chunk_ids([len(x) for x in items], per, size)) == expected
-
-
-def test_query_log_batches_by_count():
-    ids = emit._query_log_ids([10] * 17, logs_per_event=2, events_per_file=3, bytes_per_file=10**9)
-    files = {}
-    for ev, f in ids:
-        files.setdefault(f, set()).add(ev)
-    assert len(files) == 3 and all(len(evs) == 3 for evs in files.values())
+def events_by_law(files, logs_per_event):
+    out, event, place = [], -1, {}
+    for f in files:
+        n = place[f] = place.get(f, -1) + 1
+        event += n % logs_per_event == 0
+        out.append(event)
+    return out
 
 
-def test_query_log_batches_by_bytes():
-    sizes = [450 if i in (0, 3, 8) else 100 for i in range(11)]
-    ids = emit._query_log_ids(sizes, logs_per_event=100, events_per_file=200, bytes_per_file=300)
-    per_file = [sum(1 for _, f in ids if f == k) for k in sorted({f for _, f in ids})]
-    assert per_file == [1, 3, 3, 2, 2]
+def packed(spark, sizes, most, limit):
+    df = spark.createDataFrame(list(enumerate(sizes)), "seq long, size long").repartition(5)
+    return [b for _, b in sorted((r.seq, r.batch) for r in emit.pack(df, "seq", "size", most, limit).collect())]
 
 
-def test_pack_distributed_matches_fold(spark):
-    sizes = [(i, (i * 37) % 50 + 1) for i in range(500)]
-    df = spark.createDataFrame(sizes, "seq long, size long")
-    got = {r.seq: r.batch for r in emit.pack(df, "seq", "size", 7, 120, buckets=1).collect()}
-    want = emit._chunk_ids([s for _, s in sizes], 7, 120)
-    assert [got[i] for i in range(500)] == want
-    many = emit.pack(df, "seq", "size", 7, 120, buckets=4)
-    assert many.count() == 500 and many.select("bucket").distinct().count() == 4
+@pytest.mark.parametrize("sizes,most,limit,batches", [
+    ([4, 4, 4, 4], 9, 8, [0, 0, 1, 1]), ([9, 1, 1, 9, 9], 9, 5, [0, 1, 1, 2, 3]), ([0, 0, 0, 0, 0], 2, 7, [0, 0, 1, 1, 2]),
+    ([3, 3, 3], 9, 3, [0, 1, 2]), ([1], 1, 1, [0]), ([7, 0, 0], 9, 5, [0, 1, 1]), ([], 3, 3, []),
+])
+def test_small_batches(spark, sizes, most, limit, batches):
+    assert packed(spark, sizes, most, limit) == batches == cut_by_law(sizes, lambda n, held, s: n < most and held + s <= limit)
 
 
-def test_folds_do_not_depend_on_partitions(spark):
+def test_cuts_do_not_depend_on_partitions(spark):
     sizes = [0 if i % 11 == 0 else 500 if i % 97 == 0 else (i * 37) % 50 + 1 for i in range(3000)]
     df = spark.createDataFrame(list(enumerate(sizes)), "seq long, size long").repartition(5)
     before = spark.conf.get("spark.sql.shuffle.partitions")
@@ -62,16 +47,20 @@ def test_folds_do_not_depend_on_partitions(spark):
         for parts in (1, 7, 300):
             spark.conf.set("spark.sql.shuffle.partitions", str(parts))
             for most, limit in ((7, 120), (200, 3000), (40, 10**9)):
-                rows = emit.pack(df, "seq", "size", most, limit)
-                got = {r.seq: (r.bucket, r.batch) for r in rows.collect()}
-                assert [got[i] for i in range(3000)] == [(0, c) for c in emit._chunk_ids(sizes, most, limit)]
-                rows = emit.query_log_batches(df, "seq", "size", most, 4, limit)
-                got = {r.seq: (r.event_no, r.file_no) for r in rows.collect()}
-                assert [got[i] for i in range(3000)] == emit._query_log_ids(sizes, most, 4, limit)
+                assert packed(spark, sizes, most, limit) == cut_by_law(sizes, lambda n, held, s: n < most and held + s <= limit)  # noqa: B023
+                rows = sorted((r.seq, r.event_no, r.file_no) for r in emit.query_log_batches(df, "seq", "size", most, 4, limit).collect())
+                files = cut_by_law(sizes, lambda n, held, s: n < 4 * most and held < limit)  # noqa: B023
+                assert [f for _, _, f in rows] == files and [e for _, e, _ in rows] == events_by_law(files, most)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
-    plan = emit.pack(df, "seq", "size", 7, 120)._jdf.queryExecution().toString()
-    assert "FlatMapGroupsInPandas" not in plan  # no task is given a whole bucket
+
+
+def test_a_hot_order_key_is_split(spark):
+    """Rows of one key go by size, over several partitions."""
+    df = spark.createDataFrame([(1, i % 90) for i in range(4000)] + [(None, 5)], "seq long, size long")
+    rows = sorted((r.seq is None, r.size, r.batch) for r in emit.pack(df, "seq", "size", 50, 900).collect())
+    law = cut_by_law([s for _, s, _ in rows], lambda n, held, s: n < 50 and held + s <= 900)
+    assert sorted(b for *_, b in rows) == law
 
 
 def test_conformance_observation(spark):

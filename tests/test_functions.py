@@ -46,48 +46,70 @@ def test_glob_translation_matches_fnmatch():
     assert glob_to_regex("db?") == "(?s)^db.\\z"
 
 
-FILTER_CASES = [
-    # (includes, excludes, [(db, schema, table, expected)])
-    (None, None, [("db1", "boo", "bar", True)]),
-    ({"db?": {"schema*": {"*"}}}, None,
-     [("db1", "schema1", "table1", True), ("db1", "foo", "bar", False), ("db_extra", "schema1", "table1", False)]),
-    ({"db1": None, "db2": {"schema1": None, "schema2": {"table1", "table2"}}}, None,
-     [("db1", "foo", "bar", True), ("db2", "schema1", "foo", True), ("db2", "schema2", "table1", True),
-      ("db2", "schema2", "foo", False), ("db2", "schema3", "foo", False), ("db3", "foo", "bar", False)]),
-    (None, {"db1": None, "db2": {"schema1": None, "schema2": {"table1", "table2"}}},
-     [("db1", "foo", "bar", False), ("db2", "schema1", "foo", False), ("db2", "schema2", "table1", False),
-      ("db3", "foo", "bar", True)]),
-    ({"db1": None}, {"db1": {"schema1": None}}, [("db1", "schema1", "t", False), ("db1", "schema2", "t", True)]),
-    ({"DB1": {"Schema1": {"TABLE1"}}}, None, [("db1", "schema1", "table1", True)]),
-]
-
-
-@pytest.mark.parametrize("inc,exc,cases", FILTER_CASES)
-def test_include_table(spark, inc, exc, cases):
-    flt = filters.DatasetFilter(inc, exc).normalize()
-    df = spark.createDataFrame(cases, "d string, s string, t string, e boolean")
-    got = df.select("e", filters.include_table(flt, "d", "s", "t").alias("g")).collect()
-    assert all(r.e == r.g for r in got), got
+def kept_names(spark, flt, names):
+    df = spark.createDataFrame(names, "d string, s string, t string")
+    by_column = {tuple(r) for r in df.filter(filters.include_table(flt, "d", "s", "t")).collect()}
+    by_rules = {tuple(r) for r in filters.filter_by_rules(df, filters.rules_frame(spark, flt), "d", "s", "t").collect()}
+    if flt.includes != (("",),):  # a rule table cannot say "include nothing"
+        assert by_column == by_rules
+    return {".".join(map(str, r)) for r in by_column}
+
+
+TIDES = [("Sea", "North", "ebb"), ("sea", "north", "flow_1"), ("sea", "south", "flow_2"), ("Lake", "north", "ebb"), ("lake", None, "ebb"), (None, "north", "ebb")]
+
+
+def test_include_table(spark):
+    kept = lambda inc=None, exc=None: kept_names(spark, filters.DatasetFilter.of(inc, exc).normalized(), TIDES)
+    everything = {".".join(map(str, r)) for r in TIDES}
+    assert kept() == everything
+    assert kept({"SEA": None}) == {"Sea.North.ebb", "sea.north.flow_1", "sea.south.flow_2"}
+    assert kept({"s?a": {"n*": {"flow_[0-9]", "none"}, "south": None}}) == {"sea.north.flow_1", "sea.south.flow_2"}
+    assert kept({"*": {"north": None}}) == {"Sea.North.ebb", "sea.north.flow_1", "Lake.north.ebb"}
+    assert kept(None, {"*": {"*": {"*b"}}}) == everything - {"Sea.North.ebb", "Lake.north.ebb"}
+    assert kept({"lake": None, "sea": {"north": {"ebb"}}}, {"l*": {"north": None}}) == {"lake.None.ebb", "Sea.North.ebb"}
+    assert kept({}) == set() and kept({"sea": {}}) == set() and kept({"sea": {"north": set()}}) == set()
+
+
+def test_rule_table_of_ten_thousand_rules(spark, capsys):
+    flt = filters.DatasetFilter.of({"*": {f"s{i}*": {f"*t{i}", f"x{i}?"} for i in range(5000)}}).normalized()
+    names = spark.range(20000).selectExpr("'d' d", "concat('s', id % 6000, '_') s", "concat(if(id % 3 = 0, 't', 'x'), id % 6000, if(id % 3 = 1, 'y', '')) t")
+    found = filters.filter_by_rules(names, filters.rules_frame(spark, flt), "d", "s", "t")
+    found.explain()
+    plan = capsys.readouterr().out
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    own = lambda r: int(r.s[1:-1])
+    fits = lambda r, i: r.t.endswith(f"t{i}") or (len(r.t) == len(f"x{i}?") and r.t.startswith(f"x{i}"))
+    want = sum(any(fits(r, int(str(own(r))[:n])) for n in range(1, len(str(own(r))) + 1) if int(str(own(r))[:n]) < 5000) for r in names.collect())
+    assert found.count() == want > 1000
 
 
 def test_include_schema_and_database(spark):
-    flt = filters.DatasetFilter(includes={"db1": {"schema1": {"t"}}, "db2": None},
-                                excludes={"db3": None, "db1": {"schema2": {"x"}}})
-    rows = [("db1", "schema1", True), ("db1", "schema2", False), ("db2", "any", True), ("db3", "s", False)]
+    flt = filters.DatasetFilter.of({"sea": {"north": {"ebb"}}, "l*": None}, {"lagoon": None, "lake": {"deep": None, "mud": {"worm"}}}).normalized()
+    rows = [("sea", "north", True), ("sea", "south", False), ("Lake", "any", True), ("lake", "DEEP", False), ("lake", "mud", True), ("lagoon", "x", False)]
     df = spark.createDataFrame(rows, "d string, s string, e boolean")
-    got = df.select("e", filters.include_schema(flt, "d", "s").alias("g")).collect()
-    assert all(r.e == r.g for r in got), got
-    dbs = spark.createDataFrame([("db1", True), ("db2", True), ("db3", False), ("db4", False)], "d string, e boolean")
-    got = dbs.select("e", filters.include_database(flt, "d").alias("g")).collect()
-    assert all(r.e == r.g for r in got), got
-
-
-def test_filter_merge_and_normalize():
-    a = filters.DatasetFilter(includes={"DB": {"s1": None, "S2": {"T1"}}})
-    b = filters.DatasetFilter(includes={"db": {"s2": {"t2"}}}, excludes={"x": None})
-    m = a.normalize().merge(b.normalize())
-    assert m.includes == {"db": {"s1": None, "s2": {"t1", "t2"}}}
-    assert m.excludes == {"x": None}
+    assert all(r.e == r.g for r in df.select("e", filters.include_schema(flt, "d", "s").alias("g")).collect())
+    dbs = spark.createDataFrame([("Sea", True), ("lake", True), ("Lagoon", False), ("pond", False)], "d string, e boolean")
+    assert all(r.e == r.g for r in dbs.select("e", filters.include_database(flt, "d").alias("g")).collect())
+
+
+def test_filter_algebra(spark):
+    one = filters.DatasetFilter.of({"Sea": None, "lake": {"deep": None, "MUD": {"Worm"}}, "pond": {}})
+    two = filters.DatasetFilter.of({"sea": {"north": {"ebb"}}, "lake": {"deep": {"fish"}, "mud": None}, "pond": None}, {"bog": None})
+    both = one.normalized().merged(two.normalized())
+    assert both.includes == (("sea", "north", "ebb"), ("lake", "deep", "fish"), ("lake", "mud", "worm"), ("pond", ""))
+    assert both.excludes == (("bog",),) and one.merged(two).normalized() == both
+    assert both.merged(both) == both and filters.DatasetFilter().merged(two) == two
+    rows = lambda f: {tuple(r) for r in f.collect()}
+    frame = lambda f: filters.rules_frame(spark, f)
+    assert rows(filters.merge_rules(frame(one), frame(two))) == rows(frame(both))
+
+
+def test_two_level_and_default_excludes(spark):
+    flt = filters.DatasetFilter.two_level({"North": {"e*"}, "south": None}, {"*": {"*_2"}}).normalized()
+    df = spark.createDataFrame([r[1:] for r in TIDES], "s string, t string")
+    assert [tuple(r) for r in df.filter(filters.include_table_two_level(flt, "s", "t")).collect()] == [("North", "ebb"), ("north", "ebb"), ("north", "ebb")]
+    own = filters.with_default_excludes(filters.DatasetFilter.of(excludes={"SYSTEM": {"runtime": None}}), "trino")
+    assert own.excludes == (("system", "runtime"), ("*", "information_schema"))
 
 
 def test_tag_matching_order_and_dedup(spark):
