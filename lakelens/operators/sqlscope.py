@@ -51,20 +51,24 @@ def plain_name(name: Column) -> Column:
     return F.lower(F.regexp_replace(F.regexp_replace(name, r"\s*\.\s*", "."), r'["`\[\]]', ""))
 
 
-def _described(words: Column) -> Column:
-    """What each token is and what stands beside it; computed once per token."""
-    near = lambda i, by: F.upper(F.get(words, i + F.lit(by)))
+# Words after which a name may be a table or the name of a common table expression.
+BEFORE_NAMES = ("FROM", "JOIN", ",", "(", "USING", "LIKE", "CLONE", "INTO", "UPDATE", "OVERWRITE", "INSERT", "MERGE", "COPY", "WITH")
+STEPS = (*CLAUSES, *VERBS, "WITH", "RECURSIVE", "VIEW", "(", ")", ";")
+
+
+def _described(words: Column, uppers: Column) -> Column:
+    """The tokens that the fold must see, with what stands beside them: brackets, words
+    that begin a clause or a statement, and names in places where they may count."""
+    near = lambda i, by: F.coalesce(F.get(uppers, i + F.lit(by)), F.lit(""))
 
     def one(word: Column, i: Column) -> Column:
-        upper = F.upper(word)
-        named = word.rlike(r'^["`\[A-Za-z_#$@]')
+        upper = F.element_at(uppers, i + 1)
         key = upper.isin(*RESERVED)
-        before = F.get(words, i - 1)
-        return F.struct(
-            word.alias("word"), upper.alias("u"), near(i, -1).alias("p1"), near(i, -2).alias("p2"), near(i, 1).alias("n1"), near(i, 2).alias("n2"),
-            key.alias("key"), (named & ~key).alias("name"), upper.isin(*CLAUSES).alias("clause"),
-            (before.rlike(r'^["`\[A-Za-z_#$]') & ~F.upper(before).isin(*RESERVED)).alias("after_name"))
-    return F.transform(words, one)
+        return F.struct(word.alias("word"), upper.alias("u"), near(i, -1).alias("p1"), near(i, -2).alias("p2"), near(i, 1).alias("n1"), near(i, 2).alias("n2"),
+                        key.alias("key"), (~key & word.rlike(r'^["`\[A-Za-z_#$@]')).alias("name"), upper.isin(*CLAUSES).alias("clause"))
+
+    places = F.filter(F.transform(words, one), lambda t: t["u"].isin(*STEPS) | (t["name"] & t["p1"].isin(*BEFORE_NAMES, *HEAD, *MORE_HEAD)))
+    return places
 
 
 def _with(row: Column, fields: tuple[str, ...], **changes: Column) -> Column:
@@ -89,7 +93,7 @@ def _step(state: Column, token: Column) -> Column:
     from_list = is_(token["p1"], "FROM", "JOIN") | (is_(token["p1"], "(") & is_(top["opened"], "from")) | (is_(token["p1"], ",") & is_(top["clause"], "FROM"))
     body = F.when(is_(token["p1"], "AS", "MATERIALIZED"), top["pending"])
     frame = F.struct(
-        F.when(from_list, "from").when(yes(token["after_name"]), "call").otherwise("group").alias("opened"),
+        F.when(from_list, "from").when(token["p1"].rlike(r'^["`\[A-Z_#$]') & ~token["p1"].isin(*RESERVED), "call").otherwise("group").alias("opened"),
         F.when(from_list, "FROM").alias("clause"), no.alias("listing"), no.alias("pending"), body.alias("body"))
     own_name = F.array(F.struct(body.alias("name"), depth.alias("level")))
     pushed = _with(state, _STATE_FIELDS, stack=F.concat(stack, F.array(frame)),
@@ -159,9 +163,10 @@ def table_lineage(df: DataFrame, qid: str, sql: str) -> DataFrame:
     and views, COPY INTO, SELECT ... INTO. Stages (names with @) are neither."""
     # The generators keep the optimizer from computing the token arrays at every use.
     cut = df.select(F.col(qid).alias("qid"), F.explode(F.array(F.regexp_extract_all(F.col(sql), F.lit(TOKEN), 1))).alias("words"))
-    told = cut.select("qid", F.explode(F.array(_described(F.col("words")))).alias("tokens"))
+    cut = cut.select("qid", "words", F.explode(F.array(F.transform("words", F.upper))).alias("uppers"))
+    told = cut.select("qid", F.explode(F.array(_described(F.col("words"), F.col("uppers")))).alias("tokens"))
     start = F.struct(F.array(_empty_frame()).alias("stack"), F.array().cast("array<struct<name:string,level:int>>").alias("ctes"),
                      F.lit(None).cast("string").alias("verb"), F.lit(True).alias("head"),
                      F.array().cast("array<struct<role:string,table:string>>").alias("found"))
-    found = F.aggregate("tokens", start.cast(STATE), lambda s, t: _step(s, t).cast(STATE), lambda s: F.array_distinct(s["found"]))
+    found = F.aggregate("tokens", start.cast(STATE), _step, lambda s: F.array_distinct(s["found"]))
     return told.select("qid", F.inline(found))

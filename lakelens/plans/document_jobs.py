@@ -9,7 +9,7 @@ from lakelens.functions.scalars import sanitize_text
 from lakelens.operators import documents, graph
 from lakelens.plans.common import r6
 from lakelens.plans.registry import register
-from lakelens.sources.tables import read_table
+from lakelens.sources.tables import read_table, spread
 
 _SANITIZE = "trim(regexp_replace(translate({x}, chr(10) || chr(9) || chr(13), '   '), ' +', ' ', 'g'), ' ')"
 _STRIP = r"""replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(
@@ -30,7 +30,7 @@ PAGE_TEXT_SQL = _SANITIZE.format(x=_STRIP)
 @register("page_text", f"""SELECT page_id, {PAGE_TEXT_SQL} AS text, CAST(length({PAGE_TEXT_SQL}) AS BIGINT) AS n_chars FROM pages""")
 def page_text(spark, sf_dir):
     """D-1 + D-4: visible text of every page, sanitised."""
-    p = read_table(spark, sf_dir, "pages")
+    p = spread(read_table(spark, sf_dir, "pages"))
     t = documents.text_from_html(F.col("html"))
     return p.select("page_id", t.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
 
@@ -38,7 +38,7 @@ def page_text(spark, sf_dir):
 @register("page_title", f"""SELECT page_id, {_TITLE} AS title FROM pages""")
 def page_title(spark, sf_dir):
     """D-2: page titles ('' when absent)."""
-    p = read_table(spark, sf_dir, "pages")
+    p = spread(read_table(spark, sf_dir, "pages"))
     return p.select("page_id", documents.title_from_html(F.col("html")).alias("title"))
 
 
@@ -67,7 +67,7 @@ links AS (SELECT page_id, url, link, row_number() OVER (PARTITION BY page_id, ur
 @register("page_links", f"""WITH {LINKS_SQL} SELECT page_id, url, link, CAST(pos AS INTEGER) AS pos FROM links""")
 def page_links(spark, sf_dir):
     """D-3: same-site links per page, page itself first, query/fragment removed, distinct."""
-    p = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    p = spread(read_table(spark, sf_dir, "pages")).select("page_id", "url", "html")
     return documents.page_links(p).select("page_id", "url", "link", F.col("pos").cast("int").alias("pos"))
 
 
@@ -76,7 +76,7 @@ def page_links(spark, sf_dir):
   {_TITLE} AS title, md5({PAGE_TEXT_SQL}) AS text_md5 FROM pages""")
 def page_documents(spark, sf_dir):
     """D-6: page documents (title, platform, link, md5 page id)."""
-    d = documents.page_document(read_table(spark, sf_dir, "pages"))
+    d = documents.page_document(spread(read_table(spark, sf_dir, "pages")))
     return d.select("url", "doc_page_id", "platform", "title", F.md5("text").alias("text_md5"))
 
 
@@ -90,7 +90,7 @@ SELECT p.page_id, p.url, CAST(b.hop AS INTEGER) AS hop FROM best b JOIN pages p
 def page_walk(spark, sf_dir):
     """D-5: breadth-first site walks along page links, from the first url of every
     site until nothing new is found; no fetching."""
-    p = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    p = spread(read_table(spark, sf_dir, "pages")).select("page_id", "url", "html")
     links = documents.page_links(p).filter(F.col("pos") > 0).select(F.col("url").alias("src"), F.col("link").alias("dst"))
     roots = p.groupBy(documents.url_netloc("url").alias("site")).agg(F.min("url").alias("url")).select("url")
     walked = graph.reachable(roots, links)
@@ -102,7 +102,7 @@ def page_walk(spark, sf_dir):
   CAST(length(trim(regexp_replace(translate(text, chr(10) || chr(9) || chr(13), '   '), ' +', ' ', 'g'), ' ')) AS BIGINT) AS n_chars FROM documents""")
 def doc_sanitize(spark, sf_dir):
     """D-4: whole documents sanitised (newlines/tabs/CR to spaces, runs collapsed, trimmed)."""
-    d = read_table(spark, sf_dir, "documents").select("doc_id", sanitize_text(F.col("text")).alias("t"))
+    d = spread(read_table(spark, sf_dir, "documents")).select("doc_id", sanitize_text(F.col("text")).alias("t"))
     return d.select("doc_id", F.md5("t").alias("text_md5"), F.length("t").cast("long").alias("n_chars"))
 
 
@@ -116,7 +116,7 @@ chunks AS (SELECT doc_id, source, CAST(k AS INTEGER) AS chunk_no, w[k * 462 + 1
 SELECT doc_id, chunk_no, CAST(len(cw) AS INTEGER) AS n_words, md5(array_to_string(cw, ' ')) AS chunk_md5 FROM chunks""")
 def doc_chunks(spark, sf_dir):
     """D-7: whole documents cut into 512-word windows overlapping by 50."""
-    d = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = spread(read_table(spark, sf_dir, "documents")).select("doc_id", "text")
     c = documents.chunk_documents(d, "text")
     return c.select("doc_id", "chunk_no", "n_words", F.md5("text").alias("chunk_md5"))
 
@@ -131,7 +131,7 @@ def chunk_vectors(spark, sf_dir, how="inner"):
     """D-8: chunks joined with their vectors into search documents (id, vector
     size and norm, digest of the 'Title: ...' embedded string); texts are hashed
     before the join."""
-    d = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    d = spread(read_table(spark, sf_dir, "documents")).select("doc_id", "source", "text")
     c = documents.chunk_documents(d, "text").select(
         "doc_id", "chunk_no", (F.col("doc_id") + F.col("chunk_no")).alias("vec_key"),
         F.md5(documents.embedded_string(F.col("source"), F.col("text"))).alias("embedded_md5"))

@@ -39,7 +39,7 @@ def catalog_rules(spark, sf_dir):
         F.lit("exclude").alias("side"), F.when(k % 2 == 0, F.col("db")).otherwise("*").alias("db"),
         F.when(k % 4 < 2, F.lower("schema")).otherwise("*").alias("schema"),
         F.when((k % 5 == 0) & (k % 4 == 0), none).when(k % 5 == 1, F.concat(F.lit("*"), key)).when(k % 5 == 2, F.col("tbl"))
-        .when(k % 5 == 3, F.concat(F.left("tbl", F.lit(12)), F.lit("?[0-4]*"))).otherwise(F.concat(F.lit("zz"), key)).alias("table"))
+        .when(k % 5 == 3, F.concat(F.left("tbl", F.lit(16)), F.lit("?[0-4]*"))).otherwise(F.concat(F.lit("zz"), key)).alias("table"))
     include = c.filter(k % 7 == 0).select(
         F.lit("include").alias("side"), F.concat(F.left("db", F.lit(1)), F.lit("*")).alias("db"),
         F.when(k % 2 == 0, none).otherwise(F.col("schema")).alias("schema"),
@@ -52,7 +52,7 @@ _RULES = f"""{CATALOG_SQL}, given AS (
   SELECT 'exclude' AS side, CASE WHEN s_suppkey % 2 = 0 THEN db ELSE '*' END AS db,
     CASE WHEN s_suppkey % 4 < 2 THEN lower(schema) ELSE '*' END AS schema,
     CASE WHEN s_suppkey % 20 = 0 THEN NULL WHEN s_suppkey % 5 = 1 THEN '*' || CAST(s_suppkey AS VARCHAR) WHEN s_suppkey % 5 = 2 THEN tbl
-      WHEN s_suppkey % 5 = 3 THEN left(tbl, 12) || '?[0-4]*' ELSE 'zz' || CAST(s_suppkey AS VARCHAR) END AS tab FROM cat WHERE s_suppkey % 3 = 0
+      WHEN s_suppkey % 5 = 3 THEN left(tbl, 16) || '?[0-4]*' ELSE 'zz' || CAST(s_suppkey AS VARCHAR) END AS tab FROM cat WHERE s_suppkey % 3 = 0
   UNION ALL SELECT 'include', left(db, 1) || '*', CASE WHEN s_suppkey % 2 = 0 THEN NULL ELSE schema END,
     CASE WHEN s_suppkey % 2 = 1 AND s_suppkey % 3 > 0 THEN '*[' || right(CAST(s_suppkey AS VARCHAR), 1) || '-9]' END
   FROM cat WHERE s_suppkey % 7 = 0),

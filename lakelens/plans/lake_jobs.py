@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lakelens.operators import lake
 from lakelens.plans.registry import register
-from lakelens.sources.tables import read_table
+from lakelens.sources.tables import read_table, spread
 
 TEMPLATE = lake.PathTemplate(
     "s3://lake/warehouse/{dept}/{table}/{partition_key[0]}={partition[0]}/{partition_key[1]}={partition[1]}/*.*",
@@ -24,7 +24,7 @@ FLAT_TEMPLATE = lake.PathTemplate("s3://lake/warehouse/{dept}/{table}/*/*/*.*")
 
 
 def object_listing(spark, sf_dir):
-    li = read_table(spark, sf_dir, "lineitem")
+    li = spread(read_table(spark, sf_dir, "lineitem"))
     n = F.col("l_linenumber")
     dept = F.concat(F.lit("d"), (F.col("l_suppkey") % 3).cast("string"))
     tbl = F.concat(F.lit("t"), (F.col("l_partkey") % 7).cast("string"))

@@ -15,7 +15,7 @@ from lakelens.operators import logs
 from lakelens.plans.common import r6, sql_r6
 from lakelens.plans.registry import register
 from lakelens.session import groups_for
-from lakelens.sources.tables import read_table
+from lakelens.sources.tables import read_table, spread
 
 # ----------------------------------------------------------- W-1 / A-11
 
@@ -47,7 +47,7 @@ EXCLUDED_USERS = ("user13", "user26")
 
 
 def text_log(spark, sf_dir):
-    return text_log_from(read_table(spark, sf_dir, "events"))
+    return text_log_from(spread(read_table(spark, sf_dir, "events")))
 
 
 def text_log_from(events):

@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from lakelens.operators import sqlscope, sqltext
 from lakelens.plans.registry import register
-from lakelens.sources.tables import read_table
+from lakelens.sources.tables import read_table, spread
 
 
 def query_log(spark, sf_dir):
-    o = read_table(spark, sf_dir, "orders")
+    o = spread(read_table(spark, sf_dir, "orders"))
     k = F.col("o_orderkey") % 5
     a = (F.col("o_custkey") % 50).cast("string")
     b = (F.col("o_orderkey") % 30).cast("string")
@@ -78,7 +78,7 @@ def sql_redact(spark, sf_dir):
 
 
 def command_log(spark, sf_dir):
-    o = read_table(spark, sf_dir, "orders")
+    o = spread(read_table(spark, sf_dir, "orders"))
     k = F.col("o_orderkey") % 6
     key = F.col("o_orderkey").cast("string")
     sql = (F.when(k == 0, F.concat(F.lit("SHOW TABLES IN db_"), key))
@@ -130,7 +130,7 @@ def sql_query_rules(spark, sf_dir):
 FROM orders""")
 def sql_copy_options(spark, sf_dir):
     """Q-4: COPY INTO load options removed (first occurrence of each)."""
-    o = read_table(spark, sf_dir, "orders")
+    o = spread(read_table(spark, sf_dir, "orders"))
     sql = F.concat(
         F.lit("COPY INTO tgt_"), F.col("o_custkey").cast("string"), F.lit("\n(\n    foo,\n    bar\n)\nFROM\n    (\n        SELECT *\n        FROM src_"),
         (F.col("o_orderkey") % 9).cast("string"),
@@ -149,7 +149,7 @@ UNION ALL SELECT query_id, 'prod.' || b FROM q""")
 def sql_default_names(spark, sf_dir):
     """Q-5 + Q-6: sources of 'SELECT ... FROM part_n, db.supp_m' completed
     with the session database / schema."""
-    o = read_table(spark, sf_dir, "orders")
+    o = spread(read_table(spark, sf_dir, "orders"))
     sql = F.concat(F.lit("SELECT * FROM part_"), (F.col("o_custkey") % 50).cast("string"),
                    F.lit(", db.supp_"), (F.col("o_orderkey") % 30).cast("string"))
     q = o.select(F.col("o_orderkey").alias("query_id"), sql.alias("sql"))
@@ -164,7 +164,7 @@ UNION ALL SELECT o_orderkey, 'score', 'o.o_custkey' FROM orders
 UNION ALL SELECT o_orderkey, 'score', 'c.c_acctbal' FROM orders""")
 def sql_column_mapping(spark, sf_dir):
     """Q-9: column mapping of simple SELECT lists (alias <- referenced columns)."""
-    o = read_table(spark, sf_dir, "orders")
+    o = spread(read_table(spark, sf_dir, "orders"))
     sql = F.concat(F.lit("SELECT o.o_totalprice AS total, c.c_name cust_"), (F.col("o_custkey") % 7).cast("string"),
                    F.lit(", round(o.o_custkey * c.c_acctbal, 2) AS score FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey"))
     m = o.select(F.col("o_orderkey").alias("query_id"), F.explode(sqltext.select_column_mapping(sql)).alias("m"))

@@ -26,6 +26,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] |
     return df.select(*columns) if columns else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores, for jobs whose work per row outweighs moving the row: a
+    scan with fewer splits than cores is dealt round-robin, a larger one stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def register_views(spark: SparkSession, sf_dir: str) -> None:
     """Expose every table as a temp view, for SQL-first callers."""
     for name in TABLES:
