@@ -2,19 +2,21 @@
 over JSON documents, Avro schema walks, and the root of a message graph.
 
 Spark has no recursive types, so schema trees are flattened into one row per
-field path. The walks run inside tasks (``mapInPandas``) over a column of
-schema / document texts: each row is small, Spark partitions the rows, and all
-cross-row work (counting types, deciding nullability) is a Spark aggregation.
+field path. Documents are opened as VARIANT values on the JVM; the walks of schema
+texts run inside tasks (``mapInPandas``), where each row is small. All cross-row work
+(counting types, deciding nullability) is a Spark aggregation.
 """
 
 from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakelens.session import cut_lineage
+
 
 def _encode(name: str) -> str:
     return name.lower().replace(".", "%2E").replace("<", "%3C").replace(">", "%3E")
@@ -82,121 +84,105 @@ def flatten_struct_type(spark, dt: T.StructType) -> DataFrame:
 
 # ---------------------------------------------------------------- N-3
 
-# JSON value kinds -> native type names.
-TYPE_NAMES = {"int": "int", "float": "float", "str": "string", "bool": "bool", "dict": "object", "list": "array"}
+LEVELS = 4  # levels of a document that one pass over the documents opens
 
-PARTIAL_SCHEMA = T.StructType([
-    T.StructField("field_path", T.StringType()), T.StructField("type_name", T.StringType()),
-    T.StructField("n", T.LongType()), T.StructField("first_seq", T.LongType()), T.StructField("first_pos", T.LongType()),
-    T.StructField("present", T.LongType()),
-])
+_NODE = "array<struct<path:array<string>,value:variant>>"
+
+
+def _object(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "map<string,variant>")
+
+
+def _list(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "array<variant>")
+
+
+def _fields(members: Column, path: Column) -> Column:
+    """Nodes of an object's members."""
+    return F.transform(F.map_entries(members), lambda e: F.struct(F.array_append(path, e["key"]).alias("path"), e["value"].alias("value")))
+
+
+def _below(nodes: Column) -> Column:
+    """The next level: fields of the objects among ``nodes``, and of the objects that
+    are items of their lists, in document order."""
+    none = F.array().cast(_NODE)
 
+    def one(node: Column) -> Column:
+        items = F.transform(_list(node["value"]), lambda x: F.coalesce(_fields(_object(x), node["path"]), none))
+        return F.coalesce(_fields(_object(node["value"]), node["path"]), F.flatten(items), none)
+    return F.flatten(F.transform(nodes, one))
 
-def _kind(v) -> str | None:
-    if v is None:
-        return None
-    if isinstance(v, bool):
-        return "bool"
-    return type(v).__name__
-
-
-def _occurrences(doc: dict, prefix: tuple, out: list, counter: list) -> None:
-    """(path, kind, position) of every non-null value, in document order."""
-    for k, v in doc.items():
-        cur = prefix + (k,)
-        if isinstance(v, dict):
-            _occurrences(v, cur, out, counter)
-        if isinstance(v, list):
-            for item in v:
-                if isinstance(item, dict):
-                    _occurrences(item, cur, out, counter)
-        kind = _kind(v)
-        if kind is not None:
-            counter[0] += 1
-            out.append((".".join(cur), TYPE_NAMES.get(kind, kind), counter[0]))
-
-
-def _present(doc, path: tuple) -> bool:
-    """True when the path is non-null in this document (lists: non-empty and
-    every dict member has it)."""
-    if not path:
-        return False
-    if not isinstance(doc, dict) or path[0] not in doc:
-        return False
-    v = doc[path[0]]
-    if v is None:
-        return False
-    if len(path) == 1:
-        return True
-    if isinstance(v, dict):
-        return _present(v, path[1:])
-    if isinstance(v, list):
-        if not v:
-            return False
-        return not any(isinstance(x, dict) and not _present(x, path[1:]) for x in v)
-    return False
+
+def _kind(value: Column) -> Column:
+    """Native type of a value; null for JSON nulls. Numbers written with a point or an
+    exponent are floats: as decimals without a scale they have at most 18 digits, which
+    integers of that length do not become."""
+    found = F.schema_of_variant(value)
+    return (F.when(value.isNull(), None).when(_object(value).isNotNull(), "object").when(_list(value).isNotNull(), "array").when(F.is_variant_null(value), None)
+            .when(found == "STRING", "string").when(found == "BOOLEAN", "bool").when(found == "BIGINT", "int")
+            .when(found.endswith(",0)") & (F.regexp_extract(found, r"\((\d+),", 1).try_cast("int") > 18), "int").otherwise("float"))
+
+
+def _summary(nodes: DataFrame) -> DataFrame:
+    """Mergeable counts of (seq, at, path, value) rows by path and type: values, lists
+    without items, objects among list items, and where the first one stands."""
+    typed = nodes.select("path", _kind(F.col("value")).alias("kind"), "value", (F.col("seq").cast("decimal(38,0)") * (1 << 31) + F.col("at")).cast("decimal(38,0)").alias("place"))
+    items = F.when(F.col("kind") == "array", _list(F.col("value")))
+    typed = typed.select("path", "kind", "place", F.size(items).alias("length"), F.size(F.filter(items, lambda x: _object(x).isNotNull())).alias("members"))
+    return typed.groupBy("path", "kind").agg(
+        F.count("*").alias("n"), F.count_if(F.col("length") == 0).alias("hollow"), F.sum(F.greatest("members", F.lit(0))).alias("members"),
+        F.min("place").alias("first"))
 
 
 def infer_schema(docs: DataFrame, doc_col: str, seq_col: str) -> DataFrame:
-    """N-3 / O-6: one row per field path of a document collection with its native
-    type (one type -> it; int+float -> float; datetime+str -> datetime; else the
-    most common, ties -> first seen), how many values were seen, and whether it
-    is nullable (some document lacks it, holds null, or an empty list / a list
-    member without it on the way).
-
-    Each task walks its documents and combines map-side: it emits one partial
-    row per (path, type) with a count and the first position, and one per path
-    with the number of documents where it is present. Spark merges the partials."""
-    def run(batches):
-        import pandas as pd
-        for pdf in batches:
-            counts: dict = {}
-            present: dict = {}
-            for seq, text in zip(pdf[seq_col], pdf[doc_col]):
-                if text is None:
-                    continue
-                doc = json.loads(text)
-                if not isinstance(doc, dict):
-                    continue
-                occ: list = []
-                _occurrences(doc, (), occ, [0])
-                seen = set()
-                for path, kind, pos in occ:
-                    c = counts.get((path, kind))
-                    if c is None:
-                        counts[(path, kind)] = [1, int(seq), pos]
-                    else:
-                        c[0] += 1
-                        if (int(seq), pos) < (c[1], c[2]):
-                            c[1], c[2] = int(seq), pos
-                    if path not in seen:
-                        seen.add(path)
-                        if _present(doc, tuple(path.split("."))):
-                            present[path] = present.get(path, 0) + 1
-            rows = [(p, k, c[0], c[1], c[2], None) for (p, k), c in counts.items()]
-            rows += [(p, None, None, None, None, n) for p, n in present.items()]
-            yield pd.DataFrame(rows, columns=[f.name for f in PARTIAL_SCHEMA.fields])
-
-    part = docs.select(F.col(seq_col).cast("long").alias(seq_col), doc_col).mapInPandas(run, PARTIAL_SCHEMA)
-    n_docs = docs.select(F.count(F.lit(1))).scalar()
-    values = part.filter(F.col("type_name").isNotNull())
-    per_type = values.groupBy("field_path", "type_name").agg(
-        F.sum("n").alias("n"), F.min(F.struct("first_seq", "first_pos")).alias("first"))
-    per_path = per_type.groupBy("field_path").agg(
-        F.collect_set("type_name").alias("types"),
-        F.sum("n").alias("n"),
-        F.max_by("type_name", F.struct(F.col("n"), F.struct(-F.col("first.first_seq"), -F.col("first.first_pos")))).alias("mode_type"),
-    )
-    types = F.array_sort("types")
-    native = (F.when(F.size(types) == 1, types[0])
-              .when(types == F.array(F.lit("float"), F.lit("int")), F.lit("float"))
-              .when(types == F.array(F.lit("datetime"), F.lit("string")), F.lit("datetime"))
-              .otherwise(F.col("mode_type")))
-    present = part.filter(F.col("type_name").isNull()).groupBy("field_path").agg(F.sum("present").alias("__present"))
-    return per_path.join(present, "field_path", "left").select(
-        "field_path", native.alias("native_type"), F.col("n").cast("long").alias("n"),
-        (F.coalesce(F.col("__present"), F.lit(0)) < n_docs).alias("nullable"),
-    )
+    """N-3 / O-6: one row per field path of a document collection: ``path`` (its keys),
+    ``field_path`` (joined by dots), its native type (one type: that; int and float:
+    float; else the most common, ties: the first seen), how many values were seen, and
+    whether it is nullable: some document is no object or lacks the field somewhere,
+    holds null, an empty list or a plain value on the way.
+
+    Documents are opened level by level as VARIANT values, a few levels in one pass. The
+    per-path summaries are counts that add up in any order. A path is present
+    everywhere if its parent is, the parent has no empty list and no plain value, and
+    there are as many values as objects that could hold one; so presence needs no second
+    look at the documents."""
+    root = docs.select(F.col(seq_col).cast("long").alias("seq"), F.try_parse_json(doc_col).alias("value"))
+    no_path = F.array().cast("array<string>")
+    first = F.coalesce(_fields(_object(F.col("value")), no_path), F.array().cast(_NODE))
+    frontier = root.select("seq", F.array(F.struct(no_path.alias("path"), "value")).alias("done"), F.explode(F.array(first)).alias("nodes"))
+    parts = []
+    while True:
+        opened = frontier
+        for _ in range(LEVELS - 1):
+            # The generator keeps the optimizer from computing a level once for each use.
+            opened = opened.select("seq", F.concat("done", "nodes").alias("done"), F.explode(F.array(_below(F.col("nodes")))).alias("nodes"))
+        rows = opened.select("seq", F.posexplode(F.concat("done", "nodes")).alias("at", "node")).select("seq", "at", "node.*")
+        parts.append(cut_lineage(_summary(rows)))
+        deepest = LEVELS * len(parts)
+        if parts[-1].filter((F.size("path") >= deepest) & ((F.col("kind") == "object") | (F.col("members") > 0))).isEmpty():
+            break
+        frontier = opened.select("seq", F.array().cast(_NODE).alias("done"), F.explode(F.array(_below(F.col("nodes")))).alias("nodes"))
+    counts = parts[0]
+    for more in parts[1:]:
+        counts = counts.unionByName(more)
+    known = F.col("kind").isNotNull()
+    paths = counts.groupBy("path").agg(
+        F.array_sort(F.collect_set("kind")).alias("types"), F.sum(F.when(known, F.col("n"))).alias("n"),
+        F.max_by("kind", F.when(known, F.struct("n", -F.col("first")))).alias("most"),
+        F.sum(F.when(F.col("kind") == "object", F.col("n")).otherwise(F.col("members"))).alias("holders"),
+        F.sum(F.when(known & ~F.col("kind").isin("object", "array"), F.col("n")).otherwise(F.col("hollow"))).alias("barren"),
+        F.sum(F.when(~known, F.col("n")).otherwise(0)).alias("nulls"))
+    # A path is complete below its parent; the root is, if every document is an object.
+    above = paths.select(F.col("path").alias("up"), F.col("holders").alias("could"), F.col("barren").alias("lost"),
+                         ((F.size("path") == 0) & ((F.col("types") != F.array(F.lit("object"))) | (F.col("nulls") > 0))).alias("odd"))
+    below = paths.filter((F.size("path") > 0) & F.col("n").isNotNull()).withColumn("up", F.slice("path", 1, F.size("path") - 1))
+    whole = below.join(above, "up").select("path", ((F.col("n") == F.col("could")) & (F.col("lost") == 0) & ~F.col("odd")).alias("whole"))
+    steps = below.select("path", F.explode(F.transform(F.sequence(F.lit(1), F.size("path")), lambda k: F.slice("path", 1, k))).alias("step"))
+    chains = steps.join(whole.select(F.col("path").alias("step"), "whole"), "step").groupBy("path").agg(F.bool_and("whole").alias("whole"))
+    native = (F.when(F.size("types") == 1, F.col("types")[0]).when(F.col("types") == F.array(F.lit("float"), F.lit("int")), "float").otherwise(F.col("most")))
+    return below.join(chains, "path").select("path", F.array_join("path", ".").alias("field_path"), native.alias("native_type"),
+                                             F.col("n").cast("long").alias("n"), (~F.col("whole")).alias("nullable"))
+
 
 
 # ---------------------------------------------------------------- N-4

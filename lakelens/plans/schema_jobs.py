@@ -59,7 +59,7 @@ UNION ALL SELECT 'customer.key', 'int', n_docs, FALSE FROM t
 UNION ALL SELECT 'customer.segment', 'string', n_seg, n_seg < n_docs FROM t""")
 def infer_schema_counts(spark, sf_dir):
     """N-3: schema inferred over JSON documents: per path type, value count, nullable."""
-    return schemas.infer_schema(order_documents(spark, sf_dir), "doc", "doc_seq")
+    return schemas.infer_schema(order_documents(spark, sf_dir), "doc", "doc_seq").drop("path")
 
 
 def order_table_schemas(spark, sf_dir):
