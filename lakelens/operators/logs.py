@@ -66,10 +66,11 @@ def lag_within(df: DataFrame, key: str, ts: str, seq: str, payload: Column, buck
 
 
 def pair_statement_duration(parsed: DataFrame, excluded_users: Sequence[str] = (), duration_enabled: bool = True,
-                            bucket_seconds: int = 300) -> DataFrame:
+                            bucket_seconds: int = 300, gap_seconds: int | None = None) -> DataFrame:
     """W-3 / T-1 (batch form): a 'duration:' line takes its SQL from the
     previous accepted LOG line of the same session. Only LOG lines of users not
-    excluded enter the pairing (they alone update the per-session 'cache')."""
+    excluded enter the pairing (they alone update the per-session 'cache'). With
+    ``gap_seconds``, lines further apart are no pair."""
     ok = parsed.filter(F.col("log_level") == "LOG")
     if excluded_users:
         ok = ok.filter(~F.col("user_name").isin(list(excluded_users)))
@@ -78,6 +79,8 @@ def pair_statement_duration(parsed: DataFrame, excluded_users: Sequence[str] = (
         x = lag_within(ok, "session", "log_time", "line_no", payload, bucket_seconds)
         x = x.filter(F.ltrim(F.col("body")[0]).startswith("duration") & F.col("prev").isNotNull()
                      & (F.size(F.col("prev.body")) >= 2))
+        if gap_seconds is not None:
+            x = x.filter(F.col("log_time") <= F.col("prev.log_time") + F.make_dt_interval(secs=F.lit(gap_seconds)))
         src = F.col("prev")
         duration = duration_text_seconds(F.col("body")[1])
     else:

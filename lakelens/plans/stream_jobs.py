@@ -13,7 +13,7 @@ from lakelens.plans.log_jobs import EXCLUDED_USERS, LOG_SQL
 from lakelens.plans.emit_jobs import cuts_sql
 from lakelens.plans.registry import register
 from lakelens.sources.tables import table_path
-from lakelens.streaming import jobs
+from lakelens.streaming import jobs, pairing
 
 
 def event_stream(spark, sf_dir):
@@ -50,16 +50,29 @@ SELECT session, user_name, database, prev_time AS start_time, prev_line AS line_
   round(round(CAST(regexp_extract(body[2], '([0-9]+(?:[.][0-9]+)?) ms', 1) AS DOUBLE) / 1000.0, 10), 6) AS duration_seconds
 FROM lagged
 WHERE starts_with(ltrim(body[1]), 'duration') AND prev_body IS NOT NULL AND len(prev_body) >= 2
-  AND (starts_with(ltrim(prev_body[1]), 'statement') OR starts_with(ltrim(prev_body[1]), 'execute'))""")
+  AND (starts_with(ltrim(prev_body[1]), 'statement') OR starts_with(ltrim(prev_body[1]), 'execute'))
+  AND log_time - prev_time <= INTERVAL 600 SECONDS
+  AND (epoch(log_time) // 86400 + 1) * 86400 <= (SELECT epoch(max(log_time)) FROM parsed) - 86400""")
 def stream_log_pairing(spark, sf_dir):
-    """T-1: statement / duration pairing as a stateful stream (state per session)."""
+    """T-1: statement / duration pairing of closed days as a stateful stream."""
     from lakelens.plans.log_jobs import text_log_from
-    lines = text_log_from(event_stream(spark, sf_dir))
-    parsed = logs.parse_prefixed_log(lines)
-    out = jobs.run_available_now(jobs.pair_sessions(parsed, EXCLUDED_USERS), "pairing")
+    parsed = logs.parse_prefixed_log(text_log_from(event_stream(spark, sf_dir)))
+    out = jobs.run_available_now(pairing.pair_sessions(parsed, EXCLUDED_USERS, gap_seconds=600, hour_seconds=86400, delay="1 day"), "pairing")
     return out.withColumn("duration_seconds", r6("duration_seconds"))
 
 
+@register("stream_tail", "SELECT event_id, event_type, ts FROM events")
+def stream_tail(spark, sf_dir):
+    """T-2: events that land in two lots, each read by a run of its own; the second run
+    goes on where the first one ended."""
+    base = jobs.run_dir(spark, "tail")
+    land, events = os.path.join(base, "land"), spark.read.parquet(table_path(sf_dir, "events")).select("event_id", "event_type", "ts")
+    for lot in (0, 1):
+        events.filter(F.col("event_id") % 2 == lot).write.mode("append").parquet(land)
+        jobs.resume(spark.readStream.schema(events.schema).parquet(land), os.path.join(base, "run"))
+    return jobs.landed(spark, os.path.join(base, "run"))
+
+
 # The table is one file, so all rows come in one micro-batch.
 @register("stream_packed_sink", f"""WITH {cuts_sql("SELECT event_id AS id, length(props) AS size FROM events", 500, 4096)}
 SELECT id AS event_id, 0 AS epoch, CAST(no AS INTEGER) AS batch FROM cuts""")

@@ -3,9 +3,8 @@
 * T-3 usage over closed days: event-time windows of one day with a one-day
   watermark, appended only once closed; longer look-backs are sums of days.
 * T-4 de-duplication within the watermark.
-* T-1 session pairing with ``applyInPandasWithState``: the last accepted LOG
-  line of every session is the state, so a duration line in a later
-  micro-batch still finds its statement.
+* T-1 session pairing is in ``pairing``.
+* T-2 ``resume`` goes on where the last run of a query over the same folder ended.
 * T-5 ``foreachBatch`` sink that packs every micro-batch into size-bounded
   batch files.
 
@@ -18,16 +17,16 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StreamingQuery
 
 from lakelens.session import ensure_checkpoint_dir
 
+# State with timers needs this store; others may use it too.
+STATE_CONF = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
+
 
 def run_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for one streaming run (sink + checkpoint) in the shared checkpoint dir."""
@@ -35,19 +34,38 @@ def run_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(root, "streams", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def run_available_now(stream: DataFrame, name: str, output_mode: str = "append", fmt: str = "parquet") -> DataFrame:
-    """T-2: run a streaming query over everything available in its source (the
-    incremental tail of landed files; offsets are kept in the checkpoint),
-    then read what the sink wrote."""
+def resume(stream: DataFrame, folder: str, output_mode: str = "append", fmt: str = "parquet") -> StreamingQuery:
+    """T-2: run ``stream`` over what its source has that earlier runs with this ``folder``
+    have not read, and append to the folder's sink. The source's position, the state
+    and the sink's list of committed files live in ``folder``, so a run that was ended
+    between writing and committing is repeated without doubles. Returns the ended
+    query; ``landed`` reads the sink."""
     spark = stream.sparkSession
-    base = run_dir(spark, name)
-    out, ckpt = os.path.join(base, "out"), os.path.join(base, "checkpoint")
-    q = (stream.writeStream.format(fmt).outputMode(output_mode).option("path", out)
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    q.awaitTermination()
+    before = {key: spark.conf.get(key, None) for key in STATE_CONF}
+    for key, value in STATE_CONF.items():
+        spark.conf.set(key, value)
+    try:
+        q = (stream.writeStream.format(fmt).outputMode(output_mode).option("path", os.path.join(folder, "out"))
+             .option("checkpointLocation", os.path.join(folder, "checkpoint")).trigger(availableNow=True).start())
+        q.awaitTermination()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return spark.read.format(fmt).load(out)
+    return q
+
+
+def landed(spark: SparkSession, folder: str, fmt: str = "parquet") -> DataFrame:
+    """What the runs of ``resume`` with this ``folder`` have committed."""
+    return spark.read.format(fmt).load(os.path.join(folder, "out"))
+
+
+def run_available_now(stream: DataFrame, name: str, output_mode: str = "append", fmt: str = "parquet") -> DataFrame:
+    """One run over everything in the source, in a folder of its own."""
+    folder = run_dir(stream.sparkSession, name)
+    resume(stream, folder, output_mode, fmt)
+    return landed(stream.sparkSession, folder, fmt)
 
 
 def closed_day_counts(events: DataFrame, ts: str, keys: list[str], watermark: str = "1 day") -> DataFrame:
@@ -65,50 +83,6 @@ def dedup_within_watermark(events: DataFrame, ts: str, keys: list[str], watermar
         .dropDuplicatesWithinWatermark(keys).drop("__ts")
 
 
-PAIR_OUT = T.StructType([
-    T.StructField("session", T.StringType()), T.StructField("user_name", T.StringType()),
-    T.StructField("database", T.StringType()), T.StructField("start_time", T.TimestampNTZType()),
-    T.StructField("line_no", T.LongType()), T.StructField("sql", T.StringType()),
-    T.StructField("duration_seconds", T.DoubleType()),
-])
-PAIR_STATE = T.StructType([
-    T.StructField("log_time", T.TimestampNTZType()), T.StructField("line_no", T.LongType()),
-    T.StructField("body", T.ArrayType(T.StringType())),
-])
-
-
-def _pair_session(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    import re
-    prev = state.get if state.exists else None
-    frames = list(batches)
-    rows = pd.concat(frames) if frames else pd.DataFrame()
-    out = []
-    if len(rows):
-        rows = rows.sort_values(["log_time", "line_no"], kind="stable")
-        for r in rows.itertuples(index=False):
-            body = list(r.body)
-            if prev is not None and body and body[0].lstrip().startswith("duration") and len(prev[2]) >= 2:
-                kind = prev[2][0].lstrip()
-                if kind.startswith("statement") or kind.startswith("execute"):
-                    m = re.search(r"([0-9]+(?:\.[0-9]+)?) ms", body[1] if len(body) > 1 else "")
-                    out.append((key[0], r.user_name, r.database, prev[0], int(prev[1]),
-                                ":".join(prev[2][1:]).lstrip(), float(m.group(1)) / 1000.0 if m else None))
-            prev = (r.log_time, int(r.line_no), body)
-        state.update(prev)
-    yield pd.DataFrame(out, columns=[f.name for f in PAIR_OUT.fields])
-
-
-def pair_sessions(parsed: DataFrame, excluded_users: tuple = ()) -> DataFrame:
-    """T-1: statement/duration pairing per session with the last accepted line
-    kept in state across micro-batches (same rules as the batch W-3 form)."""
-    ok = parsed.filter(F.col("log_level") == "LOG")
-    if excluded_users:
-        ok = ok.filter(~F.col("user_name").isin(list(excluded_users)))
-    ok = ok.select("session", "user_name", "database", "log_time", F.col("line_no").cast("long"), "body")
-    return ok.groupBy("session").applyInPandasWithState(
-        _pair_session, PAIR_OUT, PAIR_STATE, "append", GroupStateTimeout.NoTimeout)
-
-
 def packed_batch_sink(path: str, order: str, size: str, items_per_chunk: int, chunk_size: int):
     """T-5: a foreachBatch function that packs each micro-batch (K-4) and writes
     it as JSON partitioned by (epoch, batch). A micro-batch that is
