@@ -52,7 +52,7 @@ FROM lagged
 WHERE starts_with(ltrim(body[1]), 'duration') AND prev_body IS NOT NULL AND len(prev_body) >= 2
   AND (starts_with(ltrim(prev_body[1]), 'statement') OR starts_with(ltrim(prev_body[1]), 'execute'))
   AND log_time - prev_time <= INTERVAL 600 SECONDS
-  AND (epoch(log_time) // 86400 + 1) * 86400 <= (SELECT epoch(max(log_time)) FROM parsed) - 86400""")
+  AND (floor(epoch(log_time) / 86400) + 1) * 86400 <= (SELECT epoch(max(log_time)) FROM parsed) - 86400""")
 def stream_log_pairing(spark, sf_dir):
     """T-1: statement / duration pairing of closed days as a stateful stream."""
     from lakelens.plans.log_jobs import text_log_from
