@@ -13,21 +13,18 @@ word shingles. Jaccard distance is a metric, and the join divides its space:
    order (a hint only: any order gives the same links), so that a common passage
    attracts no one.
 2. *Pivot documents inside regions.* Each region compares its members with one of
-   its documents. Links merge into components, and members of a region that are
-   in one component need no further comparison.
-   Before sets are compared, the number of regions that two sets share decides
-   most pairs: of the prefix that ends first, at most ``n - overlap`` shingles can
-   be missing from the other set, so linked sets share all its other regions.
-   A set keeps, for each class of partner sizes, only the right to partners that
-   enough of its regions hold (a bound by the classes), and leaves regions in which
-   it has no such right; sets that merely quote a common passage go here, unpaired.
-3. *Recursion.* Large regions that still hold several components choose new
-   pivots as long as that merges components, and are then divided by size classes:
-   two sets without a small region in common must share so many large ones (a
-   bound by their size classes) that each needs to be in all but that many of its
-   own. Inside a region the pairs between components that pass the triangle
-   inequality (|d(x, p) - d(y, p)| <= radius) and the size window are compared.
-   Nothing is left out: the join is exact.
+   its documents. Links merge into components (the ball around the pivot), and
+   members of a region that are in one component need no further comparison. Large
+   regions go on with new pivots as long as that merges.
+3. *Recursion in the metric of parities.* A set's sketch holds the parity of its size
+   in each of some hundred buckets. The Hamming distance of sketches is a metric and
+   never more than the symmetric difference of the sets, which linked sets bound
+   by ``(n + m) * (1 - t) / (1 + t)``. What is left of a region is cut into annuli, first
+   around the empty set (by size), then, while it stays large, around pivots (by
+   sketch distance): an annulus is at least as wide as the triangle inequality
+   allows links to reach, so a set joins its own annulus and visits the next one. The
+   annulus is part of the join key. Pairs whose sketches are near enough are compared.
+Nothing is left out: the join is exact.
 
 Sets are kept as 64-bit shingle hashes (two shingles of one compared pair collide
 with a probability below 1e-12); equal sets are found by 128 bits, and a clash of
@@ -47,11 +44,10 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakelens.llm.common import small_batches, table, written
+from lakelens.llm.common import settled, small_batches, table
 from lakelens.llm.components import components
 from lakelens.llm.packing import slices
 
@@ -61,10 +57,10 @@ BLOCK = 1 << 21  # shingles counted at once inside a task
 SHARED = 32  # a shingle seen this often within blocks comes late in the order
 LATE = 1 << 20  # shingles that the order hint holds at most (8 MB)
 BITS = 25  # size of the bit map that selects documents by id (4 MB)
-EVIDENCE = 4  # member and pivot are compared first if they met in a 1 / EVIDENCE of the regions that linked sets share
-REGION = 256  # larger open regions choose new pivots, then divide by size classes
-STEP = 1.05  # ratio of neighbouring size classes
-PRUNE = 1  # rounds in which sets leave regions that hold no partner for them (a saving: any number gives the same links)
+REGION = 256  # larger open regions choose new pivots, then divide by sketch distance
+LONGS = 8  # 64-bit words of the sketch that region rows carry, and least ones of a set's own
+MOST_LONGS = 512  # a set's own sketch has about a bit per shingle, up to this
+SHRINK = 0.75  # a division that leaves a cell larger than this share of it is its last
 CACHE = 200_000
 EVEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -173,15 +169,22 @@ def profile(texts: DataFrame, seed: int, width: int) -> DataFrame:
     return texts.mapInArrow(run, "doc_id long, n int, h1 long, h2 long, shingle long, c int")
 
 
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """Parities of a set's size in 64 * L buckets, L a power of two near a bit per shingle."""
+    longs = min(MOST_LONGS, max(LONGS, 1 << (int(len(shingles) - 1) // 64).bit_length()))
+    odd = np.bincount(shingles & (64 * longs - 1), minlength=64 * longs) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def replicated(texts: DataFrame, late: np.ndarray, seed: int, width: int, percent: int) -> DataFrame:
-    """(h1, n, early, late, end_late, end): the regions of each set, late ones apart,
-    and the last of them in the order."""
+    """(h1, n, early, late, parity): the regions of each set, late ones apart, and its
+    sketch."""
     shipped = texts.sparkSession.sparkContext.broadcast(late)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, late = Shingler(seed, width), shipped.value
         for _, part in _batches(batches):
-            rows, seen = ([], [], [], [], [], []), set()
+            rows, seen = ([], [], [], [], []), set()
             for s in shingler(part):
                 if not len(s) or (key := digest(s)[0]) in seen:
                     continue
@@ -191,14 +194,12 @@ def replicated(texts: DataFrame, late: np.ndarray, seed: int, width: int, percen
                 p = prefix_length(len(s), percent)
                 first = s[~is_late][:p]
                 last = s[is_late][:p - len(first)]
-                end = int(last[-1] if len(last) else first[-1])
-                for column, value in zip(rows, (key, len(s), first, last, len(last) > 0, end), strict=True):
+                for column, value in zip(rows, (key, len(s), first, last, sketch(s)), strict=True):
                     column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int32()), _lists(rows[2]), _lists(rows[3]),
-                                              pa.array(rows[4], pa.bool_()), pa.array(rows[5], pa.int64())],
-                                             names=["h1", "n", "early", "late", "end_late", "end"])
+            yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int32()), *map(_lists, rows[2:])],
+                                             names=["h1", "n", "early", "late", "parity"])
 
-    return texts.mapInArrow(run, "h1 long, n int, early array<long>, late array<long>, end_late boolean, end long")
+    return texts.mapInArrow(run, "h1 long, n int, early array<long>, late array<long>, parity array<long>")
 
 
 def shingle_sets(texts: DataFrame, ids: np.ndarray, seed: int, width: int) -> DataFrame:
@@ -235,34 +236,45 @@ def _near_size(a: Column, b: Column, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
+def _apart(na: Column, nb: Column, percent: int) -> Column:
+    """The largest symmetric difference of linked sets of these sizes."""
+    return F.floor((na + nb) * (100 - percent) / (100 + percent) + 1e-6)
+
+
+def _parity_distance(a: Column, b: Column) -> Column:
+    """Hamming distance of two sketches; the longer one is folded once (sizes of pairs
+    in question differ by less than a factor of two)."""
+    half = lambda x: F.floor(F.size(x) / 2).cast("int")
+    fold = lambda x: F.zip_with(F.slice(x, 1, half(x)), F.slice(x, half(x) + 1, half(x)), lambda p, q: p.bitwiseXOR(q))
+    left = F.when(F.size(a) > F.size(b), fold(a)).otherwise(a)
+    right = F.when(F.size(b) > F.size(a), fold(b)).otherwise(b)
+    return F.aggregate(F.zip_with(left, right, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda t, x: t + x)
+
+
 class Comparer:
     """Intersection sizes of pairs that may link."""
 
-    def __init__(self, texts: DataFrame, classes: DataFrame, keys: DataFrame, seed: int, width: int, percent: int):
-        self.texts, self.classes, self.keys = texts, classes, keys
+    def __init__(self, texts: DataFrame, classes: DataFrame, parities: DataFrame, seed: int, width: int, percent: int):
+        self.texts, self.classes, self.parities = texts, classes, parities
         self.seed, self.width, self.percent = seed, width, percent
 
     def possible(self, pairs: DataFrame) -> DataFrame:
-        """``pairs`` that share as many regions as linked sets must."""
-        side = lambda x: self.keys.select(F.col("h1").alias(x), F.col("keys").alias(f"k{x}"), F.struct("end_late", "end").alias(f"e{x}"))
+        """``pairs`` whose whole sketches are near enough."""
+        side = lambda x: self.parities.select(F.col("h1").alias(x), F.col("parity").alias(f"p{x}"))
         both = pairs.join(side("a"), "a").join(side("b"), "b")
-        overlap = F.ceil(self.percent * (F.col("na") + F.col("nb")) / (100 + self.percent) - 1e-6)
-        prefix = lambda n: n - F.floor((self.percent * n + 99) / 100) + 1
-        need = lambda n: prefix(n) - (n - overlap)
-        need = F.when(F.col("ea") <= F.col("eb"), need(F.col("na"))).otherwise(need(F.col("nb")))
-        return both.filter(F.size(F.array_intersect("ka", "kb")) >= need).select("a", "b", "na", "nb")
+        return both.filter(_parity_distance(F.col("pa"), F.col("pb")) <= _apart(F.col("na"), F.col("nb"), self.percent)).select("a", "b", "na", "nb")
 
     def __call__(self, pairs: DataFrame) -> DataFrame:
         """(a, b, na, nb, both), written, for the pairs that may link."""
-        pairs = written(self.possible(pairs), "possible-pairs")
+        pairs = settled(self.possible(pairs), "possible-pairs")
         if pairs.isEmpty():
             return pairs.withColumn("both", F.lit(0))
-        members = written(pairs.select(F.col("a").alias("h1")).unionAll(pairs.select(F.col("b").alias("h1"))).distinct(), "members")
+        members = settled(pairs.select(F.col("a").alias("h1")).unionAll(pairs.select(F.col("b").alias("h1"))).distinct(), "members")
         bits = id_bits(self.classes.join(members, "h1", "left_semi").select("doc_id"))
-        sets = written(shingle_sets(self.texts, bits, self.seed, self.width).join(members, "h1", "left_semi"), "shingle-sets")
+        sets = settled(shingle_sets(self.texts, bits, self.seed, self.width).join(members, "h1", "left_semi"), "shingle-sets")
         left = pairs.join(sets.select(F.col("h1").alias("a"), F.col("s").alias("sa")), "a")
         both = left.join(sets.select(F.col("h1").alias("b"), F.col("s").alias("sb")), "b")
-        return written(both.select("a", "b", "na", "nb", F.size(F.array_intersect("sa", "sb")).alias("both")), "overlaps")
+        return settled(both.select("a", "b", "na", "nb", F.size(F.array_intersect("sa", "sb")).alias("both")), "overlaps")
 
 
 def _linked(pairs: DataFrame, percent: int) -> DataFrame:
@@ -270,95 +282,98 @@ def _linked(pairs: DataFrame, percent: int) -> DataFrame:
 
 
 def _relabelled(rows: DataFrame, labels: DataFrame, name: str) -> DataFrame:
-    """``rows`` (key, h1, ...) of the regions that hold several components."""
-    known = rows.drop("root").join(labels.select(F.col("node").alias("h1"), F.col("label")), "h1", "left")
+    """``rows`` (key, h1, n) with their component, of the regions that hold several."""
+    known = rows.select("key", "h1", "n").join(labels.select(F.col("node").alias("h1"), "label"), "h1", "left")
     known = known.withColumn("root", F.coalesce("label", "h1")).drop("label")
     split = known.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("c"))
-    return written(known.drop("c").join(split.filter("lo <> hi").select("key", "c"), "key"), name)
-
-
-def _reach(percent: int) -> int:
-    """Size classes that linked sets may lie apart."""
-    return int(np.ceil(np.log(100 / percent) / np.log(STEP))) + 1
-
-
-def _size_class(n: Column) -> Column:
-    return F.floor(F.log(n) / float(np.log(STEP))).cast("int")
-
-
-def _least_of_class(n: Column, other: Column, percent: int) -> Column:
-    """Regions that a set of ``n`` shares at least with a linked set of class ``other``."""
-    low, high = F.pow(F.lit(STEP), other) * (1 - 1e-9), F.pow(F.lit(STEP), other + 1) * (1 + 1e-9)
-    share = percent / (100 + percent)
-    here_first = share * (n + low) - n * percent / 100
-    other_first = share * (n + high) - high * percent / 100
-    return F.greatest(F.floor(F.least(here_first, other_first)) - 1, F.lit(1))
-
-
-def _supported(rows: DataFrame, percent: int) -> DataFrame:
-    """Rows (key, h1, n, root, d, size, mask) of sets that may have partners in the
-    region: bit i of ``mask`` says that partners of class ``size - reach + i`` lie in
-    as many of the set's regions as linked sets of these classes share at least."""
-    reach = _reach(percent)
-    rows = rows.select("key", "h1", "n", "root", "d", _size_class(F.col("n")).alias("size"))
-    # Classes count modulo 64: two that far apart only weaken the bound.
-    bit = F.expr("shiftleft(1L, pmod(size, 64))")
-    here = rows.groupBy("key", "size").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).groupBy("key").agg(
-        F.bit_or(bit).alias("any"), F.bit_or(F.when(F.col("lo") != F.col("hi"), bit).otherwise(0)).alias("several"))
-    seen = [F.expr(f"cast(shiftright({'any' if i else 'several'}, pmod(size + ({i}), 64)) & 1 AS int)") for i in range(-reach, reach + 1)]
-    near = sum((x * (1 << i) for i, x in enumerate(seen)), F.lit(0))
-    met = written(rows.join(here, "key").select("key", "h1", "n", "root", "d", "size", near.alias("near")).filter("near <> 0"), "classes-met")
-    counts = met.groupBy("h1", "n", "size").agg(*[F.sum(F.expr(f"shiftright(near, {i}) & 1")).alias(f"c{i}") for i in range(2 * reach + 1)])
-    mask = sum((F.when(F.col(f"c{i}") >= _least_of_class(F.col("n"), F.col("size") - reach + i, percent), F.lit(1 << i)).otherwise(F.lit(0))
-                for i in range(2 * reach + 1)), F.lit(0))
-    rights = counts.select("h1", mask.alias("mask")).filter("mask <> 0")
-    return met.join(rights, "h1").filter("(near & mask) <> 0").drop("near")
-
-
-def _cross_pairs(left: DataFrame, right: DataFrame, percent: int, same: bool = False) -> DataFrame:
-    """Pairs of a region in different components, within the windows, and in how
-    many regions they met; ``same``: both sides are the same rows."""
-    a = left.select("key", F.col("h1").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"), F.col("d").alias("da"), F.col("size").alias("sa"), F.col("mask").alias("ma"))
-    b = right.select("key", F.col("h1").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"), F.col("d").alias("db"), F.col("size").alias("sb"), F.col("mask").alias("mb"))
-    apart = F.coalesce(F.abs(F.col("da") - F.col("db")), F.lit(0.0))
-    reach = _reach(percent)
-    rights = F.expr(f"abs(sa - sb) <= {reach} AND shiftright(ma, sb - sa + {reach}) & shiftright(mb, sa - sb + {reach}) & 1 = 1")
-    met = a.join(b, "key").filter((F.col("ra") != F.col("rb")) & rights & _near_size(F.col("na"), F.col("nb"), percent)
-                                  & (apart <= 1 - percent / 100 + 1e-9))
-    low, high = F.col("a") < F.col("b"), F.col("a") > F.col("b")
-    ordered = met.filter(low if same else low | high).select(
-        F.when(low, F.struct("a", "b", "na", "nb")).otherwise(
-            F.struct(F.col("b").alias("a"), F.col("a").alias("b"), F.col("nb").alias("na"), F.col("na").alias("nb"))).alias("p"))
-    return ordered.groupBy("p.a", "p.b", "p.na", "p.nb").agg(F.count("*").alias("shared"))
-
-
-def least_shared(na: Column, nb: Column, percent: int) -> Column:
-    """Regions that linked sets of these sizes share at least, whichever ends first."""
-    overlap = F.ceil(percent * (na + nb) / (100 + percent) - 1e-6)
-    need = lambda n: overlap - F.floor((percent * n + 99) / 100) + 1
-    return F.least(need(na), need(nb))
-
-
-def _by_size_class(rows: DataFrame, percent: int) -> DataFrame:
-    """Rows of large regions, dealt to sub-regions (key, lower class, upper class).
-
-    ``m`` is the least number of regions that a set shares with a linked set of the
-    other class; of its ``l`` large regions the smallest ``l - m + 1`` must then
-    hold a shared one."""
-    reach = _reach(percent)
-    mine = Window.partitionBy("h1")
-    ranked = rows.withColumn("l", F.count("*").over(mine)).withColumn("rank", F.row_number().over(mine.orderBy("c", "key")))
-    dealt = ranked.select("*", F.explode(F.sequence(F.col("size") - reach, F.col("size") + reach)).alias("other"))
-    dealt = dealt.filter(F.expr(f"shiftright(mask, other - size + {reach}) & 1 = 1"))
-    m = _least_of_class(F.col("n"), F.col("other"), percent)
-    kept = dealt.filter(F.col("rank") <= F.col("l") - m + 1)
-    return kept.withColumn("key", F.struct("key", F.least("size", "other").alias("lo"), F.greatest("size", "other").alias("hi"))).withColumn(
-        "side", F.when(F.col("size") == F.col("other"), F.lit(None)).otherwise(F.col("size") < F.col("other"))).drop("l", "rank", "other")
+    return settled(known.join(split.filter("lo <> hi").select("key", "c"), "key"), name)
+
+
+WORDS = [f"w{i}" for i in range(LONGS)]
+# ``visits`` has a bit for each division in which the row is in the annulus next to its
+# own; a pair meets in one cell where no division has both as visitors.
+CELL = ["key", "h1", "n", "root", "visits", *WORDS]
+
+
+def _annuli(rows: DataFrame, ring: Column, turn: int) -> DataFrame:
+    """``rows`` in the annulus ``ring`` of their cell and, as visitors, in the next one."""
+    seats = F.array(F.struct(ring.alias("ring"), F.col("visits").alias("visits")),
+                    F.struct((ring + 1).alias("ring"), F.col("visits").bitwiseOR(F.lit(1 << turn)).alias("visits")))
+    return rows.withColumn("seat", F.explode(seats)).withColumns(
+        {"key": F.xxhash64("key", F.lit(turn), "seat.ring"), "visits": F.col("seat.visits")}).drop("seat")
+
+
+def _sketched(rows: DataFrame, parities: DataFrame) -> DataFrame:
+    """``rows`` with the words of a sketch of fixed length (longer ones folded)."""
+    def word(i: int) -> Column:
+        return F.aggregate(F.filter("parity", lambda x, at: at % LONGS == i), F.lit(0).cast("long"), lambda t, x: t.bitwiseXOR(x))
+
+    return rows.join(parities.select("h1", *[word(i).alias(w) for i, w in enumerate(WORDS)]), "h1")
+
+
+def _by_size(rows: DataFrame, percent: int) -> DataFrame:
+    """Annuli around the empty set: cells of one size class, which the sets of the class
+    below visit. Linked sets are at most one class apart."""
+    return _annuli(rows, F.floor(F.log(F.col("n")) / float(np.log(100 / percent)) + 1e-9).cast("int"), 0).select(CELL)
+
+
+def _crowded(cells: DataFrame) -> DataFrame:
+    """Cells with rows of several components that are not all visitors, with their counts."""
+    counted = cells.groupBy("key").agg(F.count("*").alias("c"), F.min("root").alias("lo"), F.max("root").alias("hi"), F.bit_and("visits").alias("all"))
+    return counted.filter("lo <> hi AND all = 0").select("key", "c")
+
+
+def _by_pivot(cells: DataFrame, percent: int, turn: int) -> DataFrame:
+    """Annuli around a pivot of each cell, as wide as links can reach."""
+    pivot = cells.groupBy("key").agg(F.min_by(F.struct(*WORDS), F.xxhash64(F.lit(turn), "h1")).alias("p"), F.max("n").alias("most"))
+    far = sum((F.bit_count(F.col(w).bitwiseXOR(F.col(f"p.{w}"))) for w in WORDS), F.lit(0))
+    ring = F.floor(far / (_apart(F.col("most"), F.col("most"), percent) + 1)).cast("int")
+    return _annuli(cells.join(pivot, "key"), ring, turn).select(cells.columns)
+
+
+def _cell_pairs(cells: DataFrame, percent: int) -> DataFrame:
+    """Different pairs (a, b, na, nb) of components that meet in a cell, near in size and
+    sketch."""
+    side = lambda x: cells.select("key", *[F.col(c).alias(f"{c}_{x}") for c in CELL[1:]])
+    na, nb = F.col("n_a"), F.col("n_b")
+    far = sum((F.bit_count(F.col(f"{w}_a").bitwiseXOR(F.col(f"{w}_b"))) for w in WORDS), F.lit(0))
+    near = (F.col("h1_a") < F.col("h1_b")) & (F.col("root_a") != F.col("root_b")) & (F.col("visits_a").bitwiseAND(F.col("visits_b")) == 0) \
+        & (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (far <= _apart(na, nb, percent))
+    right = side("b").withColumnRenamed("key", "key_b")
+    return side("a").join(right, (F.col("key") == F.col("key_b")) & near).select(
+        F.col("h1_a").alias("a"), F.col("h1_b").alias("b"), na.alias("na"), nb.alias("nb")).distinct()
+
+
+def _rest(open_: DataFrame, parities: DataFrame, percent: int) -> DataFrame:
+    """Pairs of the open regions that may link, by annuli."""
+    rows = _sketched(open_.select("key", "h1", "n", "root").withColumn("visits", F.lit(0).cast("long")), parities)
+    cells = settled(_by_size(rows, percent), "cells")
+    done, turn = [], 0
+    while True:
+        counts = _crowded(cells)
+        cells = settled(cells.select(CELL).join(counts, "key"), "cells")
+        small = cells.filter(F.col("c") <= REGION)
+        done.append(small.select(CELL))
+        large = cells.filter(F.col("c") > REGION)
+        if turn == 62 or large.isEmpty():
+            done.append(large.select(CELL))
+            break
+        turn += 1
+        # Cells that one more pivot does not make smaller are left as they are.
+        parted = settled(_by_pivot(large.select(*CELL, F.col("key").alias("from"), "c"), percent, turn), "parted-cells")
+        worth = parted.groupBy("from", "key", "c").agg(F.count("*").alias("now")).groupBy("from").agg(F.max(F.col("now") / F.col("c")).alias("share"))
+        worth = worth.filter(F.col("share") <= SHRINK).select("from")
+        done.append(large.select(CELL).join(worth.select(F.col("from").alias("key")), "key", "left_anti"))
+        cells = parted.join(worth, "from", "left_semi").select(CELL)
+    ready = done[0]
+    for more in done[1:]:
+        ready = ready.unionByName(more)
+    return _cell_pairs(settled(ready, "ready-cells"), percent)
 
 
 def links(texts: DataFrame, classes: DataFrame, late: np.ndarray, seed: int, width: int, percent: int) -> DataFrame:
     """(a, b): enough links between different sets (by h1) to give all components."""
-    regions_of = written(replicated(texts, late, seed, width, percent), "region-keys")
+    regions_of = settled(replicated(texts, late, seed, width, percent), "region-keys")
     early = regions_of.select(F.explode("early").alias("key"), "h1", "n").repartition("key").distinct()
     # Sets of a region whose next smaller and next larger set are too far off in size
     # have no partner there.
@@ -371,56 +386,31 @@ def links(texts: DataFrame, classes: DataFrame, late: np.ndarray, seed: int, wid
     hot = regions_of.select(F.explode("late").alias("key"), "h1", "n")
     pivots = hot.groupBy("key").agg(F.min(F.struct("h1", "n")).alias("p"), F.max("h1").alias("last")).filter("p.h1 <> last").drop("last")
     hot = hot.join(F.broadcast(pivots), "key").select("key", "h1", "n", "p").distinct()
-    regions = written(early.unionAll(hot).select("key", "h1", "n", F.col("p.h1").alias("p"), F.col("p.n").alias("np")), "regions")
-    ends = regions_of.select("h1", "end_late", "end").distinct()
-    keys = written(regions.groupBy("h1").agg(F.collect_list("key").alias("keys")).join(ends, "h1"), "shared-keys")
-    compare = Comparer(texts, classes, keys, seed, width, percent)
-
-    # A region's pivot may be there by chance. Pairs that met as member and pivot in
-    # too few regions are left to the comparison inside the regions.
-    pair = (F.col("h1").alias("a"), F.col("p").alias("b"), F.col("n").alias("na"), F.col("np").alias("nb"))
-    stars = regions.filter("h1 <> p").groupBy(*pair).agg(F.count("*").alias("shared"))
-    likely = F.col("shared") * EVIDENCE >= least_shared(F.col("na"), F.col("nb"), percent)
-    stars = written(stars.filter(_near_size(F.col("na"), F.col("nb"), percent) & likely).drop("shared"), "stars")
-    first = compare(stars)
-    found = _linked(first, percent)
-    union = F.col("na") + F.col("nb") - F.col("both")
-    distances = first.select(F.col("a").alias("h1"), F.col("b").alias("p"), (1 - F.col("both") / union).alias("d")).distinct()
-    far = regions.join(distances, ["h1", "p"], "left").withColumn("d", F.when(F.col("h1") == F.col("p"), F.lit(0.0)).otherwise(F.col("d")))
-    labels = components(found)
-    open_ = _relabelled(far, labels, "open-regions")
-    for _ in range(PRUNE):
-        open_ = _relabelled(_supported(open_, percent), labels, "open-regions")
+    regions = settled(early.unionAll(hot).select("key", "h1", "n", F.col("p.h1").alias("p"), F.col("p.n").alias("np")), "regions")
+    inside = regions.select("h1").distinct()
+    parities = settled(regions_of.select("h1", "parity").join(inside, "h1", "left_semi").dropDuplicates(["h1"]), "parities")
+    compare = Comparer(texts, classes, parities, seed, width, percent)
+
+    near = _near_size(F.col("n"), F.col("np"), percent)
+    stars = regions.filter((F.col("h1") != F.col("p")) & near).select(F.col("h1").alias("a"), F.col("p").alias("b"), F.col("n").alias("na"), F.col("np").alias("nb"))
+    tried = compare(stars.distinct())
+    found = _linked(tried, percent)
+    open_ = _relabelled(regions, components(found), "open-regions")
     turn, progress = 0, True
-    while (rows := (large := open_.filter(F.col("c") > REGION)).count()) and progress:
+    while progress and not (large := open_.filter(F.col("c") > REGION)).isEmpty():
         turn += 1
-        orders = [F.xxhash64(F.lit(turn), F.lit(i), "h1") for i in range(4)]
-        row = F.struct("h1", "n", "root", "d", "size", "mask")
-        new = large.groupBy("key").agg(F.array(*[F.min_by(row, order) for order in orders]).alias("p"))
-        more = _linked(compare(_cross_pairs(new.select("key", F.explode("p").alias("p")).select("key", "p.*"), large, percent)), percent)
-        progress = more.count() * 100 > found.count()
-        found = written(found.unionAll(more), "links")
+        row = F.struct("h1", "n", "root")
+        new = large.groupBy("key").agg(F.array(*[F.min_by(row, F.xxhash64(F.lit(turn), F.lit(i), "h1")) for i in range(4)]).alias("p"))
+        met = large.select("key", "h1", "n", "root").join(new.select("key", F.explode(F.array_distinct("p")).alias("p")), "key")
+        met = met.filter((F.col("root") != F.col("p.root")) & _near_size(F.col("n"), F.col("p.n"), percent))
+        more = compare(met.select(F.col("h1").alias("a"), F.col("p.h1").alias("b"), F.col("n").alias("na"), F.col("p.n").alias("nb")).distinct())
+        merged = _linked(more, percent)
+        progress = merged.count() * 100 > large.count()
+        tried, found = tried.unionByName(more), settled(found.unionAll(merged), "links")
         open_ = _relabelled(open_, components(found), "open-regions")
-    done = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    small = open_.filter(F.col("c") <= REGION)
-    rest = _cross_pairs(small, small, percent, same=True)
-    need = least_shared(F.col("na"), F.col("nb"), percent)
-    if rows:
-        # What a pair shares: the small regions it was met in, and at most all
-        # large regions of either side.
-        held = large.groupBy("h1").agg(F.count("*").alias("l"))
-        side = lambda x: held.select(F.col("h1").alias(x), F.col("l").alias(f"l{x}"))
-        with_large = lambda pairs: pairs.join(side("a"), "a", "left").join(side("b"), "b", "left").withColumn(
-            "most", F.when(F.col("la").isNotNull() & F.col("lb").isNotNull(), F.least("la", "lb")).otherwise(0))
-        parts = written(_by_size_class(large, percent), "size-classes")
-        rest = with_large(rest).filter(F.col("shared") + F.col("most") >= need).select("a", "b", "na", "nb")
-        for left, right in (("side IS NULL", "side IS NULL"), ("side", "NOT side")):
-            met = _cross_pairs(parts.filter(left), parts.filter(right), percent)
-            rest = rest.unionAll(with_large(met).filter(F.col("most") >= need).select("a", "b", "na", "nb"))
-        rest = rest.distinct()
-    else:
-        rest = rest.filter(F.col("shared") >= need)
-    return found.unionAll(_linked(compare(rest.join(done, ["a", "b"], "left_anti")), percent))
+    done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = _rest(open_, parities, percent).join(done, ["a", "b"], "left_anti")
+    return found.unionAll(_linked(compare(rest), percent))
 
 
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
@@ -432,18 +422,18 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def _components(texts: DataFrame, width: int, percent: int) -> DataFrame:
     for seed in range(100):
-        seen = written(profile(texts, seed, width), "shingle-profile")
+        seen = settled(profile(texts, seed, width), "shingle-profile")
         rows = seen.filter("c IS NULL").select("doc_id", "n", "h1", "h2")
-        classes = written(rows.filter("n > 0").groupBy("h1").agg(F.min("doc_id").alias("doc_id"), F.min("h2").alias("lo"), F.max("h2").alias("hi")), "classes")
+        classes = settled(rows.filter("n > 0").groupBy("h1").agg(F.min("doc_id").alias("doc_id"), F.min("h2").alias("lo"), F.max("h2").alias("hi")), "classes")
         if classes.filter("lo <> hi").isEmpty():
             break
     shared = seen.filter("c IS NOT NULL").groupBy("shingle").agg(F.sum("c").alias("c")).filter(F.col("c") >= SHARED)
     late = shared.orderBy(F.desc("c"), "shingle").limit(LATE).select("shingle").toPandas()["shingle"].to_numpy(np.int64)
     found = links(texts, classes, np.sort(late), seed, width, percent)
     rows = rows.join(components(found).withColumnRenamed("node", "h1"), "h1", "left")
-    rows = written(rows.select("doc_id", "n", F.coalesce("label", "h1").alias("label")), "labelled")
+    rows = settled(rows.select("doc_id", "n", F.coalesce("label", "h1").alias("label")), "labelled")
     groups = rows.filter("n > 0").groupBy("label").agg(F.min("doc_id").alias("least"), F.count("*").alias("c")).filter("c > 1")
-    small = written(groups.select("label", "least"), "component-ids")
+    small = settled(groups.select("label", "least"), "component-ids")
     return rows.join(small, "label", "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
 

@@ -227,3 +227,43 @@ def test_sample_is_bounded_in_bytes(spark):
     few = toxicity.training_rows(docs, labels, "doc_id", "text", 50, 30, 900).collect()
     assert 0 < len(few) <= 150 and 800 < sum(len(r.text) for r in few) <= 900 and all(len(r.text) <= 30 for r in few)
     assert toxicity.fit(["", "a b"], [1, 0]) is not None and toxicity.fit(["", ""], [1, 0]) is not None
+
+
+# ---- operator 6: skew
+
+
+def test_ngram_join_of_a_large_group_and_a_common_passage(spark, monkeypatch):
+    """A group of near copies, some of them too far from the rest, and a passage that a
+    third of the documents share; regions of 40 rows go through every division."""
+    from lakelens.llm import ngram_join
+    from tests.llm.test_operators import brute_components
+
+    monkeypatch.setattr(ngram_join, "REGION", 40)
+    rng = random.Random(8)
+    words = [f"v{i}" for i in range(3000)]
+    base, passage = rng.sample(words, 80), rng.sample(words, 50)
+    rows = []
+    for i in range(420):
+        if i % 3 == 0:
+            text = passage + rng.sample(words, rng.randint(5, 60))
+        else:
+            text = list(base)
+            for _ in range(rng.choice((0, 1, 2, 2, 3, 4, 5, 6))):
+                text[rng.randrange(len(text))] = rng.choice(words)
+        rows.append((i, " ".join(text)))
+    got = ngram_join.ngram_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(rows)
+
+
+def test_sketch_distance_is_a_lower_bound():
+    from lakelens.llm.ngram_join import LONGS, sketch
+
+    rng = np.random.default_rng(2)
+    for n in (3, 200, 700, 3000):
+        a = np.unique(rng.integers(-2**62, 2**62, n))
+        b = np.unique(np.concatenate([a[rng.random(len(a)) < 0.8], rng.integers(-2**62, 2**62, n // 6)]))
+        x, y = sketch(a), sketch(b)
+        while len(x) != len(y):
+            x, y = (x.reshape(2, -1)[0] ^ x.reshape(2, -1)[1], y) if len(x) > len(y) else (x, y.reshape(2, -1)[0] ^ y.reshape(2, -1)[1])
+        apart = len(np.setxor1d(a, b))
+        assert len(x) >= LONGS and sum(int(v).bit_count() for v in (x ^ y).view(np.uint64)) <= apart
