@@ -41,6 +41,15 @@ def settled(df: DataFrame, name: str) -> DataFrame:
         spark.conf.set(key, before)
 
 
+def released(*tables: DataFrame) -> None:
+    """Empty the files of tables from ``written`` or ``settled`` that nothing reads any
+    more; only what has been computed from them may still be used."""
+    for df in tables:
+        files = df.inputFiles()
+        if files:
+            df.sparkSession.createDataFrame([], df.schema).write.mode("overwrite").parquet(files[0].rsplit("/", 1)[0])
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only. Pure ASCII texts take the byte-wise ``lower``."""
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(

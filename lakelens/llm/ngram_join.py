@@ -47,7 +47,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakelens.llm.common import settled, small_batches, table
+from lakelens.llm.common import released, settled, small_batches, table
 from lakelens.llm.components import components
 from lakelens.llm.packing import slices
 
@@ -58,7 +58,7 @@ SHARED = 32  # a shingle seen this often within blocks comes late in the order
 LATE = 1 << 20  # shingles that the order hint holds at most (8 MB)
 BITS = 25  # size of the bit map that selects documents by id (4 MB)
 REGION = 256  # larger open regions choose new pivots, then divide by sketch distance
-LONGS = 8  # 64-bit words of the sketch that region rows carry, and least ones of a set's own
+LONGS = 16  # 64-bit words of the sketch that region rows carry, and least ones of a set's own
 MOST_LONGS = 512  # a set's own sketch has about a bit per shingle, up to this
 SHRINK = 0.75  # a division that leaves a cell larger than this share of it is its last
 CACHE = 200_000
@@ -292,7 +292,8 @@ def _relabelled(rows: DataFrame, labels: DataFrame, name: str) -> DataFrame:
 WORDS = [f"w{i}" for i in range(LONGS)]
 # ``visits`` has a bit for each division in which the row is in the annulus next to its
 # own; a pair meets in one cell where no division has both as visitors.
-CELL = ["key", "h1", "n", "root", "visits", *WORDS]
+SLIM = ["key", "h1", "n", "root", "visits"]
+CELL = [*SLIM, *WORDS]
 
 
 def _annuli(rows: DataFrame, ring: Column, turn: int) -> DataFrame:
@@ -304,7 +305,7 @@ def _annuli(rows: DataFrame, ring: Column, turn: int) -> DataFrame:
 
 
 def _sketched(rows: DataFrame, parities: DataFrame) -> DataFrame:
-    """``rows`` with the words of a sketch of fixed length (longer ones folded)."""
+    """``rows`` with the words of a sketch of fixed length (longer ones are folded)."""
     def word(i: int) -> Column:
         return F.aggregate(F.filter("parity", lambda x, at: at % LONGS == i), F.lit(0).cast("long"), lambda t, x: t.bitwiseXOR(x))
 
@@ -314,7 +315,7 @@ def _sketched(rows: DataFrame, parities: DataFrame) -> DataFrame:
 def _by_size(rows: DataFrame, percent: int) -> DataFrame:
     """Annuli around the empty set: cells of one size class, which the sets of the class
     below visit. Linked sets are at most one class apart."""
-    return _annuli(rows, F.floor(F.log(F.col("n")) / float(np.log(100 / percent)) + 1e-9).cast("int"), 0).select(CELL)
+    return _annuli(rows, F.floor(F.log(F.col("n")) / float(np.log(100 / percent)) + 1e-9).cast("int"), 0).select(SLIM)
 
 
 def _crowded(cells: DataFrame) -> DataFrame:
@@ -346,29 +347,29 @@ def _cell_pairs(cells: DataFrame, percent: int) -> DataFrame:
 
 def _rest(open_: DataFrame, parities: DataFrame, percent: int) -> DataFrame:
     """Pairs of the open regions that may link, by annuli."""
-    rows = _sketched(open_.select("key", "h1", "n", "root").withColumn("visits", F.lit(0).cast("long")), parities)
-    cells = settled(_by_size(rows, percent), "cells")
-    done, turn = [], 0
-    while True:
-        counts = _crowded(cells)
-        cells = settled(cells.select(CELL).join(counts, "key"), "cells")
-        small = cells.filter(F.col("c") <= REGION)
-        done.append(small.select(CELL))
-        large = cells.filter(F.col("c") > REGION)
-        if turn == 62 or large.isEmpty():
-            done.append(large.select(CELL))
-            break
+    slim = settled(_by_size(open_.select("key", "h1", "n", "root").withColumn("visits", F.lit(0).cast("long")), percent), "size-cells")
+    crowded = settled(_crowded(slim), "crowded-cells")
+    cells = settled(_sketched(slim.join(crowded, "key"), parities).select(*CELL, "c"), "cells")
+    released(slim, crowded)
+    done, turn = [cells.filter(F.col("c") <= REGION).select(CELL)], 0
+    large = cells.filter(F.col("c") > REGION)
+    while turn < 62 and not large.isEmpty():
         turn += 1
         # Cells that one more pivot does not make smaller are left as they are.
         parted = settled(_by_pivot(large.select(*CELL, F.col("key").alias("from"), "c"), percent, turn), "parted-cells")
         worth = parted.groupBy("from", "key", "c").agg(F.count("*").alias("now")).groupBy("from").agg(F.max(F.col("now") / F.col("c")).alias("share"))
-        worth = worth.filter(F.col("share") <= SHRINK).select("from")
+        worth = settled(worth.filter(F.col("share") <= SHRINK).select("from"), "parted-keys")
         done.append(large.select(CELL).join(worth.select(F.col("from").alias("key")), "key", "left_anti"))
-        cells = parted.join(worth, "from", "left_semi").select(CELL)
+        further = parted.join(worth, "from", "left_semi").select(CELL)
+        cells = settled(further.join(_crowded(further), "key"), "cells")
+        released(parted)
+        done.append(cells.filter(F.col("c") <= REGION).select(CELL))
+        large = cells.filter(F.col("c") > REGION)
+    done.append(large.select(CELL))
     ready = done[0]
     for more in done[1:]:
         ready = ready.unionByName(more)
-    return _cell_pairs(settled(ready, "ready-cells"), percent)
+    return settled(_cell_pairs(ready, percent), "near-pairs")
 
 
 def links(texts: DataFrame, classes: DataFrame, late: np.ndarray, seed: int, width: int, percent: int) -> DataFrame:
@@ -389,6 +390,7 @@ def links(texts: DataFrame, classes: DataFrame, late: np.ndarray, seed: int, wid
     regions = settled(early.unionAll(hot).select("key", "h1", "n", F.col("p.h1").alias("p"), F.col("p.n").alias("np")), "regions")
     inside = regions.select("h1").distinct()
     parities = settled(regions_of.select("h1", "parity").join(inside, "h1", "left_semi").dropDuplicates(["h1"]), "parities")
+    released(regions_of)
     compare = Comparer(texts, classes, parities, seed, width, percent)
 
     near = _near_size(F.col("n"), F.col("np"), percent)
@@ -396,6 +398,7 @@ def links(texts: DataFrame, classes: DataFrame, late: np.ndarray, seed: int, wid
     tried = compare(stars.distinct())
     found = _linked(tried, percent)
     open_ = _relabelled(regions, components(found), "open-regions")
+    released(regions)
     turn, progress = 0, True
     while progress and not (large := open_.filter(F.col("c") > REGION)).isEmpty():
         turn += 1
