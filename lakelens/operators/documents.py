@@ -10,6 +10,11 @@ broken markup it may differ (no parser repairs the tree).
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -70,7 +75,7 @@ def url_netloc(c) -> Column:
 
 def resolve_href(base, href) -> Column:
     """urljoin for the common forms: absolute, scheme-relative, root-relative,
-    query/fragment-only and path-relative (dot segments are not collapsed)."""
+    query/fragment-only and path-relative; dot segments are resolved."""
     b, h = col_of(base), col_of(href)
     scheme = F.regexp_extract(b, URL_RE, 1)
     netloc = F.regexp_extract(b, URL_RE, 2)
@@ -78,18 +83,33 @@ def resolve_href(base, href) -> Column:
     no_frag = F.regexp_replace(b, "#.*$", "")
     no_query = F.regexp_replace(no_frag, r"\?.*$", "")
     directory = F.regexp_replace(path, "[^/]*$", "")
+    joined = (F.when(h.startswith("//"), F.concat(scheme, F.lit(":"), h)).when(h.startswith("/"), F.concat(scheme, F.lit("://"), netloc, h))
+              .otherwise(F.concat(scheme, F.lit("://"), netloc, F.when(directory == "", F.lit("/")).otherwise(directory), h)))
     return (
         F.when(h.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), h)
-        .when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
-        .when(h.startswith("/"), F.concat(scheme, F.lit("://"), netloc, h))
         .when(h == "", no_frag)
         .when(h.startswith("#"), F.concat(no_frag, h))
         .when(h.startswith("?"), F.concat(no_query, h))
-        .otherwise(F.concat(scheme, F.lit("://"), netloc,
-                            F.when(directory == "", F.lit("/")).otherwise(directory), h))
+        .when(joined.rlike(r"/\.{1,2}(/|$|[?#])"), without_dots(joined))
+        .otherwise(joined)
     )
 
 
+def without_dots(url) -> Column:
+    """A url whose path has no ``.`` and ``..`` segments: each ``..`` takes the segment
+    before it along, at the root it goes alone."""
+    u = col_of(url)
+    tail = F.regexp_extract(u, r"^[^?#]*(.*)$", 1)
+    segments = F.split(F.regexp_replace(F.regexp_extract(u, URL_RE, 3), "^/", ""), "/")
+    last = F.element_at(segments, -1)
+    empty = F.array().cast("array<string>")
+    kept = F.aggregate(segments, empty, lambda out, x: F.when(x == ".", out)
+                       .when(x == "..", F.slice(out, 1, F.greatest(F.size(out) - 1, F.lit(0)))).otherwise(F.array_append(out, x)))
+    # A path that ends in a dot segment names a folder.
+    path = F.concat(F.lit("/"), F.array_join(kept, "/"), F.when(last.isin(".", "..") & (F.size(kept) > 0), F.lit("/")).otherwise(""))
+    return F.concat(F.regexp_extract(u, URL_RE, 1), F.lit("://"), url_netloc(u), path, tail)
+
+
 def page_links(pages: DataFrame, url: str = "url", html: str = "html", root_url: str | None = None) -> DataFrame:
     """D-3: (page, link, pos): the page itself at pos 0, then same-site links
     (netloc equal to the root page's), query and fragment removed, distinct,
@@ -154,6 +174,57 @@ def chunk_documents(docs: DataFrame, text: str, size: int = 512, overlap: int =
     return x.select(*keep, "chunk_no", F.size(piece).alias("n_words"), F.array_join(piece, " ").alias("text"))
 
 
+SENTENCE_END = re.compile(r"[.!?][\"')\]]*$")
+
+
+def sentence_spans(words: list[str], size: int) -> np.ndarray:
+    """Ends (in words) of the sentences; longer ones end every ``size`` words too."""
+    ends = [i + 1 for i, w in enumerate(words) if SENTENCE_END.search(w)]
+    if not ends or ends[-1] < len(words):
+        ends.append(len(words))
+    starts = [0, *ends[:-1]]
+    return np.array([cut for a, b in zip(starts, ends) for cut in (*range(a + size, b, size), b)])
+
+
+def sentence_windows(words: list[str], size: int = 512, overlap: int = 50) -> list[tuple[int, int]]:
+    """D-7: windows (start, end in words) of whole sentences. A window takes sentences
+    while it has at most ``size`` words. The next one begins with the last sentences
+    of it that have at most ``overlap`` words and leave room for a further one."""
+    ends = sentence_spans(words, size)
+    starts = np.concatenate([[0], ends[:-1]])
+    out, first = [], 0
+    while True:
+        last = int(np.searchsorted(ends, starts[first] + size, side="right")) - 1
+        out.append((int(starts[first]), int(ends[last])))
+        if last == len(ends) - 1:
+            return out
+        least = max(ends[last] - overlap, ends[last + 1] - size)
+        first = max(first + 1, int(np.searchsorted(starts, least, side="left")))
+
+
+def chunk_sentences(docs: DataFrame, text: str, size: int = 512, overlap: int = 50) -> DataFrame:
+    """D-4 + D-7: sanitise, drop empty texts, one row per window of whole sentences."""
+    keep = [c for c in docs.columns if c != text]
+    rows = docs.select(*keep, sanitize_text(F.col(text)).alias("text")).filter("text <> ''")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, no, n, pieces = [], [], [], []
+            for i, whole in enumerate(batch.column("text").to_pylist()):
+                words = whole.split(" ")
+                for k, (a, b) in enumerate(sentence_windows(words, size, overlap)):
+                    at.append(i)
+                    no.append(k)
+                    n.append(b - a)
+                    pieces.append(" ".join(words[a:b]))
+            same = batch.select(keep).take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*same.columns, pa.array(no, pa.int32()), pa.array(n, pa.int32()), pa.array(pieces, pa.string())],
+                                             names=[*keep, "chunk_no", "n_words", "text"])
+
+    schema = rows.select(*keep, F.lit(0).alias("chunk_no"), F.lit(0).alias("n_words"), "text").schema
+    return rows.mapInArrow(cut, schema)
+
+
 def search_document_id(*parts) -> Column:
     """D-8: EXTERNAL_DOCUMENT~<32 hex> from a deterministic chunk key."""
     return F.concat(F.lit("EXTERNAL_DOCUMENT~"), F.upper(F.md5(F.concat_ws(":", *[col_of(p).cast("string") for p in parts]))))

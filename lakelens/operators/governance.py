@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from lakelens.functions import names
 from lakelens.functions.scalars import col_of, is_email
+from lakelens.operators.nesting import LENGTH, nested_lists
 
 
 def lookup(c, mapping: Mapping[str, str], default: str | None = None) -> Column:
@@ -41,7 +42,7 @@ def external_monitors(monitors: DataFrame, warehouses: DataFrame) -> DataFrame:
     x = x.withColumn("dataset_name", names.monitor_object_name("__mcon")) \
         .withColumn("__db", F.split("dataset_name", r"\.")[0])
     w = warehouses.select(F.col("database").alias("__db"), "platform")
-    return x.join(F.broadcast(w), "__db").select(
+    return x.join(w, "__db").select(
         "monitor_id", "dataset_name", "platform",
         names.dataset_id(F.col("dataset_name"), F.col("platform")).alias("entity_id"),
         lookup("status", MONITOR_STATUS, "UNKNOWN").alias("status"),
@@ -55,10 +56,11 @@ def open_alerts(alerts: DataFrame, ts: str, as_of: Column, days: int) -> DataFra
                          & (F.col(ts) >= as_of - F.make_dt_interval(F.lit(days))))
 
 
-def monitors_per_dataset(monitors: DataFrame, dataset: str) -> DataFrame:
-    """A-17 / M-3: distinct monitors nested per dataset (sorted)."""
+def monitors_per_dataset(monitors: DataFrame, dataset: str, size: int = LENGTH) -> DataFrame:
+    """A-17 / M-3: distinct monitors nested per dataset (sorted), in chunks of at most
+    ``size``; repeats go before anything is nested."""
     cols = [c for c in monitors.columns if c != dataset]
-    return monitors.groupBy(dataset).agg(F.array_sort(F.array_distinct(F.collect_list(F.struct(*cols)))).alias("monitors"))
+    return nested_lists(monitors.distinct(), [dataset], cols, F.struct(*cols), "monitors", size)
 
 
 # ------------------------------------------------------- assignments
@@ -183,10 +185,11 @@ def topic_subjects(topics: DataFrame, subjects: DataFrame, strategy: str) -> Dat
     return cand.join(subjects.select("subject"), "subject")
 
 
-def distinct_subscribers(subs: DataFrame, users: DataFrame) -> DataFrame:
-    """J-16: distinct (subscription, user) joined to users, users nested per subscription."""
+def distinct_subscribers(subs: DataFrame, users: DataFrame, size: int = LENGTH) -> DataFrame:
+    """J-16: distinct (subscription, user) joined to users, users nested per
+    subscription in chunks of at most ``size``."""
     x = subs.select("subscription_id", "user_id").distinct().join(users, "user_id")
-    return x.groupBy("subscription_id").agg(F.array_sort(F.collect_list("email")).alias("emails"))
+    return nested_lists(x, ["subscription_id"], ["email", "user_id"], F.col("email"), "emails", size)
 
 
 def fold_app_dashboards(dash: DataFrame) -> DataFrame:
@@ -211,11 +214,19 @@ def activity_rows(activities: DataFrame, kinds: Sequence[str]) -> DataFrame:
                              & F.col("email").isNotNull())
 
 
-def extends_chain(views: DataFrame, props: DataFrame) -> DataFrame:
+# Properties of a view of which it has one, its own or the nearest ancestor's.
+EXCLUDING = ("sql_table_name", "derived_table")
+
+
+def extends_chain(views: DataFrame, props: DataFrame, excluding: Sequence[Sequence[str]] = (EXCLUDING,)) -> DataFrame:
     """G-7: properties merged along the 'extends' chain (the view itself wins
-    over its ancestors); a view whose chain is broken has its own only."""
+    over its ancestors); a view whose chain is broken has its own only. Of each group
+    of ``excluding`` properties only those at the nearest view that has one are kept."""
     from lakelens.operators.graph import ancestor_rows
     rows = ancestor_rows(views.select(F.col("view").alias("id"), F.col("extends").alias("parent_id"))).filter(~F.col("broken") | (F.col("dist") == 0))
-    p = props.select(F.col("view").alias("anc"), "key", "value")
-    x = rows.join(p, "anc")
-    return x.groupBy(F.col("node").alias("view"), "key").agg(F.min_by("value", "dist").alias("value"))
+    group = F.col("key")
+    for i, members in enumerate(excluding):
+        group = F.when(F.col("key").isin(*members), F.lit(f"#{i}")).otherwise(group)
+    x = rows.join(props.select(F.col("view").alias("anc"), "key", "value", group.alias("group")), "anc")
+    nearest = x.groupBy("node", "group").agg(F.min("dist").alias("dist"))
+    return x.join(nearest, ["node", "group", "dist"]).select(F.col("node").alias("view"), "key", "value")

@@ -125,10 +125,12 @@ def table_name_and_path(t: PathTemplate, path) -> Column:
 
 
 def inferred_type(raw) -> Column:
-    """Partition value type: int64, double, datetime or string (first that parses)."""
+    """Partition value type: int64, double, datetime or string (first that parses);
+    integers beyond 64 bits are doubles."""
     v = col_of(raw)
-    return (F.when(v.rlike(INT_TEXT_RE), F.lit("int64"))
-            .when(v.rlike(NUM_TEXT_RE), F.lit("double"))
+    whole = v.rlike(INT_TEXT_RE)
+    return (F.when(whole & ((F.length(v) <= 18) | v.try_cast("long").isNotNull()), F.lit("int64"))
+            .when(whole | v.rlike(NUM_TEXT_RE), F.lit("double"))
             .when(v.rlike(r"^\d{4}[-/]\d{1,2}[-/]\d{1,2}") & F.coalesce(
                 F.try_to_timestamp(v, F.lit("yyyy-MM-dd")), F.try_to_timestamp(v, F.lit("yyyy-MM-dd HH:mm:ss")),
                 F.try_to_timestamp(v, F.lit("yyyy/MM/dd"))).isNotNull(), F.lit("datetime"))

@@ -96,6 +96,20 @@ def supported_dependencies(deps: DataFrame, domains: Sequence[str], src_domain:
     return deps.filter(F.upper(col_of(src_domain)).isin(d) & F.upper(col_of(dst_domain)).isin(d))
 
 
-def zip_pairs(sources: Column, sinks: Column) -> Column:
-    """J-19 data flows: sources paired with sinks by position (not all x all)."""
-    return F.arrays_zip(sources.alias("source"), sinks.alias("sink"))
+def activity_lineage(activities: DataFrame, datasets: DataFrame, block: int = 1000) -> DataFrame:
+    """J-19: (pipeline, activity, source, sink) of pipeline activities. A copy activity
+    reads each of its ``inputs`` into each of its ``outputs``; a data flow has its
+    ``inputs`` and ``outputs`` by position. ``datasets`` has name and entity_id; names
+    that it lacks give no edge. Inputs are dealt in blocks, so that an activity with
+    very many ends is not joined in one task."""
+    end = lambda side: activities.filter("kind = 'copy'").select(
+        "pipeline", "activity", F.ceil(F.size("inputs") / block).cast("int").alias("blocks"), F.posexplode(side).alias("at", "name"))
+    known = lambda rows, out: rows.join(datasets.select("name", F.col("entity_id").alias(out)), "name").drop("name")
+    ins = known(end("inputs").withColumn("block", F.floor(F.col("at") / block).cast("int")), "source").drop("at", "blocks")
+    outs = known(end("outputs").filter("blocks > 0"), "sink").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("at", "blocks")
+    copied = ins.join(outs, ["pipeline", "activity", "block"]).select("pipeline", "activity", "source", "sink")
+    flows = activities.filter("kind = 'flow'").select("pipeline", "activity", F.explode(F.arrays_zip("inputs", "outputs")).alias("ends"))
+    flows = flows.select("pipeline", "activity", F.col("ends.inputs").alias("from"), F.col("ends.outputs").alias("to"))
+    met = flows.join(datasets.select(F.col("name").alias("from"), F.col("entity_id").alias("source")), "from").join(
+        datasets.select(F.col("name").alias("to"), F.col("entity_id").alias("sink")), "to")
+    return copied.unionByName(met.select("pipeline", "activity", "source", "sink")).distinct()

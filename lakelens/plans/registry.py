@@ -20,7 +20,7 @@ ORACLES: dict[str, str] = {}
 _MODULES = (
     "profiling", "usage_jobs", "naming", "governance_jobs", "catalog_jobs", "log_jobs",
     "lineage_jobs", "lake_jobs", "document_jobs", "schema_jobs", "sql_jobs", "emit_jobs", "bi_jobs", "connector_jobs",
-    "stream_jobs",
+    "stream_jobs", "metadata_jobs",
 )
 
 
