@@ -42,7 +42,7 @@ from lakelens.llm.vectors import extent, matrix, require_range, scaled, usable
 PART = 8192  # vectors of a task
 PIVOTS = 1024  # routing objects of the upper page at most
 BLOCK = 2048  # queries of a task
-PAGE = 64
+PAGE = 512
 SLACK = 1e-9
 
 
