@@ -32,16 +32,17 @@ WINDOW = 2048
 RUN = 1 << 16
 END_ID = 1
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
-CACHE = 1_000_000  # chunks whose ids a Python worker remembers (some 200 MB)
+CACHE = 1_000_000  # chunks whose ids a task remembers (some 200 MB)
 SLICE = 1 << 20  # bytes of text handled before a batch is handed on
 
 
 class ChunkTokenizer:
     """Ids of texts as little-endian 32-bit binaries.
 
-    The tokenizer drops white space and never joins text across a space, so a
-    text's ids are those of its chunks between spaces; frequent chunks are
-    remembered."""
+    The tokenizer drops white space and never joins text across a space, so a text's
+    ids are those of its chunks between spaces. Each new chunk of a part of the texts
+    is tokenised once, all of them as one line, and told apart by the offsets of its
+    ids; a task remembers frequent chunks."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -50,7 +51,14 @@ class ChunkTokenizer:
         self.known: dict[str, bytes] = {"": b""}
 
     def _ids(self, chunks: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(chunks, add_special_tokens=False)]
+        found = self.tokenizer.encode(" ".join(chunks), add_special_tokens=False)
+        ids = np.array(found.ids, "<u4")
+        # Where each id ends: special tokens may take a space on either side along.
+        at = np.fromiter((end - 1 for _, end in found.offsets), np.int64, len(ids))
+        ends = np.cumsum(np.fromiter(map(len, chunks), np.int64, len(chunks)) + 1)  # where the next chunk begins
+        cuts = np.searchsorted(at, ends, side="left")
+        data = ids.tobytes()
+        return [data[4 * a:4 * b] for a, b in zip([0, *cuts[:-1].tolist()], cuts.tolist(), strict=True)]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         parts = [t.split(" ") for t in texts]
@@ -65,15 +73,6 @@ class ChunkTokenizer:
         return out
 
 
-_ENCODERS: dict[str, ChunkTokenizer] = {}  # of a Python worker: later tasks find its chunks
-
-
-def encoder(vocabulary: str) -> ChunkTokenizer:
-    if vocabulary not in _ENCODERS:
-        _ENCODERS[vocabulary] = ChunkTokenizer(vocabulary)
-    return _ENCODERS[vocabulary]
-
-
 def slices(texts: pa.Array, most: int = SLICE) -> Iterator[tuple[int, list[str]]]:
     """(begin, texts) of consecutive parts of a column of about ``most`` bytes, so
     that Python objects exist for one part at a time."""
@@ -96,7 +95,7 @@ def tokenised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", v
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encode, part, at = encoder(vocabulary), TaskContext.get().partitionId(), 0
+        encode, part, at = ChunkTokenizer(vocabulary), TaskContext.get().partitionId(), 0
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             for begin, texts in slices(batch.column(1)):
