@@ -19,6 +19,7 @@ searched; repeated rows each get a row; other columns are not read.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -93,6 +94,9 @@ def _walk(states: set, items) -> set:
     return states
 
 
+RUN = 512  # hits whose offsets are summed in one fold
+
+
 def trigram_clauses(regex: str) -> list[frozenset] | None:
     """Clauses of which one must be present in full, or None: scan every text."""
     clauses = {(grams, "") for grams, _ in _walk({(frozenset(), "")}, parse(regex))}
@@ -116,21 +120,42 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
 
 
 def _spans(text: Column, order: int, rule: Rule) -> Column:
-    """array<(start, order, end)> of a rule's matches, end exclusive."""
+    """array<(start, order, end)> of a rule's matches, end exclusive.
+
+    Offsets are running sums over the gaps and hits of a text. They are taken in runs of
+    ``RUN`` hits, each from the sum of the runs before it, so that a text with very many
+    hits does not copy its spans at every hit."""
     regex = F.lit(rule.regex)
     found = F.regexp_extract_all(text, regex, F.lit(0))
     steps = F.arrays_zip(F.split(text, rule.regex, -1).alias("gap"), found.alias("hit"), F.regexp_extract_all(text, regex, F.lit(rule.group)).alias("part"))
     kind = "array<struct<start:int,kind:int,end:int>>"
+    length = lambda m: F.char_length(m["gap"]) + F.coalesce(F.char_length(m["hit"]), F.lit(0))
     start = lambda s, m: s["at"] + F.char_length(m["gap"])
-    end = lambda s, m: start(s, m) + F.coalesce(F.char_length(m["hit"]), F.lit(0))
-    walked = F.aggregate(
-        steps, F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out")),
-        lambda s, m: F.struct(
-            end(s, m).alias("at"),
-            F.when(F.char_length(m["part"]) >= rule.least, F.array_append(s["out"], F.struct(
-                start(s, m).alias("start"), F.lit(order).alias("kind"), end(s, m).alias("end")))).otherwise(s["out"]).alias("out")),
-        lambda s: s["out"])
-    return F.when(F.rlike(text, regex), walked).otherwise(F.array().cast(kind))
+
+    def run(steps: Column, at: Column) -> Column:
+        return F.aggregate(
+            steps, F.struct(at.alias("at"), F.array().cast(kind).alias("out")),
+            lambda s, m: F.struct(
+                (s["at"] + length(m)).alias("at"),
+                F.when(F.char_length(m["part"]) >= rule.least, F.array_append(s["out"], F.struct(
+                    start(s, m).alias("start"), F.lit(order).alias("kind"), (s["at"] + length(m)).alias("end")))).otherwise(s["out"]).alias("out")),
+            lambda s: s["out"])
+
+    def walked(steps: Column) -> Column:
+        runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / RUN).cast("int")), lambda i: F.slice(steps, i * RUN + 1, RUN))
+        return let(runs, lambda runs: F.flatten(F.zip_with(runs, before(runs), run)))
+
+    def before(runs: Column) -> Column:
+        sums = F.transform(runs, lambda r: F.aggregate(r, F.lit(0), lambda t, m: t + length(m)))
+        return F.aggregate(sums, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
+                           lambda s, x: F.struct((s["at"] + x).alias("at"), F.array_append(s["out"], s["at"]).alias("out")), lambda s: s["out"])
+
+    return F.when(F.rlike(text, regex), let(steps, walked)).otherwise(F.array().cast(kind))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def _joined(spans: Column, rules: tuple[Rule, ...]) -> Column:
