@@ -21,6 +21,7 @@ from lakelens.llm.common import ascii_lower, table, written
 BLOCK = 1024
 #: Sorted runs that names are drawn from: a name is (run, rank in the run).
 RUN_BITS = 20
+LIST_ROWS, LIST_PLACES = 12, 1  # bits: lists of up to 4096 neighbouring rows and 2 places in a text
 
 
 def _names(df: DataFrame, keys: list[str]) -> Column:
@@ -40,12 +41,14 @@ def identities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.posexplode_outer(F.regexp_extract_all("t", F.lit("(?s).{1,%d}" % block), F.lit(0))).alias("pos", "block"))
     pos = F.coalesce("pos", F.lit(0))
     rows = cut.select(
-        F.coalesce("block", F.lit("")).alias("block"), F.shiftright("rid", 33).alias("part"),
+        F.coalesce("block", F.lit("")).alias("block"),
         F.struct("rid", pos.alias("pos"), "nb", F.when(pos == 0, F.col("doc_id")).alias("doc_id"),
                  F.when(pos == 0, F.col("sha")).alias("sha")).alias("m"))
-    # Copies inside one input partition travel as one row, so a block that a
-    # third of all rows holds meets in one task once per input partition only.
-    local = rows.groupBy("block", "part").agg(F.collect_list("m").alias("members"))
+    # Copies among some 4096 neighbouring rows travel as one row, so a block that a
+    # third of all rows holds meets in one task that much less often; a list has at
+    # most LIST members.
+    seat = F.struct(F.shiftright(F.col("m.rid"), LIST_ROWS), F.shiftright(F.col("m.pos"), LIST_PLACES))
+    local = rows.groupBy("block", seat.alias("seat")).agg(F.collect_list("m").alias("members"))
     named = local.select("members", _names(local, ["block"]).alias("name"))
     first = written(named.select(F.explode("members").alias("m"), "name").select("m.*", "name"), "block-names")
 
