@@ -267,3 +267,53 @@ def test_sketch_distance_is_a_lower_bound():
             x, y = (x.reshape(2, -1)[0] ^ x.reshape(2, -1)[1], y) if len(x) > len(y) else (x, y.reshape(2, -1)[0] ^ y.reshape(2, -1)[1])
         apart = len(np.setxor1d(a, b))
         assert len(x) >= LONGS and sum(int(v).bit_count() for v in (x ^ y).view(np.uint64)) <= apart
+
+
+# ---- operators 4, 8 and 9: very many hits, ids of odd texts, hot blocks
+
+
+def test_secrets_of_a_text_with_many_hits(spark):
+    from lakelens.llm import secret_scan
+
+    rng = random.Random(3)
+    words = ["".join(rng.choice("0123456789abcdef") for _ in range(rng.randint(20, 30))) for _ in range(40_000)]
+    text = " ".join(words) + " é token=abcdefgh"
+    want, at = [], 0
+    for w in words:
+        if len(w) >= 24:
+            want.append((at, at + len(w)))
+        at += len(w) + 1
+    found = secret_scan.secret_scan(spark.createDataFrame([(1, text), (2, ""), (3, None)], "doc_id long, text string"), more=()).collect()
+    row = next(r for r in found if r.doc_id == 1)
+    assert row.n_hex == len(want) and row.n_assign == 1
+    assert [s for s in row.spans.split(",") if s.startswith("hex")] == [f"hex:{a}:{b}" for a, b in want]
+    assert row.spans.endswith(f"assign:{text.index('token')}:{len(text)}")
+
+
+def test_packed_ids_are_the_tokenizers(spark, small_dir):
+    from tokenizers import Tokenizer
+
+    from lakelens.llm import packing
+
+    plain = Tokenizer.from_file(packing.VOCABULARY)
+    docs = [r.text or "" for r in spark.read.parquet(f"{small_dir}/documents.parquet").select("text").collect()]
+    rng = random.Random(5)
+    odd = ["<|endoftext|> a <|startoftext|>b", " lead", "trail ", "a  b c　d", "\x00\x01 ​ é ﬁ İ", "\n\t x\r\n y", "don't I'll ퟿ 한국어 日本 🙂🙃 👩‍👩"]
+    odd += ["".join(rng.choice("ab é́ \n<|>'s１Å🙂　 x ") for _ in range(rng.randrange(60))) for _ in range(2000)]
+    texts = docs + odd
+    encode = packing.ChunkTokenizer(packing.VOCABULARY)
+    for i in range(0, len(texts), 50):
+        for text, data in zip(texts[i:i + 50], encode(texts[i:i + 50]), strict=True):
+            assert np.frombuffer(data, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, text
+
+
+def test_equal_blocks_of_many_rows(spark, monkeypatch):
+    from lakelens.llm import exact_dedup
+
+    monkeypatch.setattr(exact_dedup, "LIST_ROWS", 3)
+    rows = [(i, "" if i % 3 == 0 else "ab " * (i % 5) + ("AB " * 9 if i % 2 else "ab " * 9)) for i in range(300)]
+    found = exact_dedup.exact_dedup(spark.createDataFrame(rows, "doc_id long, text string"), block=4).collect()
+    best = {}
+    for i, t in rows:
+        best.setdefault(t.lower(), []).append(i)
+    assert {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in found} == {(i, max(g), len(g), i == max(g)) for g in best.values() for i in g}
