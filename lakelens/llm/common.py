@@ -18,14 +18,14 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     This cuts lineage so that a lost executor costs a re-read, not a
     recomputation, and fixes values such as row numbers once and for all."""
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -36,7 +36,7 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     before = spark.conf.get(key)
     spark.conf.set(key, "true")
     try:
-        return written(df, name)
+        return written(df, name, "zstd")
     finally:
         spark.conf.set(key, before)
 
