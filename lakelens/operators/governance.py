@@ -92,13 +92,15 @@ def attributions(rows: DataFrame) -> DataFrame:
     return rows.withColumn("valid_email", is_email(F.col("email")))
 
 
-def tag_objects(tags) -> Column:
+def tag_objects(tags, verified=None) -> Column:
     """M-10: tag items -> 'key=value' or bare 'value' when the value is empty;
-    deleted / hidden / deprecated items are skipped."""
+    deleted / hidden / deprecated items are skipped. Objects for which ``verified`` is
+    true get the tag 'Verified' at the end."""
     kept = F.filter(col_of(tags), lambda t: ~F.coalesce(t["deleted"], F.lit(False)) & ~F.coalesce(t["hidden"], F.lit(False))
                     & ~F.coalesce(t["deprecated"], F.lit(False)))
-    return F.transform(kept, lambda t: F.when(F.coalesce(t["value"], F.lit("")) == "", t["key"])
-                       .otherwise(F.concat(t["key"], F.lit("="), t["value"])))
+    found = F.transform(kept, lambda t: F.when(F.coalesce(t["value"], F.lit("")) == "", t["key"])
+                        .otherwise(F.concat(t["key"], F.lit("="), t["value"])))
+    return found if verified is None else F.when(col_of(verified), F.array_append(found, F.lit("Verified"))).otherwise(found)
 
 
 # ----------------------------------------------------------- artifacts

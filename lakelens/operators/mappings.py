@@ -234,12 +234,16 @@ def suite_monitors(results: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list(F.when(~F.col("r.success"), F.col("r.expectation")))).alias("exceptions"))
 
 
-# Stream object types.
-STREAM_TYPES = {"delta": "APPEND_ONLY", "append_only": "APPEND_ONLY", "insert_only": "INSERT_ONLY", "standard": "STANDARD"}
+# Stream modes and the kinds of objects that streams read.
+STREAM_TYPES = {"DEFAULT": "STANDARD", "APPEND_ONLY": "APPEND_ONLY", "INSERT_ONLY": "INSERT_ONLY"}
+STREAM_SOURCES = {"TABLE": "TABLE", "VIEW": "VIEW", "EXTERNAL_TABLE": "TABLE", "DIRECTORY_TABLE": "TABLE"}
 
 
 def stream_catalog(streams: DataFrame) -> DataFrame:
-    """T-6: stream objects as catalog rows (type, staleness, lineage to the base table)."""
-    m = F.create_map(*[x for k, v in STREAM_TYPES.items() for x in (F.lit(k), F.lit(v))])
-    return streams.select("stream_name", F.coalesce(m[F.lower("mode")], F.lit("STANDARD")).alias("stream_type"),
-                          (F.upper("stale") == "TRUE").alias("is_stale"), F.lower("base_table").alias("source_table"))
+    """T-6: stream objects as catalog rows: type by mode and source type by the kind of
+    what they read (null: unknown to the maps), staleness, and lineage to each of the
+    base tables, which come as one list."""
+    known = lambda names, c: F.create_map(*[F.lit(x) for pair in names.items() for x in pair])[F.upper(F.replace(c, F.lit(" "), F.lit("_")))]
+    each = streams.withColumn("base", F.explode_outer(F.split("base_tables", r"\s*,\s*")))
+    return each.select("stream_name", known(STREAM_TYPES, F.col("mode")).alias("stream_type"), known(STREAM_SOURCES, F.col("source_kind")).alias("source_type"),
+                       (F.upper("stale") == "TRUE").alias("is_stale"), F.lower("base").alias("source_table"))

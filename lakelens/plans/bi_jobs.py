@@ -292,19 +292,18 @@ def user_display(spark, sf_dir):
 
 
 @register("tag_objects", """SELECT p_partkey, concat_ws(',', CASE WHEN p_partkey % 7 <> 0 THEN 'brand=' || p_brand END,
-    CASE WHEN p_partkey % 2 = 0 THEN p_type END, 'Verified') AS tags FROM part""")
+    CASE WHEN p_partkey % 2 = 0 THEN p_type END, CASE WHEN p_size > 20 THEN 'Verified' END) AS tags FROM part""")
 def tag_objects(spark, sf_dir):
-    """M-10: tag objects -> key=value or bare values; deleted / hidden skipped; 'Verified' added."""
+    """M-10: tag objects -> key=value or bare values; deleted / hidden skipped; 'Verified'
+    added to verified objects."""
     p = read_table(spark, sf_dir, "part")
     k = F.col("p_partkey")
     items = F.array(
         F.struct(F.lit("brand").alias("key"), F.col("p_brand").alias("value"), (k % 7 == 0).alias("deleted"),
                  F.lit(False).alias("hidden"), F.lit(False).alias("deprecated")),
         F.struct(F.col("p_type").alias("key"), F.lit("").alias("value"), F.lit(False).alias("deleted"),
-                 (k % 2 == 1).alias("hidden"), F.lit(None).cast("boolean").alias("deprecated")),
-        F.struct(F.lit("Verified").alias("key"), F.lit(None).cast("string").alias("value"), F.lit(False).alias("deleted"),
-                 F.lit(False).alias("hidden"), F.lit(False).alias("deprecated")))
-    return p.select("p_partkey", F.array_join(gov.tag_objects(items), ",").alias("tags"))
+                 (k % 2 == 1).alias("hidden"), F.lit(None).cast("boolean").alias("deprecated")))
+    return p.select("p_partkey", F.array_join(gov.tag_objects(items, F.col("p_size") > 20), ",").alias("tags"))
 
 
 @register("description_import", """SELECT c_custkey, coalesce(CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE 'edited ' || c_name END, 'plain ' || c_name) AS description,

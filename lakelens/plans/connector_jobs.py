@@ -422,17 +422,19 @@ def suite_monitors(spark, sf_dir):
                       F.array_join("exceptions", ",").alias("exceptions"))
 
 
-@register("stream_catalog", """SELECT 'stream_' || CAST(s_suppkey AS VARCHAR) AS stream_name,
-  CASE s_suppkey % 4 WHEN 0 THEN 'APPEND_ONLY' WHEN 1 THEN 'INSERT_ONLY' ELSE 'STANDARD' END AS stream_type,
-  s_suppkey % 5 = 0 AS is_stale, lower('DB.' || r.r_name || '.' || s.s_name) AS source_table
-FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey""")
+@register("stream_catalog", """WITH c AS (SELECT s.s_suppkey AS k, s.s_name, r.r_name FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey),
+b AS (SELECT k, lower('DB.' || r_name || '.' || s_name) AS source_table FROM c UNION ALL SELECT k, 'db.x.t' || CAST(k AS VARCHAR) FROM c WHERE k % 6 = 0)
+SELECT 'stream_' || CAST(k AS VARCHAR) AS stream_name,
+  CASE k % 4 WHEN 0 THEN 'APPEND_ONLY' WHEN 1 THEN 'INSERT_ONLY' WHEN 2 THEN 'STANDARD' END AS stream_type,
+  CASE k % 5 WHEN 0 THEN 'TABLE' WHEN 1 THEN 'VIEW' WHEN 2 THEN 'TABLE' WHEN 3 THEN 'TABLE' END AS source_type, k % 5 = 0 AS is_stale, source_table FROM b""")
 def stream_catalog(spark, sf_dir):
-    """T-6: stream objects as catalog rows."""
+    """T-6: stream objects as catalog rows, a row per base table."""
     from lakelens.plans.naming import supplier_catalog
     c = supplier_catalog(spark, sf_dir)
-    k = F.col("s_suppkey") % 4
-    streams = c.select(F.concat(F.lit("stream_"), F.col("s_suppkey").cast("string")).alias("stream_name"),
-                       F.when(k == 0, "DELTA").when(k == 1, "INSERT_ONLY").when(k == 2, "default").otherwise(None).alias("mode"),
-                       F.when(F.col("s_suppkey") % 5 == 0, "true").otherwise("false").alias("stale"),
-                       F.concat_ws(".", F.lit("DB"), "db", "tbl").alias("base_table"))
+    k = F.col("s_suppkey")
+    kinds = F.when(k % 5 == 0, "Table").when(k % 5 == 1, "View").when(k % 5 == 2, "External Table").when(k % 5 == 3, "directory table").otherwise("Stage")
+    streams = c.select(F.concat(F.lit("stream_"), k.cast("string")).alias("stream_name"),
+                       F.when(k % 4 == 0, "APPEND_ONLY").when(k % 4 == 1, "insert_only").when(k % 4 == 2, "DEFAULT").alias("mode"), kinds.alias("source_kind"),
+                       F.when(k % 5 == 0, "true").otherwise("false").alias("stale"),
+                       F.concat(F.concat_ws(".", F.lit("DB"), "db", "tbl"), F.when(k % 6 == 0, F.concat(F.lit(" , DB.X.T"), k.cast("string"))).otherwise("")).alias("base_tables"))
     return mappings.stream_catalog(streams)

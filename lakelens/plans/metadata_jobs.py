@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakelens.operators import documents, governance, lineage, metadata
+from lakelens.operators import documents, governance, lineage, metadata, tags
 from lakelens.plans.registry import register
 from lakelens.sources.tables import read_table, spread
 
@@ -118,3 +118,23 @@ def doc_sentence_chunks(spark, sf_dir):
     by whole sentences of at most 50."""
     d = spread(read_table(spark, sf_dir, "documents")).select("doc_id", "text")
     return documents.chunk_sentences(d, "text").select("doc_id", "chunk_no", "n_words", F.md5("text").alias("chunk_md5"))
+
+
+@register("supported_dependencies", """SELECT o_orderkey FROM orders WHERE o_orderkey % 4 < 3 AND o_custkey % 3 < 2""")
+def supported_dependencies(spark, sf_dir):
+    """J-23: dependency rows whose both ends are of a supported domain."""
+    o = read_table(spark, sf_dir, "orders")
+    kind = lambda c, n: F.element_at(F.array(*[F.lit(x) for x in ("Table", "view", "MATERIALIZED VIEW", "Stage")][:n]), (F.col(c) % n + 1).cast("int"))
+    deps = o.select("o_orderkey", kind("o_orderkey", 4).alias("src"), F.when(F.col("o_custkey") % 3 == 2, "Function").otherwise(kind("o_custkey", 2)).alias("dst"))
+    return lineage.supported_dependencies(deps, ["table", "view", "materialized view"], "src", "dst").select("o_orderkey")
+
+
+@register("merged_tags", """SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN coalesce(a, '') WHEN a IS NULL THEN 'b,c' WHEN p_partkey % 2 = 0 THEN 'a,b,c' ELSE 'c,b' END AS tags
+FROM (SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN NULL WHEN p_partkey % 2 = 0 THEN 'a,b' ELSE 'c,b' END AS a FROM part)""")
+def merged_tags(spark, sf_dir):
+    """M-9 / U-4: two tag lists united, each tag once, in first-seen order."""
+    p = read_table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    own = F.when(k % 5 == 0, None).when(k % 2 == 0, F.array(F.lit("a"), F.lit("b"), F.lit("a"))).otherwise(F.array(F.lit("c"), F.lit("b")))
+    given = F.when(k % 3 != 0, F.array(F.lit("b"), F.lit("c"), F.lit("b")))
+    return p.select("p_partkey", F.array_join(tags.merge_lists(own, given), ",").alias("tags"))
