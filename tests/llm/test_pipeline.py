@@ -43,3 +43,19 @@ def test_near_copies_go_by_row(spark, small_dir):
     kept = [tuple(r) for r in pipeline.drop_near_copies(spark, docs, small_dir).collect()]
     assert sum(t.startswith("v0") for _, t in kept) == 1 and all(d == 1 for d, t in kept if t.startswith("v0"))
     assert (5, other) in kept and sum(t == "" for _, t in kept) == 2 and len(kept) == 4
+
+
+def test_whole_run_on_odd_tables(spark, tmp_path):
+    """Null and empty texts, repeated rows, few and clashing columns, and no rows at all."""
+    base = " ".join(f"v{i}" for i in range(60))
+    rows = [(1, base, "a", 1), (2, base.upper(), "b", 2), (3, base + " tail", None, 3), (4, None, None, 4), (5, "", None, 5), (6, "other words here", "x", 6),
+            (6, "other words here", "x", 6), (6, "other words here", "w", 6), (None, "no id at all", None, 7), (7, "secret = abcdefgh12", None, 8)]
+    for n, table in enumerate((rows, [])):
+        folder = str(tmp_path / str(n))
+        spark.createDataFrame(table, "doc_id long, text string, _sha string, record long").write.parquet(f"{folder}/documents.parquet")
+        spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+        pieces = pipeline.run(spark, folder).collect()
+        assert sorted((r.doc_id for r in pieces), key=str) == ([] if n else [2, 5, 6, None])
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _sha string, record long")
+    kept = pipeline.drop_copies(spark, docs, "").collect()
+    assert [r["_sha"] for r in kept if r.doc_id == 6] == ["w"] and kept[0].__fields__ == docs.columns
