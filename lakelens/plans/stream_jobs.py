@@ -12,15 +12,19 @@ from lakelens.plans.common import r6
 from lakelens.plans.log_jobs import EXCLUDED_USERS, LOG_SQL
 from lakelens.plans.emit_jobs import cuts_sql
 from lakelens.plans.registry import register
-from lakelens.sources.tables import table_path
+from lakelens.session import groups_for
+from lakelens.sources.tables import read_table, table_path
 from lakelens.streaming import jobs, pairing
 
 
-def event_stream(spark, sf_dir):
+def event_stream(spark, sf_dir, overlapping: bool = False):
+    """``events`` file by file. Of ``overlapping`` files one may make the lines of another
+    late; those present come in one micro-batch, in which no line is late."""
     path = table_path(sf_dir, "events")
-    schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(
-        os.path.join(os.path.dirname(path), "events*.parquet"))
+    stream = spark.readStream.schema(spark.read.parquet(path).schema)
+    if not overlapping:
+        stream = stream.option("maxFilesPerTrigger", 1)
+    return stream.parquet(os.path.join(os.path.dirname(path), "events*.parquet"))
 
 
 @register("stream_usage_closed_days", """WITH d AS (SELECT date_trunc('day', ts) AS day_start, event_type FROM events),
@@ -50,14 +54,15 @@ SELECT session, user_name, database, prev_time AS start_time, prev_line AS line_
   round(round(CAST(regexp_extract(body[2], '([0-9]+(?:[.][0-9]+)?) ms', 1) AS DOUBLE) / 1000.0, 10), 6) AS duration_seconds
 FROM lagged
 WHERE starts_with(ltrim(body[1]), 'duration') AND prev_body IS NOT NULL AND len(prev_body) >= 2
-  AND (starts_with(ltrim(prev_body[1]), 'statement') OR starts_with(ltrim(prev_body[1]), 'execute'))
-  AND log_time - prev_time <= INTERVAL 600 SECONDS
-  AND (floor(epoch(log_time) / 86400) + 1) * 86400 <= (SELECT epoch(max(log_time)) FROM parsed) - 86400""")
+  AND (starts_with(ltrim(prev_body[1]), 'statement') OR starts_with(ltrim(prev_body[1]), 'execute'))""")
 def stream_log_pairing(spark, sf_dir):
-    """T-1: statement / duration pairing of closed days as a stateful stream."""
+    """T-1: statement / duration pairing as a stateful stream, every line of the log: days
+    that are still open when the stream ends, and statements of any age."""
     from lakelens.plans.log_jobs import text_log_from
-    parsed = logs.parse_prefixed_log(text_log_from(event_stream(spark, sf_dir)))
-    out = jobs.run_available_now(pairing.pair_sessions(parsed, EXCLUDED_USERS, gap_seconds=600, hour_seconds=86400, delay="1 day"), "pairing")
+    parsed = logs.parse_prefixed_log(text_log_from(event_stream(spark, sf_dir, overlapping=True)))
+    shards = groups_for(read_table(spark, sf_dir, "events").count(), 100_000, 16)
+    paired = pairing.pair_sessions(parsed, EXCLUDED_USERS, gap_seconds=None, hour_seconds=86400, delay="1 day", shards=shards)
+    out = jobs.run_available_now(paired, "pairing", read=pairing.whole_pairs)
     return out.withColumn("duration_seconds", r6("duration_seconds"))
 
 

@@ -17,6 +17,8 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +30,19 @@ from lakelens.session import ensure_checkpoint_dir
 STATE_CONF = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
 
 
+@contextmanager
+def state_conf(spark: SparkSession) -> Iterator[None]:
+    """The settings under which state is written and read."""
+    before = {key: spark.conf.get(key, None) for key in STATE_CONF}
+    for key, value in STATE_CONF.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def run_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for one streaming run (sink + checkpoint) in the shared checkpoint dir."""
     root = ensure_checkpoint_dir(spark)
@@ -40,17 +55,10 @@ def resume(stream: DataFrame, folder: str, output_mode: str = "append", fmt: str
     and the sink's list of committed files live in ``folder``, so a run that was ended
     between writing and committing is repeated without doubles. Returns the ended
     query; ``landed`` reads the sink."""
-    spark = stream.sparkSession
-    before = {key: spark.conf.get(key, None) for key in STATE_CONF}
-    for key, value in STATE_CONF.items():
-        spark.conf.set(key, value)
-    try:
+    with state_conf(stream.sparkSession):
         q = (stream.writeStream.format(fmt).outputMode(output_mode).option("path", os.path.join(folder, "out"))
              .option("checkpointLocation", os.path.join(folder, "checkpoint")).trigger(availableNow=True).start())
         q.awaitTermination()
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return q
@@ -61,11 +69,16 @@ def landed(spark: SparkSession, folder: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).load(os.path.join(folder, "out"))
 
 
-def run_available_now(stream: DataFrame, name: str, output_mode: str = "append", fmt: str = "parquet") -> DataFrame:
-    """One run over everything in the source, in a folder of its own."""
+def run_available_now(stream: DataFrame, name: str, output_mode: str = "append", fmt: str = "parquet",
+                      read: Callable[[SparkSession, str], DataFrame] | None = None) -> DataFrame:
+    """One run over everything in the source, in a folder of its own; ``read`` makes the
+    result from that folder, where what the sink holds is not all."""
     folder = run_dir(stream.sparkSession, name)
     resume(stream, folder, output_mode, fmt)
-    return landed(stream.sparkSession, folder, fmt)
+    if read is None:
+        return landed(stream.sparkSession, folder, fmt)
+    with state_conf(stream.sparkSession):
+        return read(stream.sparkSession, folder)
 
 
 def closed_day_counts(events: DataFrame, ts: str, keys: list[str], watermark: str = "1 day") -> DataFrame:

@@ -72,3 +72,15 @@ def test_a_tail_is_read_once(spark, tmp_path):
     put(130, 140)
     read()
     assert sorted(r.id for r in jobs.landed(spark, folder).collect()) == list(range(140))
+
+
+def test_pairs_of_any_age_and_of_days_still_open(spark, tmp_path):
+    land = str(tmp_path / "land")
+    rows = [line(1, 10), line(2, 4000, body=SPENT), line(3, 10, "s2"), line(4, 3 * 86400, "s2", body=SPENT), line(5, 50, "s2", level="ERROR"),
+            line(6, 9 * 86400, "s3"), line(7, 9 * 86400 + 1, "s3", body=SPENT), line(8, 9 * 86400 + 2, "s3", body=SPENT), line(9, 20, user="bob"),
+            line(10, 5, "s4", body=SPENT), line(11, 86400, "s4", body=("  execute x", " a", " b:c")), line(12, 2 * 86400, "s4", body=SPENT)]
+    for lot in (rows[6:], rows[:6]):  # the later lines land first
+        spark.createDataFrame(lot, LINES).coalesce(1).write.mode("append").parquet(land)
+    paired = pairing.pair_sessions(stream_of(spark, land), ["bob"], gap_seconds=None, hour_seconds=86400, delay="1 day", shards=2)
+    got = sorted(map(tuple, jobs.run_available_now(paired, "pairing", read=pairing.whole_pairs).collect()), key=str)
+    assert got == batch_pairs(spark, rows, None) and sorted(r[4] for r in got) == [1, 3, 6, 11]
