@@ -81,14 +81,16 @@ def ancestor_paths(nodes: DataFrame, node: str = "id", parent: str = "parent_id"
 
 def reachable(seeds: DataFrame, edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """G-3 / D-5: every node reachable from the seeds (seeds included), with
-    the first round it was reached in. Visited nodes never re-enter."""
+    the first round it was reached in. Visited nodes never re-enter. Both joins of a
+    round are merge joins: as broadcasts they would send every round's frontier through
+    the driver, which adds up with the rounds."""
     e = cut_lineage(edges.select(F.col(src).alias("__src"), F.col(dst).alias("__dst")).distinct().repartition("__src"))
     frontier = cut_lineage(seeds.select(F.col(seeds.columns[0]).alias("node")).distinct().withColumn("hop", F.lit(0)))
     parts, hop = [frontier], 0
     while True:
         visited, hop = reduce(DataFrame.unionByName, parts), hop + 1
-        found = (frontier.join(e, F.col("node") == e.__src).select(F.col("__dst").alias("node")).distinct()
-                 .join(visited.select("node"), "node", "left_anti").withColumn("hop", F.lit(hop)))
+        found = (frontier.join(e.hint("merge"), F.col("node") == e.__src).select(F.col("__dst").alias("node")).distinct()
+                 .join(visited.select("node").hint("merge"), "node", "left_anti").withColumn("hop", F.lit(hop)))
         frontier = cut_lineage(found)
         if frontier.isEmpty():
             return visited

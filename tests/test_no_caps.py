@@ -86,3 +86,16 @@ def test_rows_without_a_partner_stay(spark, small_dir):
     orders = spark.read.parquet(f"{small_dir}/orders.parquet").count()
     assert q["mapping_lineage_all"](spark, small_dir).count() == orders
     assert q["chunk_vectors_all"](spark, small_dir).count() == q["doc_chunks"](spark, small_dir).count()
+
+
+def test_a_walk_sends_no_frontier_through_the_driver(spark, monkeypatch):
+    plans, cut = [], graph.cut_lineage
+
+    def seen(df):
+        df.collect()
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df)
+    monkeypatch.setattr(graph, "cut_lineage", seen)
+    edges = spark.range(1, 64).selectExpr("id div 2 AS src", "id AS dst")
+    assert graph.reachable(spark.createDataFrame([(1,)], "s long"), edges).count() == 63
+    assert plans and not any("BroadcastExchange" in plan for plan in plans)
