@@ -103,23 +103,41 @@ def glob_pairs(names: DataFrame, name_cols: Sequence[str], rules: DataFrame, glo
     """Rows of ``names`` with the rows of ``rules`` whose globs fit them, column by
     column; a null glob fits every name, no glob fits a null name.
 
-    A rule is filed under its longest literal: the beginning or the end of one of its
-    globs. A name brings its beginnings and ends of the lengths that occur, so the
-    join is by equality and the regexes only see pairs with that literal. Rules
-    without any literal meet every name."""
+    A rule is filed under that of its literals that fewest names have: the beginning or
+    the end of one of its globs. A name brings its beginnings and ends of the lengths
+    that occur, so the join is by equality and the regexes only see pairs with that
+    literal. Rules without any literal meet every name."""
     filed = []
     for i, glob in enumerate(glob_cols):
         for kind, literal in ((2 * i, F.regexp_extract(glob, r"^[^*?\[]*", 0)), (2 * i + 1, F.regexp_extract(glob, r"[^*?\[\]]*$", 0))):
             literal = F.coalesce(literal, F.lit(""))
             filed.append(F.struct(F.length(literal).alias("n"), F.lit(kind).alias("kind"), literal.alias("literal")))
     patterns = [f"__re{i}" for i in range(len(glob_cols))]
-    held = rules.select("*", F.array_max(F.array(*filed)).alias("__at"), *[_regexes(F.col(g)).alias(p) for g, p in zip(glob_cols, patterns)])
-    # One small row: the kinds and lengths in use, at most two for each length of a glob.
-    used = held.agg(F.collect_set(F.struct("__at.kind", "__at.n"))).scalar()
-    asked = names.select("*", F.explode(used).alias("__use"))
-    name = F.element_at(F.array(*[F.col(c) for c in name_cols]), F.floor(F.col("__use.kind") / 2).cast("int") + 1)
-    piece = F.when(F.col("__use.n") == 0, "").when(F.col("__use.kind") % 2 == 0, F.left(name, F.col("__use.n"))).otherwise(F.right(name, F.col("__use.n")))
-    asked = asked.withColumn("__literal", piece).filter(F.length("__literal") == F.col("__use.n"))
+    # Names and rules in few bytes are much work: they stay in as many parts as there are cores.
+    parts = rules.sparkSession.sparkContext.defaultParallelism
+    names = names.repartition(parts)
+    places = F.explode(F.array_distinct(F.array(*filed)))
+    wanted = rules.select(*glob_cols).distinct()
+    offered = wanted.select("*", places.alias("__at"))
+
+    def bring(found: DataFrame, used: Column) -> DataFrame:
+        """``found`` with the pieces of its names, at the kinds and lengths in ``used``."""
+        asked = found.select("*", F.explode(used).alias("__use"))
+        name = F.element_at(F.array(*[F.col(c) for c in name_cols]), F.floor(F.col("__use.kind") / 2).cast("int") + 1)
+        piece = F.when(F.col("__use.n") == 0, "").when(F.col("__use.kind") % 2 == 0, F.left(name, F.col("__use.n"))).otherwise(F.right(name, F.col("__use.n")))
+        return asked.withColumn("__literal", piece).filter(F.length("__literal") == F.col("__use.n"))
+
+    # One small row each time: the kinds and lengths in use, at most two for each length of a glob.
+    told = bring(names, offered.agg(F.collect_set(F.struct("__at.kind", "__at.n"))).scalar())
+    told = told.groupBy(F.col("__use.kind").alias("kind"), F.col("__literal").alias("literal")).agg(F.count(F.lit(1)).alias("__names"))
+    weighed = offered.join(told, (F.col("__at.kind") == F.col("kind")) & (F.col("__at.literal") == F.col("literal")), "left") \
+        .select(*glob_cols, "__at", F.coalesce("__names", F.lit(0)).alias("__names"))
+    best = F.min_by("__at", F.struct("__names", -F.col("__at.n"), "__at.kind"))
+    filing = weighed.groupBy(*glob_cols).agg(best.alias("__at")).select(*[F.col(g).alias(f"__own{i}") for i, g in enumerate(glob_cols)], "__at")
+    own = [F.col(g).eqNullSafe(F.col(f"__own{i}")) for i, g in enumerate(glob_cols)]
+    held = rules.join(filing, own).drop(*[f"__own{i}" for i in range(len(glob_cols))]).repartition(parts) \
+        .select("*", *[_regexes(F.col(g)).alias(p) for g, p in zip(glob_cols, patterns)])
+    asked = bring(names, held.agg(F.collect_set(F.struct("__at.kind", "__at.n"))).scalar())
     fits = (F.col("__use.kind") == F.col("__at.kind")) & (F.col("__literal") == F.col("__at.literal"))
     for c, p in zip(name_cols, patterns):
         fits = fits & (F.col(p).isNull() | F.regexp(F.col(c), F.col(p)))

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from lakelens.functions import names, scalars
+from lakelens.functions import globs, names, scalars
 from lakelens.functions.globs import glob_to_regex, python_glob_match
 from lakelens.operators import filters, tags, usage
 
@@ -135,3 +135,15 @@ def test_mean_rank_percentile_goldens(spark, counts, expected):
                lambda d: usage.mean_rank_percentile_grouped(d.withColumn("g", F.lit(1)), "cnt", "g")):
         got = {r.id: r.percentile for r in fn(df).collect()}
         assert [round(got[i], 9) for i in range(len(counts))] == [round(e, 9) for e in expected]
+
+
+def test_rules_are_filed_under_their_rarest_literal(spark, monkeypatch):
+    # All names share a long database; the ends of the tables tell them apart.
+    names = spark.range(400).selectExpr("'a_very_long_database_name' AS db", "concat('t', id) AS tab")
+    rules = spark.range(400).selectExpr("id AS rule_no", "'a_very_long_database_name' AS g_db", "concat('*t', id) AS g_tab")
+    extra = spark.createDataFrame([(900, None, "*"), (901, "*", "t3?"), (902, "zz*", None), (903, "a_very*", "*[7-9]")], "rule_no long, g_db string, g_tab string")
+    pairs = globs.glob_pairs(names, ["db", "tab"], rules.unionByName(extra), ["g_db", "g_tab"]).cache()
+    assert pairs.filter("rule_no < 900").count() == 400 and pairs.filter("rule_no < 900 AND g_tab = concat('*', tab)").count() == 400
+    assert {r.rule_no: r["count"] for r in pairs.filter("rule_no >= 900").groupBy("rule_no").count().collect()} == {900: 400, 901: 10, 903: 120}
+    monkeypatch.setattr(F, "regexp", lambda name, pattern: F.lit(True))  # what the regexes see
+    assert globs.glob_pairs(names, ["db", "tab"], rules, ["g_db", "g_tab"]).count() == 400
