@@ -12,8 +12,11 @@ from lakelens.plans.registry import register
 from lakelens.sources.tables import read_table, spread
 
 
+ROWS_PER_PART = 25_000  # statements of one task
+
+
 def query_log(spark, sf_dir):
-    o = spread(read_table(spark, sf_dir, "orders"))
+    o = spread(read_table(spark, sf_dir, "orders"), ROWS_PER_PART)
     k = F.col("o_orderkey") % 5
     a = (F.col("o_custkey") % 50).cast("string")
     b = (F.col("o_orderkey") % 30).cast("string")

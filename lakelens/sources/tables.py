@@ -26,11 +26,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] |
     return df.select(*columns) if columns else df
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, rows_per_part: int | None = None) -> DataFrame:
     """``df`` over all cores, for jobs whose work per row outweighs moving the row: a
-    scan with fewer splits than cores is dealt round-robin, a larger one stays as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    scan with fewer splits than cores is dealt round-robin, a larger one stays as it is.
+    With ``rows_per_part`` a larger one is dealt too where its splits hold more rows, so
+    that no task's work grows with the table."""
+    splits = df.rdd.getNumPartitions()
+    parts = df.sparkSession.sparkContext.defaultParallelism
+    if rows_per_part is not None:
+        parts = max(parts, -(-df.count() // rows_per_part))
+    return df.repartition(parts) if splits < parts else df
 
 
 def register_views(spark: SparkSession, sf_dir: str) -> None:

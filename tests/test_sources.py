@@ -44,3 +44,12 @@ def test_file_schemas_csv_and_json(spark, tmp_path):
     rows = {(r.path.rsplit("/", 1)[-1], r.column_name): r.data_type for r in lake.file_schemas(files).collect()}
     assert rows[("t.csv", "a")] == "VARCHAR" and ("t.csv", "d") in rows
     assert rows[("t.json", "x")] == "INT" and rows[("t.json", "y")] == "STR"
+
+
+def test_dealing_bounds_the_rows_of_a_part(spark):
+    from lakelens.sources.tables import spread
+    few, many = spark.range(0, 100, 1, 1), spark.range(0, 5000, 1, 16)
+    cores = spark.sparkContext.defaultParallelism
+    assert spread(few, 1000).rdd.getNumPartitions() == cores and spread(many).rdd.getNumPartitions() == max(cores, 16)
+    sizes = spread(many, 50).rdd.glom().map(len).collect()
+    assert sum(sizes) == 5000 and len(sizes) == 100 and max(sizes) < 150
