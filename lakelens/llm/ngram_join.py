@@ -11,7 +11,9 @@ word shingles. Jaccard distance is a metric, and the join divides its space:
    regions of its first ``n - ceil(percent * n) + 1`` pivots; then two linked sets
    always share a region. Shingles that many documents share come last in the
    order (a hint only: any order gives the same links), so that a common passage
-   attracts no one.
+   attracts no one. Before the first shingle that two sets share, all differ; so
+   their shingles from there on must suffice for a link, or the pair is left to an
+   earlier region. Of regions with the same sets the first in the order stays.
 2. *Pivot documents inside regions.* Each region compares its members with one of
    its documents. Links merge into components (the ball around the pivot), and
    members of a region that are in one component need no further comparison. Large
@@ -241,6 +243,12 @@ def _apart(na: Column, nb: Column, percent: int) -> Column:
     return F.floor((na + nb) * (100 - percent) / (100 + percent) + 1e-6)
 
 
+def _enough(left_a: Column, left_b: Column, na: Column, nb: Column, percent: int) -> Column:
+    """Whether sets of these sizes can link that share no shingle before the last ``left``
+    ones of each."""
+    return F.least(left_a, left_b).cast("long") * (100 + percent) >= (na.cast("long") + nb) * percent
+
+
 def _parity_distance(a: Column, b: Column) -> Column:
     """Hamming distance of two sketches; the longer one is folded once (sizes of pairs
     in question differ by less than a factor of two)."""
@@ -282,8 +290,8 @@ def _linked(pairs: DataFrame, percent: int) -> DataFrame:
 
 
 def _relabelled(rows: DataFrame, labels: DataFrame, name: str) -> DataFrame:
-    """``rows`` (key, h1, n) with their component, of the regions that hold several."""
-    known = rows.select("key", "h1", "n").join(labels.select(F.col("node").alias("h1"), "label"), "h1", "left")
+    """``rows`` (key, h1, n, left) with their component, of the regions that hold several."""
+    known = rows.select("key", "h1", "n", "left").join(labels.select(F.col("node").alias("h1"), "label"), "h1", "left")
     known = known.withColumn("root", F.coalesce("label", "h1")).drop("label")
     split = known.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("c"))
     return settled(known.join(split.filter("lo <> hi").select("key", "c"), "key"), name)
@@ -292,7 +300,7 @@ def _relabelled(rows: DataFrame, labels: DataFrame, name: str) -> DataFrame:
 WORDS = [f"w{i}" for i in range(LONGS)]
 # ``visits`` has a bit for each division in which the row is in the annulus next to its
 # own; a pair meets in one cell where no division has both as visitors.
-SLIM = ["key", "h1", "n", "root", "visits"]
+SLIM = ["key", "h1", "n", "left", "root", "visits"]
 CELL = [*SLIM, *WORDS]
 
 
@@ -339,7 +347,7 @@ def _cell_pairs(cells: DataFrame, percent: int) -> DataFrame:
     na, nb = F.col("n_a"), F.col("n_b")
     far = sum((F.bit_count(F.col(f"{w}_a").bitwiseXOR(F.col(f"{w}_b"))) for w in WORDS), F.lit(0))
     near = (F.col("h1_a") < F.col("h1_b")) & (F.col("root_a") != F.col("root_b")) & (F.col("visits_a").bitwiseAND(F.col("visits_b")) == 0) \
-        & (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (far <= _apart(na, nb, percent))
+        & (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & _enough(F.col("left_a"), F.col("left_b"), na, nb, percent) & (far <= _apart(na, nb, percent))
     right = side("b").withColumnRenamed("key", "key_b")
     return side("a").join(right, (F.col("key") == F.col("key_b")) & near).select(
         F.col("h1_a").alias("a"), F.col("h1_b").alias("b"), na.alias("na"), nb.alias("nb")).distinct()
@@ -347,7 +355,7 @@ def _cell_pairs(cells: DataFrame, percent: int) -> DataFrame:
 
 def _rest(open_: DataFrame, parities: DataFrame, percent: int) -> DataFrame:
     """Pairs of the open regions that may link, by annuli."""
-    slim = settled(_by_size(open_.select("key", "h1", "n", "root").withColumn("visits", F.lit(0).cast("long")), percent), "size-cells")
+    slim = settled(_by_size(open_.select("key", "h1", "n", "left", "root").withColumn("visits", F.lit(0).cast("long")), percent), "size-cells")
     crowded = settled(_crowded(slim), "crowded-cells")
     cells = settled(_sketched(slim.join(crowded, "key"), parities).select(*CELL, "c"), "cells")
     released(slim, crowded)
@@ -372,22 +380,36 @@ def _rest(open_: DataFrame, parities: DataFrame, percent: int) -> DataFrame:
     return settled(_cell_pairs(ready, percent), "near-pairs")
 
 
+def _early_regions(regions_of: DataFrame, percent: int) -> DataFrame:
+    """(key, h1, n, left, p): the regions of shingles that are not late, without sets that
+    have no partner there; ``left`` counts a set's shingles from the region's on."""
+    rows = regions_of.select(F.posexplode("early").alias("at", "key"), "h1", "n", (F.col("n") - F.col("at")).alias("left")).drop("at")
+    rows = rows.repartition("key").distinct()
+    # A partner is the nearest larger set or a smaller one which ``left`` lets be the smaller.
+    here = Window.partitionBy("key").orderBy("n", "h1")
+    n, before = F.col("n"), here.rowsBetween(Window.unboundedPreceding, -1)
+    smaller = F.last(F.when(_enough(F.col("left"), F.col("left"), n, n, percent), n), ignorenulls=True).over(before)
+    beside = {"smaller": F.coalesce(smaller, F.lit(0)), "larger": F.coalesce(F.lead("n").over(here), F.lit(0))}
+    rows = rows.withColumns(beside).filter(
+        _near_size(n, F.col("smaller"), percent) | _near_size(n, F.col("larger"), percent) & _enough(F.col("left"), F.col("left"), n, F.col("larger"), percent))
+    region = Window.partitionBy("key")
+    rows = rows.select("key", "h1", "n", "left", F.min(F.struct("h1", "n")).over(region).alias("p"),
+                       F.bit_xor("h1").over(region).alias("x"), F.bit_xor(F.xxhash64("h1", "n")).over(region).alias("y"))
+    rows = settled(rows, "early-regions")
+    first = rows.filter("h1 = p.h1 AND x <> h1").groupBy("x", "y").agg(F.min("key").alias("key"))
+    return rows.join(settled(first.select("key"), "first-regions"), "key", "left_semi").drop("x", "y")
+
+
 def links(texts: DataFrame, classes: DataFrame, late: np.ndarray, seed: int, width: int, percent: int) -> DataFrame:
     """(a, b): enough links between different sets (by h1) to give all components."""
     regions_of = settled(replicated(texts, late, seed, width, percent), "region-keys")
-    early = regions_of.select(F.explode("early").alias("key"), "h1", "n").repartition("key").distinct()
-    # Sets of a region whose next smaller and next larger set are too far off in size
-    # have no partner there.
-    here = Window.partitionBy("key").orderBy("n", "h1")
-    beside = [F.coalesce(step("n").over(here), F.lit(0)) for step in (F.lag, F.lead)]
-    early = early.withColumn("near", _near_size(F.col("n"), beside[0], percent) | _near_size(F.col("n"), beside[1], percent)).filter("near").drop("near")
-    early = early.withColumn("p", F.min(F.struct("h1", "n")).over(Window.partitionBy("key")))
+    early = _early_regions(regions_of, percent)
     # Only shared shingles can be hot: their pivots are found by a map-side sum,
     # and there are at most LATE of them.
-    hot = regions_of.select(F.explode("late").alias("key"), "h1", "n")
+    hot = regions_of.select(F.posexplode("late").alias("at", "key"), "h1", "n", (F.col("n") - F.size("early") - F.col("at")).alias("left"))
     pivots = hot.groupBy("key").agg(F.min(F.struct("h1", "n")).alias("p"), F.max("h1").alias("last")).filter("p.h1 <> last").drop("last")
-    hot = hot.join(F.broadcast(pivots), "key").select("key", "h1", "n", "p").distinct()
-    regions = settled(early.unionAll(hot).select("key", "h1", "n", F.col("p.h1").alias("p"), F.col("p.n").alias("np")), "regions")
+    hot = hot.join(F.broadcast(pivots), "key").select("key", "h1", "n", "left", "p").distinct()
+    regions = settled(early.unionAll(hot).select("key", "h1", "n", "left", F.col("p.h1").alias("p"), F.col("p.n").alias("np")), "regions")
     inside = regions.select("h1").distinct()
     parities = settled(regions_of.select("h1", "parity").join(inside, "h1", "left_semi").dropDuplicates(["h1"]), "parities")
     released(regions_of)

@@ -233,6 +233,24 @@ def test_ngram_join_odd_rows(odd, none):
     assert ngram_join.ngram_components(none).count() == 0
 
 
+def test_ngram_join_meets_sharers_of_a_passage_once(spark, monkeypatch):
+    """Texts that share half their words and link with none meet in one region for all
+    shingles of that half, not in one for each."""
+    rows, settled = collections.Counter(), ngram_join.settled
+
+    def counted(df, name):
+        out = settled(df, name)
+        rows[name] += out.count()
+        return out
+
+    monkeypatch.setattr(ngram_join, "settled", counted)
+    passage = [f"p{i}" for i in range(1000)]
+    texts = [(d, " ".join(passage + [f"d{d}w{i}" for i in range(1000)])) for d in range(3)]
+    got = ngram_join.ngram_components(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == {0: 0, 1: 1, 2: 2}
+    assert 0 < rows["regions"] <= 30
+
+
 def test_top_k_against_brute_force(spark):
     rng = np.random.default_rng(4)
     v = rng.integers(-20, 20, (300, 6))
