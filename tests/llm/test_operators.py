@@ -147,6 +147,23 @@ def test_packing_ids_of_special_strings(spark):
         assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids + [packing.END_ID]
 
 
+def test_packing_ids_by_words():
+    """Ids by words are those of the whole tokenizer, which ordinary text does not go through."""
+    encode = packing.ChunkTokenizer(packing.VOCABULARY)
+    whole, tokenizer = encode.tokenizer.encode, encode.tokenizer
+    latin = "".join(map(chr, range(1, 256)))
+    rng = random.Random(5)
+    texts = ["", " ", "Don't SHOUT, they'LL hear 'em('s)", "l'\u00c9t\u00e9 \u00df\u00b5\u00aa\u00ba \u00bd\u00b2 \u00ab\u00ad\u00bb", "x" * 3000,
+             "\u03a3\u0391\u03a3 e\u0301 \ufb01 \u0130", "a<|endoftext|>b <|EndOfText|> <| endoftext|>", "line\nbreak\ttab\x0b\x1c\x7f\x85\xa0end",
+             *latin, *["".join(rng.choices(latin, k=40)) for _ in range(500)], *["".join(rng.choices("aE's'tRLlD 1,\n\xe9\xc9", k=40)) for _ in range(500)]]
+    expected = [np.array(whole(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert encode(texts) == expected and encode(texts[::-1]) == expected[::-1]
+    fresh = packing.ChunkTokenizer(packing.VOCABULARY)
+    fresh.tokenizer = None
+    text = "Ordinary text, isn't it? \u00c0 la carte:\nyes 42"
+    assert fresh([text])[0] == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
 def test_toxicity_learns_stems(spark):
     rng = random.Random(3)
     plain = [f"w{i}" for i in range(300)]
