@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lakelens.functions.scalars import col_of
+from lakelens.functions.scalars import col_of, once
 
 
 def normalize_name(c) -> Column:
@@ -102,13 +102,15 @@ def resource_table_parts(resource) -> Column:
     """'projects/p/datasets/d/tables/t' -> struct(project, dataset, table), with
     partition, shard and snapshot suffixes removed; null when malformed or when
     the table name still holds '$' or '@' afterwards."""
-    parts = F.split(col_of(resource), "/")
-    # Each strip is a no-op when its pattern does not match.
-    part = [F.get(parts, i) for i in range(6)]  # null (not an error) when missing
-    t = F.regexp_replace(F.regexp_replace(part[5], PARTITION_SUFFIX_RE, "$1"), SNAPSHOT_SUFFIX_RE, "$1")
-    ok = (F.size(parts) == 6) & (part[0] == "projects") & (part[2] == "datasets") & (part[4] == "tables")
-    valid = ok & ~t.contains("$") & ~t.contains("@")
-    return F.when(valid, F.struct(part[1].alias("project"), part[3].alias("dataset"), t.alias("table")))
+    def named(parts: Column) -> Column:
+        part = [F.get(parts, i) for i in range(6)]  # null (not an error) when missing
+        # Each strip is a no-op when its pattern does not match.
+        stripped = F.regexp_replace(F.regexp_replace(part[5], PARTITION_SUFFIX_RE, "$1"), SNAPSHOT_SUFFIX_RE, "$1")
+        ok = (F.size(parts) == 6) & (part[0] == "projects") & (part[2] == "datasets") & (part[4] == "tables")
+        return once(stripped, lambda t: F.when(ok & ~t.contains("$") & ~t.contains("@"), F.struct(
+            part[1].alias("project"), part[3].alias("dataset"), t.alias("table"))))
+
+    return once(F.split(col_of(resource), "/"), named)
 
 
 def monitor_object_name(mcon) -> Column:

@@ -3,6 +3,8 @@ text sanitising, list helpers. Built-in expressions only."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -45,18 +47,27 @@ def non_empty(c) -> Column:
     return F.nullif(col_of(c).cast("string"), F.lit(""))
 
 
+def once(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f(value)`` with ``value`` computed once per row, however often ``f`` uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def parse_iso8601(c) -> Column:
     """ISO-8601 text (extended or basic form, a fraction of any length, cut to
     microseconds) -> timestamp; a trailing offset or 'Z' is replaced by UTC (not
     converted), bad text -> null."""
-    s = F.regexp_replace(col_of(c), r"Z$|(?<=[T ][0-9:.,]{1,40})[+-]\d{2}(:?\d{2}){0,2}$", "")
+    s = F.regexp_replace(col_of(c), r"Z$|(?=[+-])(?<=[T ][0-9:.,]{1,40})[+-]\d{2}(:?\d{2}){0,2}$", "")
     s = F.regexp_replace(s, r"^(\d{4})(\d{2})(\d{2})(?=[T ]|$)", "$1-$2-$3")
     s = F.regexp_replace(s, r"(?<=[T ])(\d{2})(\d{2})(\d{2})?(?=[.,]|$)", "$1:$2:$3")
     whole = F.regexp_extract(s, r"^(\d{4}-\d{2}-\d{2})(?:[T ](\d{2})(?::(\d{2}))?(?::(\d{2}))?:?(?:[.,](\d+))?)?$", 0)
-    part = lambda i: F.regexp_extract(whole, r"^(.{10})(?:[T ](\d{2})(?::(\d{2}))?(?::(\d{2}))?:?(?:[.,](\d+))?)?$", i)
-    clock = F.concat_ws(":", *[F.lpad(part(i), 2, "0") for i in (2, 3, 4)])
-    text = F.concat(part(1), F.lit(" "), clock, F.lit("."), F.rpad(part(5), 6, "0"))
-    return F.when(whole != "", F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss.SSSSSS")))
+
+    def stamp(whole: Column) -> Column:
+        part = lambda i: F.regexp_extract(whole, r"^(.{10})(?:[T ](\d{2})(?::(\d{2}))?(?::(\d{2}))?:?(?:[.,](\d+))?)?$", i)
+        clock = F.concat_ws(":", *[F.lpad(part(i), 2, "0") for i in (2, 3, 4)])
+        text = F.concat(part(1), F.lit(" "), clock, F.lit("."), F.rpad(part(5), 6, "0"))
+        return F.when(whole != "", F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss.SSSSSS")))
+
+    return once(whole, stamp)
 
 
 def parse_us_datetime(c) -> Column:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakelens.functions import names
-from lakelens.functions.scalars import col_of, duration_text_seconds, parse_iso8601, text_to_long
+from lakelens.functions.scalars import col_of, duration_text_seconds, once, parse_iso8601, text_to_long
 
 # ---------------------------------------------------------------- text logs
 
@@ -253,19 +253,21 @@ def audit_jobs(df: DataFrame, json_col: str = "entry") -> DataFrame:
     )
     parsed = F.transform(F.col("raw_sources"), names.resource_table_parts)
     sources = F.array_distinct(F.filter(F.transform(parsed, _clean_resource), lambda s: s.isNotNull()))
+    # Generated like the struct, so that the last filter does not compute them again.
+    x = x.select("*", F.explode_outer(F.array(sources)).alias("sources")).filter(F.size("sources") > 0)
     out = x.select(
         "job_name", "job_type",
         F.coalesce(F.col("email"), F.lit("")).alias("user_email"),
         F.when(F.col("job_type") == "QUERY", F.col("qc.query")).alias("query"),
         F.when(F.col("job_type") == "QUERY", F.col("qc.statementType")).alias("statement_type"),
-        sources.alias("sources"),
-        _clean_resource(names.resource_table_parts(F.col("raw_dest"))).alias("destination"),
+        "sources",
+        once(names.resource_table_parts(F.col("raw_dest")), _clean_resource).alias("destination"),
         parse_iso8601(F.col("stats.startTime")).alias("start_time"),
         parse_iso8601(F.col("stats.endTime")).alias("end_time"),
         F.when(F.col("job_type") == "QUERY", text_to_long(F.col("qs.totalProcessedBytes"))).alias("input_bytes"),
         F.when(F.col("job_type") == "QUERY", text_to_long(F.col("qs.outputRowCount"))).alias("output_rows"),
     )
-    return out.filter(F.size("sources") > 0)
+    return out
 
 
 def json_entries(raw, value_type: str = "string") -> Column:

@@ -147,3 +147,13 @@ def test_rules_are_filed_under_their_rarest_literal(spark, monkeypatch):
     assert {r.rule_no: r["count"] for r in pairs.filter("rule_no >= 900").groupBy("rule_no").count().collect()} == {900: 400, 901: 10, 903: 120}
     monkeypatch.setattr(F, "regexp", lambda name, pattern: F.lit(True))  # what the regexes see
     assert globs.glob_pairs(names, ["db", "tab"], rules, ["g_db", "g_tab"]).count() == 400
+
+
+def test_bound_values_are_computed_once(spark):
+    """The plan of a parsed time or resource name holds each of its texts' steps once."""
+    df = spark.createDataFrame([("2024-01-05T10:20:30.5Z", "projects/p/datasets/d/tables/t$20240105")], "s string, r string")
+    out = df.select(scalars.parse_iso8601("s").cast("string").alias("s"), names.resource_table_parts("r").alias("r"))
+    plan = out._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert plan.count("regexp_replace(") <= 5 and plan.count("split(") == 1
+    row = out.first()
+    assert row.s == "2024-01-05 10:20:30.5" and tuple(row.r) == ("p", "d", "t")
