@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakelens.llm.common import table, written
+from lakelens.llm.common import given_back, small_batches, table, written
 
 WINDOW = 2048
 RUN = 1 << 16
@@ -38,6 +38,7 @@ VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 CACHE = 1_000_000  # chunks, and words, whose ids a task remembers (some 200 MB each)
 SLICE = 1 << 20  # bytes of text handled before a batch is handed on
 PART = 4 * SLICE  # the same of texts whose distinct chunks are looked up at once
+ROWS = 2000  # of an Arrow batch
 LONG = 64  # longer chunks and words hardly repeat and are not remembered
 
 # The rules by which a tokenizer lower-cases and cuts a text into words.
@@ -158,6 +159,7 @@ def tokenised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", v
     schema = "doc_id long, part int, at long, start long, n long, doc_tokens long, ids binary"
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
+    @given_back
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
 
@@ -185,7 +187,8 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window
          vocabulary: str = VOCABULARY) -> DataFrame:
     """(doc_id, start, length, ids, doc_tokens, sequence_id, offset) per piece;
     ``ids`` are little-endian unsigned 32-bit."""
-    runs = written(tokenised(docs, id_col, text_col, vocabulary), "token-runs")
+    with small_batches(docs.sparkSession, ROWS):
+        runs = written(tokenised(docs, id_col, text_col, vocabulary), "token-runs")
     totals = runs.groupBy("part").agg(F.sum("n").alias("n"))  # a row per scan partition
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))

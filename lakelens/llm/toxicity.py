@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakelens.llm.common import table
+from lakelens.llm.common import given_back, table
 from lakelens.llm.packing import slices
 
 CHAIN = 512
@@ -304,16 +304,19 @@ def fit_on(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def toxicity(docs: DataFrame, model: Crf | None, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
     """(doc_id, score, spans array<(start, end, p)>) for every row of ``docs``;
     offsets are code points, end exclusive. ``keep`` adds the row as ``record``."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-                       *([F.struct("*").alias("record")] if keep else []))
+    place = next((i for i, (c, kind) in enumerate(docs.dtypes) if keep and c == text_col and kind == "string"), None)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), *([F.struct("*").alias("record")] if keep else []),
+                       *([F.col(text_col).cast("string").alias("text")] if place is None else []))  # a text goes to Python once
     shipped = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the training sample
     span = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("p", pa.float64())])
 
+    @given_back
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shipped.value
         known: dict[str, float] = {}
         for batch in batches:
-            for begin, part in slices(batch.column(1)):
+            for begin, part in slices(batch.column("text") if place is None else batch.column("record").field(place)):
+                part = [text or "" for text in part]
                 if model is None:
                     scores, spans = np.zeros(len(part)), [[] for _ in part]
                 else:
@@ -322,10 +325,10 @@ def toxicity(docs: DataFrame, model: Crf | None, id_col: str = "doc_id", text_co
                     scores, spans = score_texts(model, part, known)
                 same = batch.slice(begin, len(part))
                 columns = {"doc_id": same.column(0), "score": pa.array(scores, pa.float64()), "spans": pa.array(spans, pa.list_(span))}
-                yield pa.RecordBatch.from_pydict(columns | ({"record": same.column(2)} if keep else {}))
+                yield pa.RecordBatch.from_pydict(columns | ({"record": same.column(1)} if keep else {}))
 
     none = F.array().cast("array<struct<start:int,end:int,p:double>>")
-    return rows.mapInArrow(score, rows.select("doc_id", F.lit(0.0).alias("score"), none.alias("spans"), *rows.columns[2:]).schema)
+    return rows.mapInArrow(score, rows.select("doc_id", F.lit(0.0).alias("score"), none.alias("spans"), *(["record"] if keep else [])).schema)
 
 
 def score_texts(model: Crf, texts: list[str], known: dict[str, float]) -> tuple[np.ndarray, list[list[tuple]]]:

@@ -1,9 +1,13 @@
 """The corpus pipeline, stage by stage, against brute force."""
 
+import contextlib
+
 import corpus_pipeline as pipeline
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from lakelens.llm import exact_dedup, ngram_join, secret_scan
+from lakelens.llm import exact_dedup, ngram_join, packing, secret_scan, toxicity
 from lakelens.llm.common import written
 
 
@@ -59,3 +63,39 @@ def test_whole_run_on_odd_tables(spark, tmp_path):
     docs = spark.createDataFrame(rows, "doc_id long, text string, _sha string, record long")
     kept = pipeline.drop_copies(spark, docs, "").collect()
     assert [r["_sha"] for r in kept if r.doc_id == 6] == ["w"] and kept[0].__fields__ == docs.columns
+
+
+def test_workers_give_memory_back(spark):
+    """A Python worker lives on after its task; what the task held goes back to the system."""
+    psutil = pytest.importorskip("psutil")
+
+    def held():
+        """MB of own memory of each Python worker."""
+        found = {}
+        for p in psutil.Process().children(recursive=True):
+            with contextlib.suppress(psutil.Error):
+                if any("pyspark.daemon" in x for x in p.cmdline()):
+                    found[p.pid] = p.memory_full_info().uss / 1e6
+        return found
+
+    word = F.expr("concat_ws(' ', transform(sequence(1, 150), i -> concat('w', substr(md5(concat(id, ' ', i)), 1, 10))))")
+    docs = spark.range(0, 4000, 1, 1).select(F.col("id").alias("doc_id"), word.alias("text"))
+    before = held()
+    written(packing.pack(docs), "test-stage")
+    grown = [mb - before.get(pid, 0) for pid, mb in held().items()]
+    assert grown and max(grown) < 160, grown
+
+
+def test_scored_rows_are_kept_whole(spark):
+    """A row's text goes to Python once, within the row; null texts stay null."""
+    model = toxicity.Crf({"w:bad": 9.0}, 1e-3, np.ones((2, 2)), -5.0, np.array([0.0, 1.0, 1.0]))
+    rows = [(1, "a bad thing", "x"), (2, None, None), (None, "", "y"), (4, "fine", "z"), (2, "bad bad", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, record string").coalesce(1)
+    plain = [tuple(r) for r in toxicity.toxicity(docs, model).collect()]
+    kept = toxicity.toxicity(docs, model, keep=True)
+    sent = kept._jdf.queryExecution().analyzed().toString()
+    assert [tuple(r)[:3] for r in kept.collect()] == plain and plain[0][1] > 0.5 > plain[1][1]
+    assert [tuple(r) for r in kept.select("record.*").collect()] == rows
+    assert "text" not in toxicity.toxicity(docs, model, keep=True).columns and " AS text#" not in sent
+    odd = docs.withColumn("text", F.lit(None))
+    assert [r.score for r in toxicity.toxicity(odd, model, keep=True).collect()] == [plain[1][1]] * 5
