@@ -49,7 +49,9 @@ def released(*tables: DataFrame) -> None:
     for df in tables:
         files = df.inputFiles()
         if files:
-            df.sparkSession.createDataFrame([], df.schema).write.mode("overwrite").parquet(files[0].rsplit("/", 1)[0])
+            # No rows from Python: those would start a worker for each core, which stay.
+            none = df.sparkSession.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema])
+            none.write.mode("overwrite").parquet(files[0].rsplit("/", 1)[0])
 
 
 def ascii_lower(text: Column) -> Column:
@@ -77,16 +79,26 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
 
 
 def given_back(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """``run`` for ``mapInArrow``: when a task ends, its Python worker, which stays for
-    later tasks and stages, returns the memory that it no longer uses to the system."""
+    """``run`` for ``mapInArrow``: between batches and when a task ends, its Python worker,
+    which stays for later tasks and stages, returns the memory that it no longer uses to
+    the system."""
+
+    def give_back() -> None:
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+        if trim:
+            trim(0)
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch
+            del batch
+            give_back()
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
-            yield from run(batches)
+            yield from run(each(batches))
         finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
-            if trim:
-                trim(0)
+            give_back()
 
     return whole

@@ -49,7 +49,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakelens.llm.common import released, settled, small_batches, table
+from lakelens.llm.common import given_back, released, settled, small_batches, table
 from lakelens.llm.components import components
 from lakelens.llm.packing import slices
 
@@ -150,6 +150,7 @@ def profile(texts: DataFrame, seed: int, width: int) -> DataFrame:
             none = [None] * len(v)
             yield batch([none, none, none, none, v, counts[i:i + (1 << 17)]])
 
+    @given_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, block, held, seen = Shingler(seed, width), [], 0, set()
         for ids, part in _batches(batches):
@@ -183,6 +184,7 @@ def replicated(texts: DataFrame, late: np.ndarray, seed: int, width: int, percen
     sketch."""
     shipped = texts.sparkSession.sparkContext.broadcast(late)
 
+    @given_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, late = Shingler(seed, width), shipped.value
         for _, part in _batches(batches):
@@ -208,6 +210,7 @@ def shingle_sets(texts: DataFrame, ids: np.ndarray, seed: int, width: int) -> Da
     """(h1, s) of the documents whose id's bit is set in ``ids`` (or null)."""
     shipped = texts.sparkSession.sparkContext.broadcast(ids)
 
+    @given_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, bits = Shingler(seed, width), shipped.value
 

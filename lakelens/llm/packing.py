@@ -35,10 +35,10 @@ WINDOW = 2048
 RUN = 1 << 16
 END_ID = 1
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
-CACHE = 1_000_000  # chunks, and words, whose ids a task remembers (some 200 MB each)
+CACHE = 100_000  # chunks, and words, whose ids a task remembers (some 20 MB each)
 SLICE = 1 << 20  # bytes of text handled before a batch is handed on
-PART = 4 * SLICE  # the same of texts whose distinct chunks are looked up at once
-ROWS = 2000  # of an Arrow batch
+PART = SLICE // 2  # the same of texts whose distinct chunks are looked up at once
+ROWS = 500  # of an Arrow batch
 LONG = 64  # longer chunks and words hardly repeat and are not remembered
 
 # The rules by which a tokenizer lower-cases and cuts a text into words.

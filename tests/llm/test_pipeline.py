@@ -1,13 +1,15 @@
 """The corpus pipeline, stage by stage, against brute force."""
 
 import contextlib
+import tracemalloc
 
 import corpus_pipeline as pipeline
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from lakelens.llm import exact_dedup, ngram_join, packing, secret_scan, toxicity
+from lakelens.llm import common, exact_dedup, ngram_join, packing, secret_scan, toxicity
 from lakelens.llm.common import written
 
 
@@ -99,3 +101,40 @@ def test_scored_rows_are_kept_whole(spark):
     assert "text" not in toxicity.toxicity(docs, model, keep=True).columns and " AS text#" not in sent
     odd = docs.withColumn("text", F.lit(None))
     assert [r.score for r in toxicity.toxicity(odd, model, keep=True).collect()] == [plain[1][1]] * 5
+
+
+def test_packing_remembers_few_words():
+    """Packing's Python workers run beside a full heap: what a task remembers of texts
+    of ever new words stays small, and the ids are those of the whole tokenizer."""
+    tokenizer = packing.ChunkTokenizer(packing.VOCABULARY)
+    texts = [" ".join(f"w{i}x{j}" for j in range(400)) for i in range(600)]
+    tracemalloc.start()
+    try:
+        for i in range(0, len(texts), 20):
+            found = tokenizer(texts[i:i + 20])
+        held, peak = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert peak < 50e6, (held, peak)
+    whole = [tokenizer.tokenizer.encode(t, add_special_tokens=False).ids for t in texts[-20:]]
+    assert [np.frombuffer(x, "<u4").tolist() for x in found] == whole
+
+
+def test_memory_goes_back_between_batches(monkeypatch):
+    trimmed = []
+
+    class Library:
+        malloc_trim = trimmed.append
+
+    monkeypatch.setattr(common.ctypes, "CDLL", lambda _: Library)
+    batches = [pa.RecordBatch.from_pydict({"a": [i]}) for i in range(5)]
+    assert list(common.given_back(lambda x: x)(iter(batches))) == batches
+    assert len(trimmed) >= len(batches)
+
+
+def test_released_tables_start_no_python_worker(spark, monkeypatch):
+    df = written(spark.sql("SELECT 1L AS a, array(struct('x' AS b)) AS c, map('k', 1) AS d, x'00' AS e"), "test-released")
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize", None)  # its rows go through Python workers
+    common.released(df)
+    again = spark.read.schema(df.schema).parquet(df.inputFiles()[0].rsplit("/", 1)[0])
+    assert again.dtypes == df.dtypes and again.count() == 0
